@@ -1,23 +1,283 @@
 """Clustering and segments.
 
 Lloyd iterations run as DataFrame jobs: k centres (k ≤ a few dozen) travel as
-literals inside the distance expression, the assignment is an ``argmin`` over
-k columns computed per row, and the update is a groupBy on the cluster id
-with map-side partial aggregation. No all-pairs distances are formed.
+literals inside the distance expression, the assignment is an argmin over k
+distance columns computed per row, and the update is a groupBy on the cluster
+id with map-side partial aggregation (k rows come back). No all-pairs
+distances are formed. ``pyspark.ml`` KMeans / GaussianMixture cover the
+k-means++ and mixture variants.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from valuator.plans.strategy import fit_row, ranked
+
+MAX_K = 64
+
 
 def segment_stats(df: DataFrame, segment: str, col: str = "price", full: bool = True) -> DataFrame:
-    """Count, min, max, median, mean, std of ``col`` per segment."""
+    """Count, min, max, median (mean, std) of ``col`` per segment."""
     aggs = [F.count(F.lit(1)).alias("n"), F.min(col).alias("min_price"), F.max(col).alias("max_price"),
             F.percentile(F.col(col), 0.5).alias("median_price")]
     if full:
         aggs += [F.avg(col).alias("mean_price"), F.stddev_samp(col).alias("std_price")]
     return df.groupBy(segment).agg(*aggs)
+
+
+# ------------------------------------------------------------------ assignment
+def sq_distance(features: Sequence[str | Column], center: Sequence[float]) -> Column:
+    cols = [F.col(f) if isinstance(f, str) else f for f in features]
+    terms = [(c - F.lit(float(v))) * (c - F.lit(float(v))) for c, v in zip(cols, center)]
+    out = terms[0]
+    for t in terms[1:]:
+        out = out + t
+    return out
+
+
+def nearest_center(features: Sequence[str | Column], centers: Sequence[Sequence[float]]) -> Column:
+    """Index of the closest centre (squared Euclidean; ties -> lowest index)."""
+    if not 1 <= len(centers) <= MAX_K:
+        raise ValueError(f"need 1..{MAX_K} centres")
+    d = [sq_distance(features, c) for c in centers]
+    m = F.least(*d) if len(d) > 1 else d[0]
+    expr = None
+    for j, dj in enumerate(d):
+        expr = F.when(dj == m, F.lit(j)) if expr is None else expr.when(dj == m, F.lit(j))
+    return expr.cast("int")
+
+
+@dataclass
+class LloydResult:
+    centers: list[list[float]]
+    iterations: int
+    sizes: list[int] = field(default_factory=list)
+    cost: float = float("nan")
+
+
+def lloyd(df: DataFrame, features: Sequence[str | Column], init: Sequence[Sequence[float]], max_iter: int = 300,
+          tol: float = 1e-4, fixed_iterations: bool = False) -> LloydResult:
+    """Lloyd iterations from explicit centres (``ml`` KMeans takes no explicit
+    init). Convergence as in the reference's library: squared centre shift
+    below tol · mean feature variance. Empty clusters keep their centre.
+    ``df`` should be cached by the caller; each iteration is one aggregate."""
+    feats = [F.col(f).cast("double") if isinstance(f, str) else f.cast("double") for f in features]
+    names = [f"_f{i}" for i in range(len(feats))]
+    data = df.select(*[c.alias(n) for c, n in zip(feats, names)])
+    k = len(init)
+    centers = [list(map(float, c)) for c in init]
+    tol_abs = 0.0
+    if not fixed_iterations and tol > 0:
+        v = fit_row(data, *[F.var_pop(n).alias(n) for n in names])
+        tol_abs = tol * sum(float(v[n] or 0.0) for n in names) / len(names)
+    it = 0
+    sizes: list[int] = [0] * k
+    for it in range(1, max_iter + 1):
+        assigned = data.withColumn("_c", nearest_center(names, centers))
+        rows = assigned.groupBy("_c").agg(F.count(F.lit(1)).alias("_n"), *[F.avg(n).alias(n) for n in names]).collect()
+        new = [list(c) for c in centers]
+        sizes = [0] * k
+        for r in rows:
+            new[r["_c"]] = [float(r[n]) for n in names]
+            sizes[r["_c"]] = int(r["_n"])
+        shift = sum((a - b) ** 2 for c0, c1 in zip(centers, new) for a, b in zip(c0, c1))
+        centers = new
+        if not fixed_iterations and shift <= tol_abs:
+            break
+    return LloydResult(centers, it, sizes)
+
+
+def percentile_init(df: DataFrame, features: Sequence[str | Column], k: int) -> list[list[float]]:
+    """C3 init: centre j = the (100·j/(k−1))-th percentile of every feature."""
+    probs = [j / (k - 1) for j in range(k)] if k > 1 else [0.5]
+    feats = [F.col(f) if isinstance(f, str) else f for f in features]
+    row = fit_row(df, *[F.percentile(c.cast("double"), probs).alias(f"_p{i}") for i, c in enumerate(feats)])
+    return [[float(row[f"_p{i}"][j]) for i in range(len(feats))] for j in range(k)]
+
+
+def band_init(df: DataFrame, features: Sequence[str | Column], price: str | Column, k: int) -> list[list[float]]:
+    """C4 init: mean feature vector inside k price-percentile bands; an empty
+    band takes the average of its neighbours."""
+    from valuator.operators.segment import bin_code
+    p = F.col(price) if isinstance(price, str) else price
+    probs = [j / k for j in range(k + 1)]
+    edges = fit_row(df, F.percentile(p.cast("double"), probs).alias("e"))["e"]
+    feats = [F.col(f) if isinstance(f, str) else f for f in features]
+    band = bin_code(p, [float(e) for e in edges])
+    rows = (df.select(band.alias("_b"), *[c.cast("double").alias(f"_f{i}") for i, c in enumerate(feats)])
+            .groupBy("_b").agg(*[F.avg(f"_f{i}").alias(f"_f{i}") for i in range(len(feats))]).collect())
+    got = {r["_b"]: [float(r[f"_f{i}"]) for i in range(len(feats))] for r in rows if r["_b"] is not None}
+    centers: list[list[float] | None] = [got.get(j) for j in range(k)]
+    for j in range(k):
+        if centers[j] is None:
+            nb = [c for c in (centers[j - 1] if j > 0 else None, got.get(j + 1)) if c is not None]
+            centers[j] = [sum(v) / len(nb) for v in zip(*nb)] if nb else [0.0] * len(feats)
+    return [list(c) for c in centers]  # type: ignore[arg-type]
+
+
+# ------------------------------------------------------------------ C1, C2, C7, C8, C11
+def _assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
+    from pyspark.ml.feature import VectorAssembler
+    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="skip").transform(df)
+
+
+def choose_k_silhouette(df: DataFrame, features: Sequence[str], k_range: Sequence[int] = range(2, 6),
+                        seed: int = 42) -> tuple[int, DataFrame]:
+    """K-means for each k, mean silhouette (squared Euclidean, linear time),
+    first best k. Returns (best_k, table of k -> silhouette, cost)."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    data = _assemble(df, features).select("features").persist()
+    ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
+    res = []
+    for k in k_range:
+        m = KMeans(k=k, seed=seed, featuresCol="features").fit(data)
+        s = ev.evaluate(m.transform(data))
+        res.append((int(k), float(s), float(m.summary.trainingCost)))
+    data.unpersist()
+    best = max(res, key=lambda r: (r[1], -r[0]))[0]
+    table = df.sparkSession.createDataFrame(res, "k int, silhouette double, cost double")
+    return best, table
+
+
+def kmeans_segments(df: DataFrame, features: Sequence[str], k: int, restarts: int = 10, seed: int = 42,
+                    out: str = "cluster"):
+    """K-means|| with ``restarts`` seeds, keep the lowest training cost."""
+    from pyspark.ml.clustering import KMeans
+    data = _assemble(df, features).persist()
+    best = None
+    for r in range(restarts):
+        m = KMeans(k=k, seed=seed + r, featuresCol="features", predictionCol=out).fit(data)
+        if best is None or m.summary.trainingCost < best.summary.trainingCost:
+            best = m
+    labelled = best.transform(data).drop("features")
+    return best, labelled
+
+
+def gmm_segments_bic(df: DataFrame, features: Sequence[str], n_range: Sequence[int] = range(2, 6),
+                     seed: int = 42, min_silhouette: float = 0.2) -> tuple[int, DataFrame]:
+    """GaussianMixture per n on the given (already log/standardised)
+    features; BIC = −2·logLik + p·ln(n_rows); among silhouette > 0.2 pick the
+    lowest BIC, else the lowest BIC overall."""
+    from pyspark.ml.clustering import GaussianMixture
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    data = _assemble(df, features).select("features").persist()
+    n_rows = data.count()
+    d = len(features)
+    ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
+    res = []
+    for n in n_range:
+        m = GaussianMixture(k=n, seed=seed, featuresCol="features").fit(data)
+        ll = float(m.summary.logLikelihood)
+        p = n * d + n * d * (d + 1) / 2 + (n - 1)
+        bic = -2.0 * ll + p * math.log(n_rows)
+        pred = m.transform(data)
+        try:
+            s = float(ev.evaluate(pred))
+        except Exception:  # noqa: BLE001 - a single populated cluster has no silhouette
+            s = float("nan")
+        res.append((int(n), bic, s))
+    data.unpersist()
+    ok = [r for r in res if r[2] == r[2] and r[2] > min_silhouette]
+    best = min(ok or res, key=lambda r: (r[1], r[0]))[0]
+    table = df.sparkSession.createDataFrame(res, "n int, bic double, silhouette double")
+    return best, table
+
+
+def gmm_segments_combined(table: DataFrame) -> DataFrame:
+    """score = minmax(BIC) − minmax(silhouette) over the candidate table
+    (one row per candidate n); zero ranges give 0. Lowest score first."""
+    st = table.agg(F.min("bic").alias("b0"), F.max("bic").alias("b1"),
+                   F.min("silhouette").alias("s0"), F.max("silhouette").alias("s1"))
+    j = table.crossJoin(F.broadcast(st))  # one-row statistics
+    nb = F.when(F.col("b1") == F.col("b0"), 0.0).otherwise((F.col("bic") - F.col("b0")) / (F.col("b1") - F.col("b0")))
+    ns = F.when(F.col("s1") == F.col("s0"), 0.0).otherwise(
+        (F.col("silhouette") - F.col("s0")) / (F.col("s1") - F.col("s0")))
+    return j.select(*table.columns, (nb - ns).alias("score")).orderBy("score", table.columns[0])
+
+
+def cluster_errors(df: DataFrame, err: str, k_range: Sequence[int] = range(2, 11), seed: int = 42,
+                   out: str = "error_cluster") -> tuple[int, DataFrame]:
+    """C11: standardise the error, choose k by silhouette, label rows."""
+    st = fit_row(df, F.avg(err).alias("m"), F.stddev_pop(err).alias("s"))
+    z = df.withColumn("_z", (F.col(err) - F.lit(st["m"])) / F.lit(st["s"] or 1.0))
+    best, _ = choose_k_silhouette(z, ["_z"], k_range, seed)
+    _, labelled = kmeans_segments(z, ["_z"], best, restarts=1, seed=seed, out=out)
+    return best, labelled.drop("_z")
+
+
+# ------------------------------------------------------------------ C6
+def assign_no_price(df: DataFrame, features: Sequence[str], centers: Sequence[Sequence[float]],
+                    mode: str = "zero", median_log_price: float | None = None, out: str = "cluster") -> DataFrame:
+    """Assign unlabelled rows to centres fitted on [log1p(price), features...].
+
+    mode='zero'   : price term 0 (the reference's behaviour, biased to cheap segments)
+    mode='median' : log1p(median train price) as the price term
+    mode='ignore' : drop the price dimension from the distance
+    """
+    if mode == "zero":
+        return df.withColumn(out, nearest_center([F.lit(0.0), *features], centers))
+    if mode == "median":
+        if median_log_price is None:
+            raise ValueError("median mode needs median_log_price")
+        return df.withColumn(out, nearest_center([F.lit(float(median_log_price)), *features], centers))
+    if mode == "ignore":
+        return df.withColumn(out, nearest_center(list(features), [c[1:] for c in centers]))
+    raise ValueError("mode must be zero|median|ignore")
+
+
+# ------------------------------------------------------------------ C9
+def merge_weak_segments(centers: dict[int, Sequence[float]], rmse: dict[int, float], threshold: float,
+                        rounds: int = 3) -> dict[int, int]:
+    """Map of segment -> target segment. A segment whose RMSE is above the
+    threshold merges into its nearest centre unless that one is weak too;
+    repeated up to ``rounds`` times. Works on the k centres (k small)."""
+    mapping = {s: s for s in centers}
+    cur = dict(centers)
+    weak_rmse = dict(rmse)
+    for _ in range(rounds):
+        changed = False
+        for s in sorted(cur):
+            if weak_rmse.get(s, 0.0) <= threshold or len(cur) <= 1:
+                continue
+            others = [(sum((a - b) ** 2 for a, b in zip(cur[s], cur[o])), o) for o in cur if o != s]
+            _, tgt = min(others)
+            if weak_rmse.get(tgt, 0.0) > threshold:
+                continue
+            for src, dst in mapping.items():
+                if dst == s:
+                    mapping[src] = tgt
+            del cur[s]
+            changed = True
+        if not changed:
+            break
+    return mapping
+
+
+def apply_mapping(c: str | Column, mapping: dict[int, int]) -> Column:
+    col = F.col(c) if isinstance(c, str) else c
+    expr = None
+    for src, dst in sorted(mapping.items()):
+        expr = F.when(col == src, F.lit(dst)) if expr is None else expr.when(col == src, F.lit(dst))
+    return (expr.otherwise(col) if expr is not None else col).cast("int")
+
+
+# ------------------------------------------------------------------ C12, C13
+def min_size_skip(df: DataFrame, segment: str, min_rows: int = 10) -> DataFrame:
+    """The segments that have at least ``min_rows`` rows (the others get no model)."""
+    return (df.groupBy(segment).agg(F.count(F.lit(1)).alias("_n"))
+            .filter(F.col("_n") >= min_rows).select(segment))
+
+
+def cap_segment_sample(df: DataFrame, key: str, segment: str, cap: int = 10_000, seed: int = 42) -> DataFrame:
+    """At most ``cap`` rows per segment, chosen by key hash (a sampling
+    operator: the cap is its purpose). Ranked by range partitioning."""
+    from valuator.operators.train import lcg_hash
+    r = ranked(df.withColumn("_h", lcg_hash(key, seed)), [segment], ["_h", key], out="_rn")
+    return r.filter(F.col("_rn") <= cap).drop("_h", "_rn")

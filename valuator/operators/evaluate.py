@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from valuator.operators.segment import error_band
+from valuator.plans.strategy import prefix_sums
 
 
 def _col(c: str | Column) -> Column:
@@ -176,37 +177,35 @@ def classification_report(df: DataFrame, y: str, p: str) -> DataFrame:
 def roc_points(df: DataFrame, y: str, score: str) -> DataFrame:
     """ROC points (fpr, tpr) per distinct score threshold, descending.
 
-    Ties are grouped into one threshold (aggregate first), so the running
-    sums run over distinct scores only; the distinct-score table is the only
-    thing ordered globally.
+    Ties are grouped into one threshold first; running sums over the
+    distinct thresholds use ``prefix_sums`` (range partitions + offsets), so
+    no global window gathers the table into one task.
     """
     g = df.groupBy(F.col(score).alias("threshold")).agg(
         F.sum(F.col(y).cast("long")).alias("tp_n"),
         F.sum((F.lit(1) - F.col(y)).cast("long")).alias("fp_n"))
     tot = df.agg(F.sum(F.col(y).cast("long")).alias("P"), F.sum((F.lit(1) - F.col(y)).cast("long")).alias("N"))
-    w = Window.orderBy(F.col("threshold").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    cum = g.withColumns({"tps": F.sum("tp_n").over(w), "fps": F.sum("fp_n").over(w)})
-    return cum.crossJoin(F.broadcast(tot)).select(
-        "threshold", "tps", "fps",
-        (F.col("fps") / F.col("N")).alias("fpr"), (F.col("tps") / F.col("P")).alias("tpr"))
+    cum = prefix_sums(g, [F.col("threshold").desc()], ["tp_n", "fp_n"])
+    cum = cum.withColumnsRenamed({"tp_n_cum": "tps", "fp_n_cum": "fps"})
+    return cum.crossJoin(F.broadcast(tot)).select(  # one-row totals
+        "threshold", "tp_n", "fp_n", "tps", "fps",
+        (F.col("fps") / F.col("N")).alias("fpr"), (F.col("tps") / F.col("P")).alias("tpr"),
+        ((F.col("fps") - F.col("fp_n")) / F.col("N")).alias("prev_fpr"),
+        ((F.col("tps") - F.col("tp_n")) / F.col("P")).alias("prev_tpr"))
 
 
 def roc_auc(df: DataFrame, y: str, score: str) -> DataFrame:
-    """Trapezoid area under the ROC curve (starting at (0,0))."""
+    """Trapezoid area under the ROC curve (from (0,0)); previous point
+    from the running sums, so it is one aggregate."""
     pts = roc_points(df, y, score)
-    w = Window.orderBy(F.col("threshold").desc())
-    seg = pts.withColumns({"pf": F.coalesce(F.lag("fpr").over(w), F.lit(0.0)),
-                           "pt": F.coalesce(F.lag("tpr").over(w), F.lit(0.0))})
-    return seg.agg(F.sum((F.col("fpr") - F.col("pf")) * (F.col("tpr") + F.col("pt")) / 2.0).alias("auc"))
+    return pts.agg(F.sum((F.col("fpr") - F.col("prev_fpr")) * (F.col("tpr") + F.col("prev_tpr")) / 2.0).alias("auc"))
 
 
 def average_precision(df: DataFrame, y: str, score: str) -> DataFrame:
     """AP = Σ (R_n − R_{n−1}) · P_n over distinct thresholds."""
     pts = roc_points(df, y, score)
-    w = Window.orderBy(F.col("threshold").desc())
     prec = F.col("tps") / (F.col("tps") + F.col("fps"))
-    seg = pts.withColumns({"prec": prec, "pr": F.coalesce(F.lag("tpr").over(w), F.lit(0.0))})
-    return seg.agg(F.sum((F.col("tpr") - F.col("pr")) * F.col("prec")).alias("average_precision"))
+    return pts.agg(F.sum((F.col("tpr") - F.col("prev_tpr")) * prec).alias("average_precision"))
 
 
 def cv_accuracy(df: DataFrame, fold: str, y: str, p: str) -> DataFrame:

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from valuator.session import cut_lineage
+
 MAX_BROADCAST_ROWS = 200_000
 
 
@@ -70,6 +72,11 @@ def ranked(df: DataFrame, part_cols: Sequence[str], order_cols: Sequence[Column
           .sortWithinPartitions(*keys)
           .withColumn("_mid", F.monotonically_increasing_id()))
     rp = rp.withColumn("_pid", F.shiftright("_mid", 33))
+    # range bounds come from sampling, which depends on the arrival order of
+    # rows after a shuffle: freeze the layout with a reliable checkpoint so the
+    # offsets and the rows come from the same materialisation (also survives
+    # executor loss, unlike a cache).
+    rp = cut_lineage(rp)
     stats = rp.groupBy("_pid", *part_cols).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     from pyspark.sql import Window
     w = (Window.partitionBy(*part_cols) if part_cols else Window.partitionBy()).orderBy("_pid")
@@ -87,6 +94,7 @@ def prefix_sums(df: DataFrame, order_cols: Sequence[Column | str], sum_cols: Seq
     offset from the totals of earlier partitions (one small aggregate)."""
     keys = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     rp = df.repartitionByRange(_partitions(df, num_partitions), *keys).withColumn("_pid", F.spark_partition_id())
+    rp = cut_lineage(rp)
     tot = rp.groupBy("_pid").agg(*[F.sum(c).alias(c) for c in sum_cols])
     from pyspark.sql import Window
     wp = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
