@@ -47,6 +47,20 @@ def quantile_edges(df: DataFrame, col: str, q: int) -> list[float]:
     return out
 
 
+def quantile_edges_multi(df: DataFrame, cols: Sequence[str], q: int) -> dict[str, list[float]]:
+    """Edges of several columns in one aggregate pass (nulls ignored per column)."""
+    probs = [i / q for i in range(q + 1)]
+    row = fit_row(df, *[F.percentile(F.col(c).cast("double"), probs).alias(c) for c in cols])
+    out: dict[str, list[float]] = {}
+    for c in cols:
+        es: list[float] = []
+        for e in row[c] or []:
+            if not es or e != es[-1]:
+                es.append(float(e))
+        out[c] = es
+    return out
+
+
 def bin_code(c: str | Column, edges: Sequence[float]) -> Column:
     """Apply: right-closed bins, lowest edge included; code = #inner edges < x.
 
