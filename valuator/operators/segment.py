@@ -166,6 +166,13 @@ def segment_bounds(df: DataFrame, segment: str, col: str = "price",
     return g.select(segment, *[F.col("_q")[i].alias(f"q{int(round(pr * 100)):02d}") for i, pr in enumerate(probs)])
 
 
+def class_imbalance(df: DataFrame, label: str = "label") -> DataFrame:
+    """B10 as a one-row aggregate: negatives / positives (null without positives)."""
+    neg = F.sum(F.when(F.col(label) == 0, 1).otherwise(0))
+    pos = F.sum(F.when(F.col(label) == 1, 1).otherwise(0))
+    return df.agg(F.try_divide(neg.cast("double"), pos).alias("weight"))
+
+
 def class_imbalance_weight(df: DataFrame, label: str = "label") -> float:
     """Negatives / positives."""
     r = fit_row(df, F.sum(F.when(F.col(label) == 0, 1).otherwise(0)).alias("neg"),
