@@ -1,3 +1,263 @@
-"""Registered queries."""
+"""Registered clustering queries.
+
+Lloyd-based queries with a SQL oracle run a fixed number of iterations
+(the oracle unrolls them as CTEs); the library default iterates to
+convergence.
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from valuator.operators import cluster as C
+from valuator.plans.common import fx, rnd, round_all
+from valuator.plans.registry import register
+
+K = 3
+_FEATS = ["depreciation", "coe", "dereg_value"]
+ITERS = 2
+
+
+# ------------------------------------------------------------------ SQL generation for fixed Lloyd steps
+def _assign_sql(feats: list[str], centers: str, k: int) -> str:
+    d = [" + ".join(f"({f} - c{j}_{i}) * ({f} - c{j}_{i})" for i, f in enumerate(feats)) for j in range(k)]
+    m = f"least({', '.join(d)})"
+    whens = " ".join(f"WHEN {dj} = {m} THEN {j}" for j, dj in enumerate(d))
+    return f"CAST(CASE {whens} END AS INTEGER)"
+
+
+def _centers_from_rows(src: str, feats: list[str], k: int, name: str, prev: str) -> str:
+    """CTE: centres c{j}_{i} from per-cluster means of ``src`` (which has a column ``cl``), keeping the
+    previous centre for an empty cluster."""
+    sel = []
+    for j in range(k):
+        for i, f in enumerate(feats):
+            sel.append(f"coalesce((SELECT avg({f}) FROM {src} WHERE cl = {j}), (SELECT c{j}_{i} FROM {prev})) AS c{j}_{i}")
+    return f"{name} AS (SELECT {', '.join(sel)})"
+
+
+def lloyd_sql(base: str, feats: list[str], k: int, init_cte: str, iters: int) -> str:
+    """CTE chain: init centres -> iters × (assign, update). Ends with centres ``cen{iters}``."""
+    parts = [init_cte]
+    prev = "cen0"
+    for t in range(1, iters + 1):
+        parts.append(f"a{t} AS (SELECT b.*, {_assign_sql(feats, prev, k)} AS cl FROM {base} b CROSS JOIN {prev})")
+        parts.append(_centers_from_rows(f"a{t}", feats, k, f"cen{t}", prev))
+        prev = f"cen{t}"
+    return ",\n".join(parts)
+
+
+def _percentile_init_sql(src: str, feats: list[str], k: int) -> str:
+    probs = [j / (k - 1) for j in range(k)]
+    sel = [f"quantile_cont({f}, {p}) AS c{j}_{i}" for j, p in enumerate(probs) for i, f in enumerate(feats)]
+    return f"cen0 AS (SELECT {', '.join(sel)} FROM {src})"
+
+
+# ------------------------------------------------------------------ C3
+_C3_FEATS = ["lp", *_FEATS]
+_C3_SQL = ("WITH base AS (SELECT listing_id, ln(1 + price) AS lp, " + ", ".join(_FEATS) + " FROM listing),\n"
+           + lloyd_sql("base", _C3_FEATS, K, _percentile_init_sql("base", _C3_FEATS, K), ITERS)
+           + f"\nSELECT b.listing_id, {_assign_sql(_C3_FEATS, 'cen2', K)} AS cluster FROM base b CROSS JOIN cen{ITERS}")
+
+
+def _c3_fit(df):
+    base = df.select("listing_id", F.log1p("price").alias("lp"), *_FEATS).persist()
+    init = C.percentile_init(base, _C3_FEATS, K)
+    res = C.lloyd(base, _C3_FEATS, init, max_iter=ITERS, fixed_iterations=True)
+    return base, res
+
+
+@register("lloyd_percentile_init", _C3_SQL, ("listing",))
+def q_lloyd_percentile(spark, sf_dir):
+    base, res = _c3_fit(fx(spark, sf_dir).listing())
+    return base.select("listing_id", C.nearest_center(_C3_FEATS, res.centers).alias("cluster"))
+
+
+# ------------------------------------------------------------------ C4
+def _band_init_sql(src: str, feats: list[str], k: int) -> str:
+    probs = ", ".join(str(j / k) for j in range(k + 1))
+    inner = "list_sort(list_distinct(e))"
+    code = (f"CASE WHEN price >= {inner}[1] AND price <= {inner}[len({inner})] THEN "
+            f"CAST(len(list_filter({inner}[2:len({inner}) - 1], lambda x: price > x)) AS INTEGER) END")
+    sel = [f"(SELECT avg({f}) FROM bb WHERE band = {j}) AS c{j}_{i}" for j in range(k) for i, f in enumerate(feats)]
+    return (f"q AS (SELECT quantile_cont(price, [{probs}]) AS e FROM {src}),\n"
+            f"bb AS (SELECT s.*, {code} AS band FROM {src} s CROSS JOIN q),\n"
+            f"cen0 AS (SELECT {', '.join(sel)})")
+
+
+_C4_SQL = ("WITH base AS (SELECT listing_id, price, " + ", ".join(_FEATS) + " FROM listing),\n"
+           + lloyd_sql("base", _FEATS, K, _band_init_sql("base", _FEATS, K), ITERS)
+           + f"\nSELECT b.listing_id, {_assign_sql(_FEATS, 'cen2', K)} AS cluster FROM base b CROSS JOIN cen{ITERS}")
+
+
+@register("lloyd_band_init", _C4_SQL, ("listing",))
+def q_lloyd_band(spark, sf_dir):
+    base = fx(spark, sf_dir).listing().select("listing_id", "price", *_FEATS).persist()
+    init = C.band_init(base, _FEATS, "price", K)
+    res = C.lloyd(base, _FEATS, init, max_iter=ITERS, fixed_iterations=True)
+    return base.select("listing_id", C.nearest_center(_FEATS, res.centers).alias("cluster"))
+
+
+# ------------------------------------------------------------------ C5 / J8
+_C5_SQL = ("WITH base AS (SELECT listing_id, " + ", ".join(_FEATS) + " FROM listing_train),\n"
+           + lloyd_sql("base", _FEATS, K, _percentile_init_sql("base", _FEATS, K), ITERS)
+           + f"\nSELECT n.listing_id, {_assign_sql(_FEATS, 'cen2', K)} AS cluster FROM listing_new n CROSS JOIN cen{ITERS}")
+
+
+@register("assign_clusters", _C5_SQL, ("listing_train", "listing_new"))
+def q_assign_clusters(spark, sf_dir):
+    f = fx(spark, sf_dir)
+    base = f.listing_train().select("listing_id", *_FEATS).persist()
+    res = C.lloyd(base, _FEATS, C.percentile_init(base, _FEATS, K), max_iter=ITERS, fixed_iterations=True)
+    return f.listing_new().select("listing_id", C.nearest_center(_FEATS, res.centers).alias("cluster"))
+
+
+_J8_SQL = ("WITH base AS (SELECT listing_id, " + ", ".join(_FEATS) + " FROM listing),\n"
+           + _percentile_init_sql("base", _FEATS, 5)
+           + f"\nSELECT b.listing_id, {_assign_sql(_FEATS, 'cen0', 5)} AS cluster FROM base b CROSS JOIN cen0")
+
+
+@register("nearest_center_join", _J8_SQL, ("listing",))
+def q_nearest_center(spark, sf_dir):
+    from valuator.operators.joins import nearest_center_join
+    base = fx(spark, sf_dir).listing().select("listing_id", *_FEATS)
+    centers = C.percentile_init(base, _FEATS, 5)
+    return nearest_center_join(base, _FEATS, centers).select("listing_id", "cluster")
+
+
+# ------------------------------------------------------------------ C6
+def _c6_ignore_sql() -> str:
+    # distance over the three non-price dimensions (centre coordinates 1..3)
+    d = [" + ".join(f"({f} - c{j}_{i + 1}) * ({f} - c{j}_{i + 1})" for i, f in enumerate(_FEATS)) for j in range(K)]
+    m = f"least({', '.join(d)})"
+    return "CAST(CASE " + " ".join(f"WHEN {dj} = {m} THEN {j}" for j, dj in enumerate(d)) + " END AS INTEGER)"
+
+
+_C6_SQL = ("WITH base AS (SELECT listing_id, ln(1 + price) AS lp, " + ", ".join(_FEATS) + " FROM listing_train),\n"
+           + lloyd_sql("base", _C3_FEATS, K, _percentile_init_sql("base", _C3_FEATS, K), ITERS)
+           + ",\nmed AS (SELECT ln(1 + quantile_cont(price, 0.5)) AS mlp FROM listing_train)"
+           + "\nSELECT n.listing_id, "
+           + _assign_sql(_C3_FEATS, "cen2", K).replace("(lp -", "(0.0 -") + " AS cluster_zero, "
+           + _assign_sql(_C3_FEATS, "cen2", K).replace("(lp -", "(med.mlp -") + " AS cluster_median, "
+           + _c6_ignore_sql() + " AS cluster_ignore FROM listing_new n CROSS JOIN cen2 CROSS JOIN med")
+
+
+@register("assign_clusters_no_price", _C6_SQL, ("listing_train", "listing_new"))
+def q_assign_no_price(spark, sf_dir):
+    f = fx(spark, sf_dir)
+    base, res = _c3_fit(f.listing_train())
+    med = f.listing_train().agg(F.log1p(F.percentile("price", 0.5)).alias("m")).collect()[0]["m"]
+    new = f.listing_new().select("listing_id", *_FEATS)
+    out = C.assign_no_price(new, _FEATS, res.centers, "zero", out="cluster_zero")
+    out = C.assign_no_price(out, _FEATS, res.centers, "median", median_log_price=med, out="cluster_median")
+    out = C.assign_no_price(out, _FEATS, res.centers, "ignore", out="cluster_ignore")
+    return out.select("listing_id", "cluster_zero", "cluster_median", "cluster_ignore")
+
+
+# ------------------------------------------------------------------ C10, C12, C13
+_STATS_SQL = """
+SELECT type_of_vehicle, count(*) AS n, min(price) AS min_price, max(price) AS max_price,
+       round(quantile_cont(price, 0.5), 4) AS median_price, round(avg(price), 4) AS mean_price,
+       round(stddev_samp(price), 4) AS std_price
+FROM listing GROUP BY type_of_vehicle
+"""
+
+
+@register("segment_stats", _STATS_SQL, ("listing",))
+def q_segment_stats(spark, sf_dir):
+    return round_all(C.segment_stats(fx(spark, sf_dir).listing(), "type_of_vehicle"), 4)
+
+
+_SEG = ["model", "manufactured", "transmission"]
+_MINSIZE_SQL = """
+WITH seg AS (SELECT model, manufactured, transmission, avg(price) AS m, count(*) AS n FROM listing_train
+             GROUP BY model, manufactured, transmission)
+SELECT l.listing_id, round(CASE WHEN seg.n >= 10 THEN seg.m ELSE 700.0 END, 4) AS prediction
+FROM listing_new l LEFT JOIN seg ON l.model = seg.model AND l.manufactured = seg.manufactured
+  AND l.transmission = seg.transmission
+"""
+
+
+@register("min_size_skip", _MINSIZE_SQL, ("listing_train", "listing_new"))
+def q_min_size_skip(spark, sf_dir):
+    f = fx(spark, sf_dir)
+    tr = f.listing_train().withColumn("seg", F.struct(*_SEG))
+    kept = C.min_size_skip(tr, "seg", 10)
+    model = tr.join(kept, "seg", "left_semi").groupBy("seg").agg(F.avg("price").alias("m"))
+    new = f.listing_new().withColumn("seg", F.struct(*_SEG))
+    from valuator.plans.strategy import attach_state
+    out = attach_state(new, model, "seg", "left")
+    return out.select("listing_id", rnd(F.coalesce(F.col("m"), F.lit(700.0)), 4).alias("prediction"))
+
+
+_CAP_SQL = """
+SELECT listing_id, type_of_vehicle FROM (
+  SELECT listing_id, type_of_vehicle, row_number() OVER (PARTITION BY type_of_vehicle
+      ORDER BY ((listing_id * 48271 + 42) % 2147483647), listing_id) AS rn FROM listing) WHERE rn <= 1000
+"""
+
+
+@register("cap_segment_sample", _CAP_SQL, ("listing",))
+def q_cap_segment(spark, sf_dir):
+    l = fx(spark, sf_dir).listing().select("listing_id", "type_of_vehicle")
+    return C.cap_segment_sample(l, "listing_id", "type_of_vehicle", cap=1000)
+
+
+# ------------------------------------------------------------------ rows-only (Spark ML)
+@register("choose_k_silhouette")
+def q_choose_k(spark, sf_dir):
+    l = fx(spark, sf_dir).listing().select(*_FEATS)
+    best, table = C.choose_k_silhouette(l, _FEATS, range(2, 6))
+    return table.withColumn("best_k", F.lit(best))
+
+
+@register("kmeans_segments")
+def q_kmeans_segments(spark, sf_dir):
+    l = fx(spark, sf_dir).listing().select("listing_id", "price", *_FEATS)
+    _, labelled = C.kmeans_segments(l, _FEATS, 3, restarts=10)
+    return C.segment_stats(labelled, "cluster")
+
+
+def _log_std(df, cols):
+    from valuator.operators.profile import apply_standard, fit_standard
+    logged = df.select(*[F.log1p(F.col(c).cast("double")).alias(c) for c in cols])
+    return apply_standard(logged, fit_standard(logged, cols))
+
+
+@register("gmm_segments_bic")
+def q_gmm_bic(spark, sf_dir):
+    l = _log_std(fx(spark, sf_dir).listing(), _FEATS)
+    best, table = C.gmm_segments_bic(l, _FEATS, range(2, 5))
+    return table.withColumn("best_n", F.lit(best))
+
+
+@register("gmm_segments_combined")
+def q_gmm_combined(spark, sf_dir):
+    l = _log_std(fx(spark, sf_dir).listing(), _FEATS)
+    _, table = C.gmm_segments_bic(l, _FEATS, range(2, 5))
+    return C.gmm_segments_combined(table)
+
+
+@register("merge_weak_segments")
+def q_merge_weak(spark, sf_dir):
+    from valuator.operators.segment import quantile_bins
+    s = quantile_bins(fx(spark, sf_dir).scored(), "price", 5, out="seg")
+    st = (s.groupBy("seg").agg(F.sqrt(F.avg(F.pow(F.col("price") - F.col("pred_c"), 2))).alias("rmse"),
+                               *[F.avg(f).alias(f) for f in _FEATS]).collect())
+    centers = {r["seg"]: [r[f] for f in _FEATS] for r in st}
+    rmse = {r["seg"]: r["rmse"] for r in st}
+    thr = sorted(rmse.values())[len(rmse) // 2]
+    mapping = C.merge_weak_segments(centers, rmse, thr)
+    out = s.withColumn("merged_seg", C.apply_mapping("seg", mapping))
+    return out.groupBy("seg", "merged_seg").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("cluster_errors")
+def q_cluster_errors(spark, sf_dir):
+    s = fx(spark, sf_dir).scored().withColumn("err", F.col("price") - F.col("pred_c"))
+    best, labelled = C.cluster_errors(s.select("listing_id", "err"), "err", range(2, 6))
+    return labelled.groupBy("error_cluster").agg(F.count(F.lit(1)).alias("n"), F.min("err").alias("min_err"),
+                                                 F.max("err").alias("max_err")).withColumn("best_k", F.lit(best))
+
+
+__all__ = ["rnd"]
