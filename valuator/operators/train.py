@@ -67,3 +67,298 @@ def stratified_split(df: DataFrame, key: str, strata: str, test_fraction: float
     return (r.join(F.broadcast(counts), strata)
             .withColumn(out, F.when(F.col("_rn") <= cut, "test").otherwise("train"))
             .drop("_rn", "_cls_n"))
+
+
+# ====================================================================== Spark ML jobs
+from dataclasses import dataclass, field  # noqa: E402
+
+
+@dataclass
+class FoldRun:
+    """Result of an out-of-fold run: OOF predictions keyed by id, the fitted
+    fold models, and per-fold feature importances (when the learner has them)."""
+    oof: DataFrame
+    models: dict = field(default_factory=dict)
+    importances: list = field(default_factory=list)
+
+
+def _learner(kind: str, label: str, seed: int, params: dict | None = None, weight: str | None = None):
+    from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+    p = dict(params or {})
+    common = {"featuresCol": "_fv", "labelCol": label, "predictionCol": "_pred"}
+    if weight:
+        common["weightCol"] = weight
+    if kind == "gbt":
+        return GBTRegressor(seed=seed, **{"maxIter": 20, "maxDepth": 5, **p}, **common)
+    if kind == "rf":
+        return RandomForestRegressor(seed=seed, **{"numTrees": 200, "maxDepth": 30, **p}, **common)
+    if kind == "linear":
+        return LinearRegression(**{"regParam": 0.0, "elasticNetParam": 0.0, **p}, **common)
+    raise ValueError(f"unknown learner {kind}")
+
+
+def regression_pipeline(features: Sequence[str], label: str, kind: str = "gbt", seed: int = 42,
+                        params: dict | None = None, weight: str | None = None):
+    """Median imputer (fitted inside each fit, i.e. per fold) + assembler + learner."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import Imputer, VectorAssembler
+    imp = [f"_imp_{f}" for f in features]
+    return Pipeline(stages=[
+        Imputer(inputCols=list(features), outputCols=imp, strategy="median"),
+        VectorAssembler(inputCols=imp, outputCol="_fv", handleInvalid="keep"),
+        _learner(kind, label, seed, params, weight)])
+
+
+def _prepare(df: DataFrame, features: Sequence[str], target: str, log_target: bool) -> DataFrame:
+    out = df.withColumns({f: F.col(f).cast("double") for f in features})
+    y = F.log1p(F.col(target)) if log_target else F.col(target).cast("double")
+    return out.withColumn("_y", y)
+
+
+def oof_run(df: DataFrame, key: str, features: Sequence[str], target: str, fold: str, kind: str = "gbt",
+            log_target: bool = True, seed: int = 42, params: dict | None = None, weight: str | None = None,
+            early_stop_tol: float | None = None) -> FoldRun:
+    """M4/M5/M6: per fold fit on the other folds, predict the held-out fold,
+    undo the log transform, union the OOF rows keyed by id.
+
+    ``early_stop_tol`` (GBT only): the held-out fold is passed as the
+    validation set (``validationIndicatorCol``) and boosting stops when the
+    validation error improves by less than the tolerance (M6)."""
+    data = _prepare(df, features, target, log_target).persist()
+    folds = sorted(r[0] for r in data.select(fold).distinct().collect())
+    run = FoldRun(oof=None)
+    outs = []
+    for f in folds:
+        p = dict(params or {})
+        train_part = data.filter(F.col(fold) != f)
+        if early_stop_tol is not None and kind == "gbt":
+            p.update({"validationIndicatorCol": "_is_val", "validationTol": early_stop_tol})
+            train_part = data.withColumn("_is_val", F.col(fold) == f)
+        m = regression_pipeline(features, "_y", kind, seed, p, weight).fit(train_part)
+        run.models[f] = m
+        learner = m.stages[-1]
+        if hasattr(learner, "featureImportances"):
+            imp = learner.featureImportances.toArray()
+            run.importances.extend((int(f), feat, float(v)) for feat, v in zip(features, imp))
+        pred = m.transform(data.filter(F.col(fold) == f))
+        back = F.expm1("_pred") if log_target else F.col("_pred")
+        outs.append(pred.select(key, F.col(fold).alias("fold"), F.col(target).alias("actual"),
+                                back.alias("prediction")))
+    oof = outs[0]
+    for o in outs[1:]:
+        oof = oof.unionByName(o)
+    run.oof = oof
+    return run
+
+
+def predict_folds(models: dict, df: DataFrame, key: str, features: Sequence[str], log_target: bool = True,
+                  agg: str = "mean") -> DataFrame:
+    """Score new rows with every fold model and average (W1) or take the median."""
+    data = df.withColumns({f: F.col(f).cast("double") for f in features})
+    outs = []
+    for f, m in models.items():
+        back = F.expm1("_pred") if log_target else F.col("_pred")
+        outs.append(m.transform(data).select(key, F.lit(f).alias("fold"), back.alias("prediction")))
+    u = outs[0]
+    for o in outs[1:]:
+        u = u.unionByName(o)
+    a = F.avg("prediction") if agg == "mean" else F.percentile("prediction", 0.5)
+    return u.groupBy(key).agg(a.alias("prediction"))
+
+
+def feature_importance(runs: dict[str, FoldRun], spark, top: int | None = None) -> DataFrame:
+    """Importances averaged over folds per model, then the models'
+    tables merged (inner) on the feature, sorted by the mean over models."""
+    merged = None
+    for name, run in runs.items():
+        t = (spark.createDataFrame(run.importances, "fold int, feature string, importance double")
+             .groupBy("feature").agg(F.avg("importance").alias(f"importance_{name}")))
+        merged = t if merged is None else merged.join(t, "feature", "inner")
+    cols = [c for c in merged.columns if c.startswith("importance_")]
+    merged = merged.withColumn("importance_mean", sum(F.col(c) for c in cols) / len(cols))
+    merged = merged.orderBy(F.col("importance_mean").desc(), "feature")
+    return merged.limit(top) if top else merged
+
+
+def linear_family(df: DataFrame, features: Sequence[str], target: str, reg: float = 0.1) -> DataFrame:
+    """M8: ridge / lasso / elastic-net baselines (features standardised inside
+    LinearRegression) with train RMSE and R²."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    data = _prepare(df, features, target, False)
+    rows = []
+    for name, enet in (("ridge", 0.0), ("lasso", 1.0), ("elastic_net", 0.5)):
+        m = regression_pipeline(features, "_y", "linear", params={"regParam": reg, "elasticNetParam": enet}).fit(data)
+        pred = m.transform(data)
+        rm = RegressionEvaluator(labelCol="_y", predictionCol="_pred", metricName="rmse").evaluate(pred)
+        r2 = RegressionEvaluator(labelCol="_y", predictionCol="_pred", metricName="r2").evaluate(pred)
+        rows.append((name, float(rm), float(r2)))
+    return df.sparkSession.createDataFrame(rows, "model string, rmse double, r2 double")
+
+
+def per_segment_models(df: DataFrame, key: str, segment: str, features: Sequence[str], target: str,
+                       kind: str = "gbt", params_for: dict | None = None, seed: int = 42,
+                       parallelism: int = 4, min_rows: int = 10) -> tuple[dict, DataFrame]:
+    """One learner per segment (segments ≤ a few dozen), submitted
+    from a small driver thread pool so the per-segment Spark jobs run
+    concurrently; segments with fewer than ``min_rows`` rows are skipped.
+    Returns (segment -> model, in-sample predictions)."""
+    from concurrent.futures import ThreadPoolExecutor
+    data = _prepare(df, features, target, True).persist()
+    counts = {r[0]: r[1] for r in data.groupBy(segment).count().collect()}
+    segs = [s for s, n in counts.items() if n >= min_rows]
+
+    def fit(s):
+        p = (params_for or {}).get(s)
+        return s, regression_pipeline(features, "_y", kind, seed, p).fit(data.filter(F.col(segment) == F.lit(s)))
+
+    with ThreadPoolExecutor(max_workers=parallelism) as ex:
+        models = dict(ex.map(fit, segs))
+    outs = [m.transform(data.filter(F.col(segment) == F.lit(s))).select(key, segment, F.expm1("_pred").alias("prediction"))
+            for s, m in models.items()]
+    u = outs[0]
+    for o in outs[1:]:
+        u = u.unionByName(o)
+    return models, u
+
+
+def bagged_seeds(df: DataFrame, key: str, features: Sequence[str], target: str, fold: str, n_bags: int = 3,
+                 kind: str = "gbt", params: dict | None = None) -> DataFrame:
+    """n_bags OOF runs with different seeds, averaged per key."""
+    outs = []
+    for b in range(n_bags):
+        p = dict(params or {})
+        if kind == "gbt":
+            p.setdefault("subsamplingRate", 0.8)
+        outs.append(oof_run(df, key, features, target, fold, kind, seed=42 + b, params=p).oof.withColumn("bag", F.lit(b)))
+    u = outs[0]
+    for o in outs[1:]:
+        u = u.unionByName(o)
+    return u.groupBy(key).agg(F.avg("prediction").alias("prediction"), F.first("actual").alias("actual"))
+
+
+def grid_search(df: DataFrame, features: Sequence[str], target: str, fold: str, grid: dict,
+                kind: str = "gbt", parallelism: int = 4, top: int = 5) -> DataFrame:
+    """Exhaustive grid with k-fold CV on a fold column; table of settings
+    and mean RMSE, best first."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    data = _prepare(df, features, target, True).withColumn(fold, F.col(fold).cast("int"))
+    pipe = regression_pipeline(features, "_y", kind)
+    learner = pipe.getStages()[-1]
+    b = ParamGridBuilder()
+    for name, values in grid.items():
+        b = b.addGrid(learner.getParam(name), list(values))
+    maps = b.build()
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, foldCol=fold, parallelism=parallelism,
+                        evaluator=RegressionEvaluator(labelCol="_y", predictionCol="_pred", metricName="rmse"))
+    m = cv.fit(data)
+    rows = [(str({p.name: v for p, v in pm.items()}), float(s)) for pm, s in zip(maps, m.avgMetrics)]
+    t = df.sparkSession.createDataFrame(rows, "params string, cv_rmse double").orderBy("cv_rmse", "params")
+    return t.limit(top) if top else t
+
+
+def random_search(df: DataFrame, features: Sequence[str], target: str, fold: str, space: dict, n: int = 6,
+                  kind: str = "gbt", seed: int = 42, parallelism: int = 4) -> DataFrame:
+    """``n`` settings sampled from ``space`` (lists), each scored by
+    k-fold CV on the fold column; all results, best first."""
+    import random
+    rnd = random.Random(seed)
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.tuning import CrossValidator
+    data = _prepare(df, features, target, True).withColumn(fold, F.col(fold).cast("int"))
+    pipe = regression_pipeline(features, "_y", kind)
+    learner = pipe.getStages()[-1]
+    maps = []
+    for _ in range(n):
+        maps.append({learner.getParam(k): rnd.choice(list(v)) for k, v in space.items()})
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, foldCol=fold, parallelism=parallelism,
+                        evaluator=RegressionEvaluator(labelCol="_y", predictionCol="_pred", metricName="rmse"))
+    m = cv.fit(data)
+    rows = [(str({p.name: v for p, v in pm.items()}), float(s)) for pm, s in zip(maps, m.avgMetrics)]
+    return df.sparkSession.createDataFrame(rows, "params string, cv_rmse double").orderBy("cv_rmse", "params")
+
+
+def error_class_model(df: DataFrame, features: Sequence[str], label: str, kind: str = "forest",
+                      seed: int = 42):
+    """Predict a class (e.g. error band) from features. Labels are indexed
+    (StringIndexer) and mapped back (IndexToString). ≥ 2 classes required."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
+    from pyspark.ml.feature import Imputer, IndexToString, StringIndexer, VectorAssembler
+    data = df.withColumns({f: F.col(f).cast("double") for f in features}).withColumn(label, F.col(label).cast("string"))
+    n_cls = data.select(label).distinct().limit(2).count()
+    if n_cls < 2:
+        raise ValueError("error_class_model needs at least two classes")
+    idx = StringIndexer(inputCol=label, outputCol="_li", handleInvalid="keep").fit(data)
+    if kind == "forest":
+        clf = RandomForestClassifier(featuresCol="_fv", labelCol="_li", predictionCol="_pi", numTrees=50, seed=seed)
+    elif kind == "logistic":
+        clf = LogisticRegression(featuresCol="_fv", labelCol="_li", predictionCol="_pi", family="multinomial",
+                                 maxIter=100)
+    elif kind == "boosted":
+        clf = OneVsRest(classifier=GBTClassifier(maxIter=10, seed=seed), featuresCol="_fv", labelCol="_li",
+                        predictionCol="_pi")
+    else:
+        raise ValueError("kind must be forest|logistic|boosted")
+    imp = [f"_imp_{f}" for f in features]
+    pipe = Pipeline(stages=[idx, Imputer(inputCols=list(features), outputCols=imp, strategy="median"),
+                            VectorAssembler(inputCols=imp, outputCol="_fv"), clf,
+                            IndexToString(inputCol="_pi", outputCol="predicted_class", labels=idx.labels)])
+    model = pipe.fit(data)
+    return model, model.transform(data)
+
+
+def learning_curve(df: DataFrame, key: str, features: Sequence[str], target: str, fold: str,
+                   sizes: Sequence[float] = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0),
+                   kind: str = "gbt", params: dict | None = None) -> DataFrame:
+    """Train and CV RMSE at growing training sizes; samples are nested
+    (a row is in every sample whose fraction exceeds its key hash)."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    ev = RegressionEvaluator(labelCol="_y", predictionCol="_pred", metricName="rmse")
+    data = _prepare(df, features, target, True).withColumn("_h", lcg_hash(key, 7) / F.lit(float(LCG_MOD))).persist()
+    folds = sorted(r[0] for r in data.select(fold).distinct().collect())
+    rows = []
+    for s in sizes:
+        tr_scores, cv_scores = [], []
+        for f in folds:
+            train_part = data.filter((F.col(fold) != f) & (F.col("_h") < s))
+            m = regression_pipeline(features, "_y", kind, params=params).fit(train_part)
+            tr_scores.append(ev.evaluate(m.transform(train_part)))
+            cv_scores.append(ev.evaluate(m.transform(data.filter(F.col(fold) == f))))
+        rows.append((float(s), float(np.mean(tr_scores)), float(np.mean(cv_scores))))
+    return df.sparkSession.createDataFrame(rows, "train_fraction double, train_rmse double, cv_rmse double")
+
+
+import numpy as np  # noqa: E402
+
+
+# ====================================================================== S6 bundles
+def save_model_bundle(models: dict, base_path: str, model_name: str, target: str, spark) -> DataFrame:
+    """Save every fold model (PipelineModel writer) and a manifest table
+    (model, fold, path, target) next to them."""
+    rows = []
+    for f, m in models.items():
+        p = f"{base_path}/{model_name}/fold={f}"
+        m.write().overwrite().save(p)
+        rows.append((model_name, str(f), p, target))
+    manifest = spark.createDataFrame(rows, "model string, fold string, path string, target string")
+    manifest.write.mode("overwrite").parquet(f"{base_path}/{model_name}/_manifest")
+    return manifest
+
+
+def verify_bundle(spark, base_path: str, model_name: str, required_folds: Sequence) -> DataFrame:
+    """Reload the manifest, try to load each model, and report required
+    folds that are missing (anti join) or fail to load."""
+    from pyspark.ml import PipelineModel
+    manifest = spark.read.parquet(f"{base_path}/{model_name}/_manifest")
+    req = spark.createDataFrame([(str(f),) for f in required_folds], "fold string")
+    missing = req.join(manifest, "fold", "left_anti").select("fold", F.lit("missing").alias("status"))
+    rows = []
+    for r in manifest.collect():
+        try:
+            PipelineModel.load(r["path"])
+            rows.append((r["fold"], "ok"))
+        except Exception:  # noqa: BLE001 - reported as a status row
+            rows.append((r["fold"], "unloadable"))
+    loaded = spark.createDataFrame(rows, "fold string, status string")
+    return loaded.unionByName(missing)

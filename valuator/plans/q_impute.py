@@ -278,8 +278,10 @@ _NPF_SQL = """
 WITH j AS (SELECT l.listing_id, l.power, l.curb_weight, l.engine_cap, s.pred_b
            FROM listing_nulls l JOIN scored s ON l.listing_id = s.listing_id),
 m AS (SELECT avg(pred_b) AS m FROM j WHERE power IS NOT NULL AND curb_weight IS NOT NULL AND engine_cap IS NOT NULL)
-SELECT listing_id, round(coalesce(CASE WHEN power IS NULL OR curb_weight IS NULL OR engine_cap IS NULL THEN m.m
-                                       ELSE pred_b END, (SELECT avg(price) FROM listing_train)), 2) AS pred_b
+SELECT listing_id, power IS NULL OR curb_weight IS NULL OR engine_cap IS NULL AS was_filled,
+       CASE WHEN power IS NULL OR curb_weight IS NULL OR engine_cap IS NULL THEN NULL ELSE pred_b END AS kept_prediction,
+       round(CASE WHEN power IS NULL OR curb_weight IS NULL OR engine_cap IS NULL
+                  THEN coalesce(m.m, (SELECT avg(price) FROM listing_train)) END, 2) AS filled_prediction
 FROM j CROSS JOIN m
 """
 
@@ -291,7 +293,10 @@ def q_null_prediction_fill(spark, sf_dir):
         f.scored().select("listing_id", "pred_b"), "listing_id")
     tm = fit_row(f.listing_train(), F.avg("price").alias("m"))["m"]
     out = I.null_prediction_fill(j, "pred_b", ["power", "curb_weight", "engine_cap"], tm)
-    return out.select("listing_id", rnd("pred_b", 2).alias("pred_b"))
+    filled = F.col("power").isNull() | F.col("curb_weight").isNull() | F.col("engine_cap").isNull()
+    return out.select("listing_id", filled.alias("was_filled"),
+                      F.when(~filled, F.col("pred_b")).alias("kept_prediction"),
+                      F.when(filled, rnd("pred_b", 2)).alias("filled_prediction"))
 
 
 _FQ_SQL = """

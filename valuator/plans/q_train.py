@@ -1,3 +1,223 @@
-"""Registered queries."""
+"""Registered fold / split / training queries.
+
+Training jobs use Spark ML learners, so their predictions are checked by
+row counts and invariants (tests/test_train.py), not by an SQL oracle.
+Fold, split and stratification queries are exact and have one.
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from valuator.operators import ensemble as W
+from valuator.operators import evaluate as ev
+from valuator.operators import train as M
+from valuator.plans.common import NUMERIC_FEATURES, fx
+from valuator.plans.registry import register
+
+FEATURES = [*NUMERIC_FEATURES, "manufactured"]
+_LIGHT = {"maxIter": 10, "maxDepth": 4}
+
+
+def _train(spark, sf_dir, k: int = 3, nulls: bool = True):
+    f = fx(spark, sf_dir)
+    base = f.listing_nulls() if nulls else f.listing()
+    return f.listing_train(base).withColumn("fold", M.kfold_assign("listing_id", k))
+
+
+# ------------------------------------------------------------------ M1–M3 (exact)
+_KFOLD_SQL = """
+SELECT listing_id, CAST(((listing_id * 48271 + 42) % 2147483647) % 5 AS INTEGER) AS fold,
+       CAST(((listing_id * 48271 + 42) % 2147483647) % 10 AS INTEGER) AS fold10 FROM listing
+"""
+
+
+@register("kfold_assign", _KFOLD_SQL, ("listing",))
+def q_kfold(spark, sf_dir):
+    l = fx(spark, sf_dir).listing()
+    return l.select("listing_id", M.kfold_assign("listing_id", 5).alias("fold"),
+                    M.kfold_assign("listing_id", 10).alias("fold10"))
+
+
+_SKFOLD_SQL = """
+WITH q AS (SELECT quantile_cont(price, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) AS e FROM listing),
+b AS (SELECT listing_id, CAST(len(list_filter(list_sort(list_distinct(e))[2:len(list_sort(list_distinct(e))) - 1],
+             lambda x: price > x)) AS INTEGER) AS bin FROM listing CROSS JOIN q)
+SELECT listing_id, CAST((row_number() OVER (PARTITION BY bin ORDER BY ((listing_id * 48271 + 42) % 2147483647), listing_id) - 1) % 5
+       AS INTEGER) AS fold FROM b
+"""
+
+
+@register("stratified_kfold_assign", _SKFOLD_SQL, ("listing",))
+def q_skfold(spark, sf_dir):
+    from valuator.operators.segment import quantile_bins
+    l = quantile_bins(fx(spark, sf_dir).listing().select("listing_id", "price"), "price", 10, out="bin")
+    return M.stratified_kfold_assign(l, "listing_id", "bin", 5).select("listing_id", "fold")
+
+
+_SPLIT_SQL = """
+SELECT listing_id,
+  CASE WHEN (listing_id * 48271 + 42) % 2147483647 < 429496729 THEN 'test' ELSE 'train' END AS split,
+  CASE WHEN (listing_id * 48271 + 7) % 2147483647 < 1546188225 THEN 'train'
+       WHEN (listing_id * 48271 + 7) % 2147483647 < 1717986917 THEN 'val' ELSE 'test' END AS split3
+FROM listing
+"""
+
+
+@register("train_test_split", _SPLIT_SQL, ("listing",))
+def q_split(spark, sf_dir):
+    l = fx(spark, sf_dir).listing()
+    return l.select("listing_id", M.train_test_split("listing_id", 0.2).alias("split"),
+                    M.three_way_split("listing_id", (0.72, 0.08, 0.20), seed=7).alias("split3"))
+
+
+# ------------------------------------------------------------------ M4–M7
+def _oof_metrics(run: M.FoldRun):
+    per = ev.regression_metrics(run.oof, ["fold"], "actual", "prediction").withColumn("fold", F.col("fold").cast("string"))
+    tot = ev.regression_metrics(run.oof, [], "actual", "prediction").withColumn("fold", F.lit("all"))
+    return per.unionByName(tot)
+
+
+@register("gbt_oof")
+def q_gbt_oof(spark, sf_dir):
+    run = M.oof_run(_train(spark, sf_dir), "listing_id", FEATURES, "price", "fold", "gbt", params=_LIGHT)
+    return run.oof
+
+
+@register("gbt_oof_raw_target")
+def q_gbt_raw(spark, sf_dir):
+    run = M.oof_run(_train(spark, sf_dir), "listing_id", FEATURES, "price", "fold", "gbt", log_target=False,
+                    params={**_LIGHT, "lossType": "absolute"})
+    return _oof_metrics(run)
+
+
+@register("gbt_early_stop")
+def q_gbt_early(spark, sf_dir):
+    run = M.oof_run(_train(spark, sf_dir), "listing_id", FEATURES, "price", "fold", "gbt",
+                    params={"maxIter": 40, "maxDepth": 4}, early_stop_tol=0.01)
+    trees = [(str(f), len(m.stages[-1].trees)) for f, m in run.models.items()]
+    t = spark.createDataFrame(trees, "fold string, n_trees int")
+    return _oof_metrics(run).join(t, "fold", "left")
+
+
+@register("rf_regression")
+def q_rf(spark, sf_dir):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    l = fx(spark, sf_dir).listing().withColumn("split", M.three_way_split("listing_id"))
+    data = M._prepare(l, FEATURES, "price", False)
+    m = M.regression_pipeline(FEATURES, "_y", "rf", params={"numTrees": 100, "maxDepth": 12}).fit(
+        data.filter("split = 'train'"))
+    rows = []
+    for part in ("train", "val", "test"):
+        p = m.transform(data.filter(F.col("split") == part))
+        rows.append((part, RegressionEvaluator(labelCol="_y", predictionCol="_pred", metricName="rmse").evaluate(p),
+                     RegressionEvaluator(labelCol="_y", predictionCol="_pred", metricName="r2").evaluate(p)))
+    return spark.createDataFrame(rows, "split string, rmse double, r2 double")
+
+
+@register("linear_family")
+def q_linear(spark, sf_dir):
+    return M.linear_family(fx(spark, sf_dir).listing(), FEATURES, "price")
+
+
+# ------------------------------------------------------------------ M9–M18
+@register("per_segment_models")
+def q_per_segment(spark, sf_dir):
+    _models, pred = M.per_segment_models(_train(spark, sf_dir), "listing_id", "type_of_vehicle", FEATURES, "price",
+                                         params_for={s: _LIGHT for s in ["1-URGENT", "2-HIGH", "3-MEDIUM",
+                                                                         "4-NOT SPECIFIED", "5-LOW"]})
+    return pred
+
+
+@register("bagged_seeds")
+def q_bagged(spark, sf_dir):
+    return M.bagged_seeds(_train(spark, sf_dir), "listing_id", FEATURES, "price", "fold", n_bags=2, params=_LIGHT)
+
+
+@register("weighted_training")
+def q_weighted(spark, sf_dir):
+    from valuator.operators.segment import segment_weights
+    tr = segment_weights(_train(spark, sf_dir), "type_of_vehicle")
+    run = M.oof_run(tr, "listing_id", FEATURES, "price", "fold", "gbt", params=_LIGHT, weight="weight")
+    return _oof_metrics(run)
+
+
+@register("grid_search")
+def q_grid(spark, sf_dir):
+    return M.grid_search(_train(spark, sf_dir), FEATURES, "price", "fold", {"maxDepth": [3, 5], "maxIter": [5, 10]})
+
+
+@register("random_search")
+def q_random(spark, sf_dir):
+    return M.random_search(_train(spark, sf_dir), FEATURES, "price", "fold",
+                           {"maxDepth": [2, 3, 4, 5], "maxIter": [5, 10, 15], "stepSize": [0.05, 0.1, 0.2]}, n=4)
+
+
+@register("feature_importance")
+def q_importance(spark, sf_dir):
+    tr = _train(spark, sf_dir)
+    runs = {"gbt": M.oof_run(tr, "listing_id", FEATURES, "price", "fold", "gbt", params=_LIGHT),
+            "rf": M.oof_run(tr, "listing_id", FEATURES, "price", "fold", "rf", params={"numTrees": 20, "maxDepth": 6})}
+    return M.feature_importance(runs, spark, top=10)
+
+
+@register("error_class_model")
+def q_error_class(spark, sf_dir):
+    from valuator.operators.segment import error_band
+    s = fx(spark, sf_dir).scored().withColumn("band", error_band(F.col("price") - F.col("pred_c"), gaps="closed"))
+    _m, pred = M.error_class_model(s, FEATURES, "band", "forest")
+    return ev.confusion_matrix(pred.withColumn("band", F.col("band").cast("string")), "band", "predicted_class",
+                               sorted({str(i) for i in range(10)}))
+
+
+@register("learning_curve")
+def q_learning_curve(spark, sf_dir):
+    return M.learning_curve(_train(spark, sf_dir, nulls=False), "listing_id", FEATURES, "price", "fold",
+                            kind="linear")
+
+
+@register("retrain_on_segments")
+def q_retrain(spark, sf_dir):
+    f = fx(spark, sf_dir)
+    models, _ = M.per_segment_models(f.listing_train(), "listing_id", "type_of_vehicle", FEATURES, "price",
+                                     params_for={s: _LIGHT for s in ["1-URGENT", "2-HIGH", "3-MEDIUM",
+                                                                     "4-NOT SPECIFIED", "5-LOW"]})
+    new = f.listing_new().withColumns({c: F.col(c).cast("double") for c in FEATURES})
+    outs = [m.transform(new.filter(F.col("type_of_vehicle") == F.lit(s))).select(
+        "listing_id", "type_of_vehicle", F.expm1("_pred").alias("prediction")) for s, m in models.items()]
+    u = outs[0]
+    for o in outs[1:]:
+        u = u.unionByName(o)
+    return u
+
+
+@register("error_weighted_refit")
+def q_error_refit(spark, sf_dir):
+    from valuator.operators.segment import error_row_weights
+    tr = _train(spark, sf_dir)
+    a = M.oof_run(tr, "listing_id", FEATURES, "price", "fold", "gbt", params=_LIGHT).oof
+    b = M.oof_run(tr, "listing_id", FEATURES, "price", "fold", "linear", log_target=False).oof
+    both = a.select("listing_id", "actual", F.col("prediction").alias("p_gbt")).join(
+        b.select("listing_id", F.col("prediction").alias("p_lin")), "listing_id")
+    g = W.gram(both, ["p_gbt", "p_lin"], "actual")
+    w = W.l2_weights(g, 0.1)
+    blend = both.withColumn("p_blend", W.apply_weights(["p_gbt", "p_lin"], w))
+    weighted = error_row_weights(blend, F.col("actual") - F.col("p_blend"), "w_err")
+    tr_w = tr.join(weighted.select("listing_id", "w_err"), "listing_id")
+    c = M.oof_run(tr_w, "listing_id", FEATURES, "price", "fold", "gbt", params=_LIGHT, weight="w_err").oof
+    final = blend.join(c.select("listing_id", F.col("prediction").alias("p_refit")), "listing_id")
+    final = final.withColumn("p_final", (F.col("p_blend") + F.col("p_refit")) / 2.0)
+    out = None
+    for col in ("p_gbt", "p_lin", "p_blend", "p_refit", "p_final"):
+        r = ev.regression_metrics(final, [], "actual", col).withColumn("model", F.lit(col))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("save_model_bundle")
+def q_bundle(spark, sf_dir):
+    from valuator.sources.io import scratch_path
+    run = M.oof_run(_train(spark, sf_dir), "listing_id", FEATURES, "price", "fold", "gbt", params={"maxIter": 5})
+    base = scratch_path(spark, "bundles")
+    M.save_model_bundle(run.models, base, "gbt", "log1p(price)", spark)
+    return M.verify_bundle(spark, base, "gbt", [0, 1, 2, 3])
