@@ -278,6 +278,6 @@ def min_size_skip(df: DataFrame, segment: str, min_rows: int = 10) -> DataFrame:
 def cap_segment_sample(df: DataFrame, key: str, segment: str, cap: int = 10_000, seed: int = 42) -> DataFrame:
     """At most ``cap`` rows per segment, chosen by key hash (a sampling
     operator: the cap is its purpose). Ranked by range partitioning."""
-    from valuator.operators.train import lcg_hash
-    r = ranked(df.withColumn("_h", lcg_hash(key, seed)), [segment], ["_h", key], out="_rn")
+    from valuator.operators.train import mix_hash
+    r = ranked(df.withColumn("_h", mix_hash(key, seed)), [segment], ["_h", key], out="_rn")
     return r.filter(F.col("_rn") <= cap).drop("_h", "_rn")

@@ -216,7 +216,8 @@ def stacked_meta_model(oof: DataFrame, preds: Sequence[str], y: str, fold: str,
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor, LinearRegression
     cols = [*preds, *passthrough]
-    data = oof.withColumn("_ly", F.log1p(y)).withColumns({f"_lp_{p}": F.log1p(p) for p in preds})
+    from valuator.functions.columns import safe_log1p
+    data = oof.withColumn("_ly", F.log1p(y)).withColumns({f"_lp_{p}": safe_log1p(p) for p in preds})
     inputs = [f"_lp_{p}" for p in preds] + list(passthrough)
 
     def make():

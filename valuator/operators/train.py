@@ -27,6 +27,13 @@ def lcg_hash(key: str | Column, seed: int = 42) -> Column:
     return F.pmod(_col(key) * F.lit(LCG_MULT) + F.lit(seed), F.lit(LCG_MOD))
 
 
+def mix_hash(key: str | Column, seed: int = 42) -> Column:
+    """Two rounds of the multiplicative generator: consecutive keys land far
+    apart, so thresholds and orderings on it behave like a random draw
+    (one round is monotone in the key for small keys)."""
+    return F.pmod(lcg_hash(key, seed) * F.lit(LCG_MULT), F.lit(LCG_MOD))
+
+
 def kfold_assign(key: str | Column, k: int, seed: int = 42) -> Column:
     """M1: fold id in [0, k) from the key (k = 2 when the caller has < 5 rows)."""
     return (lcg_hash(key, seed) % F.lit(k)).cast("int")
@@ -39,7 +46,7 @@ def stratified_kfold_assign(df: DataFrame, key: str, strata: str, k: int, seed:
     The row number is computed by range partitioning (``ranked``), so a
     stratum with a third of all rows is still spread over many tasks.
     """
-    h = lcg_hash(key, seed).alias("_h")
+    h = mix_hash(key, seed).alias("_h")
     r = ranked(df.withColumn("_h", h), [strata], ["_h", key], out="_rn")
     return r.withColumn(out, ((F.col("_rn") - 1) % k).cast("int")).drop("_h", "_rn")
 
@@ -47,12 +54,12 @@ def stratified_kfold_assign(df: DataFrame, key: str, strata: str, k: int, seed:
 def train_test_split(key: str | Column, test_fraction: float = 0.2, seed: int = 42) -> Column:
     """M3: 'test' when hash(key) falls below the fraction of the hash range."""
     cut = int(LCG_MOD * test_fraction)
-    return F.when(lcg_hash(key, seed) < F.lit(cut), F.lit("test")).otherwise(F.lit("train"))
+    return F.when(mix_hash(key, seed) < F.lit(cut), F.lit("test")).otherwise(F.lit("train"))
 
 
 def three_way_split(key: str | Column, fractions: Sequence[float] = (0.72, 0.08, 0.20), seed: int = 42) -> Column:
     """M3 variant: train / val / test by cumulative hash thresholds."""
-    h = lcg_hash(key, seed)
+    h = mix_hash(key, seed)
     a = int(LCG_MOD * fractions[0])
     b = int(LCG_MOD * (fractions[0] + fractions[1]))
     return F.when(h < a, "train").when(h < b, "val").otherwise("test")
@@ -315,7 +322,7 @@ def learning_curve(df: DataFrame, key: str, features: Sequence[str], target: str
     (a row is in every sample whose fraction exceeds its key hash)."""
     from pyspark.ml.evaluation import RegressionEvaluator
     ev = RegressionEvaluator(labelCol="_y", predictionCol="_pred", metricName="rmse")
-    data = _prepare(df, features, target, True).withColumn("_h", lcg_hash(key, 7) / F.lit(float(LCG_MOD))).persist()
+    data = _prepare(df, features, target, True).withColumn("_h", mix_hash(key, 7) / F.lit(float(LCG_MOD))).persist()
     folds = sorted(r[0] for r in data.select(fold).distinct().collect())
     rows = []
     for s in sizes:

@@ -193,7 +193,7 @@ def q_min_size_skip(spark, sf_dir):
 _CAP_SQL = """
 SELECT listing_id, type_of_vehicle FROM (
   SELECT listing_id, type_of_vehicle, row_number() OVER (PARTITION BY type_of_vehicle
-      ORDER BY ((listing_id * 48271 + 42) % 2147483647), listing_id) AS rn FROM listing) WHERE rn <= 1000
+      ORDER BY ((((listing_id * 48271 + 42) % 2147483647) * 48271) % 2147483647), listing_id) AS rn FROM listing) WHERE rn <= 1000
 """
 
 

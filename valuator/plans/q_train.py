@@ -43,7 +43,7 @@ _SKFOLD_SQL = """
 WITH q AS (SELECT quantile_cont(price, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) AS e FROM listing),
 b AS (SELECT listing_id, CAST(len(list_filter(list_sort(list_distinct(e))[2:len(list_sort(list_distinct(e))) - 1],
              lambda x: price > x)) AS INTEGER) AS bin FROM listing CROSS JOIN q)
-SELECT listing_id, CAST((row_number() OVER (PARTITION BY bin ORDER BY ((listing_id * 48271 + 42) % 2147483647), listing_id) - 1) % 5
+SELECT listing_id, CAST((row_number() OVER (PARTITION BY bin ORDER BY ((((listing_id * 48271 + 42) % 2147483647) * 48271) % 2147483647), listing_id) - 1) % 5
        AS INTEGER) AS fold FROM b
 """
 
@@ -57,9 +57,9 @@ def q_skfold(spark, sf_dir):
 
 _SPLIT_SQL = """
 SELECT listing_id,
-  CASE WHEN (listing_id * 48271 + 42) % 2147483647 < 429496729 THEN 'test' ELSE 'train' END AS split,
-  CASE WHEN (listing_id * 48271 + 7) % 2147483647 < 1546188225 THEN 'train'
-       WHEN (listing_id * 48271 + 7) % 2147483647 < 1717986917 THEN 'val' ELSE 'test' END AS split3
+  CASE WHEN ((((listing_id * 48271 + 42) % 2147483647) * 48271) % 2147483647) < 429496729 THEN 'test' ELSE 'train' END AS split,
+  CASE WHEN ((((listing_id * 48271 + 7) % 2147483647) * 48271) % 2147483647) < 1546188225 THEN 'train'
+       WHEN ((((listing_id * 48271 + 7) % 2147483647) * 48271) % 2147483647) < 1717986917 THEN 'val' ELSE 'test' END AS split3
 FROM listing
 """
 
@@ -105,7 +105,7 @@ def q_rf(spark, sf_dir):
     from pyspark.ml.evaluation import RegressionEvaluator
     l = fx(spark, sf_dir).listing().withColumn("split", M.three_way_split("listing_id"))
     data = M._prepare(l, FEATURES, "price", False)
-    m = M.regression_pipeline(FEATURES, "_y", "rf", params={"numTrees": 100, "maxDepth": 12}).fit(
+    m = M.regression_pipeline(FEATURES, "_y", "rf", params={"numTrees": 50, "maxDepth": 10}).fit(
         data.filter("split = 'train'"))
     rows = []
     for part in ("train", "val", "test"):
