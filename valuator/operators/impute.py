@@ -18,6 +18,7 @@ evaluations (see README for the blocked mode planned next).
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Sequence
 
@@ -101,16 +102,141 @@ def impute_first_in_group(df: DataFrame, col: str, group: str, order: str) -> Da
 
 
 # ------------------------------------------------------------------ I7–I11 nearest neighbours
+def _knn_distance(feats: Sequence[str], m_total: int, rp: str = "_r_", dp: str = "_d_") -> Column:
+    """NaN-aware distance: sqrt(m_total / present · Σ_present (a − b)²), null when nothing is comparable."""
+    sq = None
+    present = None
+    for f in feats:
+        both = F.col(f"{dp}{f}").isNotNull() & F.col(f"{rp}{f}").isNotNull()
+        diff = F.col(f"{dp}{f}") - F.col(f"{rp}{f}")
+        term = F.when(both, diff * diff).otherwise(F.lit(0.0))
+        cnt = F.when(both, F.lit(1)).otherwise(F.lit(0))
+        sq = term if sq is None else sq + term
+        present = cnt if present is None else present + cnt
+    return F.when(present > 0, F.sqrt(F.lit(float(m_total)) / present * sq))
+
+
+def _weighted_estimate(top: DataFrame) -> DataFrame:
+    """Distance-weighted mean of the k chosen donors; zero-distance donors take all the weight."""
+    agg = top.groupBy("_rk").agg(
+        F.max(F.when(F.col("_dist") == 0, 1).otherwise(0)).alias("_z"),
+        F.sum(F.when(F.col("_dist") == 0, F.col("_dv")).otherwise(0.0)).alias("_zs"),
+        F.sum(F.when(F.col("_dist") == 0, 1).otherwise(0)).alias("_zn"),
+        F.sum(F.when(F.col("_dist") > 0, F.col("_dv") / F.col("_dist")).otherwise(0.0)).alias("_ws"),
+        F.sum(F.when(F.col("_dist") > 0, F.lit(1.0) / F.col("_dist")).otherwise(0.0)).alias("_wn"))
+    val = F.when(F.col("_z") == 1, F.col("_zs") / F.col("_zn")).otherwise(F.col("_ws") / F.col("_wn"))
+    return agg.select("_rk", val.alias("_knn"))
+
+
+def _top_k(pairs: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("_rk").orderBy("_dist", "_dk")
+    return pairs.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
+
+
+def _scan_pairs(don: DataFrame, rec: DataFrame, feats: Sequence[str], m_total: int,
+                max_receivers_per_chunk: int) -> list[DataFrame]:
+    """Receiver chunks (bounded size, broadcast) against all donors."""
+    n_rec = rec.count()
+    if n_rec == 0:
+        return []
+    n_chunks = max(1, math.ceil(n_rec / max_receivers_per_chunk))
+    rec = rec.withColumn("_chunk", F.pmod(F.xxhash64("_rk"), F.lit(n_chunks)))
+    dist = _knn_distance(feats, m_total)
+    out = []
+    for ch in range(n_chunks):
+        part = rec.filter(F.col("_chunk") == ch).drop("_chunk")
+        pairs = don.crossJoin(F.broadcast(part)).select("_rk", "_dk", "_dv", dist.alias("_dist"))
+        out.append(pairs.filter(F.col("_dist").isNotNull()))
+    return out
+
+
+def _grid_width(don: DataFrame, feats: Sequence[str], k: int, per_cell: int) -> float:
+    """One isotropic cell width w so that a cell holds about ``per_cell``·k donors
+    on average: w = (Π range_f · per_cell·k / N)^(1/m)."""
+    r = fit_row(don, F.count(F.lit(1)).alias("n"),
+                *[F.min(f"_d_{f}").alias(f"lo_{f}") for f in feats], *[F.max(f"_d_{f}").alias(f"hi_{f}") for f in feats])
+    n = max(int(r["n"]), 1)
+    ranges = [max(float((r[f"hi_{f}"] or 0.0) - (r[f"lo_{f}"] or 0.0)), 1e-9) for f in feats]
+    vol = 1.0
+    for x in ranges:
+        vol *= x
+    w = (vol * per_cell * k / n) ** (1.0 / len(feats))
+    return max(w, 1e-9)
+
+
+def _grid_pairs(don: DataFrame, rec: DataFrame, feats: Sequence[str], m_total: int, w: float, ring: int) -> DataFrame:
+    """Candidate pairs whose cells (side w, per common coordinate set C = P_r ∩ Q_d)
+    differ by at most ``ring`` in every coordinate of C: an equi-join on
+    (donor pattern, C, cell tuple), the receiver side exploded over the
+    (2·ring+1)^|C| neighbour cells. Each donor meets a receiver at most once."""
+    m = len(feats)
+    masks = range(1, 2 ** m)
+
+    def pattern(prefix: str) -> Column:
+        out = F.lit(0)
+        for i, f in enumerate(feats):
+            out = out + F.when(F.col(f"{prefix}{f}").isNotNull(), F.lit(1 << i)).otherwise(F.lit(0))
+        return out
+
+    def cell(c: Column) -> Column:
+        return F.floor(c / F.lit(w)).cast("long")
+
+    # donors: one row per non-empty subset C of their pattern Q
+    d = don.withColumn("_q", pattern("_d_"))
+    d_entries = F.array(*[
+        F.when((F.col("_q").bitwiseAND(F.lit(cm))) == F.lit(cm), F.struct(
+            F.lit(cm).alias("cm"),
+            F.array(*[cell(F.col(f"_d_{f}")) if cm & (1 << i) else F.lit(None).cast("long")
+                      for i, f in enumerate(feats)]).alias("cells")))
+        for cm in masks])
+    d = d.select("_dk", "_dv", "_q", *[f"_d_{f}" for f in feats], F.explode(d_entries).alias("_e")).filter("_e IS NOT NULL")
+    d = d.select("_dk", "_dv", "_q", *[f"_d_{f}" for f in feats], F.col("_e.cm").alias("_cm"),
+                 F.col("_e.cells").alias("_cells"))
+
+    # receivers: for every donor pattern Q, C = P ∩ Q, times every neighbour offset over C
+    r = rec.withColumn("_p", pattern("_r_"))
+    offsets: dict[int, list[list[int]]] = {}
+    for cm in masks:
+        dims = [i for i in range(m) if cm & (1 << i)]
+        offs = []
+        for combo in itertools.product(range(-ring, ring + 1), repeat=len(dims)):
+            full = [0] * m
+            for i, o in zip(dims, combo):
+                full[i] = o
+            offs.append(full)
+        offsets[cm] = offs
+    r_entries = F.array(*[F.struct(F.lit(q).alias("q"), (F.col("_p").bitwiseAND(F.lit(q))).alias("cm")) for q in masks])
+    r = r.select("_rk", *[f"_r_{f}" for f in feats], F.explode(r_entries).alias("_e"))
+    r = r.select("_rk", *[f"_r_{f}" for f in feats], F.col("_e.q").alias("_q"), F.col("_e.cm").alias("_cm"))
+    r = r.filter(F.col("_cm") > 0)
+    off_map = F.create_map(*itertools.chain.from_iterable(
+        (F.lit(cm), F.array(*[F.array(*[F.lit(o) for o in off]) for off in offsets[cm]])) for cm in masks))
+    r = r.withColumn("_off", F.explode(F.element_at(off_map, F.col("_cm"))))
+    r = r.withColumn("_cells", F.array(*[
+        F.when(F.col("_cm").bitwiseAND(F.lit(1 << i)) > 0, cell(F.col(f"_r_{f}")) + F.col("_off")[i].cast("long"))
+        .otherwise(F.lit(None).cast("long")) for i, f in enumerate(feats)])).drop("_off")
+    j = r.join(d, ["_q", "_cm", "_cells"], "inner")
+    return j.select("_rk", "_dk", "_dv", _knn_distance(feats, m_total).alias("_dist")).filter(F.col("_dist").isNotNull())
+
+
 def knn_impute(df: DataFrame, key: str, target: str, features: Sequence[str], k: int = 5,
-               donors: DataFrame | None = None, out: str | None = None,
-               max_receivers_per_chunk: int = MAX_RECEIVERS_PER_CHUNK) -> DataFrame:
+               donors: DataFrame | None = None, out: str | None = None, mode: str = "grid",
+               max_receivers_per_chunk: int = MAX_RECEIVERS_PER_CHUNK, per_cell: int = 4,
+               rings: Sequence[int] = (1, 2, 4)) -> DataFrame:
     """Fill ``target`` nulls from the k nearest donors (rows with target present).
 
     Distance over the columns [features..., target]: sqrt(m_total / m_present
     · Σ_present (a − b)²) where present = coordinates non-null in both rows
     (the receiver's target is null, so m_total = len(features) + 1).
-    Ties in distance break on the donor key. Returns ``df`` with ``out``
-    (default: the target itself) filled.
+    Ties in distance break on the donor key. Receivers without any comparable
+    donor get the donor mean.
+
+    mode='grid' (default, exact): candidates come from an equi-join on grid
+    cells (``_grid_pairs``). A donor outside the ring is farther than
+    sqrt(m_total/m)·ring·w, so a receiver whose k-th candidate distance is
+    below that bound is final; the others retry with a wider ring, and the
+    few left after the last ring are scanned against all donors in bounded
+    broadcast chunks. mode='scan': the chunked scan for every receiver.
     """
     out = out or target
     donors = df if donors is None else donors
@@ -125,56 +251,48 @@ def knn_impute(df: DataFrame, key: str, target: str, features: Sequence[str], k:
         # spread the pair evaluation over all cores when the donor table arrives in few partitions
         don = don.repartition(par, "_dk")
 
-    n_rec = rec_all.count()
-    if n_rec == 0:
-        return df.withColumn(out, F.col(target)) if out != target else df
-    n_chunks = max(1, math.ceil(n_rec / max_receivers_per_chunk))
-    rec_all = rec_all.withColumn("_chunk", F.pmod(F.xxhash64("_rk"), F.lit(n_chunks)))
-
-    sq = None
-    present = None
-    for f in feats:
-        both = F.col(f"_d_{f}").isNotNull() & F.col(f"_r_{f}").isNotNull()
-        diff = F.col(f"_d_{f}") - F.col(f"_r_{f}")
-        term = F.when(both, diff * diff).otherwise(F.lit(0.0))
-        cnt = F.when(both, F.lit(1)).otherwise(F.lit(0))
-        sq = term if sq is None else sq + term
-        present = cnt if present is None else present + cnt
-    dist = F.when(present > 0, F.sqrt(F.lit(float(m_total)) / present * sq))
+    tops: list[DataFrame] = []
+    if mode == "scan":
+        tops = [_top_k(p, k) for p in _scan_pairs(don, rec_all, feats, m_total, max_receivers_per_chunk)]
+    elif mode == "grid":
+        from valuator.session import cut_lineage
+        w = _grid_width(don, feats, k, per_cell)
+        pending = rec_all
+        for ring in rings:
+            cand = _top_k(_grid_pairs(don, pending, feats, m_total, w, ring), k)
+            cand = cut_lineage(cand)  # reused twice below; survives executor loss
+            bound = math.sqrt(m_total / len(feats)) * ring * w
+            status = cand.groupBy("_rk").agg(F.count(F.lit(1)).alias("_n"), F.max("_dist").alias("_dk_max"))
+            final = status.filter((F.col("_n") >= k) & (F.col("_dk_max") < F.lit(bound))).select("_rk")
+            tops.append(cand.join(final, "_rk", "left_semi"))
+            pending = pending.join(final, "_rk", "left_anti")
+        tops += [_top_k(p, k) for p in _scan_pairs(don, pending, feats, m_total, max_receivers_per_chunk)]
+    else:
+        raise ValueError("mode must be grid|scan")
 
-    results = []
-    for ch in range(n_chunks):
-        rec = rec_all.filter(F.col("_chunk") == ch).drop("_chunk")
-        # receivers are a bounded chunk (<= max_receivers_per_chunk rows): broadcast them
-        pairs = don.crossJoin(F.broadcast(rec)).select("_rk", "_dk", "_dv", dist.alias("_dist"))
-        pairs = pairs.filter(F.col("_dist").isNotNull())
-        w = Window.partitionBy("_rk").orderBy("_dist", "_dk")
-        top = pairs.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-        has_zero = F.max(F.when(F.col("_dist") == 0, 1).otherwise(0))
-        agg = top.groupBy("_rk").agg(
-            has_zero.alias("_z"),
-            F.sum(F.when(F.col("_dist") == 0, F.col("_dv")).otherwise(0.0)).alias("_zs"),
-            F.sum(F.when(F.col("_dist") == 0, 1).otherwise(0)).alias("_zn"),
-            F.sum(F.when(F.col("_dist") > 0, F.col("_dv") / F.col("_dist")).otherwise(0.0)).alias("_ws"),
-            F.sum(F.when(F.col("_dist") > 0, F.lit(1.0) / F.col("_dist")).otherwise(0.0)).alias("_wn"))
-        val = F.when(F.col("_z") == 1, F.col("_zs") / F.col("_zn")).otherwise(F.col("_ws") / F.col("_wn"))
-        results.append(agg.select("_rk", val.alias("_knn")))
-    est = results[0]
-    for r in results[1:]:
-        est = est.unionByName(r)
+    if not tops:
+        return df.withColumn(out, F.col(target)) if out != target else df
+    est = _weighted_estimate(tops[0]) if len(tops) == 1 else None
+    if est is None:
+        u = tops[0]
+        for t in tops[1:]:
+            u = u.unionByName(t)
+        est = _weighted_estimate(u)
     j = df.join(est, F.col(key) == F.col("_rk"), "left").drop("_rk")
     filled = F.coalesce(_d(target), F.col("_knn"), F.when(F.col(target).isNull(), F.lit(col_mean)))
     return j.withColumn(out, filled).drop("_knn")
 
 
 def knn_impute_scaled(df: DataFrame, key: str, target: str, features: Sequence[str], k: int = 5,
-                      train: DataFrame | None = None) -> DataFrame:
+                      train: DataFrame | None = None, stats_digits: int | None = None) -> DataFrame:
     """I8: I7 on features and target standardised with train statistics
     (population std), then the estimate is scaled back."""
     from valuator.operators.profile import fit_standard
     train = df if train is None else train
     cols = [*features, target]
     st = fit_standard(train, cols, ddof=0)
+    if stats_digits is not None:  # fixed-precision state: identical arithmetic in any engine
+        st = {c: (round(m, stats_digits), round(sd, stats_digits)) for c, (m, sd) in st.items()}
     z = df.withColumns({f"_z_{c}": (_d(c) - F.lit(st[c][0])) / F.lit(st[c][1] or 1.0) for c in cols})
     filled = knn_impute(z, key, f"_z_{target}", [f"_z_{f}" for f in features], k)
     m, s = st[target]

@@ -130,7 +130,8 @@ def q_impute_knn(spark, sf_dir):
 
 
 _ZCOLS = [*_KNN_FEATS, "power"]
-_KNN_SCALED_SQL = ("WITH st AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _ZCOLS)
+_KNN_SCALED_SQL = ("WITH st AS (SELECT " + ", ".join(f"round(avg({c}), 4) AS m_{c}, round(stddev_pop({c}), 4) AS s_{c}"
+                                                   for c in _ZCOLS)
                    + " FROM listing_nulls),\nz AS (SELECT l.listing_id, "
                    + ", ".join(f"(l.{c} - st.m_{c}) / st.s_{c} AS {c}" for c in _ZCOLS)
                    + " FROM listing_nulls l CROSS JOIN st),\n"
@@ -143,7 +144,7 @@ FROM listing_nulls l LEFT JOIN est ON l.listing_id = est.rk CROSS JOIN st
 @register("impute_knn_scaled", _KNN_SCALED_SQL, ("listing_nulls",))
 def q_impute_knn_scaled(spark, sf_dir):
     l = fx(spark, sf_dir).listing_nulls().select("listing_id", "power", *_KNN_FEATS)
-    return I.knn_impute_scaled(l, "listing_id", "power", _KNN_FEATS, 5).select("listing_id", rnd("power", 4).alias("power"))
+    return I.knn_impute_scaled(l, "listing_id", "power", _KNN_FEATS, 5, stats_digits=4).select("listing_id", rnd("power", 4).alias("power"))
 
 
 _KNN_FLOOR_SQL = "WITH " + _knn_sql("listing_nulls", "power", _KNN_FEATS, 5).strip() + """,
