@@ -150,51 +150,76 @@ def _scan_pairs(don: DataFrame, rec: DataFrame, feats: Sequence[str], m_total: i
     return out
 
 
-def _grid_width(don: DataFrame, feats: Sequence[str], k: int, per_cell: int) -> float:
-    """One isotropic cell width w so that a cell holds about ``per_cell``·k donors
-    on average: w = (Π range_f · per_cell·k / N)^(1/m)."""
-    r = fit_row(don, F.count(F.lit(1)).alias("n"),
-                *[F.min(f"_d_{f}").alias(f"lo_{f}") for f in feats], *[F.max(f"_d_{f}").alias(f"hi_{f}") for f in feats])
-    n = max(int(r["n"]), 1)
-    ranges = [max(float((r[f"hi_{f}"] or 0.0) - (r[f"lo_{f}"] or 0.0)), 1e-9) for f in feats]
-    vol = 1.0
-    for x in ranges:
-        vol *= x
-    w = (vol * per_cell * k / n) ** (1.0 / len(feats))
-    return max(w, 1e-9)
-
-
-def _grid_pairs(don: DataFrame, rec: DataFrame, feats: Sequence[str], m_total: int, w: float, ring: int) -> DataFrame:
-    """Candidate pairs whose cells (side w, per common coordinate set C = P_r ∩ Q_d)
-    differ by at most ``ring`` in every coordinate of C: an equi-join on
-    (donor pattern, C, cell tuple), the receiver side exploded over the
-    (2·ring+1)^|C| neighbour cells. Each donor meets a receiver at most once."""
+def _pattern(feats: Sequence[str], prefix: str) -> Column:
+    out = F.lit(0)
+    for i, f in enumerate(feats):
+        out = out + F.when(F.col(f"{prefix}{f}").isNotNull(), F.lit(1 << i)).otherwise(F.lit(0))
+    return out
+
+
+def _grid_widths(don: DataFrame, feats: Sequence[str], k: int, per_cell: float) -> dict[tuple[int, int], float]:
+    """Cell width per (donor pattern q, common coordinate set cm ⊆ q): the
+    isotropic width at which a cell of that subspace holds about
+    ``per_cell``·k donors of the pattern (dimensions narrower than the width
+    collapse into one cell and leave the volume). One small aggregate by
+    pattern (≤ 2^m rows)."""
+    m = len(feats)
+    st = (don.withColumn("_q", _pattern(feats, "_d_")).groupBy("_q")
+          .agg(F.count(F.lit(1)).alias("n"), *[F.min(f"_d_{f}").alias(f"lo{i}") for i, f in enumerate(feats)],
+               *[F.max(f"_d_{f}").alias(f"hi{i}") for i, f in enumerate(feats)]).collect())
+    widths: dict[tuple[int, int], float] = {}
+    for r in st:
+        q, n = int(r["_q"]), int(r["n"])
+        for cm in range(1, 2 ** m):
+            if cm & q != cm:
+                continue
+            dims = [i for i in range(m) if cm & (1 << i)]
+            ranges = sorted(max(float(r[f"hi{i}"] - r[f"lo{i}"]), 1e-9) for i in dims)
+            target = max(n / float(per_cell * k), 1.0)  # number of cells wanted
+            w = 0.0
+            for drop in range(len(ranges)):
+                live = ranges[drop:]
+                vol = 1.0
+                for x in live:
+                    vol *= x
+                w = (vol / target) ** (1.0 / len(live))
+                if w <= live[0]:
+                    break
+            widths[(q, cm)] = max(w, 1e-9)
+    return widths
+
+
+def _grid_pairs(don: DataFrame, rec: DataFrame, feats: Sequence[str], m_total: int,
+                widths: dict[tuple[int, int], float], ring: int) -> DataFrame:
+    """Candidate pairs whose cells (width w[q, C], over the common coordinates
+    C = P_r ∩ Q_d) differ by at most ``ring`` in every coordinate of C: an
+    equi-join on (donor pattern, C, cell tuple); the receiver side is
+    exploded over the (2·ring+1)^|C| neighbour cells. Each donor meets a
+    receiver at most once."""
     m = len(feats)
     masks = range(1, 2 ** m)
+    wmap = F.create_map(*itertools.chain.from_iterable(
+        (F.lit(q * (1 << m) + cm), F.lit(float(w))) for (q, cm), w in widths.items()))
 
-    def pattern(prefix: str) -> Column:
-        out = F.lit(0)
-        for i, f in enumerate(feats):
-            out = out + F.when(F.col(f"{prefix}{f}").isNotNull(), F.lit(1 << i)).otherwise(F.lit(0))
-        return out
+    def cell(c: Column, w: Column) -> Column:
+        return F.floor(c / w).cast("long")
 
-    def cell(c: Column) -> Column:
-        return F.floor(c / F.lit(w)).cast("long")
-
-    # donors: one row per non-empty subset C of their pattern Q
-    d = don.withColumn("_q", pattern("_d_"))
+    d = don.withColumn("_q", _pattern(feats, "_d_"))
     d_entries = F.array(*[
-        F.when((F.col("_q").bitwiseAND(F.lit(cm))) == F.lit(cm), F.struct(
-            F.lit(cm).alias("cm"),
-            F.array(*[cell(F.col(f"_d_{f}")) if cm & (1 << i) else F.lit(None).cast("long")
-                      for i, f in enumerate(feats)]).alias("cells")))
-        for cm in masks])
-    d = d.select("_dk", "_dv", "_q", *[f"_d_{f}" for f in feats], F.explode(d_entries).alias("_e")).filter("_e IS NOT NULL")
-    d = d.select("_dk", "_dv", "_q", *[f"_d_{f}" for f in feats], F.col("_e.cm").alias("_cm"),
-                 F.col("_e.cells").alias("_cells"))
-
-    # receivers: for every donor pattern Q, C = P ∩ Q, times every neighbour offset over C
-    r = rec.withColumn("_p", pattern("_r_"))
+        F.when((F.col("_q").bitwiseAND(F.lit(cm))) == F.lit(cm), F.lit(cm)) for cm in masks])
+    d = d.withColumn("_cm", F.explode(d_entries)).filter(F.col("_cm").isNotNull())
+    dw = F.element_at(wmap, F.col("_q") * F.lit(1 << m) + F.col("_cm"))
+    d = d.withColumn("_cells", F.array(*[
+        F.when(F.col("_cm").bitwiseAND(F.lit(1 << i)) > 0, cell(F.col(f"_d_{f}"), dw)).otherwise(F.lit(None).cast("long"))
+        for i, f in enumerate(feats)]))
+
+    present_q = sorted({q for q, _ in widths})
+    r = rec.withColumn("_p", _pattern(feats, "_r_"))
+    r_entries = F.array(*[F.struct(F.lit(q).alias("q"), (F.col("_p").bitwiseAND(F.lit(q))).alias("cm"))
+                          for q in present_q]) if present_q else F.array()
+    r = r.select("_rk", *[f"_r_{f}" for f in feats], F.explode(r_entries).alias("_e"))
+    r = r.select("_rk", *[f"_r_{f}" for f in feats], F.col("_e.q").alias("_q"), F.col("_e.cm").alias("_cm"))
+    r = r.filter(F.col("_cm") > 0)
     offsets: dict[int, list[list[int]]] = {}
     for cm in masks:
         dims = [i for i in range(m) if cm & (1 << i)]
@@ -205,24 +230,34 @@ def _grid_pairs(don: DataFrame, rec: DataFrame, feats: Sequence[str], m_total: i
                 full[i] = o
             offs.append(full)
         offsets[cm] = offs
-    r_entries = F.array(*[F.struct(F.lit(q).alias("q"), (F.col("_p").bitwiseAND(F.lit(q))).alias("cm")) for q in masks])
-    r = r.select("_rk", *[f"_r_{f}" for f in feats], F.explode(r_entries).alias("_e"))
-    r = r.select("_rk", *[f"_r_{f}" for f in feats], F.col("_e.q").alias("_q"), F.col("_e.cm").alias("_cm"))
-    r = r.filter(F.col("_cm") > 0)
     off_map = F.create_map(*itertools.chain.from_iterable(
         (F.lit(cm), F.array(*[F.array(*[F.lit(o) for o in off]) for off in offsets[cm]])) for cm in masks))
     r = r.withColumn("_off", F.explode(F.element_at(off_map, F.col("_cm"))))
+    rw = F.element_at(wmap, F.col("_q") * F.lit(1 << m) + F.col("_cm"))
     r = r.withColumn("_cells", F.array(*[
-        F.when(F.col("_cm").bitwiseAND(F.lit(1 << i)) > 0, cell(F.col(f"_r_{f}")) + F.col("_off")[i].cast("long"))
+        F.when(F.col("_cm").bitwiseAND(F.lit(1 << i)) > 0, cell(F.col(f"_r_{f}"), rw) + F.col("_off")[i].cast("long"))
         .otherwise(F.lit(None).cast("long")) for i, f in enumerate(feats)])).drop("_off")
     j = r.join(d, ["_q", "_cm", "_cells"], "inner")
     return j.select("_rk", "_dk", "_dv", _knn_distance(feats, m_total).alias("_dist")).filter(F.col("_dist").isNotNull())
 
 
+def _final_bound(feats: Sequence[str], m_total: int, widths: dict[tuple[int, int], float], ring: int) -> Column:
+    """Per receiver pattern p: any donor outside the searched ring is farther
+    than min over donor patterns q of sqrt(m_total/|p∩q|)·ring·w[q, p∩q]."""
+    m = len(feats)
+    bounds = {}
+    for p in range(1, 2 ** m):
+        vals = [math.sqrt(m_total / bin(p & q).count("1")) * ring * w for (q, cm), w in widths.items() if cm == (p & q)
+                and cm > 0]
+        bounds[p] = min(vals) if vals else float("inf")
+    bmap = F.create_map(*itertools.chain.from_iterable((F.lit(p), F.lit(b)) for p, b in bounds.items()))
+    return F.element_at(bmap, _pattern(feats, "_r_"))
+
+
 def knn_impute(df: DataFrame, key: str, target: str, features: Sequence[str], k: int = 5,
                donors: DataFrame | None = None, out: str | None = None, mode: str = "grid",
-               max_receivers_per_chunk: int = MAX_RECEIVERS_PER_CHUNK, per_cell: int = 4,
-               rings: Sequence[int] = (1, 2, 4)) -> DataFrame:
+               max_receivers_per_chunk: int = MAX_RECEIVERS_PER_CHUNK, per_cell: float = 1.0,
+               rings: Sequence[int] = (1, 2, 4, 8), scan_threshold: int = 200) -> DataFrame:
     """Fill ``target`` nulls from the k nearest donors (rows with target present).
 
     Distance over the columns [features..., target]: sqrt(m_total / m_present
@@ -256,16 +291,21 @@ def knn_impute(df: DataFrame, key: str, target: str, features: Sequence[str], k:
         tops = [_top_k(p, k) for p in _scan_pairs(don, rec_all, feats, m_total, max_receivers_per_chunk)]
     elif mode == "grid":
         from valuator.session import cut_lineage
-        w = _grid_width(don, feats, k, per_cell)
+        don = don.persist()
+        widths = _grid_widths(don, feats, k, per_cell)
         pending = rec_all
         for ring in rings:
-            cand = _top_k(_grid_pairs(don, pending, feats, m_total, w, ring), k)
+            cand = _top_k(_grid_pairs(don, pending, feats, m_total, widths, ring), k)
             cand = cut_lineage(cand)  # reused twice below; survives executor loss
-            bound = math.sqrt(m_total / len(feats)) * ring * w
             status = cand.groupBy("_rk").agg(F.count(F.lit(1)).alias("_n"), F.max("_dist").alias("_dk_max"))
-            final = status.filter((F.col("_n") >= k) & (F.col("_dk_max") < F.lit(bound))).select("_rk")
+            bound = pending.select("_rk", _final_bound(feats, m_total, widths, ring).alias("_bound"))
+            final = (status.join(bound, "_rk").filter((F.col("_n") >= k) & (F.col("_dk_max") < F.col("_bound")))
+                     .select("_rk"))
             tops.append(cand.join(final, "_rk", "left_semi"))
-            pending = pending.join(final, "_rk", "left_anti")
+            pending = cut_lineage(pending.join(final, "_rk", "left_anti"))
+            left = pending.limit(scan_threshold + 1).count()
+            if left <= scan_threshold:
+                break  # the few left go to the exact scan below
         tops += [_top_k(p, k) for p in _scan_pairs(don, pending, feats, m_total, max_receivers_per_chunk)]
     else:
         raise ValueError("mode must be grid|scan")
