@@ -24,7 +24,7 @@ def _col(c: str | Column) -> Column:
 
 def lcg_hash(key: str | Column, seed: int = 42) -> Column:
     """(key·48271 + seed) mod (2³¹−1): deterministic per key, same in SQL."""
-    return F.pmod(_col(key) * F.lit(LCG_MULT) + F.lit(seed), F.lit(LCG_MOD))
+    return F.pmod(_col(key).cast("long") * F.lit(LCG_MULT) + F.lit(seed), F.lit(LCG_MOD))
 
 
 def mix_hash(key: str | Column, seed: int = 42) -> Column:
