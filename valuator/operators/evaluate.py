@@ -99,7 +99,8 @@ def band_top_features(scored: DataFrame, features: Sequence[str], group: Sequenc
     long = wide.unpivot([*group, band], list(features), "feature", "corr")
     long = long.withColumn("corr", F.when(F.isnan("corr"), None).otherwise(F.col("corr")))
     long = long.withColumn("abs_corr", F.abs("corr"))
-    w = Window.partitionBy(*group, band).orderBy(F.col("abs_corr").desc_nulls_last(), F.col("feature"))
+    # correlations equal to 9 decimals are ties (broken by name), so float noise cannot reorder them
+    w = Window.partitionBy(*group, band).orderBy(F.round("abs_corr", 9).desc_nulls_last(), F.col("feature"))
     return long.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
 
 
@@ -110,7 +111,7 @@ def corr_with_error_top(scored: DataFrame, features: Sequence[str], target: str
     wide = scored.agg(*aggs)
     long = wide.unpivot([], list(features), "feature", "corr")
     long = long.withColumn("corr", F.when(F.isnan("corr"), None).otherwise(F.col("corr")))
-    w = Window.orderBy(F.abs("corr").desc_nulls_last(), F.col("feature"))
+    w = Window.orderBy(F.round(F.abs("corr"), 9).desc_nulls_last(), F.col("feature"))
     # ``long`` has one row per feature: a global window over it is tiny
     return long.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
 

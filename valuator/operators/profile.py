@@ -190,7 +190,7 @@ def f_score_select(df: DataFrame, features: Sequence[str], target: str, k: int |
     long = long.withColumn("r", F.when(F.isnan("r"), None).otherwise(F.col("r")))
     f = F.col("r") * F.col("r") / (F.lit(1.0) - F.col("r") * F.col("r")) * (F.col("_n") - 2)
     long = long.withColumn("f_score", f)
-    w = Window.orderBy(F.col("f_score").desc_nulls_last(), F.col("feature"))  # one row per feature
+    w = Window.orderBy(F.round("f_score", 6).desc_nulls_last(), F.col("feature"))  # one row per feature
     out = long.withColumn("rank", F.row_number().over(w)).drop("_n")
     return out.filter(F.col("rank") <= k) if k else out
 
@@ -211,7 +211,7 @@ def corr_threshold_select(df: DataFrame, features: Sequence[str], target: str, t
     wide = df.agg(*[F.corr(_d(f), _d(target)).alias(f) for f in features])
     long = wide.unpivot([], list(features), "feature", "corr")
     long = long.filter(F.abs("corr") > threshold)
-    w = Window.orderBy(F.abs("corr").desc(), F.col("feature"))  # one row per feature
+    w = Window.orderBy(F.round(F.abs("corr"), 9).desc(), F.col("feature"))  # one row per feature
     return long.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= max_k)
 
 

@@ -80,7 +80,7 @@ wide AS (
   LEFT JOIN ranked r ON r.model = w.model AND r.band = w.band AND r.feature = f.feature
 )
 SELECT model, band, feature, round(corr, 6) AS corr, round(abs(corr), 6) AS abs_corr, rank FROM (
-  SELECT *, CAST(row_number() OVER (PARTITION BY model, band ORDER BY abs(corr) DESC NULLS LAST, feature) AS INTEGER) AS rank
+  SELECT *, CAST(row_number() OVER (PARTITION BY model, band ORDER BY round(abs(corr), 9) DESC NULLS LAST, feature) AS INTEGER) AS rank
   FROM full_list) WHERE rank <= 5
 """.format(corrs=", ".join(f"corr(CAST({f} AS DOUBLE), mistake) AS {f}" for f in NUMERIC_FEATURES),
            feats=", ".join(NUMERIC_FEATURES), names=", ".join(f"'{f}'" for f in NUMERIC_FEATURES))
@@ -168,7 +168,7 @@ WITH wide AS (SELECT {corrs} FROM scored),
 lng AS (UNPIVOT wide ON {feats} INTO NAME feature VALUE corr)
 SELECT feature, round(corr, 6) AS corr, rank FROM (
   SELECT feature, CASE WHEN isnan(corr) THEN NULL ELSE corr END AS corr,
-         CAST(row_number() OVER (ORDER BY abs(CASE WHEN isnan(corr) THEN NULL ELSE corr END) DESC NULLS LAST, feature) AS INTEGER) AS rank
+         CAST(row_number() OVER (ORDER BY round(abs(CASE WHEN isnan(corr) THEN NULL ELSE corr END), 9) DESC NULLS LAST, feature) AS INTEGER) AS rank
   FROM lng) WHERE rank <= 10
 """.format(corrs=", ".join(f"corr(CAST({f} AS DOUBLE), price - pred_c) AS {f}" for f in NUMERIC_FEATURES),
            feats=", ".join(NUMERIC_FEATURES))

@@ -211,7 +211,7 @@ WITH c AS (SELECT * FROM listing_nulls WHERE {nn}),
 w AS (SELECT count(*) AS n, {corrs} FROM c),
 l AS (UNPIVOT w ON {feats} INTO NAME feature VALUE r)
 SELECT feature, round(r, 6) AS r, round(r * r / (1.0 - r * r) * (n - 2), 4) AS f_score, rank FROM (
-  SELECT *, CAST(row_number() OVER (ORDER BY r * r / (1.0 - r * r) * (n - 2) DESC NULLS LAST, feature) AS INTEGER) AS rank FROM l)
+  SELECT *, CAST(row_number() OVER (ORDER BY round(r * r / (1.0 - r * r) * (n - 2), 6) DESC NULLS LAST, feature) AS INTEGER) AS rank FROM l)
 WHERE rank <= 5
 """.format(nn=" AND ".join(f"{c} IS NOT NULL" for c in [*_F_FEATS, "price"]),
            corrs=", ".join(f"corr({c}, price) AS {c}" for c in _F_FEATS), feats=", ".join(_F_FEATS))
@@ -268,7 +268,7 @@ _CT_FEATS = ["power", "curb_weight", "depreciation", "dereg_value", "omv", "arf"
 _CORRT_SQL = """
 WITH w AS (SELECT {corrs} FROM listing), l AS (UNPIVOT w ON {feats} INTO NAME feature VALUE corr)
 SELECT feature, round(corr, 6) AS corr, rank FROM (
-  SELECT *, CAST(row_number() OVER (ORDER BY abs(corr) DESC, feature) AS INTEGER) AS rank FROM l WHERE abs(corr) > 0.1)
+  SELECT *, CAST(row_number() OVER (ORDER BY round(abs(corr), 9) DESC, feature) AS INTEGER) AS rank FROM l WHERE abs(corr) > 0.1)
 WHERE rank <= 3
 """.format(corrs=", ".join(f"corr({c}, price) AS {c}" for c in _CT_FEATS), feats=", ".join(_CT_FEATS))
 
