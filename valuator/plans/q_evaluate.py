@@ -297,16 +297,20 @@ _AUC_SQL = _ROC_SQL.replace(
 seg AS (SELECT *, coalesce(lag(fpr) OVER (ORDER BY threshold DESC), 0.0) AS pf,
                coalesce(lag(tpr) OVER (ORDER BY threshold DESC), 0.0) AS pt,
                tps / (tps + fps) AS prec FROM pts)
-SELECT round(sum((fpr - pf) * (tpr + pt) / 2.0), 6) AS auc,
-       round(sum((tpr - pt) * prec), 6) AS average_precision FROM seg""")
+SELECT round(sum((fpr - pf) * (tpr + pt) / 2.0), 6) AS auc FROM seg""")
+_AP_SQL = _AUC_SQL.replace("SELECT round(sum((fpr - pf) * (tpr + pt) / 2.0), 6) AS auc FROM seg",
+                           "SELECT round(sum((tpr - pt) * prec), 6) AS average_precision FROM seg")
 
 
 @register("roc_auc", _AUC_SQL, ("class_scores",))
 def q_roc_auc(spark, sf_dir):
-    c = fx(spark, sf_dir).class_scores()
-    auc = ev.roc_auc(c, "label", "score")
-    ap = ev.average_precision(c, "label", "score")
-    return auc.crossJoin(ap).select(rnd("auc").alias("auc"), rnd("average_precision").alias("average_precision"))
+    return ev.roc_auc(fx(spark, sf_dir).class_scores(), "label", "score").select(rnd("auc").alias("auc"))
+
+
+@register("average_precision", _AP_SQL, ("class_scores",))
+def q_average_precision(spark, sf_dir):
+    ap = ev.average_precision(fx(spark, sf_dir).class_scores(), "label", "score")
+    return ap.select(rnd("average_precision").alias("average_precision"))
 
 
 _CVACC_SQL = """

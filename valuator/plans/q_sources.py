@@ -41,13 +41,28 @@ SELECT n.listing_id, round(ref.make_mean, 4) AS make_mean FROM listing_new n LEF
 """
 
 
-@register("write_read_lookup", _LOOKUP_SQL, ("listing_train", "listing_new"))
-def q_lookup(spark, sf_dir):
+def _write_make_lookup(spark, sf_dir) -> str:
     f = fx(spark, sf_dir)
     state = f.listing_train().filter("make IS NOT NULL").groupBy("make").agg(F.avg("price").alias("make_mean"))
-    path = IO.write_lookup(state, IO.scratch_path(spark, "lookup_make"))
+    return IO.write_lookup(state, IO.scratch_path(spark, "lookup_make"))
+
+
+_WRITE_LOOKUP_SQL = """
+SELECT make, round(avg(price), 4) AS make_mean FROM listing_train WHERE make IS NOT NULL GROUP BY make
+"""
+
+
+@register("write_lookup", _WRITE_LOOKUP_SQL, ("listing_train",))
+def q_write_lookup(spark, sf_dir):
+    path = _write_make_lookup(spark, sf_dir)
+    return IO.read_lookup(spark, path).select("make", rnd("make_mean", 4).alias("make_mean"))
+
+
+@register("read_lookup", _LOOKUP_SQL, ("listing_train", "listing_new"))
+def q_read_lookup(spark, sf_dir):
+    path = _write_make_lookup(spark, sf_dir)
     from valuator.operators.joins import lookup_join
-    out = lookup_join(f.listing_new().select("listing_id", "make"), IO.read_lookup(spark, path), "make")
+    out = lookup_join(fx(spark, sf_dir).listing_new().select("listing_id", "make"), IO.read_lookup(spark, path), "make")
     return out.select("listing_id", rnd("make_mean", 4).alias("make_mean"))
 
 
