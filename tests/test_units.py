@@ -228,3 +228,15 @@ def test_assign_no_price_modes(spark, mode):
     df = spark.createDataFrame([(1.0, 1.0)], "a double, b double")
     out = CL.assign_no_price(df, ["a", "b"], [[0.0, 1.0, 1.0], [12.0, 1.0, 1.0]], mode, median_log_price=11.0)
     assert out.collect()[0]["cluster"] == {"zero": 0, "median": 1, "ignore": 0}[mode]
+
+
+def test_sorted_selection_quantiles_equal_percentile(spark):
+    from valuator.plans.strategy import fit_quantiles, sorted_selection_quantiles
+    rnd = random.Random(5)
+    df = spark.createDataFrame([(float(rnd.randint(0, 40)) / 3,) for _ in range(777)] + [(None,)], "x double")
+    probs = [0.0, 0.01, 0.25, 0.5, 0.731, 0.99, 1.0]
+    want = df.agg(F.percentile("x", probs).alias("q")).collect()[0]["q"]
+    got = sorted_selection_quantiles(df, "x", probs, num_partitions=5)
+    assert all(abs(a - b) < 1e-12 for a, b in zip(got, want))
+    forced = fit_quantiles(df, ["x"], probs, max_distinct=0)["x"]
+    assert all(abs(a - b) < 1e-12 for a, b in zip(forced, want))

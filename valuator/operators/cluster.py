@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from valuator.plans.strategy import fit_row, ranked
+from valuator.plans.strategy import fit_quantiles, fit_row, ranked
 
 MAX_K = 64
 
@@ -97,7 +97,8 @@ def percentile_init(df: DataFrame, features: Sequence[str | Column], k: int) ->
     """C3 init: centre j = the (100·j/(k−1))-th percentile of every feature."""
     probs = [j / (k - 1) for j in range(k)] if k > 1 else [0.5]
     feats = [F.col(f) if isinstance(f, str) else f for f in features]
-    row = fit_row(df, *[F.percentile(c.cast("double"), probs).alias(f"_p{i}") for i, c in enumerate(feats)])
+    named = df.select(*[c.cast("double").alias(f"_p{i}") for i, c in enumerate(feats)])
+    row = fit_quantiles(named, [f"_p{i}" for i in range(len(feats))], probs)
     return [[float(row[f"_p{i}"][j]) for i in range(len(feats))] for j in range(k)]
 
 
@@ -107,7 +108,7 @@ def band_init(df: DataFrame, features: Sequence[str | Column], price: str | Colu
     from valuator.operators.segment import bin_code
     p = F.col(price) if isinstance(price, str) else price
     probs = [j / k for j in range(k + 1)]
-    edges = fit_row(df, F.percentile(p.cast("double"), probs).alias("e"))["e"]
+    edges = fit_quantiles(df.select(p.cast("double").alias("_price")), ["_price"], probs)["_price"]
     feats = [F.col(f) if isinstance(f, str) else f for f in features]
     band = bin_code(p, [float(e) for e in edges])
     rows = (df.select(band.alias("_b"), *[c.cast("double").alias(f"_f{i}") for i, c in enumerate(feats)])

@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from valuator.plans.strategy import attach_state, fit_row
+from valuator.plans.strategy import attach_state, fit_quantiles, fit_row
 
 MAX_RECEIVERS_PER_CHUNK = 50_000
 
@@ -37,8 +37,8 @@ def _d(c: str) -> Column:
 # ------------------------------------------------------------------ I1–I6
 def fit_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
     """I1 fit: exact medians of all columns in one aggregate."""
-    r = fit_row(df, *[F.percentile(_d(c), 0.5).alias(c) for c in cols])
-    return {c: r[c] for c in cols}
+    r = fit_quantiles(df, list(cols), [0.5])
+    return {c: (r[c][0] if r[c] else None) for c in cols}
 
 
 def fit_means(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:

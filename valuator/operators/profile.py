@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from valuator.functions.columns import clip, safe_log1p
-from valuator.plans.strategy import fit_row, ranked
+from valuator.plans.strategy import fit_quantiles, fit_row, ranked
 
 
 def _d(c: str) -> Column:
@@ -44,7 +44,7 @@ def apply_standard(df: DataFrame, state: dict[str, tuple[float, float]]) -> Data
 
 def fit_robust(df: DataFrame, cols: Sequence[str], lo: float = 0.25, hi: float = 0.75) -> dict[str, tuple]:
     """Median and the (lo, hi) quantile range per column, exact."""
-    r = fit_row(df, *[F.percentile(_d(c), [lo, 0.5, hi]).alias(c) for c in cols])
+    r = fit_quantiles(df, list(cols), [lo, 0.5, hi])
     return {c: (r[c][1], r[c][2] - r[c][0]) for c in cols}
 
 
@@ -111,7 +111,7 @@ def boxcox_fit(df: DataFrame, cols: Sequence[str], skew_threshold: float = 0.3,
 def winsorize_tails(df: DataFrame, cols: Sequence[str], lo: float = 0.01, hi: float = 0.99,
                     k: float = 1.5) -> DataFrame:
     """Clamp to [q_lo − k·(q_hi − q_lo), q_hi + k·(q_hi − q_lo)]."""
-    r = fit_row(df, *[F.percentile(_d(c), [lo, hi]).alias(c) for c in cols])
+    r = fit_quantiles(df, list(cols), [lo, hi])
     out = {}
     for c in cols:
         a, b = r[c]
@@ -129,7 +129,7 @@ def iqr_filter(df: DataFrame, cols: Sequence[str], k: float = 1.5, mode: str = "
     """
     cur = df
     if mode == "all_at_once":
-        r = fit_row(df, *[F.percentile(_d(c), [0.25, 0.75]).alias(c) for c in cols])
+        r = fit_quantiles(df, list(cols), [0.25, 0.75])
         cond = None
         for c in cols:
             q1, q3 = r[c]
@@ -138,7 +138,7 @@ def iqr_filter(df: DataFrame, cols: Sequence[str], k: float = 1.5, mode: str = "
             cond = cnd if cond is None else cond & cnd
         return cur.filter(cond)
     for c in cols:
-        q1, q3 = fit_row(cur, F.percentile(_d(c), [0.25, 0.75]).alias("q"))["q"]
+        q1, q3 = fit_quantiles(cur, [c], [0.25, 0.75])[c]
         i = q3 - q1
         cur = cur.filter((_d(c) >= F.lit(q1 - k * i)) & (_d(c) <= F.lit(q3 + k * i)))
     return cur

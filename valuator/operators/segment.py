@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from valuator.functions.columns import clip
-from valuator.plans.strategy import attach_state, fit_row
+from valuator.plans.strategy import attach_state, fit_quantiles, fit_row
 
 # The reference's nine absolute-error bands (inclusive integer
 # bounds; values above the last band, or inside the integer gaps, get id 9).
@@ -38,8 +38,7 @@ def _col(c: str | Column) -> Column:
 def quantile_edges(df: DataFrame, col: str, q: int) -> list[float]:
     """Fit: q+1 exact (linearly interpolated) quantile edges, duplicates dropped."""
     probs = [i / q for i in range(q + 1)]
-    row = fit_row(df.filter(F.col(col).isNotNull()), F.percentile(F.col(col), probs).alias("e"))
-    edges = row["e"] or []
+    edges = fit_quantiles(df, [col], probs)[col] or []
     out: list[float] = []
     for e in edges:
         if not out or e != out[-1]:
@@ -50,7 +49,7 @@ def quantile_edges(df: DataFrame, col: str, q: int) -> list[float]:
 def quantile_edges_multi(df: DataFrame, cols: Sequence[str], q: int) -> dict[str, list[float]]:
     """Edges of several columns in one aggregate pass (nulls ignored per column)."""
     probs = [i / q for i in range(q + 1)]
-    row = fit_row(df, *[F.percentile(F.col(c).cast("double"), probs).alias(c) for c in cols])
+    row = fit_quantiles(df, list(cols), probs)
     out: dict[str, list[float]] = {}
     for c in cols:
         es: list[float] = []
@@ -117,7 +116,7 @@ def binary_error_label(err: str | Column, threshold: float) -> Column:
 def threshold_segments(df: DataFrame, col: str = "price", pct: float = 0.75,
                        out: str = "segment") -> tuple[DataFrame, DataFrame]:
     """Col > percentile(pct) -> 1 else 0, plus per-segment statistics."""
-    cut = fit_row(df, F.percentile(F.col(col), pct).alias("t"))["t"]
+    cut = fit_quantiles(df, [col], [pct])[col][0]
     seg = df.withColumn(out, (F.col(col) > F.lit(cut)).cast("int"))
     stats = seg.groupBy(out).agg(
         F.min(col).alias("min_price"), F.max(col).alias("max_price"),

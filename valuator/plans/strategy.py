@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row
@@ -103,3 +104,70 @@ def prefix_sums(df: DataFrame, order_cols: Sequence[Column | str], sum_cols: Seq
     wl = Window.partitionBy("_pid").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
     return joined.select(*df.columns, *[(F.sum(c).over(wl) + F.col(f"_off_{c}")).alias(c + suffix)
                                         for c in sum_cols])
+
+
+# ---------------------------------------------------------------------- exact quantiles at any cardinality
+PERCENTILE_MAP_MAX_DISTINCT = 10_000_000
+
+
+def _interpolate(position: float, lo_v: float, hi_v: float) -> float:
+    lower, higher = math.floor(position), math.ceil(position)
+    if higher == lower or lo_v == hi_v:
+        return float(lo_v)
+    return (higher - position) * lo_v + (position - lower) * hi_v
+
+
+def sorted_selection_quantiles(df: DataFrame, col: str | Column, probs: Sequence[float],
+                               num_partitions: int | None = None) -> list[float] | None:
+    """Exact linear-interpolation quantiles of one column by distributed
+    selection: range-partition + sort the column, freeze the layout with a
+    checkpoint, find which partition holds each needed order statistic from
+    per-partition counts (P rows), and fetch only those ≤ 2·len(probs) rows.
+    Memory per task is bounded by the partition size, not by the number of
+    distinct values (Spark's ``percentile`` keeps a value->count map)."""
+    c = F.col(col) if isinstance(col, str) else col
+    vals = df.select(c.cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    rp = (vals.repartitionByRange(_partitions(df, num_partitions), "_v").sortWithinPartitions("_v")
+          .withColumn("_mid", F.monotonically_increasing_id()))
+    rp = cut_lineage(rp)
+    parts = sorted((int(r["pid"]), int(r["n"]), int(r["first"])) for r in
+                   rp.groupBy(F.shiftright("_mid", 33).alias("pid"))
+                   .agg(F.count(F.lit(1)).alias("n"), F.min("_mid").alias("first")).collect())
+    n = sum(p[1] for p in parts)
+    if n == 0:
+        return None
+    starts, acc = [], 0
+    for _pid, cnt, first in parts:
+        starts.append((acc, cnt, first))
+        acc += cnt
+
+    def mid_of(rank: int) -> int:
+        for start, cnt, first in starts:
+            if start <= rank < start + cnt:
+                return first + (rank - start)
+        raise IndexError(rank)
+
+    positions = [(n - 1) * p for p in probs]
+    ranks = sorted({int(math.floor(x)) for x in positions} | {int(math.ceil(x)) for x in positions})
+    mids = {mid_of(r): r for r in ranks}
+    got = {mids[r["_mid"]]: r["_v"] for r in rp.filter(F.col("_mid").isin(list(mids))).select("_mid", "_v").collect()}
+    return [_interpolate(x, got[int(math.floor(x))], got[int(math.ceil(x))]) for x in positions]
+
+
+def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                  max_distinct: int = PERCENTILE_MAP_MAX_DISTINCT) -> dict[str, list[float] | None]:
+    """Exact quantiles of several columns. One HyperLogLog pass decides per
+    column: few distinct values -> Spark's exact ``percentile`` for all such
+    columns in ONE aggregate (its value->count map stays small); many ->
+    ``sorted_selection_quantiles`` (sort-based, bounded memory)."""
+    probs = list(probs)
+    card = fit_row(df, *[F.approx_count_distinct(F.col(c)).alias(c) for c in cols])
+    small = [c for c in cols if (card[c] or 0) <= max_distinct]
+    out: dict[str, list[float] | None] = {}
+    if small:
+        r = fit_row(df, *[F.percentile(F.col(c).cast("double"), probs).alias(c) for c in small])
+        out.update({c: (list(r[c]) if r[c] is not None else None) for c in small})
+    for c in cols:
+        if c not in out:
+            out[c] = sorted_selection_quantiles(df, c, probs)
+    return out
