@@ -194,9 +194,9 @@ def gmm_segments_bic(df: DataFrame, features: Sequence[str], n_range: Sequence[i
 def gmm_segments_combined(table: DataFrame) -> DataFrame:
     """score = minmax(BIC) − minmax(silhouette) over the candidate table
     (one row per candidate n); zero ranges give 0. Lowest score first."""
-    st = table.agg(F.min("bic").alias("b0"), F.max("bic").alias("b1"),
-                   F.min("silhouette").alias("s0"), F.max("silhouette").alias("s1"))
-    j = table.crossJoin(F.broadcast(st))  # one-row statistics
+    st = fit_row(table, F.min("bic").alias("b0"), F.max("bic").alias("b1"),
+                 F.min("silhouette").alias("s0"), F.max("silhouette").alias("s1"))
+    j = table.withColumns({k: F.lit(st[k]) for k in ("b0", "b1", "s0", "s1")})
     nb = F.when(F.col("b1") == F.col("b0"), 0.0).otherwise((F.col("bic") - F.col("b0")) / (F.col("b1") - F.col("b0")))
     ns = F.when(F.col("s1") == F.col("s0"), 0.0).otherwise(
         (F.col("silhouette") - F.col("s0")) / (F.col("s1") - F.col("s0")))

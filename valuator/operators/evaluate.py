@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from valuator.operators.segment import error_band
-from valuator.plans.strategy import prefix_sums
+from valuator.plans.strategy import fit_quantiles, fit_row, prefix_sums
 
 
 def _col(c: str | Column) -> Column:
@@ -185,10 +185,11 @@ def roc_points(df: DataFrame, y: str, score: str) -> DataFrame:
     g = df.groupBy(F.col(score).alias("threshold")).agg(
         F.sum(F.col(y).cast("long")).alias("tp_n"),
         F.sum((F.lit(1) - F.col(y)).cast("long")).alias("fp_n"))
-    tot = df.agg(F.sum(F.col(y).cast("long")).alias("P"), F.sum((F.lit(1) - F.col(y)).cast("long")).alias("N"))
+    tot = fit_row(df, F.sum(F.col(y).cast("long")).alias("P"), F.sum((F.lit(1) - F.col(y)).cast("long")).alias("N"))
     cum = prefix_sums(g, [F.col("threshold").desc()], ["tp_n", "fp_n"])
     cum = cum.withColumnsRenamed({"tp_n_cum": "tps", "fp_n_cum": "fps"})
-    return cum.crossJoin(F.broadcast(tot)).select(  # one-row totals
+    cum = cum.withColumns({"P": F.lit(tot["P"]), "N": F.lit(tot["N"])})  # totals as literals
+    return cum.select(
         "threshold", "tp_n", "fp_n", "tps", "fps",
         (F.col("fps") / F.col("N")).alias("fpr"), (F.col("tps") / F.col("P")).alias("tpr"),
         ((F.col("fps") - F.col("fp_n")) / F.col("N")).alias("prev_fpr"),
@@ -224,9 +225,8 @@ def prediction_sanity(pred: DataFrame, p: str, segment: str | None = None,
     """One-row flag table: negatives (fail), share outside Q1/Q3 ± 3·IQR
     above 1 % (warn), and (optional) share outside [0.5·min, 1.5·max] of the
     row's segment (warn)."""
-    q = pred.agg(F.percentile(F.col(p), [0.25, 0.75]).alias("q")).select(
-        F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
-    j = pred.crossJoin(F.broadcast(q))  # one-row state
+    q1, q3 = fit_quantiles(pred, [p], [0.25, 0.75])[p]
+    j = pred.withColumns({"q1": F.lit(q1), "q3": F.lit(q3)})
     iqr = F.col("q3") - F.col("q1")
     outlier = (F.col(p) < F.col("q1") - 3 * iqr) | (F.col(p) > F.col("q3") + 3 * iqr)
     aggs = [F.count(F.lit(1)).alias("n"), F.sum((F.col(p) < 0).cast("int")).alias("n_negative"),

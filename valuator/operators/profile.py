@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from valuator.functions.columns import clip, safe_log1p
-from valuator.plans.strategy import fit_quantiles, fit_row, ranked
+from valuator.plans.strategy import attach_state, fit_quantiles, fit_row, ranked
 
 
 def _d(c: str) -> Column:
@@ -256,8 +256,12 @@ def quantile_profile(df: DataFrame, col: str, group: str | None = None) -> DataF
 def histogram(df: DataFrame, col: str, bins: int = 50, group: str | None = None) -> DataFrame:
     """Equal-width bins between min and max (per group); the max falls in the last bin."""
     keys = [group] if group else []
-    mm = df.groupBy(*keys).agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
-    j = df.join(F.broadcast(mm), keys, "inner") if keys else df.crossJoin(F.broadcast(mm))  # tiny stats
+    if keys:
+        mm = df.groupBy(*keys).agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
+        j = attach_state(df, mm, keys, "inner")
+    else:
+        r = fit_row(df, F.min(col).alias("lo"), F.max(col).alias("hi"))
+        j = df.withColumns({"_lo": F.lit(r["lo"]), "_hi": F.lit(r["hi"])})
     width = (F.col("_hi") - F.col("_lo"))
     b = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((_d(col) - F.col("_lo")) / width * F.lit(bins)), F.lit(bins - 1))).cast("int")

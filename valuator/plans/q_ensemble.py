@@ -230,7 +230,8 @@ def q_ref_price_feature(spark, sf_dir):
     for name, o in rows:
         r = ev.regression_metrics(o, [], "actual", "prediction").withColumn("stage", F.lit(name))
         out = r if out is None else out.unionByName(r)
-    return out.crossJoin(F.broadcast(te2.agg(F.count("ref_price").alias("test_rows_with_ref"))))
+    n_ref = fit_row(te2, F.count("ref_price").alias("n"))["n"]
+    return out.withColumn("test_rows_with_ref", F.lit(n_ref))
 
 
 _OOF_SQL = """
