@@ -256,7 +256,7 @@ def _final_bound(feats: Sequence[str], m_total: int, widths: dict[tuple[int, int
 
 def knn_impute(df: DataFrame, key: str, target: str, features: Sequence[str], k: int = 5,
                donors: DataFrame | None = None, out: str | None = None, mode: str = "grid",
-               max_receivers_per_chunk: int = MAX_RECEIVERS_PER_CHUNK, per_cell: float = 1.0,
+               max_receivers_per_chunk: int = MAX_RECEIVERS_PER_CHUNK, per_cell: float = 2.0,
                rings: Sequence[int] = (1, 2, 4, 8), scan_threshold: int = 200) -> DataFrame:
     """Fill ``target`` nulls from the k nearest donors (rows with target present).
 
