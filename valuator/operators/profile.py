@@ -169,7 +169,8 @@ def value_counts_top(df: DataFrame, col: str, n: int = 20) -> DataFrame:
 def class_share(df: DataFrame, col: str) -> DataFrame:
     """Normalised frequency (per-value counts are small; total is one more aggregate)."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    total = fit_row(df, F.count(F.lit(1)).alias("n"))["n"]  # literal total: no global window over the values
+    return counts.withColumn("share", F.col("n") / F.lit(float(total)))
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None, only_missing: bool = True) -> DataFrame:

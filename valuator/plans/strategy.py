@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from valuator.session import cut_lineage
 
-MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_ROWS = 50_000
 
 
 def fit_row(df: DataFrame, *aggs: Column) -> Row:
