@@ -240,3 +240,16 @@ def test_sorted_selection_quantiles_equal_percentile(spark):
     assert all(abs(a - b) < 1e-12 for a, b in zip(got, want))
     forced = fit_quantiles(df, ["x"], probs, max_distinct=0)["x"]
     assert all(abs(a - b) < 1e-12 for a, b in zip(forced, want))
+
+
+def test_group_quantiles_ranked_path_equals_percentile(spark):
+    from valuator.plans.strategy import group_quantiles
+    rnd = random.Random(9)
+    df = spark.createDataFrame([(rnd.choice("abbbc"), float(rnd.randint(0, 60)) / 7) for _ in range(900)],
+                               "g string, x double")
+    probs = [0.0, 0.1, 0.5, 0.77, 1.0]
+    want = {r["g"]: r["_q"] for r in df.groupBy("g").agg(F.percentile("x", probs).alias("_q")).collect()}
+    got = {r["g"]: r["_q"] for r in group_quantiles(df, ["g"], "x", probs, max_distinct=0).collect()}
+    assert set(got) == set(want)
+    for g in want:
+        assert all(abs(a - b) < 1e-9 for a, b in zip(got[g], want[g])), g

@@ -17,18 +17,20 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from valuator.plans.strategy import fit_quantiles, fit_row, ranked
+from valuator.plans.strategy import fit_quantiles, fit_row, group_quantiles, ranked
 
 MAX_K = 64
 
 
 def segment_stats(df: DataFrame, segment: str, col: str = "price", full: bool = True) -> DataFrame:
     """Count, min, max, median (mean, std) of ``col`` per segment."""
-    aggs = [F.count(F.lit(1)).alias("n"), F.min(col).alias("min_price"), F.max(col).alias("max_price"),
-            F.percentile(F.col(col), 0.5).alias("median_price")]
+    aggs = [F.count(F.lit(1)).alias("n"), F.min(col).alias("min_price"), F.max(col).alias("max_price")]
     if full:
         aggs += [F.avg(col).alias("mean_price"), F.stddev_samp(col).alias("std_price")]
-    return df.groupBy(segment).agg(*aggs)
+    base = df.groupBy(segment).agg(*aggs)
+    med = group_quantiles(df, [segment], col, [0.5]).select(segment, F.col("_q")[0].alias("median_price"))
+    cols = ["n", "min_price", "max_price", "median_price"] + (["mean_price", "std_price"] if full else [])
+    return base.join(med, segment, "left").select(segment, *cols)
 
 
 # ------------------------------------------------------------------ assignment

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from valuator.operators.segment import error_band
-from valuator.plans.strategy import fit_quantiles, fit_row, prefix_sums
+from valuator.plans.strategy import fit_quantiles, fit_row, group_quantiles, prefix_sums
 
 
 def _col(c: str | Column) -> Column:
@@ -246,8 +246,12 @@ def prediction_sanity(pred: DataFrame, p: str, segment: str | None = None,
 def prediction_stats(pred: DataFrame, p: str, group: Sequence[str] = ()) -> DataFrame:
     """Min, max, mean, median overall or per group."""
     aggs = [F.min(p).alias("min_pred"), F.max(p).alias("max_pred"), F.avg(p).alias("mean_pred"),
-            F.percentile(F.col(p), 0.5).alias("median_pred"), F.count(F.lit(1)).alias("n")]
-    return pred.groupBy(*group).agg(*aggs) if group else pred.agg(*aggs)
+            F.count(F.lit(1)).alias("n")]
+    if not group:
+        med = fit_quantiles(pred, [p], [0.5])[p]
+        return pred.agg(*aggs).withColumn("median_pred", F.lit(med[0] if med else None).cast("double"))
+    med = group_quantiles(pred, list(group), p, [0.5]).select(*group, F.col("_q")[0].alias("median_pred"))
+    return pred.groupBy(*group).agg(*aggs).join(med, list(group), "left")
 
 
 def residual_pairs(df: DataFrame, key: str, y: str, p: str) -> DataFrame:

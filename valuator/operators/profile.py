@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from valuator.functions.columns import clip, safe_log1p
-from valuator.plans.strategy import attach_state, fit_quantiles, fit_row, ranked
+from valuator.plans.strategy import attach_state, fit_quantiles, fit_row, group_quantiles, ranked
 
 
 def _d(c: str) -> Column:
@@ -245,9 +245,12 @@ QUANTILE_PROFILE_PROBS = [0.001, 0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.
 def quantile_profile(df: DataFrame, col: str, group: str | None = None) -> DataFrame:
     """11 quantiles, lower = max(0, q0.001), upper = 1.2·q0.999, mean/std (pop) of log1p."""
     x = _d(col)
-    aggs = [F.percentile(x, QUANTILE_PROFILE_PROBS).alias("_q"), F.avg(F.log1p(x)).alias("log_mean"),
-            F.stddev_pop(F.log1p(x)).alias("log_std")]
-    g = df.groupBy(group).agg(*aggs) if group else df.agg(*aggs)
+    aggs = [F.avg(F.log1p(x)).alias("log_mean"), F.stddev_pop(F.log1p(x)).alias("log_std")]
+    if group:
+        g = df.groupBy(group).agg(*aggs).join(group_quantiles(df, [group], col, QUANTILE_PROFILE_PROBS), group, "left")
+    else:
+        q = fit_quantiles(df, [col], QUANTILE_PROFILE_PROBS)[col]
+        g = df.agg(*aggs).withColumn("_q", F.array(*[F.lit(v) for v in q]) if q else F.lit(None).cast("array<double>"))
     qcols = [F.col("_q")[i].alias(f"q{str(p).replace('.', '_')}") for i, p in enumerate(QUANTILE_PROFILE_PROBS)]
     keep = [group] if group else []
     return g.select(*keep, *qcols, F.greatest(F.lit(0.0), F.col("_q")[0]).alias("lower"),

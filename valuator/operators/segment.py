@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from valuator.functions.columns import clip
-from valuator.plans.strategy import attach_state, fit_quantiles, fit_row
+from valuator.plans.strategy import attach_state, fit_quantiles, fit_row, group_quantiles
 
 # The reference's nine absolute-error bands (inclusive integer
 # bounds; values above the last band, or inside the integer gaps, get id 9).
@@ -119,9 +119,11 @@ def threshold_segments(df: DataFrame, col: str = "price", pct: float = 0.75,
     cut = fit_quantiles(df, [col], [pct])[col][0]
     seg = df.withColumn(out, (F.col(col) > F.lit(cut)).cast("int"))
     stats = seg.groupBy(out).agg(
-        F.min(col).alias("min_price"), F.max(col).alias("max_price"),
-        F.percentile(F.col(col), 0.5).alias("median_price"), F.count(F.lit(1)).alias("n"),
+        F.min(col).alias("min_price"), F.max(col).alias("max_price"), F.count(F.lit(1)).alias("n"),
         F.avg(col).alias("mean_price"), F.stddev_samp(col).alias("std_price"))
+    med = group_quantiles(seg, [out], col, [0.5]).select(out, F.col("_q")[0].alias("median_price"))
+    stats = stats.join(med, out, "left").select(out, "min_price", "max_price", "median_price", "n", "mean_price",
+                                                  "std_price")
     return seg, stats
 
 
@@ -133,7 +135,7 @@ def price_range_class(df: DataFrame, group: str, col: str = "price", mode: str =
     relative: below the median of the group medians -> 'low', above their
     q75 -> 'high', else 'medium'.
     """
-    med = df.groupBy(group).agg(F.percentile(F.col(col), 0.5).alias("median_price"))
+    med = group_quantiles(df, [group], col, [0.5]).select(group, F.col("_q")[0].alias("median_price"))
     if mode == "absolute":
         cls = (F.when(F.col("median_price") < low, "low")
                .when(F.col("median_price") < high, "medium").otherwise("high"))
@@ -160,8 +162,7 @@ def segment_weights(df: DataFrame, segment: str, out: str = "weight") -> DataFra
 def segment_bounds(df: DataFrame, segment: str, col: str = "price",
                    probs: Sequence[float] = (0.01, 0.33, 0.67, 0.99)) -> DataFrame:
     """q01/q33/q67/q99 per segment."""
-    p = F.percentile(F.col(col), list(probs))
-    g = df.groupBy(segment).agg(p.alias("_q"))
+    g = group_quantiles(df, [segment], col, list(probs))
     return g.select(segment, *[F.col("_q")[i].alias(f"q{int(round(pr * 100)):02d}") for i, pr in enumerate(probs)])
 
 

@@ -171,3 +171,38 @@ def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         if c not in out:
             out[c] = sorted_selection_quantiles(df, c, probs)
     return out
+
+
+def group_quantiles(df: DataFrame, group: Sequence[str], col: str | Column, probs: Sequence[float],
+                    out: str = "_q", max_distinct: int = PERCENTILE_MAP_MAX_DISTINCT) -> DataFrame:
+    """Exact per-group quantiles (linear interpolation) as an array column.
+
+    When every group has few distinct values, Spark's ``percentile`` per group
+    is used (its per-group value map is small). Otherwise each group's order
+    statistics are selected by rank: ``ranked`` numbers rows inside groups
+    through a range-partitioned sort (a hot group is spread over many
+    tasks), a small (group, rank) table of the needed ranks is joined back,
+    and the two neighbours of each position are interpolated."""
+    group = list(group)
+    c = F.col(col) if isinstance(col, str) else col
+    probs = [float(p) for p in probs]
+    v = df.select(*group, c.cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    card = fit_row(v.groupBy(*group).agg(F.approx_count_distinct("_v").alias("_d")), F.max("_d").alias("m"))["m"] or 0
+    if card <= max_distinct:
+        return v.groupBy(*group).agg(F.percentile("_v", probs).alias(out))
+    r = ranked(v, group, ["_v"], out="_rn")
+    n = v.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    arr = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("p")) for i, p in enumerate(probs)])
+    t = n.select(*group, "_n", F.explode(arr).alias("_t")).select(
+        *group, F.col("_t.i").alias("_i"), ((F.col("_n") - 1) * F.col("_t.p")).alias("_pos"))
+    t = t.withColumns({"_lo": F.floor("_pos").cast("long") + 1, "_hi": F.ceil("_pos").cast("long") + 1})
+    need = t.select(*group, F.explode(F.array("_lo", "_hi")).alias("_rn")).distinct()
+    picked = attach_state(r, need, [*group, "_rn"], "inner").select(*group, "_rn", "_v")
+    lo = picked.withColumnsRenamed({"_rn": "_lo", "_v": "_lo_v"})
+    hi = picked.withColumnsRenamed({"_rn": "_hi", "_v": "_hi_v"})
+    j = t.join(lo, [*group, "_lo"]).join(hi, [*group, "_hi"])
+    pos = F.col("_pos")
+    val = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo_v")).otherwise(
+        (F.ceil(pos) - pos) * F.col("_lo_v") + (pos - F.floor(pos)) * F.col("_hi_v"))
+    return (j.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("_i", val.alias("_x")))).alias("_s"))
+            .select(*group, F.transform("_s", lambda e: e["_x"]).alias(out)))
