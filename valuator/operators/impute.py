@@ -487,7 +487,9 @@ def impute_cluster_median(df: DataFrame, target: str, features: Sequence[str], k
     zv = va.transform(z)
     model = KMeans(k=k, seed=seed, featuresCol="_fv", predictionCol="_cl").fit(zv.filter(F.col(target).isNotNull()))
     lab = model.transform(zv)
-    med = lab.filter(F.col(target).isNotNull()).groupBy("_cl").agg(F.percentile(_d(target), 0.5).alias("_med"))
+    from valuator.plans.strategy import group_quantiles
+    med = group_quantiles(lab.filter(F.col(target).isNotNull()), ["_cl"], _d(target), [0.5]).select(
+        "_cl", F.col("_q")[0].alias("_med"))
     top = (lab.filter(F.col(target).isNull()).groupBy("_cl").agg(F.count(F.lit(1)).alias("_n"))
            .orderBy(F.col("_n").desc(), "_cl").limit(1))
     fill = top.join(med, "_cl").select("_med")

@@ -148,13 +148,15 @@ def iqr_filter(df: DataFrame, cols: Sequence[str], k: float = 1.5, mode: str = "
 def describe_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, std (sample), min, q25, q50, q75, max per column (exact quantiles)."""
     stats = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
+    qs = fit_quantiles(df, list(cols), [0.25, 0.5, 0.75])
     aggs = []
     for c in cols:
         x = _d(c)
-        q = F.percentile(x, [0.25, 0.5, 0.75])
+        q = qs[c] or [None, None, None]
         aggs.append(F.struct(F.count(x).cast("double").alias("count"), F.avg(x).alias("mean"),
-                             F.stddev_samp(x).alias("std"), F.min(x).alias("min"), q[0].alias("q25"),
-                             q[1].alias("q50"), q[2].alias("q75"), F.max(x).alias("max")).alias(c))
+                             F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
+                             F.lit(q[0]).cast("double").alias("q25"), F.lit(q[1]).cast("double").alias("q50"),
+                             F.lit(q[2]).cast("double").alias("q75"), F.max(x).alias("max")).alias(c))
     wide = df.agg(*aggs)
     long = wide.unpivot([], list(cols), "column", "s")
     return long.select("column", *[F.col(f"s.{s}").alias(s) for s in stats])
