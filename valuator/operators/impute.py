@@ -19,6 +19,7 @@ evaluations (see README for the blocked mode planned next).
 from __future__ import annotations
 
 import itertools
+import logging
 import math
 from collections.abc import Sequence
 
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from valuator.plans.strategy import attach_state, fit_quantiles, fit_row
 
 MAX_RECEIVERS_PER_CHUNK = 50_000
+_log = logging.getLogger("valuator.knn")
 
 
 def _d(c: str) -> Column:
@@ -166,7 +168,8 @@ def _grid_widths(don: DataFrame, feats: Sequence[str], k: int, per_cell: float)
     m = len(feats)
     st = (don.withColumn("_q", _pattern(feats, "_d_")).groupBy("_q")
           .agg(F.count(F.lit(1)).alias("n"), *[F.min(f"_d_{f}").alias(f"lo{i}") for i, f in enumerate(feats)],
-               *[F.max(f"_d_{f}").alias(f"hi{i}") for i, f in enumerate(feats)]).collect())
+               *[F.max(f"_d_{f}").alias(f"hi{i}") for i, f in enumerate(feats)],
+               *[F.approx_count_distinct(f"_d_{f}").alias(f"nd{i}") for i, f in enumerate(feats)]).collect())
     widths: dict[tuple[int, int], float] = {}
     for r in st:
         q, n = int(r["_q"]), int(r["n"])
@@ -185,7 +188,10 @@ def _grid_widths(don: DataFrame, feats: Sequence[str], k: int, per_cell: float)
                 w = (vol / target) ** (1.0 / len(live))
                 if w <= live[0]:
                     break
-            widths[(q, cm)] = max(w, 1e-9)
+            # discrete coordinates: a cell narrower than twice the spacing of the
+            # distinct values only splits identical values apart
+            spacing = max(float(r[f"hi{i}"] - r[f"lo{i}"]) / max(int(r[f"nd{i}"]) - 1, 1) for i in dims)
+            widths[(q, cm)] = max(w, 2.0 * spacing, 1e-9)
     return widths
 
 
@@ -257,7 +263,7 @@ def _final_bound(feats: Sequence[str], m_total: int, widths: dict[tuple[int, int
 def knn_impute(df: DataFrame, key: str, target: str, features: Sequence[str], k: int = 5,
                donors: DataFrame | None = None, out: str | None = None, mode: str = "grid",
                max_receivers_per_chunk: int = MAX_RECEIVERS_PER_CHUNK, per_cell: float = 2.0,
-               rings: Sequence[int] = (1, 2, 4, 8), scan_threshold: int = 200) -> DataFrame:
+               levels: int = 8, coarsen: float = 3.0) -> DataFrame:
     """Fill ``target`` nulls from the k nearest donors (rows with target present).
 
     Distance over the columns [features..., target]: sqrt(m_total / m_present
@@ -267,11 +273,13 @@ def knn_impute(df: DataFrame, key: str, target: str, features: Sequence[str], k:
     donor get the donor mean.
 
     mode='grid' (default, exact): candidates come from an equi-join on grid
-    cells (``_grid_pairs``). A donor outside the ring is farther than
-    sqrt(m_total/m)·ring·w, so a receiver whose k-th candidate distance is
-    below that bound is final; the others retry with a wider ring, and the
-    few left after the last ring are scanned against all donors in bounded
-    broadcast chunks. mode='scan': the chunked scan for every receiver.
+    cells (``_grid_pairs``, the 3^|C| cells around the receiver). A donor
+    outside them is farther than sqrt(m_total/|C|)·w, so a receiver whose
+    k-th candidate distance is below that bound is final; the others retry on
+    a grid coarsened by ``coarsen`` (the bound grows with it). Only receivers
+    that have fewer than k comparable donors in the whole table are left
+    after the coarsest level; they are scanned in bounded broadcast chunks.
+    mode='scan': the chunked scan for every receiver (reference check).
     """
     out = out or target
     donors = df if donors is None else donors
@@ -292,21 +300,35 @@ def knn_impute(df: DataFrame, key: str, target: str, features: Sequence[str], k:
     elif mode == "grid":
         from valuator.session import cut_lineage
         don = don.persist()
-        widths = _grid_widths(don, feats, k, per_cell)
-        pending = rec_all
-        for ring in rings:
-            cand = _top_k(_grid_pairs(don, pending, feats, m_total, widths, ring), k)
+        base = _grid_widths(don, feats, k, per_cell)
+        # receivers without any present feature have no comparable donor: they get the mean
+        pending = rec_all.filter(_pattern(feats, "_r_") > 0)
+        previous, stalled = None, 0
+        for level in range(levels):
+            # level L searches the 3^|C| neighbouring cells of a grid coarsened by coarsen^L
+            widths = {key_: w * coarsen ** level for key_, w in base.items()}
+            cand = _top_k(_grid_pairs(don, pending, feats, m_total, widths, 1), k)
             cand = cut_lineage(cand)  # reused twice below; survives executor loss
             status = cand.groupBy("_rk").agg(F.count(F.lit(1)).alias("_n"), F.max("_dist").alias("_dk_max"))
-            bound = pending.select("_rk", _final_bound(feats, m_total, widths, ring).alias("_bound"))
+            bound = pending.select("_rk", _final_bound(feats, m_total, widths, 1).alias("_bound"))
             final = (status.join(bound, "_rk").filter((F.col("_n") >= k) & (F.col("_dk_max") < F.col("_bound")))
                      .select("_rk"))
             tops.append(cand.join(final, "_rk", "left_semi"))
             pending = cut_lineage(pending.join(final, "_rk", "left_anti"))
-            left = pending.limit(scan_threshold + 1).count()
-            if left <= scan_threshold:
-                break  # the few left go to the exact scan below
-        tops += [_top_k(p, k) for p in _scan_pairs(don, pending, feats, m_total, max_receivers_per_chunk)]
+            left = pending.count()
+            _log.info("knn level %d: %d receivers open", level, left)
+            if left == 0:
+                break
+            stalled = stalled + 1 if left == previous else 0
+            if stalled >= 2:
+                # two coarser grids without progress: these receivers lack k comparable donors
+                tops += [_top_k(p, k) for p in _scan_pairs(don, pending, feats, m_total, max_receivers_per_chunk)]
+                break
+            previous = left
+        else:
+            # receivers still open after the coarsest level (fewer than k comparable donors
+            # anywhere): bounded broadcast chunks against the donors
+            tops += [_top_k(p, k) for p in _scan_pairs(don, pending, feats, m_total, max_receivers_per_chunk)]
     else:
         raise ValueError("mode must be grid|scan")
 
