@@ -88,7 +88,6 @@ def test_label_codes_unseen(spark):
 
 def test_fuzzy_fill_blocking_is_exact(spark):
     makes = ["toyota", "honda", "mercedes-benz", "bmw", "mazda"]
-    rnd = random.Random(1)
     data = [(i, m, f"{m} x") for i, m in enumerate(makes * 3)]
     words = ["toyot", "hondaa", "mercedes", "bnw", "mazdaz", "xyz", "b", "hond"]
     data += [(100 + i, None, f"{w} y") for i, w in enumerate(words)]
@@ -110,7 +109,6 @@ def test_fuzzy_fill_blocking_is_exact(spark):
             if s >= 0.8 and (best is None or s > best[0]):
                 best = (s, m)
         assert got[100 + i] == (best[1] if best else w)
-    del rnd
 
 
 # ------------------------------------------------------------------ distributed helpers

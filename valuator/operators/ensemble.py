@@ -215,7 +215,6 @@ def stacked_meta_model(oof: DataFrame, preds: Sequence[str], y: str, fold: str,
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor, LinearRegression
-    cols = [*preds, *passthrough]
     from valuator.functions.columns import safe_log1p
     data = oof.withColumn("_ly", F.log1p(y)).withColumns({f"_lp_{p}": safe_log1p(p) for p in preds})
     inputs = [f"_lp_{p}" for p in preds] + list(passthrough)
@@ -237,7 +236,6 @@ def stacked_meta_model(oof: DataFrame, preds: Sequence[str], y: str, fold: str,
     full = make().fit(data)
     res = oof_meta.withColumn("meta_prediction", F.expm1("_meta")).drop("_fv", "_meta", "_ly",
                                                                         *[f"_lp_{p}" for p in preds])
-    del cols
     return full, res
 
 
