@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from valuator.operators.segment import error_band
-from valuator.plans.strategy import fit_quantiles, fit_row, group_quantiles, prefix_sums
+from valuator.plans.strategy import attach_state, fit_quantiles, fit_row, group_quantiles, prefix_sums
 
 
 def _col(c: str | Column) -> Column:
@@ -232,7 +232,7 @@ def prediction_sanity(pred: DataFrame, p: str, segment: str | None = None,
     aggs = [F.count(F.lit(1)).alias("n"), F.sum((F.col(p) < 0).cast("int")).alias("n_negative"),
             F.avg(outlier.cast("double")).alias("outlier_share")]
     if segment is not None and seg_stats is not None:
-        j = j.join(F.broadcast(seg_stats.select(segment, "min_price", "max_price")), segment, "left")
+        j = attach_state(j, seg_stats.select(segment, "min_price", "max_price"), segment, "left")
         out_seg = (F.col(p) < 0.5 * F.col("min_price")) | (F.col(p) > 1.5 * F.col("max_price"))
         aggs.append(F.avg(F.coalesce(out_seg, F.lit(False)).cast("double")).alias("segment_out_share"))
     res = j.agg(*aggs)
