@@ -251,3 +251,14 @@ def test_group_quantiles_ranked_path_equals_percentile(spark):
     assert set(got) == set(want)
     for g in want:
         assert all(abs(a - b) < 1e-9 for a, b in zip(got[g], want[g])), g
+
+
+def test_attach_state_falls_back_to_shuffle_join(spark):
+    from valuator.plans.strategy import attach_state, localize
+    big = spark.range(200).withColumn("g", F.col("id") % 50)
+    state = big.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    _, small = localize(state, max_rows=10)
+    assert not small  # 50 groups > 10: not pulled to the driver
+    a = attach_state(big, state, "g", "left", max_rows=10)
+    b = attach_state(big, state, "g", "left", max_rows=1000)
+    assert a.filter("n = 4").count() == 200 and b.filter("n = 4").count() == 200
