@@ -262,3 +262,14 @@ def test_attach_state_falls_back_to_shuffle_join(spark):
     a = attach_state(big, state, "g", "left", max_rows=10)
     b = attach_state(big, state, "g", "left", max_rows=1000)
     assert a.filter("n = 4").count() == 200 and b.filter("n = 4").count() == 200
+
+
+def test_knn_donor_starved_receivers_use_covering_grid(spark):
+    rows_ = [(i, float(i % 13), None, float(i)) for i in range(60)]          # donors with a only
+    rows_ += [(100, None, 5.0, 1000.0), (101, None, 900.0, 2000.0)]         # only two donors with b
+    rows_ += [(200, None, 7.0, None), (201, 3.0, None, None), (202, 2.0, 400.0, None)]
+    df = spark.createDataFrame(rows_, "k int, a double, b double, t double")
+    g = dict(rows(I.knn_impute(df, "k", "t", ["a", "b"], 3, mode="grid"), "k", "t"))
+    s = dict(rows(I.knn_impute(df, "k", "t", ["a", "b"], 3, mode="scan"), "k", "t"))
+    for key in (200, 201, 202):
+        assert abs(g[key] - s[key]) < 1e-9, key

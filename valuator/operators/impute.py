@@ -247,6 +247,20 @@ def _grid_pairs(don: DataFrame, rec: DataFrame, feats: Sequence[str], m_total: i
     return j.select("_rk", "_dk", "_dv", _knn_distance(feats, m_total).alias("_dist")).filter(F.col("_dist").isNotNull())
 
 
+def _coordinate_span(don: DataFrame, rec: DataFrame, feats: Sequence[str]) -> float:
+    """A width larger than the range of every coordinate over donors and receivers."""
+    d = fit_row(don, *[F.min(f"_d_{f}").alias(f"a{i}") for i, f in enumerate(feats)],
+                *[F.max(f"_d_{f}").alias(f"b{i}") for i, f in enumerate(feats)])
+    r = fit_row(rec, *[F.min(f"_r_{f}").alias(f"a{i}") for i, f in enumerate(feats)],
+                *[F.max(f"_r_{f}").alias(f"b{i}") for i, f in enumerate(feats)])
+    span = 1.0
+    for i in range(len(feats)):
+        lo = min(v for v in (d[f"a{i}"], r[f"a{i}"]) if v is not None) if (d[f"a{i}"] is not None or r[f"a{i}"] is not None) else 0.0
+        hi = max(v for v in (d[f"b{i}"], r[f"b{i}"]) if v is not None) if (d[f"b{i}"] is not None or r[f"b{i}"] is not None) else 0.0
+        span = max(span, (hi - lo) * 1.01 + 1.0)
+    return span
+
+
 def _final_bound(feats: Sequence[str], m_total: int, widths: dict[tuple[int, int], float], ring: int) -> Column:
     """Per receiver pattern p: any donor outside the searched ring is farther
     than min over donor patterns q of sqrt(m_total/|p∩q|)·ring·w[q, p∩q]."""
@@ -276,10 +290,11 @@ def knn_impute(df: DataFrame, key: str, target: str, features: Sequence[str], k:
     cells (``_grid_pairs``, the 3^|C| cells around the receiver). A donor
     outside them is farther than sqrt(m_total/|C|)·w, so a receiver whose
     k-th candidate distance is below that bound is final; the others retry on
-    a grid coarsened by ``coarsen`` (the bound grows with it). Only receivers
-    that have fewer than k comparable donors in the whole table are left
-    after the coarsest level; they are scanned in bounded broadcast chunks.
-    mode='scan': the chunked scan for every receiver (reference check).
+    a grid coarsened by ``coarsen`` (the bound grows with it). Receivers still
+    open when the coarsening stops helping (they have fewer than k comparable
+    donors in the whole table) finish on a grid whose cells span every
+    coordinate's range, which reaches all their comparable donors.
+    mode='scan': broadcast receiver chunks against all donors (reference check).
     """
     out = out or target
     donors = df if donors is None else donors
@@ -303,7 +318,7 @@ def knn_impute(df: DataFrame, key: str, target: str, features: Sequence[str], k:
         base = _grid_widths(don, feats, k, per_cell)
         # receivers without any present feature have no comparable donor: they get the mean
         pending = rec_all.filter(_pattern(feats, "_r_") > 0)
-        previous, stalled = None, 0
+        previous, stalled, left = None, 0, 1
         for level in range(levels):
             # level L searches the 3^|C| neighbouring cells of a grid coarsened by coarsen^L
             widths = {key_: w * coarsen ** level for key_, w in base.items()}
@@ -321,14 +336,15 @@ def knn_impute(df: DataFrame, key: str, target: str, features: Sequence[str], k:
                 break
             stalled = stalled + 1 if left == previous else 0
             if stalled >= 2:
-                # two coarser grids without progress: these receivers lack k comparable donors
-                tops += [_top_k(p, k) for p in _scan_pairs(don, pending, feats, m_total, max_receivers_per_chunk)]
-                break
+                break  # two coarser grids without progress: finish with the covering grid below
             previous = left
-        else:
-            # receivers still open after the coarsest level (fewer than k comparable donors
-            # anywhere): bounded broadcast chunks against the donors
-            tops += [_top_k(p, k) for p in _scan_pairs(don, pending, feats, m_total, max_receivers_per_chunk)]
+        if left:
+            # a grid whose cell is wider than every coordinate's whole range: the 3^|C| cells
+            # around a receiver hold every comparable donor, so its top k is final (used for
+            # the few receivers that have fewer than k comparable donors in the whole table)
+            span = _coordinate_span(don, pending, feats)
+            widths = {key_: span for key_ in base}
+            tops.append(_top_k(_grid_pairs(don, pending, feats, m_total, widths, 1), k))
     else:
         raise ValueError("mode must be grid|scan")
 
