@@ -4,11 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuator.llm import line_dedup, simhash_dedup, substring_dedup
+from valuator.llm import (
+    decontaminate,
+    fingerprints,
+    html_extract,
+    language_id,
+    line_dedup,
+    packing,
+    sharding,
+    simhash_dedup,
+    substring_dedup,
+    token_counts,
+)
 from valuator.llm.common import documents
+from valuator.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -48,6 +61,37 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_spans(documents(spark, sf_dir)).drop("row")
 
 
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from the labelled ones that are not held out."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    return language_id.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op3_benchmark_decontamination")
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every place where a document holds a benchmark item with at most a fifth of its words edited."""
+    return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query("op4_document_fingerprints")
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited form; n_near: for ids divisible by 50, other documents within 3 bits."""
+    prints = cut_lineage(fingerprints.edited_fingerprints(documents(spark, sf_dir)))
+    chosen = prints.filter("doc_id % 50 = 0")
+    pairs = fingerprints.within_radius(chosen, prints, radius=3)
+    sizes = prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("size"))
+    near = pairs.join(sizes, "fingerprint").groupBy("query").agg((F.sum("size") - 1).alias("n_near"))
+    asked = chosen.select("doc_id", F.col("fingerprint").alias("query")).join(near, "query").select("doc_id", "n_near").distinct()
+    return prints.join(asked, "doc_id", "left")
+
+
+@query("op5_token_counts")
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces and best score of every document under the 32k vocabulary taken as a unigram model."""
+    return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("op6_line_dedup")
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line with its class, the links of the class, and whether the line stays."""
@@ -59,3 +103,25 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of every document: 3-word shingles, 2 bits."""
     out = simhash_dedup.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=2)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op8_sharding")
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A uniform shuffle of all documents into 8 shards whose row counts are at most one apart."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return sharding.shard_uniformly(documents(spark, sf_dir), shards=8).select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op9_best_fit_packing")
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document, packed into sequences of at most 2,048 tokens."""
+    return packing.pack(packing.token_pieces(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query("op10_html_extraction")
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    out = html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "has_wrapper")
