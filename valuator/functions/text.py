@@ -40,12 +40,12 @@ def extract_expiry(c: str | Column) -> Column:
 def clean_token(c: str | Column) -> Column:
     """Lowercase, '/'->'_', drop non-word characters, whitespace runs -> '_'.
 
-    Word characters are ASCII ``[a-z0-9_]`` (the fixtures are ASCII; Java and
-    RE2 agree on this class). Null input gives '' as in the later variant.
+    Word characters are letters and digits of any script, and '_'.
+    Null input gives '' as in the later variant.
     """
     s = F.lower(_col(c))
     s = F.replace(s, F.lit("/"), F.lit("_"))
-    s = F.regexp_replace(s, r"[^a-z0-9_\s]", "")
+    s = F.regexp_replace(s, r"[^\p{L}\p{N}_\s]", "")
     s = F.regexp_replace(s, r"\s+", "_")
     return F.coalesce(F.trim(s), F.lit(""))
 

@@ -11,7 +11,7 @@ k-means++ and mixture variants.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from valuator.plans.strategy import fit_quantiles, fit_row, group_quantiles, ranked
 
+#: Centres that travel as literals, unless the caller asks for more.
 MAX_K = 64
 
 
@@ -43,10 +44,11 @@ def sq_distance(features: Sequence[str | Column], center: Sequence[float]) -> Co
     return out
 
 
-def nearest_center(features: Sequence[str | Column], centers: Sequence[Sequence[float]]) -> Column:
-    """Index of the closest centre (squared Euclidean; ties -> lowest index)."""
-    if not 1 <= len(centers) <= MAX_K:
-        raise ValueError(f"need 1..{MAX_K} centres")
+def nearest_center(features: Sequence[str | Column], centers: Sequence[Sequence[float]], max_k: int = MAX_K) -> Column:
+    """Index of the closest centre (squared Euclidean; ties -> lowest index).
+    The expression has a term per centre, so their number is held to ``max_k``."""
+    if not 1 <= len(centers) <= max_k:
+        raise ValueError(f"need 1..{max_k} centres")
     d = [sq_distance(features, c) for c in centers]
     m = F.least(*d) if len(d) > 1 else d[0]
     expr = None
@@ -126,8 +128,17 @@ def band_init(df: DataFrame, features: Sequence[str | Column], price: str | Colu
 
 # ------------------------------------------------------------------ C1, C2, C7, C8, C11
 def _assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
+    """Feature vector of every row; nulls count as the column's median (0 where there is none)."""
     from pyspark.ml.feature import VectorAssembler
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="skip").transform(df)
+    nulls = fit_row(df, *[F.count(F.when(F.col(f).isNull() | F.isnan(F.col(f).cast("double")), 1)).alias(f) for f in features])
+    holes = [f for f in features if nulls[f]]
+    medians = fit_quantiles(df, holes, [0.5]) if holes else {}
+    value = {f: F.col(f).cast("double") for f in features}
+    for f in holes:
+        value[f] = F.coalesce(F.nanvl(value[f], F.lit(None)), F.lit(float(medians[f][0]) if medians[f] else 0.0))
+    names = [f"_a{i}" for i in range(len(features))]
+    filled = df.withColumns(dict(zip(names, value.values())))
+    return VectorAssembler(inputCols=names, outputCol=out, handleInvalid="error").transform(filled).drop(*names)
 
 
 def choose_k_silhouette(df: DataFrame, features: Sequence[str], k_range: Sequence[int] = range(2, 6),
@@ -159,15 +170,16 @@ def kmeans_segments(df: DataFrame, features: Sequence[str], k: int, restarts: in
         m = KMeans(k=k, seed=seed + r, featuresCol="features", predictionCol=out).fit(data)
         if best is None or m.summary.trainingCost < best.summary.trainingCost:
             best = m
-    labelled = best.transform(data).drop("features")
-    return best, labelled
+    data.unpersist()
+    return best, best.transform(_assemble(df, features)).drop("features")
 
 
-def gmm_segments_bic(df: DataFrame, features: Sequence[str], n_range: Sequence[int] = range(2, 6),
+def gmm_segments_bic(df: DataFrame, features: Sequence[str], n_range: Sequence[int] = range(2, 11),
                      seed: int = 42, min_silhouette: float = 0.2) -> tuple[int, DataFrame]:
     """GaussianMixture per n on the given (already log/standardised)
     features; BIC = −2·logLik + p·ln(n_rows); among silhouette > 0.2 pick the
-    lowest BIC, else the lowest BIC overall."""
+    lowest BIC, else the lowest BIC overall. A mixture that puts all rows in
+    one cluster has no silhouette (NaN)."""
     from pyspark.ml.clustering import GaussianMixture
     from pyspark.ml.evaluation import ClusteringEvaluator
     data = _assemble(df, features).select("features").persist()
@@ -181,11 +193,8 @@ def gmm_segments_bic(df: DataFrame, features: Sequence[str], n_range: Sequence[i
         p = n * d + n * d * (d + 1) / 2 + (n - 1)
         bic = -2.0 * ll + p * math.log(n_rows)
         pred = m.transform(data)
-        try:
-            s = float(ev.evaluate(pred))
-        except Exception:  # noqa: BLE001 - a single populated cluster has no silhouette
-            s = float("nan")
-        res.append((int(n), bic, s))
+        several = pred.select("prediction").distinct().limit(2).count() > 1
+        res.append((int(n), bic, float(ev.evaluate(pred)) if several else float("nan")))
     data.unpersist()
     ok = [r for r in res if r[2] == r[2] and r[2] > min_silhouette]
     best = min(ok or res, key=lambda r: (r[1], r[0]))[0]
@@ -193,6 +202,15 @@ def gmm_segments_bic(df: DataFrame, features: Sequence[str], n_range: Sequence[i
     return best, table
 
 
+def gmm_label(df: DataFrame, features: Sequence[str], n: int, seed: int = 42, out: str = "cluster") -> DataFrame:
+    """The mixture of n components fitted on all rows, and each row's most likely one."""
+    from pyspark.ml.clustering import GaussianMixture
+    data = _assemble(df, features).persist()
+    m = GaussianMixture(k=n, seed=seed, featuresCol="features", predictionCol=out, probabilityCol="_prob").fit(data)
+    data.unpersist()
+    return m.transform(_assemble(df, features)).drop("features", "_prob")
+
+
 def gmm_segments_combined(table: DataFrame) -> DataFrame:
     """score = minmax(BIC) − minmax(silhouette) over the candidate table
     (one row per candidate n); zero ranges give 0. Lowest score first."""
@@ -236,31 +254,33 @@ def assign_no_price(df: DataFrame, features: Sequence[str], centers: Sequence[Se
 
 
 # ------------------------------------------------------------------ C9
-def merge_weak_segments(centers: dict[int, Sequence[float]], rmse: dict[int, float], threshold: float,
-                        rounds: int = 3) -> dict[int, int]:
-    """Map of segment -> target segment. A segment whose RMSE is above the
-    threshold merges into its nearest centre unless that one is weak too;
-    repeated up to ``rounds`` times. Works on the k centres (k small)."""
+def merge_round(centers: dict[int, Sequence[float]], weak: Sequence[int]) -> dict[int, int]:
+    """Weak segment -> nearest other centre (lowest id of equals), unless that segment is weak too."""
+    out = {}
+    for s in weak:
+        near = min((sum((a - b) ** 2 for a, b in zip(centers[s], c)), o) for o, c in centers.items() if o != s)[1]
+        if near not in weak:
+            out[s] = near
+    return out
+
+
+def merge_weak_segments(df: DataFrame, segment: str, centers: dict[int, Sequence[float]],
+                        rmse_of: Callable[[DataFrame, str], dict[int, float]], threshold: float, rounds: int = 3,
+                        out: str = "merged_segment") -> tuple[DataFrame, dict[int, int]]:
+    """Segments whose RMSE is above the threshold merge into their nearest
+    centre, unless that one is weak too. ``rmse_of(frame, column)`` scores the
+    segments as they are merged so far, again before each round; the last of
+    ``rounds`` scorings merges nothing. The centres stay those of the start.
+    Returns the rows with the merged segment and the map."""
     mapping = {s: s for s in centers}
-    cur = dict(centers)
-    weak_rmse = dict(rmse)
-    for _ in range(rounds):
-        changed = False
-        for s in sorted(cur):
-            if weak_rmse.get(s, 0.0) <= threshold or len(cur) <= 1:
-                continue
-            others = [(sum((a - b) ** 2 for a, b in zip(cur[s], cur[o])), o) for o in cur if o != s]
-            _, tgt = min(others)
-            if weak_rmse.get(tgt, 0.0) > threshold:
-                continue
-            for src, dst in mapping.items():
-                if dst == s:
-                    mapping[src] = tgt
-            del cur[s]
-            changed = True
-        if not changed:
+    for k in range(rounds):
+        cur = df.withColumn(out, apply_mapping(segment, mapping))
+        weak = sorted(s for s, r in rmse_of(cur, out).items() if r is not None and r > threshold)
+        step = merge_round(centers, weak) if len(centers) > 1 and k < rounds - 1 else {}
+        if not step:
             break
-    return mapping
+        mapping = {s: step.get(t, t) for s, t in mapping.items()}
+    return df.withColumn(out, apply_mapping(segment, mapping)), mapping
 
 
 def apply_mapping(c: str | Column, mapping: dict[int, int]) -> Column:

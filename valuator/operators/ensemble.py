@@ -124,18 +124,53 @@ def _project_simplex(v: np.ndarray) -> np.ndarray:
     return np.maximum(v - theta, 0.0)
 
 
-def entropy_weights(g: Gram, alpha: float = 0.01, beta: float = 0.01, steps: int = 2000) -> np.ndarray:
-    """Minimise mse(w) + α‖w‖² − β·H(w) over the simplex by projected
-    gradient (mse from the Gram statistics, scaled by the target variance)."""
+def _simplex_quadratic(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Exact minimiser of w·q·w − 2c·w over the simplex for small k: best feasible
+    solution over all supports."""
+    k = len(c)
+    best, best_obj = np.full(k, 1.0 / k), float("inf")
+    for r in range(1, k + 1):
+        for idx in map(list, itertools.combinations(range(k), r)):
+            kkt = np.zeros((r + 1, r + 1))
+            kkt[:r, :r], kkt[:r, r], kkt[r, :r] = 2 * q[np.ix_(idx, idx)], 1.0, 1.0
+            try:
+                x = np.linalg.solve(kkt, np.append(2 * c[idx], 1.0))[:r]
+            except np.linalg.LinAlgError:
+                continue
+            if np.any(x < -1e-12):
+                continue
+            w = np.zeros(k)
+            w[idx] = np.maximum(x, 0.0)
+            obj = w @ q @ w - 2 * c @ w
+            if obj < best_obj:
+                best, best_obj = w / w.sum(), obj
+    return best
+
+
+def entropy_objective(g: Gram, w: np.ndarray, alpha: float = 0.1, beta: float = 0.05) -> float:
+    """mse(w) + α‖w‖² + β·H(w), H(w) = −Σ w·ln(w)."""
+    return g.sse(w) / g.n + alpha * float(w @ w) - beta * float(np.sum(w * np.log(w + 1e-10)))
+
+
+def entropy_weights(g: Gram, alpha: float = 0.1, beta: float = 0.05, steps: int = 500) -> np.ndarray:
+    """Minimise mse(w) + α‖w‖² + β·H(w) over the simplex, mse as it is.
+
+    The first two terms have an exact minimiser; from there, and from each
+    corner (the entropy term is concave, and it is 0 there), projected
+    gradient steps on the whole objective; the best of them wins."""
     k = len(g.models)
-    scale = max(g.yty / g.n, 1e-12)
-    w = np.full(k, 1.0 / k)
-    lr = 0.5 / (np.linalg.eigvalsh(g.ptp / g.n / scale).max() + alpha + 1e-12)
-    for _ in range(steps):
-        grad_mse = 2 * (g.ptp @ w - g.pty) / g.n / scale
-        grad_ent = beta * (np.log(np.clip(w, 1e-12, None)) + 1.0)
-        w = _project_simplex(w - lr * (grad_mse + 2 * alpha * w + grad_ent))
-    return w
+    q, c = g.ptp / g.n + alpha * np.eye(k), g.pty / g.n
+    lr = 0.5 / np.linalg.eigvalsh(q).max()
+    best = None
+    for w in [_simplex_quadratic(q, c), *np.eye(k)]:
+        for _ in range(steps):
+            new = _project_simplex(w - lr * (2 * (q @ w - c) - beta * (np.log(w + 1e-10) + w / (w + 1e-10))))
+            if entropy_objective(g, new, alpha, beta) >= entropy_objective(g, w, alpha, beta):
+                break
+            w = new
+        if best is None or entropy_objective(g, w, alpha, beta) < entropy_objective(g, best, alpha, beta):
+            best = w
+    return best
 
 
 def nonneg_ridge(ptp: np.ndarray, pty: np.ndarray, alpha: float = 1.0) -> np.ndarray:
@@ -160,45 +195,71 @@ def nonneg_ridge(ptp: np.ndarray, pty: np.ndarray, alpha: float = 1.0) -> np.nda
     return best
 
 
-def stacked_nonneg_ridge(oof: DataFrame, preds: Sequence[str], y: str, fold: str,
-                         alpha: float = 1.0) -> tuple[DataFrame, np.ndarray]:
-    """K-fold non-negative ridge (no intercept) on OOF predictions. Per
-    fold the weights are fitted on the other folds (Gram of all minus Gram of
-    the fold, from ONE groupBy(fold)); returns per-fold (rmse, r2, weights)
-    and the average weight vector used for the test prediction."""
-    per = gram(oof, preds, y, group=fold)
+def stacked_nonneg_ridge(oof: DataFrame, preds: Sequence[str], y: str, fold: str, alpha: float = 1.0,
+                         test: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """K-fold non-negative ridge (no intercept) on OOF predictions; a
+    prediction that is missing counts as the mean of its column.
+
+    Per fold the weights are fitted on the other folds (Gram of all minus Gram
+    of the fold, from ONE groupBy(fold)). Returns the fold table (rmse, r2,
+    weights), the rows of ``oof`` with the blend of their own fold's weights,
+    and the rows of ``test`` with the blend averaged over folds."""
+    means = fit_row(oof, *[F.avg(p).alias(p) for p in preds])
+
+    def filled(df: DataFrame) -> DataFrame:
+        return df.withColumns({p: F.coalesce(F.col(p).cast("double"), F.lit(means[p])) for p in preds})
+
+    full = filled(oof)
+    per = gram(full, preds, y, group=fold)
     total_ptp = sum(g.ptp for g in per.values())
     total_pty = sum(g.pty for g in per.values())
-    rows, ws = [], []
+    rows, ws = [], {}
     for f, g in sorted(per.items()):
-        w = nonneg_ridge(total_ptp - g.ptp, total_pty - g.pty, alpha)
-        ws.append(w)
+        w = ws[f] = nonneg_ridge(total_ptp - g.ptp, total_pty - g.pty, alpha)
         sst = g.yty - g.sum_y ** 2 / g.n
         rows.append((int(f), g.rmse(w), 1.0 - g.sse(w) / sst if sst > 0 else None, [float(x) for x in w]))
     table = oof.sparkSession.createDataFrame(rows, "fold int, rmse double, r2 double, weights array<double>")
-    return table, np.mean(ws, axis=0)
+    blend = None
+    for f, w in ws.items():
+        own = apply_weights(preds, w)
+        blend = F.when(F.col(fold) == f, own) if blend is None else blend.when(F.col(fold) == f, own)
+    blended = full.withColumn("blend", blend)
+    mean_w = np.mean(list(ws.values()), axis=0)
+    return table, blended, None if test is None else filled(test).withColumn("blend", apply_weights(preds, mean_w))
 
 
-def grid_weights(g: Gram, step: float = 0.05, lo: float = 0.0, hi: float = 1.0) -> tuple[np.ndarray, float]:
+def grid_weights(g: Gram, step: float = 0.05, lo: float | Sequence[float] = 0.0,
+                 hi: float | Sequence[float] = 1.0) -> tuple[np.ndarray, float]:
     """Every weight vector on a ``step`` grid with Σw = 1 and each weight
-    in [lo, hi]; the RMSE of each comes exactly from the Gram statistics, so
-    the whole grid costs one aggregate. Lowest RMSE (first in grid order) wins."""
+    in [lo, hi], one range for all models or one per model; the RMSE of each
+    comes exactly from the Gram statistics, so the whole grid costs one
+    aggregate. Lowest RMSE (first in grid order) wins."""
     k = len(g.models)
     m = int(round(1.0 / step))
+    low, high = np.broadcast_to(lo, k), np.broadcast_to(hi, k)
     best, best_rmse = None, float("inf")
     for combo in itertools.product(range(m + 1), repeat=k - 1):
         last = m - sum(combo)
         if last < 0:
             continue
         w = np.array([*combo, last], dtype=float) / m
-        if np.any(w < lo - 1e-12) or np.any(w > hi + 1e-12):
+        if np.any(w < low - 1e-12) or np.any(w > high + 1e-12):
             continue
         r = g.rmse(w)
         if r < best_rmse - 1e-12:
             best, best_rmse = w, r
+    if best is None:
+        raise ValueError("no weight vector on the grid lies in the ranges")
     return best, best_rmse
 
 
+def grid_weights_by_class(df: DataFrame, preds: Sequence[str], y: str, cls: str, ranges: dict, step: float = 0.05) -> dict:
+    """W14 per price class (B7): ``ranges`` maps a class to (lo, hi) per model;
+    other classes take [0, 1]. One aggregate for all classes: class -> (weights, rmse)."""
+    per = gram(df, preds, y, group=cls)
+    return {c: grid_weights(g, step, *ranges.get(c, (0.0, 1.0))) for c, g in per.items()}
+
+
 def apply_weights(models: Sequence[str], w: Sequence[float]) -> Column:
     return fixed_weight_blend({m: float(x) for m, x in zip(models, w)})
 
@@ -284,18 +345,16 @@ def tail_shrink(df: DataFrame, segment: str, pred: str, stats: DataFrame) -> Dat
 # ------------------------------------------------------------------ W10, W11, W12
 def route_by_class(df: DataFrame, key: str, cls: str, model_for_class: dict, default_model: str) -> DataFrame:
     """The predicted class picks the prediction column that scores the
-    row; per-class scoring results are unioned, rows whose class has no model
-    are found with a left anti join and scored by the default model."""
-    parts = []
+    row; rows whose class has no model, or no class, take the default one.
+    One projection over one scan."""
+    pred, name = None, None
     for c, m in model_for_class.items():
-        parts.append(df.filter(F.col(cls) == F.lit(c)).select(key, F.col(m).alias("prediction"),
-                                                               F.lit(m).alias("routed_model")))
-    routed = parts[0]
-    for p in parts[1:]:
-        routed = routed.unionByName(p)
-    rest = df.join(routed.select(key), key, "left_anti").select(
-        key, F.col(default_model).alias("prediction"), F.lit(default_model).alias("routed_model"))
-    return routed.unionByName(rest)
+        hit = F.col(cls) == F.lit(c)
+        pred = F.when(hit, F.col(m)) if pred is None else pred.when(hit, F.col(m))
+        name = F.when(hit, F.lit(m)) if name is None else name.when(hit, F.lit(m))
+    default = F.col(default_model), F.lit(default_model)
+    return df.select(key, (default[0] if pred is None else pred.otherwise(default[0])).alias("prediction"),
+                     (default[1] if name is None else name.otherwise(default[1])).alias("routed_model"))
 
 
 def soft_route(ref: str | Column, low_pred: str, high_pred: str, ref_mean: float, threshold: float,

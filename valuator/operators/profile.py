@@ -86,12 +86,13 @@ def boxcox_fit(df: DataFrame, cols: Sequence[str], skew_threshold: float = 0.3,
         return df.sparkSession.createDataFrame([], "column string, skewness double, lambda double, llf double")
     aggs = []
     for i, c in enumerate(chosen):
-        x1 = F.lit(1.0) + _d(c)
-        aggs += [F.sum(F.log(x1)).alias(f"s{i}"), F.count(_d(c)).alias(f"n{i}")]
+        # each column has its own rows: a null or a value out of range in one does not touch the others
+        x1 = F.when(_d(c) > -1, F.lit(1.0) + _d(c))
+        aggs += [F.sum(F.log(x1)).alias(f"s{i}"), F.count(x1).alias(f"n{i}")]
         for j, lam in enumerate(grid):
             y = F.log(x1) if lam == 0 else (F.pow(x1, F.lit(lam)) - F.lit(1.0)) / F.lit(lam)
             aggs.append(F.var_pop(y).alias(f"v{i}_{j}"))
-    r = fit_row(df.filter(" AND ".join(f"`{c}` > -1" for c in chosen)) if chosen else df, *aggs)
+    r = fit_row(df, *aggs)
     rows = []
     for i, c in enumerate(chosen):
         best = None
@@ -201,11 +202,11 @@ def f_score_select(df: DataFrame, features: Sequence[str], target: str, k: int |
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pairwise Pearson (pairwise-complete rows), long form (a, b, corr), a < b order of input."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    wide = df.agg(*[F.corr(_d(a), _d(b)).alias(f"{a}__{b}") for a, b in pairs])
-    long = wide.unpivot([], [f"{a}__{b}" for a, b in pairs], "pair", "corr")
-    parts = F.split("pair", "__")
-    return long.select(parts[0].alias("a"), parts[1].alias("b"),
-                       F.when(F.isnan("corr"), None).otherwise(F.col("corr")).alias("corr"))
+    wide = df.agg(*[F.corr(_d(a), _d(b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("corr"))
+                     for i, (a, b) in enumerate(pairs)])
+    long = wide.select(F.explode(rows).alias("p")).select("p.a", "p.b", "p.corr")
+    return long.withColumn("corr", F.when(F.isnan("corr"), None).otherwise(F.col("corr")))
 
 
 def corr_threshold_select(df: DataFrame, features: Sequence[str], target: str, threshold: float = 0.1,
@@ -218,8 +219,11 @@ def corr_threshold_select(df: DataFrame, features: Sequence[str], target: str, t
     return long.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= max_k)
 
 
-def mutual_info_select(df: DataFrame, features: Sequence[str], target: str, bins: int = 10) -> DataFrame:
-    """N14 (re-aimed): MI(feature; target) on equal-frequency bins of both:
+def mutual_info_select(df: DataFrame, features: Sequence[str], target: str, bins: int = 10, k: int | None = None,
+                       min_info: float = 1e-9) -> DataFrame:
+    """N14 (re-aimed): the k features (all if None) with the largest MI(feature;
+    target), of those above ``min_info`` (rounding noise of 0). MI on
+    equal-frequency bins of both:
     Σ p(a,b)·ln(p(a,b)/(p(a)p(b))). Joint counts come from one groupBy per
     feature over the binned columns, unioned into a small table."""
     from valuator.operators.segment import bin_code, quantile_edges_multi
@@ -237,10 +241,12 @@ def mutual_info_select(df: DataFrame, features: Sequence[str], target: str, bins
          .withColumn("na", F.sum("nab").over(Window.partitionBy("feature", "b")))
          .withColumn("nb", F.sum("nab").over(Window.partitionBy("feature", "_t"))))
     term = (F.col("nab") / F.col("n")) * F.log(F.col("nab") * F.col("n") / (F.col("na") * F.col("nb")))
-    return j.groupBy("feature").agg(F.sum(term).alias("mutual_info"))
+    out = j.groupBy("feature").agg(F.sum(term).alias("mutual_info")).filter(F.col("mutual_info") > min_info)
+    return out.orderBy(F.round("mutual_info", 9).desc(), "feature").limit(k) if k else out
 
 
 # ------------------------------------------------------------------ N17–N20
+# The quantiles of the profile.
 QUANTILE_PROFILE_PROBS = [0.001, 0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 0.999]
 
 

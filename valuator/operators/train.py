@@ -7,12 +7,15 @@ uses ``pyspark.ml`` estimators; each fold fit is a distributed job.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from valuator.plans.strategy import attach_state, ranked
+from valuator.plans.strategy import attach_state, fit_row, ranked
 
 LCG_MULT = 48271
 LCG_MOD = 2147483647
@@ -23,8 +26,10 @@ def _col(c: str | Column) -> Column:
 
 
 def lcg_hash(key: str | Column, seed: int = 42) -> Column:
-    """(key·48271 + seed) mod (2³¹−1): deterministic per key, same in SQL."""
-    return F.pmod(_col(key).cast("long") * F.lit(LCG_MULT) + F.lit(seed), F.lit(LCG_MOD))
+    """(key·48271 + seed) mod (2³¹−1): deterministic per key, same in SQL. The key
+    is reduced first, so that no key overflows."""
+    low = F.pmod(_col(key).cast("long"), F.lit(LCG_MOD))
+    return F.pmod(low * F.lit(LCG_MULT) + F.lit(seed), F.lit(LCG_MOD))
 
 
 def mix_hash(key: str | Column, seed: int = 42) -> Column:
@@ -77,7 +82,31 @@ def stratified_split(df: DataFrame, key: str, strata: str, test_fraction: float
 
 
 # ====================================================================== Spark ML jobs
-from dataclasses import dataclass, field  # noqa: E402
+#: Folds, and segments with a model of their own: one fit each, so their number is bounded.
+MAX_FOLDS, MAX_SEGMENTS = 100, 1_000
+#: Fits that are submitted at a time.
+PARALLEL_FITS = 4
+
+
+def fold_ids(df: DataFrame, fold: str) -> list:
+    """The fold ids; an error beyond MAX_FOLDS."""
+    got = [r[0] for r in df.select(fold).distinct().limit(MAX_FOLDS + 1).collect()]
+    if len(got) > MAX_FOLDS or None in got:
+        raise ValueError(f"{fold} must have at most {MAX_FOLDS} values and no null")
+    return sorted(got)
+
+
+def in_parallel(fn: Callable, items: Sequence, parallelism: int = PARALLEL_FITS) -> list:
+    """Results in order; fits are Spark jobs of their own, so a few run side by side."""
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return list(pool.map(fn, items))
+
+
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 @dataclass
@@ -124,37 +153,45 @@ def _prepare(df: DataFrame, features: Sequence[str], target: str, log_target: bo
 
 def oof_run(df: DataFrame, key: str, features: Sequence[str], target: str, fold: str, kind: str = "gbt",
             log_target: bool = True, seed: int = 42, params: dict | None = None, weight: str | None = None,
-            early_stop_tol: float | None = None) -> FoldRun:
+            early_stop_tol: float | None = None, parallelism: int = PARALLEL_FITS) -> FoldRun:
     """M4/M5/M6: per fold fit on the other folds, predict the held-out fold,
-    undo the log transform, union the OOF rows keyed by id.
+    undo the log transform, union the OOF rows keyed by id. Folds are fitted
+    side by side.
 
-    ``early_stop_tol`` (GBT only): the held-out fold is passed as the
-    validation set (``validationIndicatorCol``) and boosting stops when the
-    validation error improves by less than the tolerance (M6)."""
+    ``early_stop_tol`` (GBT only): boosting stops when the error on the
+    held-out fold improves by less than the tolerance (M6); the imputer is
+    fitted on the training folds alone."""
     data = _prepare(df, features, target, log_target).persist()
-    folds = sorted(r[0] for r in data.select(fold).distinct().collect())
+    folds = fold_ids(data, fold)
+
+    def fit(f):
+        train_part = data.filter(F.col(fold) != f)
+        if early_stop_tol is None or kind != "gbt":
+            return regression_pipeline(features, "_y", kind, seed, params, weight).fit(train_part)
+        from pyspark.ml import PipelineModel
+        p = {**(params or {}), "validationIndicatorCol": "_is_val", "validationTol": early_stop_tol}
+        *before, learner = regression_pipeline(features, "_y", kind, seed, p, weight).getStages()
+        fitted, shown = [], data.withColumn("_is_val", F.col(fold) == f)
+        for stage in before:
+            m = stage.fit(train_part) if hasattr(stage, "fit") else stage
+            fitted.append(m)
+            train_part, shown = m.transform(train_part), m.transform(shown)
+        return PipelineModel([*fitted, learner.fit(shown)])
+
     run = FoldRun(oof=None)
     outs = []
-    for f in folds:
-        p = dict(params or {})
-        train_part = data.filter(F.col(fold) != f)
-        if early_stop_tol is not None and kind == "gbt":
-            p.update({"validationIndicatorCol": "_is_val", "validationTol": early_stop_tol})
-            train_part = data.withColumn("_is_val", F.col(fold) == f)
-        m = regression_pipeline(features, "_y", kind, seed, p, weight).fit(train_part)
+    for f, m in zip(folds, in_parallel(fit, folds, parallelism)):
         run.models[f] = m
         learner = m.stages[-1]
         if hasattr(learner, "featureImportances"):
             imp = learner.featureImportances.toArray()
             run.importances.extend((int(f), feat, float(v)) for feat, v in zip(features, imp))
-        pred = m.transform(data.filter(F.col(fold) == f))
+        pred = m.transform(_prepare(df, features, target, log_target).filter(F.col(fold) == f))
         back = F.expm1("_pred") if log_target else F.col("_pred")
         outs.append(pred.select(key, F.col(fold).alias("fold"), F.col(target).alias("actual"),
                                 back.alias("prediction")))
-    oof = outs[0]
-    for o in outs[1:]:
-        oof = oof.unionByName(o)
-    run.oof = oof
+    data.unpersist()
+    run.oof = union_all(outs)
     return run
 
 
@@ -187,45 +224,121 @@ def feature_importance(runs: dict[str, FoldRun], spark, top: int | None = None)
     return merged.limit(top) if top else merged
 
 
-def linear_family(df: DataFrame, features: Sequence[str], target: str, reg: float = 0.1) -> DataFrame:
-    """M8: ridge / lasso / elastic-net baselines (features standardised inside
-    LinearRegression) with train RMSE and R²."""
-    from pyspark.ml.evaluation import RegressionEvaluator
-    data = _prepare(df, features, target, False)
-    rows = []
-    for name, enet in (("ridge", 0.0), ("lasso", 1.0), ("elastic_net", 0.5)):
-        m = regression_pipeline(features, "_y", "linear", params={"regParam": reg, "elasticNetParam": enet}).fit(data)
-        pred = m.transform(data)
-        rm = RegressionEvaluator(labelCol="_y", predictionCol="_pred", metricName="rmse").evaluate(pred)
-        r2 = RegressionEvaluator(labelCol="_y", predictionCol="_pred", metricName="r2").evaluate(pred)
-        rows.append((name, float(rm), float(r2)))
-    return df.sparkSession.createDataFrame(rows, "model string, rmse double, r2 double")
-
-
-def per_segment_models(df: DataFrame, key: str, segment: str, features: Sequence[str], target: str,
-                       kind: str = "gbt", params_for: dict | None = None, seed: int = 42,
-                       parallelism: int = 4, min_rows: int = 10) -> tuple[dict, DataFrame]:
-    """One learner per segment (segments ≤ a few dozen), submitted
-    from a small driver thread pool so the per-segment Spark jobs run
-    concurrently; segments with fewer than ``min_rows`` rows are skipped.
-    Returns (segment -> model, in-sample predictions)."""
-    from concurrent.futures import ThreadPoolExecutor
-    data = _prepare(df, features, target, True).persist()
-    counts = {r[0]: r[1] for r in data.groupBy(segment).count().collect()}
-    segs = [s for s, n in counts.items() if n >= min_rows]
-
-    def fit(s):
-        p = (params_for or {}).get(s)
-        return s, regression_pipeline(features, "_y", kind, seed, p).fit(data.filter(F.col(segment) == F.lit(s)))
-
-    with ThreadPoolExecutor(max_workers=parallelism) as ex:
-        models = dict(ex.map(fit, segs))
-    outs = [m.transform(data.filter(F.col(segment) == F.lit(s))).select(key, segment, F.expm1("_pred").alias("prediction"))
-            for s, m in models.items()]
-    u = outs[0]
-    for o in outs[1:]:
-        u = u.unionByName(o)
-    return models, u
+def linear_family(df: DataFrame, features: Sequence[str], target: str, fold: str, alpha: float = 1.0,
+                  key: str = "listing_id") -> DataFrame:
+    """M8: ridge / lasso / elastic-net baselines, out of fold. The penalty is on
+    the features as they are; alpha is per row sum for ridge (regParam =
+    alpha / n) and per row mean for the other two (regParam = alpha)."""
+    from valuator.operators.evaluate import regression_metrics
+    folds = fold_ids(df, fold)
+    n = df.count() * (len(folds) - 1) / len(folds)
+    out = []
+    for name, enet, reg in (("ridge", 0.0, alpha / n), ("lasso", 1.0, alpha), ("elastic_net", 0.5, alpha)):
+        run = oof_run(df, key, features, target, fold, "linear", log_target=False,
+                      params={"regParam": reg, "elasticNetParam": enet, "standardization": False})
+        out.append(regression_metrics(run.oof, [], "actual", "prediction").withColumn("model", F.lit(name)))
+    return union_all(out)
+
+
+# ------------------------------------------------------------------ M9, M17
+REST = "(rest)"
+SEGMENT_LEARNERS = ("gbt", "rf", "linear")
+
+
+def segment_label(df: DataFrame, segment: str, min_rows: int) -> tuple[Column, list[str], int]:
+    """Label of a row's segment, the labels with a model of their own, and the rows of the rest: segments
+    with fewer than ``min_rows`` rows and the null segment are one group."""
+    kept = (df.filter(F.col(segment).isNotNull()).groupBy(F.col(segment).cast("string").alias("s")).agg(F.count(F.lit(1)).alias("n"))
+            .filter(F.col("n") >= min_rows).limit(MAX_SEGMENTS + 1).collect())
+    if len(kept) > MAX_SEGMENTS:
+        raise ValueError(f"more than {MAX_SEGMENTS} segments of {min_rows} rows")
+    names = sorted(r["s"] for r in kept)
+    s = F.col(segment).cast("string")
+    label = F.when(s.isin(names), s).otherwise(F.lit(REST)) if names else F.lit(REST)
+    return label, names, df.count() - sum(r["n"] for r in kept)
+
+
+def _segment_params(params_for: dict | None, name: str, kind: str) -> dict | None:
+    """``params_for`` maps a segment to parameters per learner; the entry None holds for all segments."""
+    p = params_for or {}
+    return (p.get(name) or p.get(None) or {}).get(kind)
+
+
+def per_segment_models(df: DataFrame, key: str, segment: str, fold: str, features: Sequence[str], target: str,
+                       learners: Sequence[str] = SEGMENT_LEARNERS, params_for: dict | None = None, seed: int = 42,
+                       parallelism: int = PARALLEL_FITS, min_rows: int = 30) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """M9: per segment, out-of-fold predictions of every learner, averaged.
+
+    Returns (predictions: key, segment, fold, actual, prediction; scores per
+    segment; importances per segment and feature, averaged over folds and the
+    learners that have them). Every input row is predicted: segments with
+    fewer than ``min_rows`` rows, and rows without a segment, form one group,
+    which learns from all rows if it is smaller than that itself."""
+    from valuator.operators.evaluate import regression_metrics
+    label, names, rest = segment_label(df, segment, min_rows)
+    data = _prepare(df, features, target, True).withColumn("_seg", label).persist()
+    folds = fold_ids(data, fold)
+    groups = names + ([REST] if rest else [])
+    jobs = [(g, f, kind) for g in groups for f in folds for kind in learners]
+
+    def fit(job):
+        g, f, kind = job
+        rows = data.filter(F.col(fold) != f)
+        own = rows.filter(F.col("_seg") == g) if g != REST or rest >= min_rows else rows
+        # a fold that holds all of a segment leaves nothing to learn from
+        return regression_pipeline(features, "_y", kind, seed, _segment_params(params_for, g, kind)).fit(
+            own if own.limit(1).count() else rows)
+
+    fitted = dict(zip(jobs, in_parallel(fit, jobs, parallelism)))
+    data.unpersist()
+    shown = _prepare(df, features, target, True).withColumn("_seg", label)
+    parts, imps = [], []
+    for g in groups:
+        for f in folds:
+            rows = shown.filter((F.col("_seg") == g) & (F.col(fold) == f))
+            for kind in learners:
+                m = fitted[g, f, kind]
+                rows = m.transform(rows).withColumn(f"_p_{kind}", F.expm1("_pred")).drop(
+                    "_pred", "_fv", *[f"_imp_{x}" for x in features])
+                if hasattr(m.stages[-1], "featureImportances"):
+                    imps += [(g, x, float(v)) for x, v in zip(features, m.stages[-1].featureImportances.toArray())]
+            mean = sum((F.col(f"_p_{kind}") for kind in learners), F.lit(0.0)) / len(learners)
+            parts.append(rows.select(key, F.col("_seg").alias(segment), F.col(fold).alias("fold"),
+                                     F.col(target).alias("actual"), mean.alias("prediction")))
+    pred = union_all(parts)
+    scores = regression_metrics(pred, [segment], "actual", "prediction")
+    importances = (df.sparkSession.createDataFrame(imps, f"{segment} string, feature string, importance double")
+                   .groupBy(segment, "feature").agg(F.avg("importance").alias("importance")))
+    return pred, scores, importances
+
+
+def retrain_on_segments(train: DataFrame, new: DataFrame, key: str, segment: str, features: Sequence[str], target: str,
+                        learners: Sequence[str] = SEGMENT_LEARNERS, params_for: dict | None = None, seed: int = 42,
+                        parallelism: int = PARALLEL_FITS, min_rows: int = 30) -> DataFrame:
+    """Every segment's learners refitted on all its rows, and the new rows
+    predicted by the mean of their segment's learners. New rows of other
+    segments, or without one, are predicted by learners of all rows."""
+    label, names, _ = segment_label(train, segment, min_rows)
+    data = _prepare(train, features, target, True).withColumn("_seg", label).persist()
+    jobs = [(g, kind) for g in [*names, REST] for kind in learners]
+
+    def fit(job):
+        g, kind = job
+        rows = data if g == REST else data.filter(F.col("_seg") == g)
+        return regression_pipeline(features, "_y", kind, seed, _segment_params(params_for, g, kind)).fit(rows)
+
+    fitted = dict(zip(jobs, in_parallel(fit, jobs, parallelism)))
+    data.unpersist()
+    shown = new.withColumns({f: F.col(f).cast("double") for f in features}).withColumn("_seg", label)
+    parts = []
+    for g in [*names, REST]:
+        rows = shown.filter(F.col("_seg") == g)
+        for kind in learners:
+            rows = fitted[g, kind].transform(rows).withColumn(f"_p_{kind}", F.expm1("_pred")).drop(
+                "_pred", "_fv", *[f"_imp_{x}" for x in features])
+        mean = sum((F.col(f"_p_{kind}") for kind in learners), F.lit(0.0)) / len(learners)
+        parts.append(rows.select(key, segment, F.col("_seg").alias("model"), mean.alias("prediction")))
+    return union_all(parts)
 
 
 def bagged_seeds(df: DataFrame, key: str, features: Sequence[str], target: str, fold: str, n_bags: int = 3,
@@ -237,10 +350,15 @@ def bagged_seeds(df: DataFrame, key: str, features: Sequence[str], target: str,
         if kind == "gbt":
             p.setdefault("subsamplingRate", 0.8)
         outs.append(oof_run(df, key, features, target, fold, kind, seed=42 + b, params=p).oof.withColumn("bag", F.lit(b)))
-    u = outs[0]
-    for o in outs[1:]:
-        u = u.unionByName(o)
-    return u.groupBy(key).agg(F.avg("prediction").alias("prediction"), F.first("actual").alias("actual"))
+    return union_all(outs).groupBy(key).agg(F.avg("prediction").alias("prediction"), F.first("actual").alias("actual"))
+
+
+def _fold_count(df: DataFrame, fold: str) -> int:
+    """Folds of a fold column that holds 0 to n - 1."""
+    r = fit_row(df, F.min(fold).alias("low"), F.max(fold).alias("high"))
+    if r["low"] is None or r["low"] < 0 or r["high"] < 1:
+        raise ValueError("folds are numbered from 0, and there are two at least")
+    return int(r["high"]) + 1
 
 
 def grid_search(df: DataFrame, features: Sequence[str], target: str, fold: str, grid: dict,
@@ -256,7 +374,7 @@ def grid_search(df: DataFrame, features: Sequence[str], target: str, fold: str,
     for name, values in grid.items():
         b = b.addGrid(learner.getParam(name), list(values))
     maps = b.build()
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, foldCol=fold, parallelism=parallelism,
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, foldCol=fold, numFolds=_fold_count(data, fold), parallelism=parallelism,
                         evaluator=RegressionEvaluator(labelCol="_y", predictionCol="_pred", metricName="rmse"))
     m = cv.fit(data)
     rows = [(str({p.name: v for p, v in pm.items()}), float(s)) for pm, s in zip(maps, m.avgMetrics)]
@@ -278,41 +396,56 @@ def random_search(df: DataFrame, features: Sequence[str], target: str, fold: str
     maps = []
     for _ in range(n):
         maps.append({learner.getParam(k): rnd.choice(list(v)) for k, v in space.items()})
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, foldCol=fold, parallelism=parallelism,
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, foldCol=fold, numFolds=_fold_count(data, fold), parallelism=parallelism,
                         evaluator=RegressionEvaluator(labelCol="_y", predictionCol="_pred", metricName="rmse"))
     m = cv.fit(data)
     rows = [(str({p.name: v for p, v in pm.items()}), float(s)) for pm, s in zip(maps, m.avgMetrics)]
     return df.sparkSession.createDataFrame(rows, "params string, cv_rmse double").orderBy("cv_rmse", "params")
 
 
-def error_class_model(df: DataFrame, features: Sequence[str], label: str, kind: str = "forest",
-                      seed: int = 42):
-    """Predict a class (e.g. error band) from features. Labels are indexed
-    (StringIndexer) and mapped back (IndexToString). ≥ 2 classes required."""
+CLASS_GRIDS = {"forest": {"maxDepth": [5, 10]}, "logistic": {"regParam": [0.0, 0.1]}, "boosted": {}}
+
+
+def error_class_model(df: DataFrame, key: str, features: Sequence[str], label: str, kind: str = "forest", seed: int = 42,
+                      test_fraction: float = 0.2, grid: dict | None = None, folds: int = 3, trees: int = 50):
+    """Predict a class (e.g. error band) from features. A stratified share
+    of the rows is held out; the settings are chosen on the others by k-fold
+    accuracy. Returns (model, held-out rows with predicted_class, table of
+    settings and scores). At least two classes are required."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     from pyspark.ml.feature import Imputer, IndexToString, StringIndexer, VectorAssembler
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
     data = df.withColumns({f: F.col(f).cast("double") for f in features}).withColumn(label, F.col(label).cast("string"))
-    n_cls = data.select(label).distinct().limit(2).count()
-    if n_cls < 2:
+    split = stratified_split(data, key, label, test_fraction, seed, out="_part")
+    train, test = split.filter("_part = 'train'").drop("_part"), split.filter("_part = 'test'").drop("_part")
+    if train.select(label).distinct().limit(2).count() < 2:
         raise ValueError("error_class_model needs at least two classes")
-    idx = StringIndexer(inputCol=label, outputCol="_li", handleInvalid="keep").fit(data)
+    idx = StringIndexer(inputCol=label, outputCol="_li", handleInvalid="keep").fit(train)
+    cols = {"featuresCol": "_fv", "labelCol": "_li", "predictionCol": "_pi"}
     if kind == "forest":
-        clf = RandomForestClassifier(featuresCol="_fv", labelCol="_li", predictionCol="_pi", numTrees=50, seed=seed)
+        clf = RandomForestClassifier(numTrees=trees, seed=seed, **cols)
     elif kind == "logistic":
-        clf = LogisticRegression(featuresCol="_fv", labelCol="_li", predictionCol="_pi", family="multinomial",
-                                 maxIter=100)
+        clf = LogisticRegression(family="multinomial", maxIter=100, **cols)
     elif kind == "boosted":
-        clf = OneVsRest(classifier=GBTClassifier(maxIter=10, seed=seed), featuresCol="_fv", labelCol="_li",
-                        predictionCol="_pi")
+        clf = OneVsRest(classifier=GBTClassifier(maxIter=20, seed=seed), **cols)
     else:
         raise ValueError("kind must be forest|logistic|boosted")
     imp = [f"_imp_{f}" for f in features]
     pipe = Pipeline(stages=[idx, Imputer(inputCols=list(features), outputCols=imp, strategy="median"),
                             VectorAssembler(inputCols=imp, outputCol="_fv"), clf,
                             IndexToString(inputCol="_pi", outputCol="predicted_class", labels=idx.labels)])
-    model = pipe.fit(data)
-    return model, model.transform(data)
+    b = ParamGridBuilder()
+    for name, values in (CLASS_GRIDS[kind] if grid is None else grid).items():
+        b = b.addGrid(clf.getParam(name), list(values))
+    maps = b.build()
+    score = MulticlassClassificationEvaluator(labelCol="_li", predictionCol="_pi", metricName="accuracy")
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=score, numFolds=folds, seed=seed,
+                        parallelism=PARALLEL_FITS).fit(train)
+    rows = [(str({p.name: v for p, v in pm.items()}), float(x)) for pm, x in zip(maps, cv.avgMetrics)]
+    table = df.sparkSession.createDataFrame(rows, "params string, accuracy double").orderBy(F.desc("accuracy"), "params")
+    return cv.bestModel, cv.bestModel.transform(test), table
 
 
 def learning_curve(df: DataFrame, key: str, features: Sequence[str], target: str, fold: str,
@@ -323,7 +456,7 @@ def learning_curve(df: DataFrame, key: str, features: Sequence[str], target: str
     from pyspark.ml.evaluation import RegressionEvaluator
     ev = RegressionEvaluator(labelCol="_y", predictionCol="_pred", metricName="rmse")
     data = _prepare(df, features, target, True).withColumn("_h", mix_hash(key, 7) / F.lit(float(LCG_MOD))).persist()
-    folds = sorted(r[0] for r in data.select(fold).distinct().collect())
+    folds = fold_ids(data, fold)
     rows = []
     for s in sizes:
         tr_scores, cv_scores = [], []
@@ -333,12 +466,10 @@ def learning_curve(df: DataFrame, key: str, features: Sequence[str], target: str
             tr_scores.append(ev.evaluate(m.transform(train_part)))
             cv_scores.append(ev.evaluate(m.transform(data.filter(F.col(fold) == f))))
         rows.append((float(s), float(np.mean(tr_scores)), float(np.mean(cv_scores))))
+    data.unpersist()
     return df.sparkSession.createDataFrame(rows, "train_fraction double, train_rmse double, cv_rmse double")
 
 
-import numpy as np  # noqa: E402
-
-
 # ====================================================================== S6 bundles
 def save_model_bundle(models: dict, base_path: str, model_name: str, target: str, spark) -> DataFrame:
     """Save every fold model (PipelineModel writer) and a manifest table

@@ -85,12 +85,25 @@ def _with_bad(spark, sf_dir):
     return fx(spark, sf_dir).scored().withColumn("pred_bad", F.col("price") * 3.0)
 
 
-@register("robust_ensemble_weights")
+def _robust_sql() -> str:
+    """The three good models have W3's weights; a model with R² <= -0.5 has none."""
+    l2 = _l2_sql().strip()
+    return f"""
+WITH w3 AS ({l2}),
+lng AS (SELECT price, model, p FROM (SELECT price, pred_a, pred_b, pred_c, price * 3.0 AS pred_bad FROM scored)
+        UNPIVOT (p FOR model IN (pred_a, pred_b, pred_c, pred_bad))),
+r AS (SELECT model, 1 - sum((price - p) * (price - p)) / (var_pop(price) * count(*)) AS r2 FROM lng GROUP BY model)
+SELECT r.model, CASE WHEN r2 > -0.5 THEN w3.weight ELSE 0.0 END AS weight, round(r2, 6) AS r2
+FROM r LEFT JOIN w3 ON r.model = w3.model
+"""
+
+
+@register("robust_ensemble_weights", _robust_sql(), ("scored",))
 def q_robust_weights(spark, sf_dir):
     g = W.gram(_with_bad(spark, sf_dir), _ROBUST_PREDS, "price")
     w = W.robust_weights(g)
     rows = [(m, float(x), float(W.r2_of(g, i))) for i, (m, x) in enumerate(zip(_ROBUST_PREDS, w))]
-    return spark.createDataFrame(rows, "model string, weight double, r2 double")
+    return round_all(spark.createDataFrame(rows, "model string, weight double, r2 double"))
 
 
 @register("entropy_ensemble_weights")
@@ -103,10 +116,31 @@ def q_entropy_weights(spark, sf_dir):
 def q_stacked_ridge(spark, sf_dir):
     from valuator.operators.train import kfold_assign
     s = fx(spark, sf_dir).scored().withColumn("fold", kfold_assign("listing_id", 5))
-    table, _w = W.stacked_nonneg_ridge(s, PRED_COLS, "price", "fold", alpha=1.0)
+    table, _oof, _test = W.stacked_nonneg_ridge(s, PRED_COLS, "price", "fold", alpha=1.0)
     return table
 
 
+@register("stacked_ridge_predictions")
+def q_stacked_ridge_predictions(spark, sf_dir):
+    """W6's product: blended out-of-fold rows and blended test rows; a part of the base predictions is missing."""
+    from valuator.operators.train import kfold_assign
+    s = fx(spark, sf_dir).scored().withColumn("fold", kfold_assign("listing_id", 6))
+    s = s.withColumn("pred_a", F.when(F.col("listing_id") % 11 != 0, F.col("pred_a")))
+    _table, oof, test = W.stacked_nonneg_ridge(s.filter("fold < 5"), PRED_COLS, "price", "fold", test=s.filter("fold = 5"))
+    return oof.select("listing_id", F.lit("oof").alias("part"), "blend").union(
+        test.select("listing_id", F.lit("test").alias("part"), "blend"))
+
+
+@register("stacked_ridge_keys", """
+SELECT CASE WHEN ((listing_id % 2147483647 * 48271 + 42) % 2147483647) % 6 < 5 THEN 'oof' ELSE 'test' END AS part,
+       count(*) AS n, CAST(sum(listing_id) AS DOUBLE) AS key_sum, count(*) AS predicted
+FROM scored GROUP BY 1
+""", ("scored",))
+def q_stacked_ridge_keys(spark, sf_dir):
+    return q_stacked_ridge_predictions(spark, sf_dir).groupBy("part").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("listing_id").cast("double")).alias("key_sum"), F.count("blend").alias("predicted"))
+
+
 @register("stacked_meta_model")
 def q_stacked_meta(spark, sf_dir):
     from valuator.operators.train import kfold_assign
@@ -219,12 +253,12 @@ def q_ref_price_feature(spark, sf_dir):
     from valuator.operators import train as M
     from valuator.plans.q_train import FEATURES
     f = fx(spark, sf_dir)
-    tr = f.listing_train().withColumn("fold", M.kfold_assign("listing_id", 3))
+    tr = f.listing_labelled().withColumn("fold", M.kfold_assign("listing_id", 5, seed=7))
     te = f.listing_new()
-    stage1 = M.oof_run(tr, "listing_id", FEATURES, "price", "fold", "gbt", params={"maxIter": 10})
+    stage1 = M.oof_run(tr, "listing_id", FEATURES, "price", "fold", "gbt")
     test1 = M.predict_folds(stage1.models, te, "listing_id", FEATURES)
     tr2, te2 = W.ref_price_feature(tr, te, "listing_id", stage1.oof, test1)
-    stage2 = M.oof_run(tr2, "listing_id", [*FEATURES, "ref_price"], "price", "fold", "gbt", params={"maxIter": 10})
+    stage2 = M.oof_run(tr2, "listing_id", [*FEATURES, "ref_price"], "price", "fold", "gbt")
     rows = [("stage1", stage1.oof), ("stage2", stage2.oof)]
     out = None
     for name, o in rows:
@@ -236,8 +270,8 @@ def q_ref_price_feature(spark, sf_dir):
 
 _OOF_SQL = """
 WITH u AS (
-  SELECT listing_id, pred_a AS prediction FROM scored WHERE ((listing_id * 48271 + 42) % 2147483647) % 3 <> 0
-  UNION ALL SELECT listing_id, pred_b FROM scored WHERE ((listing_id * 48271 + 42) % 2147483647) % 3 <> 1
+  SELECT listing_id, pred_a AS prediction FROM scored WHERE ((listing_id % 2147483647 * 48271 + 42) % 2147483647) % 3 <> 0
+  UNION ALL SELECT listing_id, pred_b FROM scored WHERE ((listing_id % 2147483647 * 48271 + 42) % 2147483647) % 3 <> 1
 )
 SELECT listing_id, round(sum(prediction) / greatest(count(prediction), 1), 2) AS prediction, count(prediction) AS times_predicted
 FROM u GROUP BY listing_id

@@ -142,7 +142,7 @@ def q_segment_rmse(spark, sf_dir):
 # ------------------------------------------------------------------ V3
 _FOLD_SQL = "WITH " + _LONG.strip() + """,
 per AS (
-  SELECT model, ((listing_id * 48271 + 42) % 2147483647) % 5 AS fold,
+  SELECT model, ((listing_id % 2147483647 * 48271 + 42) % 2147483647) % 5 AS fold,
          sqrt(avg(mistake * mistake)) AS rmse,
          1 - sum(mistake * mistake) / (var_pop(price) * count(*)) AS r2
   FROM banded GROUP BY model, fold
@@ -315,7 +315,7 @@ def q_average_precision(spark, sf_dir):
 
 _CVACC_SQL = """
 WITH per AS (
-  SELECT ((doc_id * 48271 + 42) % 2147483647) % 5 AS fold,
+  SELECT ((doc_id % 2147483647 * 48271 + 42) % 2147483647) % 5 AS fold,
          avg(CASE WHEN label = CAST(score > 0.5 AS INTEGER) THEN 1.0 ELSE 0.0 END) AS accuracy
   FROM class_scores GROUP BY fold
 )

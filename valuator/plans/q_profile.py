@@ -97,7 +97,7 @@ def q_log_skewed(spark, sf_dir):
 _BC_COLS = ["price", "depreciation", "arf", "power", "omv", "price_sq", "power_cube"]
 _BC_DERIVED = "price * price / 100000.0 AS price_sq, power * power * power / 10000.0 AS power_cube"
 _BOXCOX_SQL = ("WITH lst AS (UNPIVOT (SELECT listing_id, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _BC_COLS)
-               + f" FROM (SELECT *, {_BC_DERIVED} FROM listing)) ON " + ", ".join(_BC_COLS) + " INTO NAME feature VALUE x)," + _MOMENTS + """,
+               + f" FROM (SELECT *, {_BC_DERIVED} FROM listing_nulls)) ON " + ", ".join(_BC_COLS) + " INTO NAME feature VALUE x)," + _MOMENTS + """,
 chosen AS (SELECT feature, skewness FROM sk WHERE abs(skewness) > 0.3),
 grid AS (SELECT round(-2.0 + 0.1 * i, 1) AS lam FROM range(41) t(i)),
 base AS (SELECT l.feature, sum(ln(1 + l.x)) AS s, count(*) AS n FROM lst l JOIN chosen c ON l.feature = c.feature
@@ -116,9 +116,9 @@ SELECT feature, round(skewness, 6) AS skewness, lam AS lambda FROM (
 """)
 
 
-@register("boxcox_fit", _BOXCOX_SQL, ("listing",))
+@register("boxcox_fit", _BOXCOX_SQL, ("listing_nulls",))
 def q_boxcox_fit(spark, sf_dir):
-    l = fx(spark, sf_dir).listing().withColumns({
+    l = fx(spark, sf_dir).listing_nulls().withColumns({
         "price_sq": F.col("price") * F.col("price") / F.lit(100000.0),
         "power_cube": F.col("power") * F.col("power") * F.col("power") / F.lit(10000.0)})
     t = N.boxcox_fit(l, _BC_COLS)
@@ -244,13 +244,14 @@ lng AS (SELECT * FROM ({unions}) WHERE t IS NOT NULL AND b IS NOT NULL),
 joint AS (SELECT feature, t, b, count(*) AS nab FROM lng GROUP BY feature, t, b),
 j AS (SELECT *, sum(nab) OVER (PARTITION BY feature) AS n, sum(nab) OVER (PARTITION BY feature, b) AS na,
              sum(nab) OVER (PARTITION BY feature, t) AS nb FROM joint)
-SELECT feature, round(sum(nab / n * ln(nab * n / (na * nb))), 6) AS mutual_info FROM j GROUP BY feature
+SELECT feature, round(mi, 6) AS mutual_info FROM (SELECT feature, sum(nab / n * ln(nab * n / (na * nb))) AS mi FROM j GROUP BY feature)
+WHERE mi > 0 ORDER BY round(mi, 9) DESC, feature LIMIT 3
 """
 
 
 @register("mutual_info_select", _mi_sql(), ("listing",))
 def q_mutual_info(spark, sf_dir):
-    return round_all(N.mutual_info_select(fx(spark, sf_dir).listing(), _MI_FEATS, "price", 10))
+    return round_all(N.mutual_info_select(fx(spark, sf_dir).listing(), _MI_FEATS, "price", 10, k=3))
 
 
 _CM_COLS = ["power", "curb_weight", "engine_cap", "depreciation", "omv"]

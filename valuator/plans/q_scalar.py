@@ -40,8 +40,8 @@ def q_extract_expiry(spark, sf_dir):
 
 _TOKEN_SQL = r"""
 SELECT p_partkey AS listing_id,
-  coalesce(trim(regexp_replace(regexp_replace(replace(lower(p_name || ' / ' || p_brand), '/', '_'),
-       '[^a-z0-9_\s]', '', 'g'), '\s+', '_', 'g')), '') AS token
+  coalesce(trim(regexp_replace(regexp_replace(replace(lower(p_name || ' Citroën/Été № ' || p_brand), '/', '_'),
+       '[^\p{L}\p{N}_\s]', '', 'g'), '\s+', '_', 'g')), '') AS token
 FROM part
 """
 
@@ -49,7 +49,7 @@ FROM part
 @register("clean_token", _TOKEN_SQL)
 def q_clean_token(spark, sf_dir):
     p = Tables(spark, sf_dir).part
-    raw = F.concat(F.col("p_name"), F.lit(" / "), F.col("p_brand"))
+    raw = F.concat(F.col("p_name"), F.lit(" Citroën/Été № "), F.col("p_brand"))
     return p.select(F.col("p_partkey").alias("listing_id"), T.clean_token(raw).alias("token"))
 
 

@@ -111,7 +111,7 @@ def q_collect_reports(spark, sf_dir):
 _HOLDOUT = """
 h AS (
   SELECT *, row_number() OVER (PARTITION BY type_of_vehicle
-                               ORDER BY ((((listing_id * 48271 + 42) % 2147483647) * 48271) % 2147483647), listing_id) AS rn,
+                               ORDER BY ((((listing_id % 2147483647 * 48271 + 42) % 2147483647) * 48271) % 2147483647), listing_id) AS rn,
          count(*) OVER (PARTITION BY type_of_vehicle) AS cls_n,
          count(*) OVER () AS total
   FROM listing

@@ -16,19 +16,21 @@ from valuator.plans.common import NUMERIC_FEATURES, fx
 from valuator.plans.registry import register
 
 FEATURES = [*NUMERIC_FEATURES, "manufactured"]
-_LIGHT = {"maxIter": 10, "maxDepth": 4}
+#: Settings of the segment learners; the others are the library's own.
+_SEGMENT_PARAMS = {None: {"rf": {"numTrees": 20, "maxDepth": 8}}}
 
 
-def _train(spark, sf_dir, k: int = 3, nulls: bool = True):
+def _train(spark, sf_dir, k: int = 5, nulls: bool = True):
+    """All rows, each with its fold."""
     f = fx(spark, sf_dir)
     base = f.listing_nulls() if nulls else f.listing()
-    return f.listing_train(base).withColumn("fold", M.kfold_assign("listing_id", k))
+    return base.withColumn("fold", M.kfold_assign("listing_id", k))
 
 
 # ------------------------------------------------------------------ M1–M3 (exact)
 _KFOLD_SQL = """
-SELECT listing_id, CAST(((listing_id * 48271 + 42) % 2147483647) % 5 AS INTEGER) AS fold,
-       CAST(((listing_id * 48271 + 42) % 2147483647) % 10 AS INTEGER) AS fold10 FROM listing
+SELECT listing_id, CAST(((listing_id % 2147483647 * 48271 + 42) % 2147483647) % 5 AS INTEGER) AS fold,
+       CAST(((listing_id % 2147483647 * 48271 + 42) % 2147483647) % 10 AS INTEGER) AS fold10 FROM listing
 """
 
 
@@ -43,7 +45,7 @@ _SKFOLD_SQL = """
 WITH q AS (SELECT quantile_cont(price, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) AS e FROM listing),
 b AS (SELECT listing_id, CAST(len(list_filter(list_sort(list_distinct(e))[2:len(list_sort(list_distinct(e))) - 1],
              lambda x: price > x)) AS INTEGER) AS bin FROM listing CROSS JOIN q)
-SELECT listing_id, CAST((row_number() OVER (PARTITION BY bin ORDER BY ((((listing_id * 48271 + 42) % 2147483647) * 48271) % 2147483647), listing_id) - 1) % 5
+SELECT listing_id, CAST((row_number() OVER (PARTITION BY bin ORDER BY ((((listing_id % 2147483647 * 48271 + 42) % 2147483647) * 48271) % 2147483647), listing_id) - 1) % 5
        AS INTEGER) AS fold FROM b
 """
 
@@ -57,9 +59,9 @@ def q_skfold(spark, sf_dir):
 
 _SPLIT_SQL = """
 SELECT listing_id,
-  CASE WHEN ((((listing_id * 48271 + 42) % 2147483647) * 48271) % 2147483647) < 429496729 THEN 'test' ELSE 'train' END AS split,
-  CASE WHEN ((((listing_id * 48271 + 7) % 2147483647) * 48271) % 2147483647) < 1546188225 THEN 'train'
-       WHEN ((((listing_id * 48271 + 7) % 2147483647) * 48271) % 2147483647) < 1717986917 THEN 'val' ELSE 'test' END AS split3
+  CASE WHEN ((((listing_id % 2147483647 * 48271 + 42) % 2147483647) * 48271) % 2147483647) < 429496729 THEN 'test' ELSE 'train' END AS split,
+  CASE WHEN ((((listing_id % 2147483647 * 48271 + 7) % 2147483647) * 48271) % 2147483647) < 1546188225 THEN 'train'
+       WHEN ((((listing_id % 2147483647 * 48271 + 7) % 2147483647) * 48271) % 2147483647) < 1717986917 THEN 'val' ELSE 'test' END AS split3
 FROM listing
 """
 
@@ -80,14 +82,14 @@ def _oof_metrics(run: M.FoldRun):
 
 @register("gbt_oof")
 def q_gbt_oof(spark, sf_dir):
-    run = M.oof_run(_train(spark, sf_dir), "listing_id", FEATURES, "price", "fold", "gbt", params=_LIGHT)
+    run = M.oof_run(_train(spark, sf_dir), "listing_id", FEATURES, "price", "fold", "gbt")
     return run.oof
 
 
 @register("gbt_oof_raw_target")
 def q_gbt_raw(spark, sf_dir):
     run = M.oof_run(_train(spark, sf_dir), "listing_id", FEATURES, "price", "fold", "gbt", log_target=False,
-                    params={**_LIGHT, "lossType": "absolute"})
+                    params={"lossType": "absolute"})
     return _oof_metrics(run)
 
 
@@ -105,7 +107,7 @@ def q_rf(spark, sf_dir):
     from pyspark.ml.evaluation import RegressionEvaluator
     l = fx(spark, sf_dir).listing().withColumn("split", M.three_way_split("listing_id"))
     data = M._prepare(l, FEATURES, "price", False)
-    m = M.regression_pipeline(FEATURES, "_y", "rf", params={"numTrees": 50, "maxDepth": 10}).fit(
+    m = M.regression_pipeline(FEATURES, "_y", "rf", params={"numTrees": 200, "maxDepth": 30}).fit(
         data.filter("split = 'train'"))
     rows = []
     for part in ("train", "val", "test"):
@@ -117,28 +119,27 @@ def q_rf(spark, sf_dir):
 
 @register("linear_family")
 def q_linear(spark, sf_dir):
-    return M.linear_family(fx(spark, sf_dir).listing(), FEATURES, "price")
+    return M.linear_family(_train(spark, sf_dir), FEATURES, "price", "fold")
 
 
 # ------------------------------------------------------------------ M9–M18
 @register("per_segment_models")
 def q_per_segment(spark, sf_dir):
-    _models, pred = M.per_segment_models(_train(spark, sf_dir), "listing_id", "type_of_vehicle", FEATURES, "price",
-                                         params_for={s: _LIGHT for s in ["1-URGENT", "2-HIGH", "3-MEDIUM",
-                                                                         "4-NOT SPECIFIED", "5-LOW"]})
+    pred, _scores, _importances = M.per_segment_models(
+        _train(spark, sf_dir, 3), "listing_id", "type_of_vehicle", "fold", FEATURES, "price", params_for=_SEGMENT_PARAMS)
     return pred
 
 
 @register("bagged_seeds")
 def q_bagged(spark, sf_dir):
-    return M.bagged_seeds(_train(spark, sf_dir), "listing_id", FEATURES, "price", "fold", n_bags=2, params=_LIGHT)
+    return M.bagged_seeds(_train(spark, sf_dir, 3), "listing_id", FEATURES, "price", "fold", n_bags=3)
 
 
 @register("weighted_training")
 def q_weighted(spark, sf_dir):
     from valuator.operators.segment import segment_weights
     tr = segment_weights(_train(spark, sf_dir), "type_of_vehicle")
-    run = M.oof_run(tr, "listing_id", FEATURES, "price", "fold", "gbt", params=_LIGHT, weight="weight")
+    run = M.oof_run(tr, "listing_id", FEATURES, "price", "fold", "gbt", weight="weight")
     return _oof_metrics(run)
 
 
@@ -156,8 +157,8 @@ def q_random(spark, sf_dir):
 @register("feature_importance")
 def q_importance(spark, sf_dir):
     tr = _train(spark, sf_dir)
-    runs = {"gbt": M.oof_run(tr, "listing_id", FEATURES, "price", "fold", "gbt", params=_LIGHT),
-            "rf": M.oof_run(tr, "listing_id", FEATURES, "price", "fold", "rf", params={"numTrees": 20, "maxDepth": 6})}
+    runs = {"gbt": M.oof_run(tr, "listing_id", FEATURES, "price", "fold", "gbt"),
+            "rf": M.oof_run(tr, "listing_id", FEATURES, "price", "fold", "rf", params={"numTrees": 100, "maxDepth": 10})}
     return M.feature_importance(runs, spark, top=10)
 
 
@@ -165,9 +166,8 @@ def q_importance(spark, sf_dir):
 def q_error_class(spark, sf_dir):
     from valuator.operators.segment import error_band
     s = fx(spark, sf_dir).scored().withColumn("band", error_band(F.col("price") - F.col("pred_c"), gaps="closed"))
-    _m, pred = M.error_class_model(s, FEATURES, "band", "forest")
-    return ev.confusion_matrix(pred.withColumn("band", F.col("band").cast("string")), "band", "predicted_class",
-                               sorted({str(i) for i in range(10)}))
+    _m, held_out, _table = M.error_class_model(s, "listing_id", FEATURES, "band", "forest")
+    return ev.confusion_matrix(held_out, "band", "predicted_class", sorted({str(i) for i in range(10)}))
 
 
 @register("learning_curve")
@@ -179,23 +179,15 @@ def q_learning_curve(spark, sf_dir):
 @register("retrain_on_segments")
 def q_retrain(spark, sf_dir):
     f = fx(spark, sf_dir)
-    models, _ = M.per_segment_models(f.listing_train(), "listing_id", "type_of_vehicle", FEATURES, "price",
-                                     params_for={s: _LIGHT for s in ["1-URGENT", "2-HIGH", "3-MEDIUM",
-                                                                     "4-NOT SPECIFIED", "5-LOW"]})
-    new = f.listing_new().withColumns({c: F.col(c).cast("double") for c in FEATURES})
-    outs = [m.transform(new.filter(F.col("type_of_vehicle") == F.lit(s))).select(
-        "listing_id", "type_of_vehicle", F.expm1("_pred").alias("prediction")) for s, m in models.items()]
-    u = outs[0]
-    for o in outs[1:]:
-        u = u.unionByName(o)
-    return u
+    return M.retrain_on_segments(f.listing_labelled(), f.listing_new(), "listing_id", "type_of_vehicle", FEATURES, "price",
+                                 params_for=_SEGMENT_PARAMS)
 
 
 @register("error_weighted_refit")
 def q_error_refit(spark, sf_dir):
     from valuator.operators.segment import error_row_weights
     tr = _train(spark, sf_dir)
-    a = M.oof_run(tr, "listing_id", FEATURES, "price", "fold", "gbt", params=_LIGHT).oof
+    a = M.oof_run(tr, "listing_id", FEATURES, "price", "fold", "gbt").oof
     b = M.oof_run(tr, "listing_id", FEATURES, "price", "fold", "linear", log_target=False).oof
     both = a.select("listing_id", "actual", F.col("prediction").alias("p_gbt")).join(
         b.select("listing_id", F.col("prediction").alias("p_lin")), "listing_id")
@@ -204,7 +196,7 @@ def q_error_refit(spark, sf_dir):
     blend = both.withColumn("p_blend", W.apply_weights(["p_gbt", "p_lin"], w))
     weighted = error_row_weights(blend, F.col("actual") - F.col("p_blend"), "w_err")
     tr_w = tr.join(weighted.select("listing_id", "w_err"), "listing_id")
-    c = M.oof_run(tr_w, "listing_id", FEATURES, "price", "fold", "gbt", params=_LIGHT, weight="w_err").oof
+    c = M.oof_run(tr_w, "listing_id", FEATURES, "price", "fold", "gbt", weight="w_err").oof
     final = blend.join(c.select("listing_id", F.col("prediction").alias("p_refit")), "listing_id")
     final = final.withColumn("p_final", (F.col("p_blend") + F.col("p_refit")) / 2.0)
     out = None
@@ -217,7 +209,7 @@ def q_error_refit(spark, sf_dir):
 @register("save_model_bundle")
 def q_bundle(spark, sf_dir):
     from valuator.sources.io import scratch_path
-    run = M.oof_run(_train(spark, sf_dir), "listing_id", FEATURES, "price", "fold", "gbt", params={"maxIter": 5})
+    run = M.oof_run(_train(spark, sf_dir), "listing_id", FEATURES, "price", "fold", "gbt")
     base = scratch_path(spark, "bundles")
     M.save_model_bundle(run.models, base, "gbt", "log1p(price)", spark)
-    return M.verify_bundle(spark, base, "gbt", [0, 1, 2, 3])
+    return M.verify_bundle(spark, base, "gbt", [0, 1, 2, 3, 4, 5])

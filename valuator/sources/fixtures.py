@@ -80,13 +80,18 @@ class Fixtures:
 
     @staticmethod
     def split_fold(key: Column) -> Column:
-        return ((key * F.lit(LCG_MULT) + F.lit(FOLD_SEED)) % F.lit(LCG_MOD)) % F.lit(5)
+        return (((key % F.lit(LCG_MOD)) * F.lit(LCG_MULT) + F.lit(FOLD_SEED)) % F.lit(LCG_MOD)) % F.lit(5)
 
     def listing_train(self, base: DataFrame | None = None) -> DataFrame:
         base = self.listing() if base is None else base
         return base.filter((self.split_fold(F.col("listing_id")) != NEW_FOLD)
                            & (F.col("make").isNull() | (F.col("make") != UNSEEN_MAKE)))
 
+    def listing_labelled(self, base: DataFrame | None = None) -> DataFrame:
+        """All rows that are not new, every make included: what a model is trained on."""
+        base = self.listing() if base is None else base
+        return base.filter(self.split_fold(F.col("listing_id")) != NEW_FOLD)
+
     def listing_new(self, base: DataFrame | None = None) -> DataFrame:
         base = self.listing() if base is None else base
         return base.filter(self.split_fold(F.col("listing_id")) == NEW_FOLD)
@@ -201,7 +206,7 @@ listing_nulls AS (
   FROM listing
 )"""
 
-_SPLIT = "((listing_id * 48271 + 42) % 2147483647) % 5"
+_SPLIT = "((listing_id % 2147483647 * 48271 + 42) % 2147483647) % 5"
 
 _LISTING_TRAIN_SQL = f"""
 listing_train AS (
@@ -305,6 +310,8 @@ def with_views(body: str, *views: str) -> str:
     for v in views:
         visit(v)
     body = body.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return "WITH RECURSIVE " + ",".join(VIEW_SQL[v][0] for v in order) + ",\n" + body[15:]
     if body.upper().startswith("WITH "):
         return "WITH " + ",".join(VIEW_SQL[v][0] for v in order) + ",\n" + body[5:]
     return "WITH " + ",".join(VIEW_SQL[v][0] for v in order) + "\n" + body
