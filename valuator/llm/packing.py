@@ -32,8 +32,8 @@ from valuator.session import cut_lineage
 
 CAPACITY = 2048
 END_ID = 0
-#: Fillings tried before the search settles for the best packing found.
-MAX_NODES = 60_000
+#: Fillings tried after the first packing, before the search settles for the best one found.
+MAX_NODES = 2_000
 #: Fillings kept for each open sequence, by smallest waste, and longest pieces a filling of three may begin with.
 MAX_FILLINGS, MAX_HEADS = 24, 48
 
@@ -138,6 +138,7 @@ def complete_bins(counts: np.ndarray, capacity: int = CAPACITY, max_nodes: int =
             longest -= 1
         done = longest == 0
         if done and (best is None or bins < best_bins):
+            nodes = nodes if best else 0
             best, best_bins = [(f[3], (f[0], *f[1][f[2] - 1])) for f in stack], bins
             if best_bins <= target:
                 break
