@@ -16,6 +16,7 @@ from valuator.operators import encode as E
 from valuator.operators import ensemble as W
 from valuator.operators import evaluate as EV
 from valuator.operators import impute as I
+from valuator.operators import profile as N
 from valuator.operators import segment as B
 from valuator.operators import train as M
 from valuator.plans.strategy import prefix_sums, ranked
@@ -131,19 +132,89 @@ def test_prefix_sums_equals_window(spark):
     assert ps.join(ref, "t").filter("n_cum != c2").count() == 0
 
 
-def test_knn_grid_equals_scan_with_nulls(spark):
-    rnd = random.Random(11)
-    data = []
-    for i in range(600):
-        a = rnd.choice([None] + [float(rnd.randint(0, 30))] * 9)
-        b = rnd.choice([None] + [float(rnd.randint(0, 500))] * 9)
-        t = None if i % 7 == 0 else float(rnd.randint(0, 100))
-        data.append((i, a, b, t))
-    df = spark.createDataFrame(data, "k int, a double, b double, t double")
-    g = I.knn_impute(df, "k", "t", ["a", "b"], 3, mode="grid").select("k", F.col("t").alias("g"))
-    s = I.knn_impute(df, "k", "t", ["a", "b"], 3, mode="scan").select("k", F.col("t").alias("s"))
-    bad = g.join(s, "k").filter(F.abs(F.col("g") - F.col("s")) > 1e-9)
-    assert bad.count() == 0
+def _brute_knn(data, m, k):
+    """data: (key, features..., target); target of every row, filled from its k nearest donors."""
+    donors = [r for r in data if r[m + 1] is not None]
+    mean = sum(r[m + 1] for r in donors) / len(donors)
+    out = {}
+    for r in data:
+        if r[m + 1] is not None:
+            out[r[0]] = r[m + 1]
+            continue
+        near = []
+        for d in donors:
+            both = [(d[i] - r[i]) ** 2 for i in range(1, m + 1) if d[i] is not None and r[i] is not None]
+            if both:
+                near.append((math.sqrt((m + 1) / len(both) * sum(both)), d[0], d[m + 1]))
+        near = sorted(near)[:k]
+        zero = [v for x, _, v in near if x == 0]
+        out[r[0]] = (mean if not near else sum(zero) / len(zero) if zero
+                     else sum(v / x for x, _, v in near) / sum(1 / x for x, _, v in near))
+    return out
+
+
+def _knn_case(kind, rnd):
+    feats = 8 if kind == "eight features" else 2 if kind == "starved" else 3
+    out = []
+    for i in range(400):
+        if kind == "log spread":
+            xs = [math.exp(rnd.gauss(0, 4)) for _ in range(3)]
+        elif kind == "one value":
+            xs = [rnd.choice([0.0, 0.0, 0.0, 1.0]), 5.0, float(rnd.randint(0, 1))]
+        elif kind == "eight features":
+            base = rnd.gauss(0, 3)
+            xs = [base * (j + 1) + rnd.gauss(0, 0.3) for j in range(8)]
+        else:
+            xs = [rnd.random() * 10 for _ in range(feats)]
+        if kind in ("nulls", "eight features"):
+            xs = [None if rnd.random() < 0.2 else x for x in xs]
+        out.append((i, *xs, None if rnd.random() < 0.2 else rnd.random()))
+    if kind == "log spread":
+        out.append((1000, 1e12, 1e12, -1e12, 3.0))
+    if kind == "starved":
+        out = [(r[0], r[1], None, r[3]) for r in out] + [(1001, None, 5.0, 1000.0), (1002, None, 900.0, 2000.0), (1003, None, 7.0, None),
+                                                          (1004, None, None, None)]
+    return feats, out
+
+
+@pytest.mark.parametrize("kind", ["plain", "nulls", "log spread", "one value", "eight features", "starved"])
+def test_knn_matches_brute_force(spark, kind):
+    feats, data = _knn_case(kind, random.Random(kind))
+    names = [f"f{i}" for i in range(feats)]
+    df = spark.createDataFrame(data, "k int, " + ", ".join(f"{f} double" for f in names) + ", t double")
+    got = {r["k"]: r["t"] for r in I.knn_impute(df, "k", "t", names, 5).collect()}
+    want = _brute_knn(data, feats, 5)
+    assert set(got) == set(want) and all(abs(got[i] - want[i]) <= 1e-9 * max(1, abs(want[i])) for i in want)
+
+
+@pytest.mark.parametrize("kind", ["log spread", "eight features"])
+def test_knn_candidates_stay_near_k(spark, kind):
+    rnd = random.Random(kind)
+    m, k = (8, 5) if kind == "eight features" else (3, 5)
+
+    def point():
+        if m == 3:
+            return [math.exp(rnd.gauss(0, 4)) for _ in range(3)]
+        base = rnd.gauss(0, 3)
+        return [base * (j + 1) + rnd.gauss(0, 0.3) for j in range(8)]
+
+    don = np.array([point() for _ in range(3600)] + [[1e12] * m])
+    rec = np.array([point() for _ in range(400)])
+    names = [f"f{i}" for i in range(m)]
+    df = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(don)], "_dk int, " + ", ".join(f"_d_{f} double" for f in names))
+    tree, placed = I._donor_tree(df, names, k)
+    size = {r["_leaf"]: r["count"] for r in placed.groupBy("_leaf").count().collect()}
+    far = np.sort(np.sqrt((m + 1) / m * ((rec[:, None, :] - don[None]) ** 2).sum(axis=2)), axis=1)[:, k - 1]
+    first = sum(size[v] for x in tree.near_leaves(rec, k, m + 1) for v in x.tolist())
+    _, leaves = tree.leaves_within(rec, far, m + 1)
+    pairs = first + sum(size[v] for v in leaves.tolist())
+    assert pairs < 40 * k * len(rec), pairs / (k * len(rec))
+
+
+def test_knn_floor_without_donors(spark):
+    df = spark.createDataFrame([(1, 1.0, None), (2, 2.0, None)], "k int, a double, t double")
+    assert [r["t"] for r in I.knn_impute_floor(df, "k", "t", ["a"], 2).collect()] == [1.0, 1.0]
+    assert [r["t"] for r in I.knn_impute(df, "k", "t", ["a"], 2).collect()] == [None, None]
 
 
 def test_knn_zero_distance_takes_all_weight(spark):
@@ -228,29 +299,32 @@ def test_assign_no_price_modes(spark, mode):
     assert out.collect()[0]["cluster"] == {"zero": 0, "median": 1, "ignore": 0}[mode]
 
 
-def test_sorted_selection_quantiles_equal_percentile(spark):
-    from valuator.plans.strategy import fit_quantiles, sorted_selection_quantiles
-    rnd = random.Random(5)
-    df = spark.createDataFrame([(float(rnd.randint(0, 40)) / 3,) for _ in range(777)] + [(None,)], "x double")
-    probs = [0.0, 0.01, 0.25, 0.5, 0.731, 0.99, 1.0]
-    want = df.agg(F.percentile("x", probs).alias("q")).collect()[0]["q"]
-    got = sorted_selection_quantiles(df, "x", probs, num_partitions=5)
-    assert all(abs(a - b) < 1e-12 for a, b in zip(got, want))
-    forced = fit_quantiles(df, ["x"], probs, max_distinct=0)["x"]
-    assert all(abs(a - b) < 1e-12 for a, b in zip(forced, want))
+def _plain_quantiles(values, probs):
+    x = sorted(v for v in values if v is not None and v == v)
+    out = []
+    for p in probs:
+        pos = (len(x) - 1) * p
+        lo, hi = math.floor(pos), math.ceil(pos)
+        out.append(x[lo] if x[lo] == x[hi] else (hi - pos) * x[lo] + (pos - lo) * x[hi])
+    return out
 
 
-def test_group_quantiles_ranked_path_equals_percentile(spark):
-    from valuator.plans.strategy import group_quantiles
+@pytest.mark.parametrize("few", [4, 2048])
+def test_quantiles_of_heavy_tails_hot_values_nan_and_infinity(spark, monkeypatch, few):
+    from valuator.plans import strategy
+    monkeypatch.setattr(strategy, "FEW_VALUES", few)
+    monkeypatch.setattr(strategy, "FEW_OF_GROUP", few)
     rnd = random.Random(9)
-    df = spark.createDataFrame([(rnd.choice("abbbc"), float(rnd.randint(0, 60)) / 7) for _ in range(900)],
-                               "g string, x double")
-    probs = [0.0, 0.1, 0.5, 0.77, 1.0]
-    want = {r["g"]: r["_q"] for r in df.groupBy("g").agg(F.percentile("x", probs).alias("_q")).collect()}
-    got = {r["g"]: r["_q"] for r in group_quantiles(df, ["g"], "x", probs, max_distinct=0).collect()}
-    assert set(got) == set(want)
-    for g in want:
-        assert all(abs(a - b) < 1e-9 for a, b in zip(got[g], want[g])), g
+    nan, inf = float("nan"), float("inf")
+    data = [(rnd.choice("abbbc"), rnd.choice([0.0, 0.0, math.exp(rnd.gauss(0, 9)), -rnd.random()]), rnd.choice([1.0, 2.0, nan, None]),
+             rnd.choice([inf, -inf, 3.0, 1.5e308, -1.5e308])) for _ in range(900)] + [(None, 5.0, 1.0, 0.0), ("c", 1e300, nan, nan)]
+    df = spark.createDataFrame(data, "g string, x double, y double, z double").withColumn("none", F.lit(None).cast("double"))
+    probs = [0.0, 0.01, 0.25, 0.5, 0.731, 0.99, 1.0]
+    got = strategy.fit_quantiles(df, ["x", "y", "z", "none"], probs)
+    assert got == {**{c: _plain_quantiles([r[i] for r in data], probs) for i, c in ((1, "x"), (2, "y"), (3, "z"))}, "none": None}
+    for i, c in ((1, "x"), (3, "z")):
+        by = {r["g"]: r["_q"] for r in strategy.group_quantiles(df, ["g"], c, probs).collect()}
+        assert by == {g: _plain_quantiles([r[i] for r in data if r[0] == g], probs) for g in ("a", "b", "c", None)}
 
 
 def test_attach_state_falls_back_to_shuffle_join(spark):
@@ -264,12 +338,86 @@ def test_attach_state_falls_back_to_shuffle_join(spark):
     assert a.filter("n = 4").count() == 200 and b.filter("n = 4").count() == 200
 
 
-def test_knn_donor_starved_receivers_use_covering_grid(spark):
-    rows_ = [(i, float(i % 13), None, float(i)) for i in range(60)]          # donors with a only
-    rows_ += [(100, None, 5.0, 1000.0), (101, None, 900.0, 2000.0)]         # only two donors with b
-    rows_ += [(200, None, 7.0, None), (201, 3.0, None, None), (202, 2.0, 400.0, None)]
-    df = spark.createDataFrame(rows_, "k int, a double, b double, t double")
-    g = dict(rows(I.knn_impute(df, "k", "t", ["a", "b"], 3, mode="grid"), "k", "t"))
-    s = dict(rows(I.knn_impute(df, "k", "t", ["a", "b"], 3, mode="scan"), "k", "t"))
-    for key in (200, 201, 202):
-        assert abs(g[key] - s[key]) < 1e-9, key
+def test_keys_beyond_a_long_product_do_not_overflow(spark):
+    df = spark.createDataFrame([(9 * 10**17,), (5,), (5 + 2147483647,)], "k long")
+    got = [r[0] for r in df.select(M.kfold_assign("k", 1000)).collect()]
+    assert got[1] == got[2] == (5 * 48271 + 42) % 2147483647 % 1000 and 0 <= got[0] < 1000
+
+
+def test_entropy_weights_minimise_the_reference_objective(spark):
+    rnd = random.Random(3)
+    data = []
+    for _ in range(300):
+        y = rnd.random() * 1e5
+        data.append((y, y * 0.9 + rnd.gauss(0, 500), y * 1.3 + rnd.gauss(0, 900), rnd.random() * 1e5))
+    df = spark.createDataFrame(data, "y double, a double, b double, c double")
+    g = W.gram(df, ["a", "b", "c"], "y")
+    w = W.entropy_weights(g)
+    assert abs(w.sum() - 1) < 1e-9 and w.min() >= 0
+    best = min(W.entropy_objective(g, np.array([i, j, 200 - i - j]) / 200) for i in range(201) for j in range(201 - i))
+    assert W.entropy_objective(g, w) <= best + 1e-6 * abs(best)
+
+
+def test_clusters_keep_rows_with_nulls(spark):
+    df = spark.createDataFrame([(i, float(i % 7) if i % 5 else None, float(i)) for i in range(60)], "k int, a double, b double")
+    _, labelled = CL.kmeans_segments(df, ["a", "b"], 2, restarts=1)
+    assert sorted(r["k"] for r in labelled.filter("cluster IS NOT NULL").collect()) == list(range(60))
+    assert CL.gmm_label(df, ["a", "b"], 2).count() == 60
+    _, labelled = CL.cluster_errors(df, "a", range(2, 4))
+    assert labelled.count() == 60
+
+
+def test_merging_scores_the_segments_again(spark):
+    df = spark.createDataFrame([(s, float(e)) for s, es in {0: (1, -1), 1: (9, -9), 2: (2, -2), 3: (8, 8)}.items() for e in es], "seg int, err double")
+    centers = {0: [0.0], 1: [1.0], 2: [5.0], 3: [6.0]}
+    seen = []
+
+    def rmse_of(frame, col):
+        seen.append({r[0]: r[1] for r in frame.groupBy(col).agg(F.sqrt(F.avg(F.col("err") * F.col("err")))).collect()})
+        return seen[-1]
+
+    out, mapping = CL.merge_weak_segments(df, "seg", centers, rmse_of, 6.0)
+    # 1 goes to 0 and 3 to 2; then the merged 0 (rmse 6.4) is weak and goes back to 1's centre, the last scoring merges nothing
+    assert set(seen[0]) == {0, 1, 2, 3} and set(seen[1]) == {0, 2} and mapping == {0: 1, 1: 1, 2: 2, 3: 2} and out.count() == 8
+    assert CL.merge_round({0: [0.0], 1: [1.0], 2: [1.5]}, [1, 2]) == {}
+
+
+def test_segments_small_or_null_are_predicted_too(spark):
+    rnd = random.Random(1)
+    data = [(i, "ab"[i % 2] if i < 150 else "tiny" if i < 155 else None, rnd.random(), 100 + 50 * rnd.random(), i % 2) for i in range(160)]
+    df = spark.createDataFrame(data, "k int, seg string, x double, price double, fold int")
+    small, learners = {None: {"rf": {"numTrees": 2, "maxDepth": 2}}}, ("rf", "linear")
+    pred, scores, imp = M.per_segment_models(df, "k", "seg", "fold", ["x"], "price", learners, params_for=small)
+    assert sorted(r["k"] for r in pred.filter("prediction IS NOT NULL").collect()) == list(range(160))
+    assert {r["seg"] for r in scores.collect()} == {"a", "b", M.REST} and imp.count() == 3
+    new = spark.createDataFrame([(1, "a", 0.5), (2, "unseen", 0.5), (3, None, 0.1), (4, "b", None)], "k int, seg string, x double")
+    got = M.retrain_on_segments(df, new, "k", "seg", ["x"], "price", ("linear",)).collect()
+    assert {r["k"]: r["model"] for r in got} == {1: "a", 2: M.REST, 3: M.REST, 4: "b"} and all(r["prediction"] for r in got)
+
+
+def test_searches_take_any_number_of_folds(spark):
+    rnd = random.Random(2)
+    df = spark.createDataFrame([(i, rnd.random(), 10 + rnd.random(), i % 5) for i in range(60)], "k int, x double, price double, fold int")
+    assert M.grid_search(df, ["x"], "price", "fold", {"regParam": [0.0, 0.1]}, kind="linear").count() == 2
+    assert M.random_search(df, ["x"], "price", "fold", {"regParam": [0.0, 0.1, 1.0]}, n=3, kind="linear").count() == 3
+
+
+def test_boxcox_columns_do_not_share_rows(spark):
+    rnd = random.Random(4)
+    data = [(math.exp(rnd.gauss(0, 1)), None if i % 2 else math.exp(rnd.gauss(0, 1))) for i in range(200)]
+    df = spark.createDataFrame(data, "a double, b double")
+    one = N.boxcox_fit(df, ["a"]).collect()
+    assert one[0] in N.boxcox_fit(df, ["a", "b"]).collect()
+
+
+def test_token_keeps_letters_of_any_script(spark):
+    df = spark.createDataFrame([("Citroën C3 / Été № 5",)], "s string")
+    assert df.select(T.clean_token("s")).first()[0] == "citroën_c3___été_5"
+
+
+def test_stacked_ridge_fills_missing_base_predictions(spark):
+    rnd = random.Random(6)
+    data = [(i, i % 4, float(y), None if i % 9 == 0 else y * 0.9, y * 1.1) for i, y in enumerate(rnd.random() * 100 for _ in range(80))]
+    df = spark.createDataFrame(data, "k int, fold int, y double, a double, b double")
+    table, oof, test = W.stacked_nonneg_ridge(df, ["a", "b"], "y", "fold", test=df)
+    assert table.count() == 4 and oof.filter("blend IS NOT NULL").count() == test.filter("blend IS NOT NULL").count() == 80

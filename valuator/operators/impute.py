@@ -8,28 +8,22 @@ sit in one task).
 Nearest-neighbour imputation (I7–I11) follows the reference's definition
 (NaN-aware Euclidean distance rescaled by total/present coordinates, k
 donors, weights 1/d, zero-distance donors take all the weight, receivers
-without any comparable donor get the column mean). Receivers (rows whose
-target is null) are broadcast in size-checked chunks against the donor
-table, distances are computed per donor partition and only the k best per
-receiver survive each partition (window group limit) before one shuffle on
-the receiver key. This is exact; its cost is receivers × donors distance
-evaluations (see README for the blocked mode planned next).
+without any comparable donor get the column mean). See ``knn_impute`` for the
+join that finds the donors.
 """
 
 from __future__ import annotations
 
-import itertools
-import logging
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from valuator.plans.strategy import attach_state, fit_quantiles, fit_row
-
-MAX_RECEIVERS_PER_CHUNK = 50_000
-_log = logging.getLogger("valuator.knn")
+from valuator.plans.strategy import attach_state, fit_quantiles, fit_row, group_quantiles
+from valuator.session import cut_lineage
 
 
 def _d(c: str) -> Column:
@@ -135,23 +129,6 @@ def _top_k(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
 
 
-def _scan_pairs(don: DataFrame, rec: DataFrame, feats: Sequence[str], m_total: int,
-                max_receivers_per_chunk: int) -> list[DataFrame]:
-    """Receiver chunks (bounded size, broadcast) against all donors."""
-    n_rec = rec.count()
-    if n_rec == 0:
-        return []
-    n_chunks = max(1, math.ceil(n_rec / max_receivers_per_chunk))
-    rec = rec.withColumn("_chunk", F.pmod(F.xxhash64("_rk"), F.lit(n_chunks)))
-    dist = _knn_distance(feats, m_total)
-    out = []
-    for ch in range(n_chunks):
-        part = rec.filter(F.col("_chunk") == ch).drop("_chunk")
-        pairs = don.crossJoin(F.broadcast(part)).select("_rk", "_dk", "_dv", dist.alias("_dist"))
-        out.append(pairs.filter(F.col("_dist").isNotNull()))
-    return out
-
-
 def _pattern(feats: Sequence[str], prefix: str) -> Column:
     out = F.lit(0)
     for i, f in enumerate(feats):
@@ -159,125 +136,188 @@ def _pattern(feats: Sequence[str], prefix: str) -> Column:
     return out
 
 
-def _grid_widths(don: DataFrame, feats: Sequence[str], k: int, per_cell: float) -> dict[tuple[int, int], float]:
-    """Cell width per (donor pattern q, common coordinate set cm ⊆ q): the
-    isotropic width at which a cell of that subspace holds about
-    ``per_cell``·k donors of the pattern (dimensions narrower than the width
-    collapse into one cell and leave the volume). One small aggregate by
-    pattern (≤ 2^m rows)."""
-    m = len(feats)
-    st = (don.withColumn("_q", _pattern(feats, "_d_")).groupBy("_q")
-          .agg(F.count(F.lit(1)).alias("n"), *[F.min(f"_d_{f}").alias(f"lo{i}") for i, f in enumerate(feats)],
-               *[F.max(f"_d_{f}").alias(f"hi{i}") for i, f in enumerate(feats)],
-               *[F.approx_count_distinct(f"_d_{f}").alias(f"nd{i}") for i, f in enumerate(feats)]).collect())
-    widths: dict[tuple[int, int], float] = {}
-    for r in st:
-        q, n = int(r["_q"]), int(r["n"])
-        for cm in range(1, 2 ** m):
-            if cm & q != cm:
-                continue
-            dims = [i for i in range(m) if cm & (1 << i)]
-            ranges = sorted(max(float(r[f"hi{i}"] - r[f"lo{i}"]), 1e-9) for i in dims)
-            target = max(n / float(per_cell * k), 1.0)  # number of cells wanted
-            w = 0.0
-            for drop in range(len(ranges)):
-                live = ranges[drop:]
-                vol = 1.0
-                for x in live:
-                    vol *= x
-                w = (vol / target) ** (1.0 / len(live))
-                if w <= live[0]:
-                    break
-            # discrete coordinates: a cell narrower than twice the spacing of the
-            # distinct values only splits identical values apart
-            spacing = max(float(r[f"hi{i}"] - r[f"lo{i}"]) / max(int(r[f"nd{i}"]) - 1, 1) for i in dims)
-            widths[(q, cm)] = max(w, 2.0 * spacing, 1e-9)
-    return widths
-
-
-def _grid_pairs(don: DataFrame, rec: DataFrame, feats: Sequence[str], m_total: int,
-                widths: dict[tuple[int, int], float], ring: int) -> DataFrame:
-    """Candidate pairs whose cells (width w[q, C], over the common coordinates
-    C = P_r ∩ Q_d) differ by at most ``ring`` in every coordinate of C: an
-    equi-join on (donor pattern, C, cell tuple); the receiver side is
-    exploded over the (2·ring+1)^|C| neighbour cells. Each donor meets a
-    receiver at most once."""
-    m = len(feats)
-    masks = range(1, 2 ** m)
-    wmap = F.create_map(*itertools.chain.from_iterable(
-        (F.lit(q * (1 << m) + cm), F.lit(float(w))) for (q, cm), w in widths.items()))
-
-    def cell(c: Column, w: Column) -> Column:
-        return F.floor(c / w).cast("long")
-
-    d = don.withColumn("_q", _pattern(feats, "_d_"))
-    d_entries = F.array(*[
-        F.when((F.col("_q").bitwiseAND(F.lit(cm))) == F.lit(cm), F.lit(cm)) for cm in masks])
-    d = d.withColumn("_cm", F.explode(d_entries)).filter(F.col("_cm").isNotNull())
-    dw = F.element_at(wmap, F.col("_q") * F.lit(1 << m) + F.col("_cm"))
-    d = d.withColumn("_cells", F.array(*[
-        F.when(F.col("_cm").bitwiseAND(F.lit(1 << i)) > 0, cell(F.col(f"_d_{f}"), dw)).otherwise(F.lit(None).cast("long"))
-        for i, f in enumerate(feats)]))
-
-    present_q = sorted({q for q, _ in widths})
-    r = rec.withColumn("_p", _pattern(feats, "_r_"))
-    r_entries = F.array(*[F.struct(F.lit(q).alias("q"), (F.col("_p").bitwiseAND(F.lit(q))).alias("cm"))
-                          for q in present_q]) if present_q else F.array()
-    r = r.select("_rk", *[f"_r_{f}" for f in feats], F.explode(r_entries).alias("_e"))
-    r = r.select("_rk", *[f"_r_{f}" for f in feats], F.col("_e.q").alias("_q"), F.col("_e.cm").alias("_cm"))
-    r = r.filter(F.col("_cm") > 0)
-    offsets: dict[int, list[list[int]]] = {}
-    for cm in masks:
-        dims = [i for i in range(m) if cm & (1 << i)]
-        offs = []
-        for combo in itertools.product(range(-ring, ring + 1), repeat=len(dims)):
-            full = [0] * m
-            for i, o in zip(dims, combo):
-                full[i] = o
-            offs.append(full)
-        offsets[cm] = offs
-    off_map = F.create_map(*itertools.chain.from_iterable(
-        (F.lit(cm), F.array(*[F.array(*[F.lit(o) for o in off]) for off in offsets[cm]])) for cm in masks))
-    r = r.withColumn("_off", F.explode(F.element_at(off_map, F.col("_cm"))))
-    rw = F.element_at(wmap, F.col("_q") * F.lit(1 << m) + F.col("_cm"))
-    r = r.withColumn("_cells", F.array(*[
-        F.when(F.col("_cm").bitwiseAND(F.lit(1 << i)) > 0, cell(F.col(f"_r_{f}"), rw) + F.col("_off")[i].cast("long"))
-        .otherwise(F.lit(None).cast("long")) for i, f in enumerate(feats)])).drop("_off")
-    j = r.join(d, ["_q", "_cm", "_cells"], "inner")
-    return j.select("_rk", "_dk", "_dv", _knn_distance(feats, m_total).alias("_dist")).filter(F.col("_dist").isNotNull())
-
-
-def _coordinate_span(don: DataFrame, rec: DataFrame, feats: Sequence[str]) -> float:
-    """A width larger than the range of every coordinate over donors and receivers."""
-    d = fit_row(don, *[F.min(f"_d_{f}").alias(f"a{i}") for i, f in enumerate(feats)],
-                *[F.max(f"_d_{f}").alias(f"b{i}") for i, f in enumerate(feats)])
-    r = fit_row(rec, *[F.min(f"_r_{f}").alias(f"a{i}") for i, f in enumerate(feats)],
-                *[F.max(f"_r_{f}").alias(f"b{i}") for i, f in enumerate(feats)])
-    span = 1.0
-    for i in range(len(feats)):
-        lo = min(v for v in (d[f"a{i}"], r[f"a{i}"]) if v is not None) if (d[f"a{i}"] is not None or r[f"a{i}"] is not None) else 0.0
-        hi = max(v for v in (d[f"b{i}"], r[f"b{i}"]) if v is not None) if (d[f"b{i}"] is not None or r[f"b{i}"] is not None) else 0.0
-        span = max(span, (hi - lo) * 1.01 + 1.0)
-    return span
-
-
-def _final_bound(feats: Sequence[str], m_total: int, widths: dict[tuple[int, int], float], ring: int) -> Column:
-    """Per receiver pattern p: any donor outside the searched ring is farther
-    than min over donor patterns q of sqrt(m_total/|p∩q|)·ring·w[q, p∩q]."""
-    m = len(feats)
-    bounds = {}
-    for p in range(1, 2 ** m):
-        vals = [math.sqrt(m_total / bin(p & q).count("1")) * ring * w for (q, cm), w in widths.items() if cm == (p & q)
-                and cm > 0]
-        bounds[p] = min(vals) if vals else float("inf")
-    bmap = F.create_map(*itertools.chain.from_iterable((F.lit(p), F.lit(b)) for p, b in bounds.items()))
-    return F.element_at(bmap, _pattern(feats, "_r_"))
+#: Donors that the splits are fitted on, most leaves, and donors of a leaf in units of k.
+TREE_SAMPLE, MAX_LEAVES, LEAF_K = 100_000, 20_000, 4
+
+
+class DonorTree:
+    """k-d trees over donors, one per null pattern: splits at sample medians, boxes from all donors.
+
+    Nodes are arrays: split column and value, children, leaf number, number of
+    donors, and the box of their coordinates (NaN in columns that the pattern
+    does not have). A pattern's tree spans all its columns; a receiver that
+    lacks some of them is compared in the common ones, in which a box is still
+    a bound.
+    """
+
+    def __init__(self, sample: np.ndarray, patterns: np.ndarray, counts: dict[int, int], leaf_donors: int):
+        self.m = sample.shape[1]
+        self.dim, self.cut, self.left, self.right, self.leaf = [], [], [], [], []
+        self.roots: dict[int, int] = {}
+        self.leaves = 0
+        total = sum(counts.values())
+        for q, n in sorted(counts.items()):
+            own = sample[patterns == q]
+            most = min(-(-n // leaf_donors), max(1, MAX_LEAVES * n // total), max(1, len(own)))
+            self.roots[q] = self._build(own, [i for i in range(self.m) if q >> i & 1], max(1, most))
+        self.dim, self.left, self.right, self.leaf = (np.array(x, dtype=np.int64) for x in (self.dim, self.left, self.right, self.leaf))
+        self.cut = np.array(self.cut)
+
+    def _build(self, rows: np.ndarray, dims: list[int], leaves: int) -> int:
+        at = len(self.dim)
+        for x, v in ((self.dim, -1), (self.cut, 0.0), (self.left, -1), (self.right, -1), (self.leaf, -1)):
+            x.append(v)
+        spread = sorted(((rows[:, i].max() - rows[:, i].min(), -i) for i in dims), reverse=True) if len(rows) > 1 and leaves > 1 else []
+        for width, i in spread:
+            if width <= 0:
+                break
+            x = rows[:, -i]
+            cut = np.median(x)
+            if cut >= x.max():
+                cut = x[x < x.max()].max()
+            low = x <= cut
+            self.dim[at], self.cut[at] = -i, cut
+            self.left[at] = self._build(rows[low], dims, -(-leaves // 2))
+            self.right[at] = self._build(rows[~low], dims, leaves // 2)
+            return at
+        self.leaf[at] = self.leaves
+        self.leaves += 1
+        return at
+
+    def leaf_of(self, x: np.ndarray, patterns: np.ndarray) -> np.ndarray:
+        roots = np.zeros(1 << self.m, dtype=np.int64)
+        roots[list(self.roots)] = list(self.roots.values())
+        node = roots[patterns]
+        while True:
+            inner = np.flatnonzero(self.dim[node] >= 0)
+            if not len(inner):
+                return self.leaf[node]
+            n = node[inner]
+            node[inner] = np.where(x[inner, self.dim[n]] <= self.cut[n], self.left[n], self.right[n])
+
+    def set_boxes(self, leaf: np.ndarray, n: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
+        size = len(self.dim)
+        self.n, self.low, self.high = np.zeros(size, np.int64), np.full((size, self.m), np.nan), np.full((size, self.m), np.nan)
+        node_of = {v: i for i, v in enumerate(self.leaf.tolist()) if v >= 0}
+        at = [node_of[v] for v in leaf.tolist()]
+        self.n[at], self.low[at], self.high[at] = n, low, high
+        for i in range(size - 1, -1, -1):  # children come after their parent
+            if self.dim[i] >= 0:
+                kids = [self.left[i], self.right[i]]
+                self.n[i] = self.n[kids].sum()
+                self.low[i], self.high[i] = np.fmin(*self.low[kids]), np.fmax(*self.high[kids])
+
+    def bound(self, x: np.ndarray, node: np.ndarray, m_total: int) -> np.ndarray:
+        """Least distance of each row of x to any donor of its node; infinite if nothing is comparable."""
+        gap = np.fmax(np.fmax(self.low[node] - x, x - self.high[node]), 0.0)
+        common = ~np.isnan(x) & ~np.isnan(self.low[node])
+        present = common.sum(axis=1)
+        sq = np.where(common, gap, 0.0) ** 2
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where((present > 0) & (self.n[node] > 0), np.sqrt(m_total / present * sq.sum(axis=1)), np.inf)
+
+    def near_leaves(self, x: np.ndarray, k: int, m_total: int) -> list[np.ndarray]:
+        """Leaves that hold at least k comparable donors near each row (all comparable ones if there are fewer)."""
+        count = len(x)
+        roots = np.array(list(self.roots.values()), dtype=np.int64)
+        lb = np.stack([self.bound(x, np.full(count, r), m_total) for r in roots], axis=1)
+        enough = np.where(self.n[roots][None, :] >= k, lb, np.inf)
+        node = np.where(np.isfinite(enough).any(axis=1), roots[enough.argmin(axis=1)], -1)
+        alone = np.flatnonzero(node < 0)
+        out: list[np.ndarray] = [np.zeros(0, np.int64)] * count
+        for i in alone:
+            out[i] = self._below(roots[np.isfinite(lb[i])])
+        todo = np.flatnonzero(node >= 0)
+        while len(todo):
+            n = node[todo]
+            inner = self.dim[n] >= 0
+            todo, n = todo[inner], n[inner]
+            kids = np.stack([self.left[n], self.right[n]], axis=1)
+            d = np.stack([np.where(self.n[kids[:, j]] >= k, self.bound(x[todo], kids[:, j], m_total), np.inf) for j in (0, 1)], axis=1)
+            pick = d.argmin(axis=1)
+            go = np.isfinite(d[np.arange(len(d)), pick])
+            todo, pick, kids = todo[go], pick[go], kids[go]
+            node[todo] = kids[np.arange(len(kids)), pick]
+        for i in np.flatnonzero(node >= 0):
+            out[i] = self._below(node[i:i + 1])
+        return out
+
+    def _below(self, nodes: np.ndarray) -> np.ndarray:
+        found, todo = [], np.asarray(nodes)
+        while len(todo):
+            found.append(self.leaf[todo[self.dim[todo] < 0]])
+            inner = todo[self.dim[todo] >= 0]
+            todo = np.concatenate([self.left[inner], self.right[inner]])
+        got = np.concatenate(found) if found else np.zeros(0, np.int64)
+        return got
+
+    def leaves_within(self, x: np.ndarray, distance: np.ndarray, m_total: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row, leaf) of every leaf that may hold a donor at most so far from the row."""
+        row = np.repeat(np.arange(len(x)), len(self.roots))
+        node = np.tile(np.array(list(self.roots.values()), dtype=np.int64), len(x))
+        rows, leaves = [], []
+        while len(node):
+            # a hair more than the distance, for the rounding of the last digits
+            ok = self.bound(x[row], node, m_total) <= distance[row] * (1 + 1e-9)
+            row, node = row[ok], node[ok]
+            end = self.dim[node] < 0
+            rows.append(row[end]), leaves.append(self.leaf[node[end]])
+            row, node = np.repeat(row[~end], 2), np.stack([self.left[node[~end]], self.right[node[~end]]], axis=1).ravel()
+        return np.concatenate(rows) if rows else row, np.concatenate(leaves) if leaves else node
+
+
+def _donor_tree(don: DataFrame, feats: Sequence[str], k: int) -> tuple[DonorTree, DataFrame]:
+    """The tree, and the donors with their leaf (``_leaf``)."""
+    cols = [f"_d_{f}" for f in feats]
+    don = don.withColumn("_q", _pattern(feats, "_d_")).filter("_q > 0")
+    counts = {int(r["_q"]): int(r["n"]) for r in don.groupBy("_q").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = sum(counts.values())
+    # a sample by hash of about TREE_SAMPLE rows, and at least a few hundred of each pattern
+    need = {q: max(TREE_SAMPLE * n // max(total, 1), 300) / n for q, n in counts.items()}
+    share = F.lit(0.0)
+    for q, x in need.items():
+        share = F.when(F.col("_q") == q, F.lit(float(x))).otherwise(share)
+    place = F.shiftrightunsigned(F.xxhash64("_dk", F.lit("sample")), 11).cast("double") / float(1 << 53)
+    rows = don.filter(place < share).select("_q", *cols).limit(4 * TREE_SAMPLE).toPandas()
+    tree = DonorTree(rows[cols].to_numpy(np.float64).reshape(-1, len(cols)), rows["_q"].to_numpy(np.int64), counts, LEAF_K * k)
+
+    @F.pandas_udf("int")
+    def leaf(q: pd.Series, *xs: pd.Series) -> pd.Series:
+        x = np.column_stack([v.to_numpy(np.float64) for v in xs])
+        return pd.Series(tree.leaf_of(x, q.to_numpy(np.int64)).astype(np.int32))
+
+    placed = don.withColumn("_leaf", leaf("_q", *cols)).drop("_q")
+    boxes = placed.groupBy("_leaf").agg(F.count(F.lit(1)).alias("n"), *[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
+                                        *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).toPandas()
+    m = len(cols)
+    tree.set_boxes(boxes["_leaf"].to_numpy(np.int64), boxes["n"].to_numpy(np.int64),
+                   boxes[[f"lo{i}" for i in range(m)]].to_numpy(np.float64).reshape(-1, m),
+                   boxes[[f"hi{i}" for i in range(m)]].to_numpy(np.float64).reshape(-1, m))
+    return tree, placed
+
+
+def _receiver_leaves(rec: DataFrame, feats: Sequence[str], tree: DonorTree, k: int, m_total: int) -> tuple[DataFrame, Callable]:
+    """Receivers with the leaves of the first look, and a function that adds those of the second, up to a distance."""
+    cols = [f"_r_{f}" for f in feats]
+
+    @F.pandas_udf("array<int>")
+    def near(*xs: pd.Series) -> pd.Series:
+        x = np.column_stack([v.to_numpy(np.float64) for v in xs])
+        return pd.Series([v.astype(np.int32) for v in tree.near_leaves(x, k, m_total)], dtype=object)
+
+    @F.pandas_udf("array<int>")
+    def within(distance: pd.Series, *xs: pd.Series) -> pd.Series:
+        x = np.column_stack([v.to_numpy(np.float64) for v in xs])
+        row, leaf = tree.leaves_within(x, distance.to_numpy(np.float64), m_total)
+        order = np.argsort(row, kind="stable")
+        ends = np.searchsorted(row[order], np.arange(len(x) + 1))
+        return pd.Series([leaf[order[ends[i]:ends[i + 1]]].astype(np.int32) for i in range(len(x))], dtype=object)
+
+    return rec.withColumn("_first", near(*cols)), lambda frame, distance: frame.withColumn("_all", within(distance, *cols))
 
 
 def knn_impute(df: DataFrame, key: str, target: str, features: Sequence[str], k: int = 5,
-               donors: DataFrame | None = None, out: str | None = None, mode: str = "grid",
-               max_receivers_per_chunk: int = MAX_RECEIVERS_PER_CHUNK, per_cell: float = 2.0,
-               levels: int = 8, coarsen: float = 3.0) -> DataFrame:
+               donors: DataFrame | None = None, out: str | None = None) -> DataFrame:
     """Fill ``target`` nulls from the k nearest donors (rows with target present).
 
     Distance over the columns [features..., target]: sqrt(m_total / m_present
@@ -286,76 +326,43 @@ def knn_impute(df: DataFrame, key: str, target: str, features: Sequence[str], k:
     Ties in distance break on the donor key. Receivers without any comparable
     donor get the donor mean.
 
-    mode='grid' (default, exact): candidates come from an equi-join on grid
-    cells (``_grid_pairs``, the 3^|C| cells around the receiver). A donor
-    outside them is farther than sqrt(m_total/|C|)·w, so a receiver whose
-    k-th candidate distance is below that bound is final; the others retry on
-    a grid coarsened by ``coarsen`` (the bound grows with it). Receivers still
-    open when the coarsening stops helping (they have fewer than k comparable
-    donors in the whole table) finish on a grid whose cells span every
-    coordinate's range, which reaches all their comparable donors.
-    mode='scan': broadcast receiver chunks against all donors (reference check).
+    Exact, by two joins on the leaves of ``DonorTree``: each receiver first
+    meets the donors of the leaves around it, at least k of them, whose k-th
+    distance bounds the answer; then those of every other leaf whose box is
+    not farther. Splits are medians, so leaves hold a few times k donors
+    however the values spread; of donors with the same coordinates only the
+    first k by key can count and only they are kept, so a point that many
+    share is no large leaf. A donor is in one leaf, whatever the number of
+    features and null patterns.
     """
     out = out or target
     donors = df if donors is None else donors
     feats = list(features)
     m_total = len(feats) + 1
-    don = donors.filter(F.col(target).isNotNull()).select(
+    same = Window.partitionBy(*[f"_d_{f}" for f in feats]).orderBy("_dk")
+    all_donors = donors.filter(F.col(target).isNotNull()).select(
         F.col(key).alias("_dk"), _d(target).alias("_dv"), *[_d(f).alias(f"_d_{f}") for f in feats])
-    rec_all = df.filter(F.col(target).isNull()).select(F.col(key).alias("_rk"), *[_d(f).alias(f"_r_{f}") for f in feats])
-    col_mean = fit_row(don, F.avg("_dv").alias("m"))["m"]
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if don.rdd.getNumPartitions() < par:
-        # spread the pair evaluation over all cores when the donor table arrives in few partitions
-        don = don.repartition(par, "_dk")
-
-    tops: list[DataFrame] = []
-    if mode == "scan":
-        tops = [_top_k(p, k) for p in _scan_pairs(don, rec_all, feats, m_total, max_receivers_per_chunk)]
-    elif mode == "grid":
-        from valuator.session import cut_lineage
-        don = don.persist()
-        base = _grid_widths(don, feats, k, per_cell)
-        # receivers without any present feature have no comparable donor: they get the mean
-        pending = rec_all.filter(_pattern(feats, "_r_") > 0)
-        previous, stalled, left = None, 0, 1
-        for level in range(levels):
-            # level L searches the 3^|C| neighbouring cells of a grid coarsened by coarsen^L
-            widths = {key_: w * coarsen ** level for key_, w in base.items()}
-            cand = _top_k(_grid_pairs(don, pending, feats, m_total, widths, 1), k)
-            cand = cut_lineage(cand)  # reused twice below; survives executor loss
-            status = cand.groupBy("_rk").agg(F.count(F.lit(1)).alias("_n"), F.max("_dist").alias("_dk_max"))
-            bound = pending.select("_rk", _final_bound(feats, m_total, widths, 1).alias("_bound"))
-            final = (status.join(bound, "_rk").filter((F.col("_n") >= k) & (F.col("_dk_max") < F.col("_bound")))
-                     .select("_rk"))
-            tops.append(cand.join(final, "_rk", "left_semi"))
-            pending = cut_lineage(pending.join(final, "_rk", "left_anti"))
-            left = pending.count()
-            _log.info("knn level %d: %d receivers open", level, left)
-            if left == 0:
-                break
-            stalled = stalled + 1 if left == previous else 0
-            if stalled >= 2:
-                break  # two coarser grids without progress: finish with the covering grid below
-            previous = left
-        if left:
-            # a grid whose cell is wider than every coordinate's whole range: the 3^|C| cells
-            # around a receiver hold every comparable donor, so its top k is final (used for
-            # the few receivers that have fewer than k comparable donors in the whole table)
-            span = _coordinate_span(don, pending, feats)
-            widths = {key_: span for key_ in base}
-            tops.append(_top_k(_grid_pairs(don, pending, feats, m_total, widths, 1), k))
-    else:
-        raise ValueError("mode must be grid|scan")
-
-    if not tops:
-        return df.withColumn(out, F.col(target)) if out != target else df
-    est = _weighted_estimate(tops[0]) if len(tops) == 1 else None
-    if est is None:
-        u = tops[0]
-        for t in tops[1:]:
-            u = u.unionByName(t)
-        est = _weighted_estimate(u)
+    rec = (df.filter(F.col(target).isNull()).select(F.col(key).alias("_rk"), *[_d(f).alias(f"_r_{f}") for f in feats])
+           .filter(_pattern(feats, "_r_") > 0))
+    col_mean = fit_row(all_donors, F.avg("_dv").alias("m"))["m"]
+    don = cut_lineage(all_donors.withColumn("_nth", F.row_number().over(same)).filter(F.col("_nth") <= k).drop("_nth"))
+    tree, placed = _donor_tree(don, feats, k)
+    if not tree.roots:
+        return df.withColumn(out, F.coalesce(_d(target), F.lit(col_mean).cast("double")))
+    placed = cut_lineage(placed)
+    dist = _knn_distance(feats, m_total)
+
+    def meet(receivers: DataFrame, leaves: str) -> DataFrame:
+        each = receivers.select("_rk", *[f"_r_{f}" for f in feats], F.explode(leaves).alias("_leaf"))
+        return each.join(placed, "_leaf").select("_rk", "_dk", "_dv", dist.alias("_dist")).filter("_dist IS NOT NULL")
+
+    first, add_within = _receiver_leaves(rec, feats, tree, k, m_total)
+    first = cut_lineage(first)
+    top = cut_lineage(_top_k(meet(first, "_first"), k))
+    reach = top.groupBy("_rk").agg(F.max("_dist").alias("_far"), F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= k)
+    second = add_within(first.join(reach, "_rk"), F.col("_far"))
+    second = second.withColumn("_more", F.array_except("_all", "_first"))
+    est = _weighted_estimate(_top_k(top.unionByName(meet(second, "_more")), k))
     j = df.join(est, F.col(key) == F.col("_rk"), "left").drop("_rk")
     filled = F.coalesce(_d(target), F.col("_knn"), F.when(F.col(target).isNull(), F.lit(col_mean)))
     return j.withColumn(out, filled).drop("_knn")
@@ -386,12 +393,14 @@ def knn_floor_value(df: DataFrame, target: str) -> float:
 
 def knn_impute_floor(df: DataFrame, key: str, target: str, features: Sequence[str], k: int = 5) -> DataFrame:
     """I7, then every value (new and existing) below max(0.5·min, 1) is
-    raised to it; with ≤ k donors the median (at least the floor) fills."""
+    raised to it; with ≤ k donors the median (at least the floor) fills, and
+    without any donor the floor, which is then 1."""
     floor = knn_floor_value(df, target)
     n_donors = df.filter(F.col(target).isNotNull()).count()
     if n_donors <= k:
-        med = fit_row(df, F.percentile(_d(target), 0.5).alias("m"))["m"]
-        filled = df.withColumn(target, F.coalesce(_d(target), F.lit(max(med, floor))))
+        # the reference's own switch: too few donors to choose from
+        med = fit_quantiles(df, [target], [0.5])[target]
+        filled = df.withColumn(target, F.coalesce(_d(target), F.lit(max(med[0], floor) if med else floor)))
     else:
         filled = knn_impute(df, key, target, features, k)
     return filled.withColumn(target, F.when(F.col(target) < F.lit(floor), F.lit(floor)).otherwise(F.col(target)))
@@ -401,19 +410,27 @@ def knn_impute_corr_blend(df: DataFrame, key: str, target: str, candidates: Sequ
                           threshold: float = 0.3, max_features: int = 3) -> DataFrame:
     """Features with |corr(feature, target)| > threshold (strongest
     first, at most 3); estimate = mean of the KNN estimate and the
-    |corr|-weighted average of the row's own feature values; then the floor."""
+    |corr|-weighted average of the row's own feature values, missing ones being
+    filled from their own nearest donors; then the floor."""
     r = fit_row(df, *[F.corr(_d(c), _d(target)).alias(c) for c in candidates])
     ranked_feats = sorted([(abs(r[c]), c) for c in candidates if r[c] is not None and not math.isnan(r[c])
                            and abs(r[c]) > threshold], key=lambda t: (-t[0], t[1]))[:max_features]
     feats = [c for _, c in ranked_feats] or list(candidates)
     weights = {c: a for a, c in ranked_feats} or {c: 1.0 for c in feats}
     floor = knn_floor_value(df, target)
-    knn = knn_impute(df, key, target, feats, k, out="_knn_est")
+    # only rows to fill need their own missing features, and any row that has one can give it
+    rows = df.filter(F.col(target).isNull()).select(key, target, *feats)
+    own = rows
+    for f in feats:
+        others = [c for c in feats if c != f] + [target]
+        est = knn_impute(rows, key, f, others, k, donors=df, out="_own").select(F.col(key).alias("_k"), F.col("_own").alias(f"_own_{f}"))
+        own = own.join(est, F.col(key) == F.col("_k"), "left").drop("_k")
     wsum = sum(weights.values())
-    lin = sum((F.coalesce(_d(c), F.lit(0.0)) * F.lit(w) for c, w in weights.items()), F.lit(0.0)) / F.lit(wsum)
-    est = (F.col("_knn_est") + lin) / 2.0
-    v = F.coalesce(_d(target), est)
-    return knn.withColumn(target, F.when(v < F.lit(floor), F.lit(floor)).otherwise(v)).drop("_knn_est")
+    lin = sum((F.col(f"_own_{c}") * F.lit(w) for c, w in weights.items()), F.lit(0.0)) / F.lit(wsum)
+    own = own.select(F.col(key).alias("_k"), lin.alias("_lin"))
+    knn = knn_impute(df, key, target, feats, k, out="_knn_est").join(own, F.col(key) == F.col("_k"), "left").drop("_k")
+    v = F.coalesce(_d(target), (F.col("_knn_est") + F.col("_lin")) / 2.0)
+    return knn.withColumn(target, F.when(v < F.lit(floor), F.lit(floor)).otherwise(v)).drop("_knn_est", "_lin")
 
 
 def impute_outliers_iqr(df: DataFrame, key: str, target: str, features: Sequence[str], k: int = 5) -> DataFrame:
@@ -423,7 +440,8 @@ def impute_outliers_iqr(df: DataFrame, key: str, target: str, features: Sequence
     pre-fill copy, returning originals; we implement the stated intent)."""
     first = knn_impute_floor(df, key, target, features, k)
     floor = knn_floor_value(df, target)
-    q1, q3 = fit_row(first, F.percentile(_d(target), [0.25, 0.75]).alias("q"))["q"]
+    first = cut_lineage(first)  # read again by the second pass
+    q1, q3 = fit_quantiles(first, [target], [0.25, 0.75])[target] or (floor, floor)
     lo, hi = max(q1 - 1.5 * (q3 - q1), floor), q3 + 1.5 * (q3 - q1)
     nulled = first.withColumn(target, F.when((F.col(target) < lo) | (F.col(target) > hi), F.lit(None))
                               .otherwise(F.col(target)))
@@ -432,19 +450,20 @@ def impute_outliers_iqr(df: DataFrame, key: str, target: str, features: Sequence
 
 # ------------------------------------------------------------------ I12, I13, I15 (Spark ML)
 def select_features_for_impute(df: DataFrame, target: str, candidates: Sequence[str], top: int = 3,
-                               seed: int = 42) -> list[str]:
-    """Top features by random-forest importance on complete rows; when
-    the forest fails, top-k by F-score; topped up from the rest."""
+                               seed: int = 42, trees: int = 100) -> list[str]:
+    """Top features by random-forest importance on complete rows; without
+    two complete rows there is no forest, and the F-score orders them;
+    topped up from the rest."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import RandomForestRegressor
-    complete = df.dropna(subset=[*candidates, target])
-    try:
+    complete = df.dropna(subset=[*candidates, target]).withColumns({c: _d(c) for c in [*candidates, target]})
+    if complete.limit(2).count() == 2:
         va = VectorAssembler(inputCols=list(candidates), outputCol="_fv")
-        m = RandomForestRegressor(featuresCol="_fv", labelCol=target, numTrees=20, maxDepth=6, seed=seed).fit(
+        m = RandomForestRegressor(featuresCol="_fv", labelCol=target, numTrees=trees, maxDepth=6, seed=seed).fit(
             va.transform(complete))
         imp = m.featureImportances.toArray()
         order = [c for _, c in sorted(zip(-imp, candidates))]
-    except Exception:  # noqa: BLE001 - the reference falls back to the F-score
+    else:
         from valuator.operators.profile import f_score_select
         order = [r["feature"] for r in f_score_select(df, candidates, target).orderBy("rank").collect()]
     return order[:top] + [c for c in candidates if c not in order[:top]]
@@ -475,9 +494,9 @@ def impute_model(df: DataFrame, target: str, features: Sequence[str], seed: int
 
 
 def impute_selected_model(df: DataFrame, target: str, candidates: Sequence[str], ratio: float = 0.2,
-                          seed: int = 42, folds: int = 3) -> tuple[DataFrame, str]:
-    """I15 (re-aimed): keep the top ``ratio`` of candidates by F-score (at
-    least one), pick the best of {linear, forest, boosted trees} by k-fold
+                          seed: int = 42, folds: int = 3, select: str = "f_score") -> tuple[DataFrame, str]:
+    """I15 (re-aimed): keep the top ``ratio`` of candidates (at least one) by
+    ``select``: f_score, mutual_info or forest (importance); pick the best of {linear, forest, boosted trees} by k-fold
     RMSE with ``CrossValidator``, predict the nulls."""
     from pyspark.ml import Pipeline
     from pyspark.ml.evaluation import RegressionEvaluator
@@ -485,9 +504,16 @@ def impute_selected_model(df: DataFrame, target: str, candidates: Sequence[str],
     from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
-    from valuator.operators.profile import f_score_select
+    from valuator.operators.profile import f_score_select, mutual_info_select
     n_keep = max(1, int(len(candidates) * ratio))
-    feats = [r["feature"] for r in f_score_select(df, candidates, target, n_keep).orderBy("rank").collect()]
+    if select == "f_score":
+        feats = [r["feature"] for r in f_score_select(df, candidates, target, n_keep).orderBy("rank").collect()]
+    elif select == "mutual_info":
+        feats = [r["feature"] for r in mutual_info_select(df, candidates, target, k=n_keep).collect()] or list(candidates)[:n_keep]
+    elif select == "forest":
+        feats = select_features_for_impute(df, target, candidates, n_keep, seed)[:n_keep]
+    else:
+        raise ValueError("select must be f_score|mutual_info|forest")
     cast = df.withColumns({f: _d(f) for f in feats}).withColumn(target, _d(target))
     known = cast.filter(F.col(target).isNotNull())
     best_name, best_rmse, best_model = None, float("inf"), None
@@ -511,10 +537,11 @@ def impute_selected_model(df: DataFrame, target: str, candidates: Sequence[str],
 
 # ------------------------------------------------------------------ I14
 def impute_cluster_median(df: DataFrame, target: str, features: Sequence[str], k: int = 3,
-                          seed: int = 42) -> DataFrame:
+                          seed: int = 42, per_row: bool = False) -> DataFrame:
     """Z-score features (sample std), k-means on rows with the target,
     assign the null rows, fill every null with the median target of the most
-    frequent assigned cluster (ties: lowest id)."""
+    frequent assigned cluster (ties: lowest id); with ``per_row``, each null
+    with the median of its own cluster."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
     st = fit_row(df, *[F.avg(_d(f)).alias(f"m_{f}") for f in features],
@@ -525,15 +552,18 @@ def impute_cluster_median(df: DataFrame, target: str, features: Sequence[str], k
     zv = va.transform(z)
     model = KMeans(k=k, seed=seed, featuresCol="_fv", predictionCol="_cl").fit(zv.filter(F.col(target).isNotNull()))
     lab = model.transform(zv)
-    from valuator.plans.strategy import group_quantiles
     med = group_quantiles(lab.filter(F.col(target).isNotNull()), ["_cl"], _d(target), [0.5]).select(
         "_cl", F.col("_q")[0].alias("_med"))
     top = (lab.filter(F.col(target).isNull()).groupBy("_cl").agg(F.count(F.lit(1)).alias("_n"))
            .orderBy(F.col("_n").desc(), "_cl").limit(1))
     fill = top.join(med, "_cl").select("_med")
-    fallback = fit_row(df, F.percentile(_d(target), 0.5).alias("m"))["m"]
+    fallback = fit_quantiles(df, [target], [0.5])[target]
+    if per_row:
+        labelled = attach_state(lab, med, "_cl", "left").withColumn(
+            target, F.coalesce(_d(target), F.col("_med"), F.lit(fallback[0] if fallback else None)))
+        return labelled.select(*df.columns)
     rows = fill.collect()
-    value = rows[0]["_med"] if rows else fallback
+    value = rows[0]["_med"] if rows else (fallback[0] if fallback else None)
     return df.withColumn(target, F.coalesce(_d(target), F.lit(value)))
 
 
@@ -607,11 +637,12 @@ def fill_quality(raw: DataFrame, filled: DataFrame, key: str, col: str) -> DataF
         return [big_g1.alias(f"{p}_skew"), big_g2.alias(f"{p}_kurt")]
 
     fv = F.when(F.col("_was_null"), F.col("_v"))
+    median = fit_quantiles(j.select(fv.alias("_v")), ["_v"], [0.5])["_v"]
     return j.agg(
         F.count(fv).alias("n_filled"), F.avg(fv).alias("mean"), F.stddev_samp(fv).alias("std"),
-        F.min(fv).alias("min"), F.max(fv).alias("max"), F.percentile(fv, 0.5).alias("median"),
+        F.min(fv).alias("min"), F.max(fv).alias("max"),
         *moments(False, "obs"), *moments(True, "fill"),
-    ).select("n_filled", "mean", "std", "min", "max", "median",
+    ).select("n_filled", "mean", "std", "min", "max", F.lit(median[0] if median else None).cast("double").alias("median"),
              F.abs(F.col("obs_skew") - F.col("fill_skew")).alias("skewness_difference"),
              F.abs(F.col("obs_kurt") - F.col("fill_kurt")).alias("kurtosis_difference"))
 

@@ -8,7 +8,7 @@ from valuator.operators import impute as I
 from valuator.operators.profile import QUANTILE_PROFILE_PROBS
 from valuator.plans.common import fx, rnd, round_all
 from valuator.plans.registry import register
-from valuator.plans.strategy import fit_row
+from valuator.plans.strategy import fit_quantiles, fit_row
 
 _MED_COLS = ["power", "curb_weight", "engine_cap", "depreciation"]
 
@@ -94,7 +94,7 @@ def q_impute_first(spark, sf_dir):
 _KNN_FEATS = ["curb_weight", "engine_cap", "depreciation"]
 
 
-def _knn_sql(src: str, target: str, feats: list[str], k: int, value_expr: str = "est.v") -> str:
+def _knn_sql(src: str, target: str, feats: list[str], k: int, p: str = "", also: str = "") -> str:
     rcols = ", ".join(f"{f} AS r_{f}" for f in feats)
     dcols = ", ".join(f"{f} AS d_{f}" for f in feats)
     both = [f"r_{f} IS NOT NULL AND d_{f} IS NOT NULL" for f in feats]
@@ -102,18 +102,18 @@ def _knn_sql(src: str, target: str, feats: list[str], k: int, value_expr: str =
     pr = " + ".join(f"CASE WHEN {b} THEN 1 ELSE 0 END" for b in both)
     m_total = float(len(feats) + 1)
     return f"""
-rec AS (SELECT listing_id AS rk, {rcols} FROM {src} WHERE {target} IS NULL),
-don AS (SELECT listing_id AS dk, CAST({target} AS DOUBLE) AS dv, {dcols} FROM {src} WHERE {target} IS NOT NULL),
-pairs AS (SELECT rk, dk, dv, {sq} AS sq, {pr} AS present FROM rec CROSS JOIN don),
-dd AS (SELECT rk, dk, dv, CASE WHEN present > 0 THEN sqrt({m_total} / present * sq) END AS dist FROM pairs),
-top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rk ORDER BY dist, dk) AS r FROM dd
+{p}rec AS (SELECT listing_id AS rk, {rcols} FROM {src} WHERE {target} IS NULL{also}),
+{p}don AS (SELECT listing_id AS dk, CAST({target} AS DOUBLE) AS dv, {dcols} FROM {src} WHERE {target} IS NOT NULL),
+{p}pairs AS (SELECT rk, dk, dv, {sq} AS sq, {pr} AS present FROM {p}rec CROSS JOIN {p}don),
+{p}dd AS (SELECT rk, dk, dv, CASE WHEN present > 0 THEN sqrt({m_total} / present * sq) END AS dist FROM {p}pairs),
+{p}top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rk ORDER BY dist, dk) AS r FROM {p}dd
                        WHERE dist IS NOT NULL) WHERE r <= {k}),
-est AS (
+{p}est AS (
   SELECT rk, CASE WHEN max(CASE WHEN dist = 0 THEN 1 ELSE 0 END) = 1
       THEN sum(CASE WHEN dist = 0 THEN dv ELSE 0.0 END) / sum(CASE WHEN dist = 0 THEN 1 ELSE 0 END)
       ELSE sum(CASE WHEN dist > 0 THEN dv / dist ELSE 0.0 END) / sum(CASE WHEN dist > 0 THEN 1.0 / dist ELSE 0.0 END)
     END AS v
-  FROM top GROUP BY rk
+  FROM {p}top GROUP BY rk
 )"""
 
 
@@ -161,7 +161,24 @@ def q_impute_knn_floor(spark, sf_dir):
     return I.knn_impute_floor(l, "listing_id", "power", _KNN_FEATS, 5).select("listing_id", rnd("power", 4).alias("power"))
 
 
-@register("impute_knn_corr_blend")
+_BLEND_FEATS = ["price", "omv", "dereg_value"]  # power, the fourth candidate, does not correlate
+
+
+def _blend_sql() -> str:
+    own = ", ".join(_knn_sql("listing_nulls", f, [c for c in [*_BLEND_FEATS, "depreciation"] if c != f], 5, f"{f}_",
+                             " AND depreciation IS NULL").strip() for f in _BLEND_FEATS if f != "price")
+    lin = " + ".join(f"w.{f} * " + ("l.price" if f == "price" else f"coalesce(l.{f}, {f}_est.v, m.{f})") for f in _BLEND_FEATS)
+    return ("WITH " + _knn_sql("listing_nulls", "depreciation", _BLEND_FEATS, 5).strip() + ",\n" + own + f""",
+w AS (SELECT {", ".join(f"abs(corr({f}, depreciation)) AS {f}" for f in _BLEND_FEATS)} FROM listing_nulls),
+m AS (SELECT {", ".join(f"avg({f}) AS {f}" for f in _BLEND_FEATS)}, avg(depreciation) AS t, greatest(0.5 * min(depreciation), 1.0) AS fl FROM listing_nulls),
+v AS (SELECT l.listing_id, coalesce(l.depreciation, (coalesce(est.v, m.t) + ({lin}) / ({" + ".join(f"w.{f}" for f in _BLEND_FEATS)})) / 2) AS v, m.fl
+      FROM listing_nulls l LEFT JOIN est ON l.listing_id = est.rk LEFT JOIN omv_est ON l.listing_id = omv_est.rk
+      LEFT JOIN dereg_value_est ON l.listing_id = dereg_value_est.rk CROSS JOIN w CROSS JOIN m)
+SELECT listing_id, round(CASE WHEN v < fl THEN fl ELSE v END, 4) AS depreciation FROM v
+""")
+
+
+@register("impute_knn_corr_blend", _blend_sql(), ("listing_nulls",))
 def q_impute_knn_corr(spark, sf_dir):
     l = fx(spark, sf_dir).listing_nulls().select("listing_id", "depreciation", "price", "omv", "dereg_value", "power")
     out = I.knn_impute_corr_blend(l, "listing_id", "depreciation", ["price", "omv", "dereg_value", "power"], 5)
@@ -185,7 +202,7 @@ def q_select_features(spark, sf_dir):
 @register("impute_model")
 def q_impute_model(spark, sf_dir):
     l = fx(spark, sf_dir).listing_nulls().select("listing_id", "depreciation", "price", "omv", "dereg_value", "coe")
-    out = I.impute_model(l, "depreciation", ["price", "omv", "dereg_value", "coe"], num_trees=20)
+    out = I.impute_model(l, "depreciation", ["price", "omv", "dereg_value", "coe"])
     return out.select("listing_id", "depreciation")
 
 
@@ -204,6 +221,35 @@ def q_impute_cluster_median(spark, sf_dir):
     return out.select("listing_id", "power")
 
 
+@register("impute_cluster_median_by_row")
+def q_impute_cluster_median_by_row(spark, sf_dir):
+    l = fx(spark, sf_dir).listing_nulls().select("listing_id", "power", "curb_weight", "engine_cap", "coe")
+    return I.impute_cluster_median(l, "power", ["curb_weight", "engine_cap", "coe"], per_row=True).select("listing_id", "power")
+
+
+_FILLED_KEYS_SQL = """
+SELECT count(*) AS n, count(DISTINCT listing_id) AS keys, count(*) AS filled, CAST(sum({c}) AS DOUBLE) IS NOT NULL AS known_kept
+FROM listing_nulls
+"""
+
+
+def _filled_keys(out, raw, c):
+    """Every key once, every value filled, and the known values as they were."""
+    j = out.select("listing_id", F.col(c).alias("_f")).join(raw.select("listing_id", F.col(c).alias("_o")), "listing_id")
+    return j.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("listing_id").alias("keys"), F.count("_f").alias("filled"),
+                 F.coalesce(F.bool_and(F.col("_o").isNull() | (F.abs(F.col("_o") - F.col("_f")) < 1e-6)), F.lit(False)).alias("known_kept"))
+
+
+@register("impute_model_keys", _FILLED_KEYS_SQL.format(c="depreciation"), ("listing_nulls",))
+def q_impute_model_keys(spark, sf_dir):
+    return _filled_keys(q_impute_model(spark, sf_dir), fx(spark, sf_dir).listing_nulls(), "depreciation")
+
+
+@register("impute_cluster_median_keys", _FILLED_KEYS_SQL.format(c="power"), ("listing_nulls",))
+def q_impute_cluster_median_keys(spark, sf_dir):
+    return _filled_keys(q_impute_cluster_median_by_row(spark, sf_dir), fx(spark, sf_dir).listing_nulls(), "power")
+
+
 # ------------------------------------------------------------------ I16–I21
 _KNOTS = ", ".join(f"quantile_cont(price, {p}) AS q{i}" for i, p in enumerate(QUANTILE_PROFILE_PROBS))
 
@@ -227,7 +273,7 @@ SELECT listing_id, round(CASE WHEN y < 0 THEN 0.0 WHEN y > up THEN up ELSE y END
 @register("quantile_snap", _snap_sql(), ("listing_train", "scored"))
 def q_quantile_snap(spark, sf_dir):
     f = fx(spark, sf_dir)
-    q = fit_row(f.listing_train(), F.percentile("price", QUANTILE_PROFILE_PROBS).alias("q"))["q"]
+    q = fit_quantiles(f.listing_train(), ["price"], QUANTILE_PROFILE_PROBS)["price"]
     upper = 1.2 * q[-1]
     s = f.scored()
     return s.select("listing_id", rnd(I.quantile_snap("pred_b", q, upper), 4).alias("snapped"))

@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from valuator.session import cut_lineage
@@ -79,7 +79,6 @@ def ranked(df: DataFrame, part_cols: Sequence[str], order_cols: Sequence[Column
     # executor loss, unlike a cache).
     rp = cut_lineage(rp)
     stats = rp.groupBy("_pid", *part_cols).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    from pyspark.sql import Window
     w = (Window.partitionBy(*part_cols) if part_cols else Window.partitionBy()).orderBy("_pid")
     stats = stats.withColumn("_off", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)),
                                                  F.lit(0)))
@@ -97,7 +96,6 @@ def prefix_sums(df: DataFrame, order_cols: Sequence[Column | str], sum_cols: Seq
     rp = df.repartitionByRange(_partitions(df, num_partitions), *keys).withColumn("_pid", F.spark_partition_id())
     rp = cut_lineage(rp)
     tot = rp.groupBy("_pid").agg(*[F.sum(c).alias(c) for c in sum_cols])
-    from pyspark.sql import Window
     wp = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select("_pid", *[F.coalesce(F.sum(c).over(wp), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
     joined = attach_state(rp, tot, "_pid", "inner")
@@ -106,8 +104,16 @@ def prefix_sums(df: DataFrame, order_cols: Sequence[Column | str], sum_cols: Seq
                                         for c in sum_cols])
 
 
-# ---------------------------------------------------------------------- exact quantiles at any cardinality
-PERCENTILE_MAP_MAX_DISTINCT = 10_000_000
+# ---------------------------------------------------------------------- exact quantiles
+#: Buckets that an interval is cut into in one pass, and values of an interval that are looked at one by one
+#: (on the driver for columns, in a task for groups).
+BUCKETS, FEW_VALUES, FEW_OF_GROUP = 1024, 2048, 16384
+
+
+def _value(c: str | Column) -> Column:
+    """The column as a double; NaN is a missing value, here and so in every quantile."""
+    v = (F.col(c) if isinstance(c, str) else c).cast("double")
+    return F.when(~F.isnan(v), v)
 
 
 def _interpolate(position: float, lo_v: float, hi_v: float) -> float:
@@ -117,92 +123,128 @@ def _interpolate(position: float, lo_v: float, hi_v: float) -> float:
     return (higher - position) * lo_v + (position - lower) * hi_v
 
 
-def sorted_selection_quantiles(df: DataFrame, col: str | Column, probs: Sequence[float],
-                               num_partitions: int | None = None) -> list[float] | None:
-    """Exact linear-interpolation quantiles of one column by distributed
-    selection: range-partition + sort the column, freeze the layout with a
-    checkpoint, find which partition holds each needed order statistic from
-    per-partition counts (P rows), and fetch only those ≤ 2·len(probs) rows.
-    Memory per task is bounded by the partition size, not by the number of
-    distinct values (Spark's ``percentile`` keeps a value->count map)."""
-    c = F.col(col) if isinstance(col, str) else col
-    vals = df.select(c.cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    rp = (vals.repartitionByRange(_partitions(df, num_partitions), "_v").sortWithinPartitions("_v")
-          .withColumn("_mid", F.monotonically_increasing_id()))
-    rp = cut_lineage(rp)
-    parts = sorted((int(r["pid"]), int(r["n"]), int(r["first"])) for r in
-                   rp.groupBy(F.shiftright("_mid", 33).alias("pid"))
-                   .agg(F.count(F.lit(1)).alias("n"), F.min("_mid").alias("first")).collect())
-    n = sum(p[1] for p in parts)
-    if n == 0:
-        return None
-    starts, acc = [], 0
-    for _pid, cnt, first in parts:
-        starts.append((acc, cnt, first))
-        acc += cnt
-
-    def mid_of(rank: int) -> int:
-        for start, cnt, first in starts:
-            if start <= rank < start + cnt:
-                return first + (rank - start)
-        raise IndexError(rank)
-
-    positions = [(n - 1) * p for p in probs]
-    ranks = sorted({int(math.floor(x)) for x in positions} | {int(math.ceil(x)) for x in positions})
-    mids = {mid_of(r): r for r in ranks}
-    got = {mids[r["_mid"]]: r["_v"] for r in rp.filter(F.col("_mid").isin(list(mids))).select("_mid", "_v").collect()}
-    return [_interpolate(x, got[int(math.floor(x))], got[int(math.ceil(x))]) for x in positions]
-
-
-def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                  max_distinct: int = PERCENTILE_MAP_MAX_DISTINCT) -> dict[str, list[float] | None]:
-    """Exact quantiles of several columns. One HyperLogLog pass decides per
-    column: few distinct values -> Spark's exact ``percentile`` for all such
-    columns in ONE aggregate (its value->count map stays small); many ->
-    ``sorted_selection_quantiles`` (sort-based, bounded memory)."""
-    probs = list(probs)
-    card = fit_row(df, *[F.approx_count_distinct(F.col(c)).alias(c) for c in cols])
-    small = [c for c in cols if (card[c] or 0) <= max_distinct]
-    out: dict[str, list[float] | None] = {}
-    if small:
-        r = fit_row(df, *[F.percentile(F.col(c).cast("double"), probs).alias(c) for c in small])
-        out.update({c: (list(r[c]) if r[c] is not None else None) for c in small})
-    for c in cols:
-        if c not in out:
-            out[c] = sorted_selection_quantiles(df, c, probs)
-    return out
+def _bucket(v: Column, lo: Column, hi: Column) -> Column:
+    """0 to BUCKETS, not falling with v; infinite ends have buckets of their own."""
+    # quarters, so that the width of any finite interval is finite
+    share = (v * 0.25 - lo * 0.25) / (hi * 0.25 - lo * 0.25)
+    return F.floor(F.least(share, F.lit(1.0)) * BUCKETS).cast("double")
+
+
+def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float] | None]:
+    """Exact linear-interpolation quantiles of several columns by histogram
+    refinement; None for a column without values.
+
+    One pass counts the values of the open intervals of all columns by bucket
+    (map-side combined, so a value that a third of the rows share is one
+    number), the buckets that hold a wanted rank become the next intervals,
+    from their smallest to their largest value, and intervals of a few values
+    are read off. What a pass brings to the driver is bounded by columns,
+    probabilities and BUCKETS, whatever the number of rows or of different
+    values, and there is no other method for other sizes.
+    """
+    probs, inf = [float(p) for p in probs], float("inf")
+    cols = list(cols)
+    vals = df.select(*[_value(c).alias(f"_v{i}") for i, c in enumerate(cols)])
+    aggs = []
+    for i in range(len(cols)):
+        v = F.col(f"_v{i}")
+        finite = F.when(F.abs(v) < inf, v)
+        aggs += [F.count(v).alias(f"n{i}"), F.min(finite).alias(f"lo{i}"), F.max(finite).alias(f"hi{i}"),
+                 F.count(finite).alias(f"f{i}"), F.count(F.when(v == -inf, 1)).alias(f"m{i}")]
+    r = fit_row(vals, *aggs)
+    positions = {i: [(r[f"n{i}"] - 1) * p for p in probs] for i in range(len(cols)) if r[f"n{i}"]}
+    got: dict[tuple[int, int], float] = {}
+    open_: list[tuple[int, float, float, int, int, list[int]]] = []  # column, lo, hi, first rank, values, ranks
+    for i, pos in positions.items():
+        below, mid = r[f"m{i}"], r[f"f{i}"]
+        ranks = sorted({math.floor(x) for x in pos} | {math.ceil(x) for x in pos})
+        for k in ranks:
+            if k < below:
+                got[i, k] = -inf
+            elif k >= below + mid:
+                got[i, k] = inf
+        inner = [k for k in ranks if below <= k < below + mid]
+        if inner:
+            open_.append((i, r[f"lo{i}"], r[f"hi{i}"], below, mid, inner))
+    while True:
+        for i, lo, hi, _, _, ranks in open_:
+            if lo == hi:
+                got.update({(i, k): lo for k in ranks})
+        open_ = [t for t in open_ if t[1] < t[2]]
+        if not open_:
+            break
+        entries = []
+        for i in {t[0] for t in open_}:
+            v = F.col(f"_v{i}")
+            which, key = F.lit(None).cast("int"), F.lit(None).cast("double")
+            for j, (c, lo, hi, _, n, _) in enumerate(open_):
+                if c == i:
+                    inside = (v >= F.lit(lo)) & (v <= F.lit(hi))
+                    which = F.when(inside, F.lit(j)).otherwise(which)
+                    key = F.when(inside, v if n <= FEW_VALUES else _bucket(v, F.lit(lo), F.lit(hi))).otherwise(key)
+            entries.append(F.struct(which.alias("j"), key.alias("key"), v.alias("v")))
+        hist = (vals.select(F.explode(F.array(*entries)).alias("e")).select("e.*").filter("j IS NOT NULL")
+                .groupBy("j", "key").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
+        hist.sort(key=lambda x: (x["j"], x["key"]))
+        nxt, at = [], 0
+        for j, (i, _, _, first, _, ranks) in enumerate(open_):
+            while at < len(hist) and hist[at]["j"] == j:
+                b = hist[at]
+                own = [k for k in ranks if first <= k < first + b["n"]]
+                if own:
+                    nxt.append((i, b["lo"], b["hi"], first, b["n"], own))
+                first += b["n"]
+                at += 1
+        open_ = nxt
+    return {c: [_interpolate(x, got[i, math.floor(x)], got[i, math.ceil(x)]) for x in positions[i]] if i in positions else None
+            for i, c in enumerate(cols)}
 
 
 def group_quantiles(df: DataFrame, group: Sequence[str], col: str | Column, probs: Sequence[float],
-                    out: str = "_q", max_distinct: int = PERCENTILE_MAP_MAX_DISTINCT) -> DataFrame:
-    """Exact per-group quantiles (linear interpolation) as an array column.
-
-    When every group has few distinct values, Spark's ``percentile`` per group
-    is used (its per-group value map is small). Otherwise each group's order
-    statistics are selected by rank: ``ranked`` numbers rows inside groups
-    through a range-partitioned sort (a hot group is spread over many
-    tasks), a small (group, rank) table of the needed ranks is joined back,
-    and the two neighbours of each position are interpolated."""
-    group = list(group)
-    c = F.col(col) if isinstance(col, str) else col
-    probs = [float(p) for p in probs]
-    v = df.select(*group, c.cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    card = fit_row(v.groupBy(*group).agg(F.approx_count_distinct("_v").alias("_d")), F.max("_d").alias("m"))["m"] or 0
-    if card <= max_distinct:
-        return v.groupBy(*group).agg(F.percentile("_v", probs).alias(out))
-    r = ranked(v, group, ["_v"], out="_rn")
-    n = v.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    arr = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("p")) for i, p in enumerate(probs)])
-    t = n.select(*group, "_n", F.explode(arr).alias("_t")).select(
-        *group, F.col("_t.i").alias("_i"), ((F.col("_n") - 1) * F.col("_t.p")).alias("_pos"))
-    t = t.withColumns({"_lo": F.floor("_pos").cast("long") + 1, "_hi": F.ceil("_pos").cast("long") + 1})
-    need = t.select(*group, F.explode(F.array("_lo", "_hi")).alias("_rn")).distinct()
-    picked = attach_state(r, need, [*group, "_rn"], "inner").select(*group, "_rn", "_v")
-    lo = picked.withColumnsRenamed({"_rn": "_lo", "_v": "_lo_v"})
-    hi = picked.withColumnsRenamed({"_rn": "_hi", "_v": "_hi_v"})
-    j = t.join(lo, [*group, "_lo"]).join(hi, [*group, "_hi"])
-    pos = F.col("_pos")
-    val = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo_v")).otherwise(
-        (F.ceil(pos) - pos) * F.col("_lo_v") + (pos - F.floor(pos)) * F.col("_hi_v"))
-    return (j.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("_i", val.alias("_x")))).alias("_s"))
-            .select(*group, F.transform("_s", lambda e: e["_x"]).alias(out)))
+                    out: str = "_q") -> DataFrame:
+    """Exact per-group quantiles (linear interpolation) as an array column, by
+    the same refinement with the intervals in a table: a group of any size is
+    counted by bucket in all tasks, and at most FEW_OF_GROUP values of an
+    interval meet in one. Null group values are a group; groups without a
+    value are not returned."""
+    group, probs = list(group), [float(p) for p in probs]
+    v = df.select(F.struct(*group).alias("_k"), _value(col).alias("_v")).filter("_v IS NOT NULL")
+    n = F.count(F.lit(1))
+    stats = v.groupBy("_k").agg(n.alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    wanted = F.array_sort(F.array_distinct(F.flatten(F.array(*[
+        F.array(F.floor((F.col("_n") - 1) * p).cast("long"), F.ceil((F.col("_n") - 1) * p).cast("long")) for p in probs]))))
+    stats = cut_lineage(stats.withColumn("_ranks", wanted))
+    state = stats.select("_k", "_lo", "_hi", F.lit(0).cast("long").alias("_first"), F.col("_n").alias("_cnt"), "_ranks")
+    large = (F.col("_cnt") > FEW_OF_GROUP) & (F.col("_lo") < F.col("_hi"))
+    by = Window.partitionBy("_k", "_lo").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    while state.filter(large).limit(1).count():
+        todo = state.filter(large)
+        # an infinite end has no width: the finite part is cut, the ends are buckets of their own
+        inf = float("inf")
+        rows = attach_state(v, todo, "_k", "inner").filter("_v BETWEEN _lo AND _hi")
+        lo, hi = F.greatest("_lo", F.lit(-1.7e308)), F.least("_hi", F.lit(1.7e308))
+        b = (F.when(F.col("_v") == -inf, -1.0).when(F.col("_v") == inf, BUCKETS + 1.0)
+             .otherwise(F.greatest(_bucket(F.col("_v"), lo, hi), F.lit(0.0))))
+        hist = rows.withColumn("_b", b).groupBy("_k", "_lo", "_b").agg(
+            n.alias("_m"), F.min("_v").alias("_l"), F.max("_v").alias("_h"), F.first("_first").alias("_first"), F.first("_ranks").alias("_ranks"))
+        hist = hist.withColumn("_start", F.col("_first") + F.coalesce(F.sum("_m").over(by), F.lit(0)))
+        own = F.filter("_ranks", lambda k: (k >= F.col("_start")) & (k < F.col("_start") + F.col("_m")))
+        new = hist.withColumn("_own", own).filter(F.size("_own") > 0).select(
+            "_k", F.col("_l").alias("_lo"), F.col("_h").alias("_hi"), F.col("_start").alias("_first"), F.col("_m").alias("_cnt"), F.col("_own").alias("_ranks"))
+        state = cut_lineage(state.filter(~large).unionByName(new))
+    flat = state.filter("_lo = _hi").select("_k", F.explode("_ranks").alias("_r"), F.col("_lo").alias("_x"))
+    few = state.filter("_lo < _hi")
+    listed = (attach_state(v, few, "_k", "inner").filter("_v BETWEEN _lo AND _hi").groupBy("_k", "_lo")
+              .agg(F.sort_array(F.collect_list("_v")).alias("_all"), F.first("_first").alias("_first"), F.first("_ranks").alias("_ranks"))
+              .select("_k", F.explode("_ranks").alias("_r"), "_first", "_all")
+              .select("_k", "_r", F.get("_all", (F.col("_r") - F.col("_first")).cast("int")).alias("_x")))
+    values = flat.unionByName(listed).groupBy("_k").agg(F.map_from_entries(F.collect_list(F.struct("_r", "_x"))).alias("_at"))
+    both = stats.select("_k", "_n").join(values, "_k")
+
+    def one(p: float) -> Column:
+        pos = (F.col("_n") - 1) * F.lit(p)
+        a, b = F.floor(pos).cast("long"), F.ceil(pos).cast("long")
+        x, y = F.element_at("_at", a), F.element_at("_at", b)
+        return F.when((a == b) | (x == y), x).otherwise((F.ceil(pos) - pos) * x + (pos - F.floor(pos)) * y)
+
+    return both.select(*[F.col("_k")[g].alias(g) for g in group], F.array(*[one(p) for p in probs]).alias(out))
