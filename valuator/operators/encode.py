@@ -227,12 +227,12 @@ def fuzzy_fill_make(df: DataFrame, make: str = "make", title: str = "title", thr
     w = Window.partitionBy("_word").orderBy(F.col("_score").desc(), F.col("_make"))
     best = cand.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select("_word", "_make")
     fill = words.join(best, "_word", "left").select("_word", F.coalesce("_make", "_word").alias("_fill"))
-    j = attach_state(with_word, fill, "_word", "left")
-    return j.withColumn(out, F.coalesce(F.col(make), F.col("_fill"))).drop("_word", "_fill")
+    # only rows without a make meet the words, so a common word of known makes moves no row
+    open_rows = attach_state(with_word.filter(F.col(make).isNull()), fill, "_word", "left")
+    known_rows = df.filter(F.col(make).isNotNull()).withColumn(out, F.col(make))
+    return known_rows.unionByName(open_rows.withColumn(out, F.col("_fill")).drop("_word", "_fill"))
 
 
 def one_hot_names(values: Sequence[str], prefix: str) -> list[str]:
     return [f"{prefix}{_flag_name(v)}" for v in values]
 
-
-__all__ = ["clean_token"]

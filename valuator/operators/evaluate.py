@@ -118,10 +118,9 @@ def corr_with_error_top(scored: DataFrame, features: Sequence[str], target: str
 
 def model_band_pivot(report: DataFrame, models: Sequence[str], band: str = "band",
                      model: str = "model") -> DataFrame:
-    """V7: band × model RMSE with the best (lowest RMSE) model per band."""
-    piv = report.groupBy(band).pivot(model, list(models)).agg(F.first("rmse"))
-    best = report.groupBy(band).agg(F.min_by(model, F.struct(F.col("rmse"), F.col(model))).alias("best_model"))
-    return piv.join(best, band, "left")
+    """V7: band × model RMSE with the best (lowest RMSE) model per band, in one aggregate."""
+    cells = [F.max(F.when(F.col(model) == m, F.col("rmse"))).alias(m) for m in models]
+    return report.groupBy(band).agg(*cells, F.min_by(model, F.struct(F.col("rmse"), F.col(model))).alias("best_model"))
 
 
 def band_cumulative(report: DataFrame, model: str = "model", band: str = "band") -> DataFrame:

@@ -72,10 +72,9 @@ FROM listing_nulls l LEFT JOIN g ON l.type_of_vehicle = g.type_of_vehicle CROSS
 @register("impute_group_mean", _GMEAN_SQL, ("listing_nulls",))
 def q_impute_group_mean(spark, sf_dir):
     l = fx(spark, sf_dir).listing_nulls().select("listing_id", "type_of_vehicle", "manufactured")
-    a = I.impute_group_mean(l, "manufactured", "type_of_vehicle")
-    b = I.impute_group_mean(l, "manufactured", "type_of_vehicle", rounding="round").select(
-        "listing_id", F.col("manufactured").alias("manufactured_rounded"))
-    return a.select("listing_id", "manufactured").join(b, "listing_id")
+    filled = I.impute_group_mean(l, "manufactured", "type_of_vehicle", cast="")
+    return filled.select("listing_id", F.col("manufactured").cast("int").alias("manufactured"),
+                         F.round("manufactured", 0).cast("int").alias("manufactured_rounded"))
 
 
 _FIRST_SQL = """

@@ -132,9 +132,8 @@ def _holdout(spark, sf_dir):
 
 @register("stratified_holdout", _HOLDOUT_SQL, ("listing",))
 def q_holdout(spark, sf_dir):
-    _, (train, test_x, _test_y) = _holdout(spark, sf_dir)
-    return (train.select("listing_id", "type_of_vehicle", F.lit(False).alias("is_test"))
-            .unionByName(test_x.select("listing_id", "type_of_vehicle", F.lit(True).alias("is_test"))))
+    l = fx(spark, sf_dir).listing().select("listing_id", "type_of_vehicle")
+    return H.stratified_flag(l, "listing_id", "type_of_vehicle")
 
 
 _SHARE_SQL = "WITH " + _HOLDOUT.strip() + """,
