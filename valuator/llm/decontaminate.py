@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -85,7 +86,8 @@ class Matcher:
     def __init__(self, items: Sequence[str], similarity: float = SIMILARITY, repetitions: int = REPETITIONS, seed: int = 11):
         words = [words_of(t) for t in items]
         self.vocabulary = {w: i + 2 for i, w in enumerate(sorted({w for x in words for w in x}))}  # 0: no item's word, 1: edge of a text
-        self.items = [np.array([self.vocabulary[w] for w in x], dtype=np.int32) for x in words]
+        self.items = [np.array([self.vocabulary[w] for w in x], dtype=np.intp) for x in words]
+        self.own = [frozenset(x.tolist()) for x in self.items]
         self.most = [int((1 - similarity) * len(x) + 1e-9) for x in self.items]
         self.size = len(self.vocabulary) + 2
         self.walks = []
@@ -107,7 +109,7 @@ class Matcher:
         n = 0
         for t in texts:
             w = words_of(t)
-            part.append(np.fromiter((self.vocabulary.get(x, 0) for x in w), dtype=np.int32, count=len(w)))
+            part.append(np.fromiter(map(self.vocabulary.get, w, repeat(0)), dtype=np.intp, count=len(w)))
             n += len(w) + 1
             if n >= CHUNK_WORDS:
                 yield from self._find(part)
@@ -117,9 +119,9 @@ class Matcher:
     def _find(self, texts: list[np.ndarray]) -> Iterator[list[tuple[int, int, int, int]]]:
         if not texts:
             return
-        edge = np.ones(1, dtype=np.int32)
+        edge = np.ones(1, dtype=np.intp)
         starts = np.cumsum([0] + [len(t) + 1 for t in texts])
-        x = np.concatenate([y for t in texts for y in (t, edge)] + [np.ones(max((w.steps for w in self.walks), default=0) + 1, np.int32)])
+        x = np.concatenate([y for t in texts for y in (t, edge)] + [np.ones(max((w.steps for w in self.walks), default=0) + 1, np.intp)])
         met = [w.collisions(x, int(starts[-1])) for w in self.walks]
         found = np.unique(np.concatenate(met), axis=0) if met else np.zeros((0, 2), np.int64)
         owner = np.searchsorted(starts, found[:, 0] + 0, side="right") - 1 if len(found) else []
@@ -148,6 +150,8 @@ class Matcher:
             hits = []
             for low, high in windows:
                 part = text[low:high].tolist()
+                if sum(map(self.own[item].__contains__, part)) < m - most:
+                    continue  # so many of the item's words must be there
                 for end, edits in best_end(pattern, part, most):
                     near = part[max(0, end - m - edits):end][::-1]
                     row = _edits(pattern[::-1], near)
@@ -161,13 +165,21 @@ class Matcher:
         return sorted(out, key=lambda h: (h[1], h[0], h[2]))
 
 
+_FILTER_SIZE = 1 << 18
+
+
+def _spread(key: np.ndarray) -> np.ndarray:
+    """Place of each key in a filter of _FILTER_SIZE."""
+    return (key * 2654435761 >> 13) & (_FILTER_SIZE - 1)
+
+
 class _Walk:
     """One repetition: walk bits, sampled steps, and the items' words read there."""
 
     def __init__(self, matcher: Matcher, own: list[int], least: int, steps: int, samples: int, apart: int, rng: np.random.Generator):
         self.steps = steps
         self.sampled = sorted(rng.choice(steps, samples, replace=False).tolist())
-        self.moves = rng.integers(0, 2, (steps, matcher.size), dtype=np.int32)
+        self.moves = rng.integers(0, 2, (steps, matcher.size)).astype(np.intp)
         self.size = matcher.size
         names, begins, parts, at = [], [], [], 0
         for i in own:
@@ -175,18 +187,21 @@ class _Walk:
             for o in sorted({*range(0, len(x) - least + 1, apart), len(x) - least}):
                 names.append(i << 20 | o)
                 begins.append(at + o)
-            parts += [x, np.ones(steps + 1, dtype=np.int32)]
+            parts += [x, np.ones(steps + 1, dtype=np.intp)]
             at += len(x) + steps + 1
         read = self._read(np.concatenate(parts), np.array(begins))
         self.names = np.array(names, dtype=np.int64)
         self.first = np.full(self.size, -1, dtype=np.int64)
-        state, self.keys = np.zeros(len(names), dtype=np.int64), []
+        state, self.keys, self.seen = np.zeros(len(names), dtype=np.int64), [], []
         for depth in range(samples):
             key = state * self.size + read[depth]
             kept, state = np.unique(key, return_inverse=True)
             self.keys.append(kept)
             if depth == 0:
                 self.first[kept] = np.arange(len(kept))
+            seen = np.zeros(_FILTER_SIZE, dtype=bool)
+            seen[_spread(kept)] = True
+            self.seen.append(seen)
         self.order = np.argsort(state, kind="stable")
         self.bounds = np.searchsorted(state[self.order], np.arange(len(self.keys[-1]) + 1))
 
@@ -201,24 +216,31 @@ class _Walk:
 
     def collisions(self, x: np.ndarray, n: int) -> np.ndarray:
         """(place, item and offset) of the windows, beginning before n, that collide with an item."""
-        pos = begin = np.arange(n, dtype=np.int32)
+        pos = begin = np.arange(n)
         state, depth = None, 0
         for step in range(self.sampled[-1] + 1):
-            here = x[pos]
+            here = x.take(pos) if step else x[:n]
             if step == self.sampled[depth]:
                 if depth == 0:
-                    got = self.first[here]
-                    ok = got >= 0
+                    got = self.first.take(here)
+                    ok = np.flatnonzero(got >= 0)
+                    state = got.take(ok)
                 else:
+                    # most windows fail the small filter; the others are looked up
                     key = state * self.size + here
-                    got = np.searchsorted(self.keys[depth], key)
-                    got[got == len(self.keys[depth])] = 0
-                    ok = self.keys[depth][got] == key
-                pos, begin, state, here = pos[ok], begin[ok], got[ok], here[ok]
+                    ok = np.flatnonzero(self.seen[depth].take(_spread(key)))
+                    key = key.take(ok)
+                    state = np.searchsorted(self.keys[depth], key)
+                    state[state == len(self.keys[depth])] = 0
+                    true = self.keys[depth][state] == key
+                    ok, state = ok[true], state[true]
+                pos, begin, here = pos.take(ok), begin.take(ok), here.take(ok)
                 depth += 1
                 if not len(pos):
                     return np.zeros((0, 2), dtype=np.int64)
-            pos = pos + self.moves[step][here]
+                if depth == len(self.sampled):
+                    break
+            pos = pos + self.moves[step].take(here)
         each = self.bounds[state + 1] - self.bounds[state]
         place = np.repeat(begin.astype(np.int64), each)
         nth = np.arange(len(place)) - np.repeat(np.cumsum(each) - each, each)
