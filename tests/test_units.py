@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tests.conftest import SF_SMALL
 from valuator.functions import columns as C
 from valuator.functions import text as T
 from valuator.operators import cluster as CL
@@ -421,3 +422,12 @@ def test_stacked_ridge_fills_missing_base_predictions(spark):
     df = spark.createDataFrame(data, "k int, fold int, y double, a double, b double")
     table, oof, test = W.stacked_nonneg_ridge(df, ["a", "b"], "y", "fold", test=df)
     assert table.count() == 4 and oof.filter("blend IS NOT NULL").count() == test.filter("blend IS NOT NULL").count() == 80
+
+
+@pytest.mark.parametrize("name, scans, exchanges", [("route_by_class", 2, 2), ("model_band_pivot", 2, 4)])
+def test_plans_scan_once(spark, name, scans, exchanges):
+    """The listing view is a join of two tables: two scans, and two exchanges unless a side is broadcast."""
+    import __spark_entry__ as entry
+    plan = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
+    executed = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == scans and executed.count("Exchange") <= exchanges + 1

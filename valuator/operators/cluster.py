@@ -70,7 +70,7 @@ def lloyd(df: DataFrame, features: Sequence[str | Column], init: Sequence[Sequen
     """Lloyd iterations from explicit centres (``ml`` KMeans takes no explicit
     init). Convergence as in the reference's library: squared centre shift
     below tol · mean feature variance. Empty clusters keep their centre.
-    ``df`` should be cached by the caller; each iteration is one aggregate."""
+    ``df`` should be cached or checkpointed by the caller; each iteration is one aggregate."""
     feats = [F.col(f).cast("double") if isinstance(f, str) else f.cast("double") for f in features]
     names = [f"_f{i}" for i in range(len(feats))]
     data = df.select(*[c.alias(n) for c, n in zip(feats, names)])

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from valuator.functions.text import clean_token, first_word
 from valuator.plans.strategy import attach_state, collect_bounded, fit_row, ranked
 
+#: Values become columns: an error beyond this many, unless the caller allows more.
 MAX_ONE_HOT_VALUES = 1000
 
 
@@ -63,12 +64,13 @@ def _flag_name(v: str) -> str:
     return re.sub(r"\s+", "_", s).strip()
 
 
-def fit_one_hot(df: DataFrame, col: str, prefix: str | None = None, drop_first: bool = False) -> OneHotState:
+def fit_one_hot(df: DataFrame, col: str, prefix: str | None = None, drop_first: bool = False,
+                max_values: int = MAX_ONE_HOT_VALUES) -> OneHotState:
     """Sorted distinct non-null values (bounded: they become columns)."""
     rows = collect_bounded(df.select(F.col(col).cast("string").alias("v")).filter("v IS NOT NULL").distinct(),
-                           MAX_ONE_HOT_VALUES)
+                           max_values)
     if rows is None:
-        raise ValueError(f"{col} has more than {MAX_ONE_HOT_VALUES} distinct values; use label/target encoding")
+        raise ValueError(f"{col} has more than {max_values} distinct values; use label/target encoding")
     values = sorted(r["v"] for r in rows)
     if drop_first:
         values = values[1:]
@@ -84,10 +86,10 @@ def apply_one_hot(df: DataFrame, state: OneHotState, keep_source: bool = False)
     return out if keep_source else out.drop(state.column)
 
 
-def fit_multi_hot(df: DataFrame, arr_col: str, prefix: str = "") -> OneHotState:
-    rows = collect_bounded(df.select(F.explode(F.col(arr_col)).alias("v")).distinct(), MAX_ONE_HOT_VALUES)
+def fit_multi_hot(df: DataFrame, arr_col: str, prefix: str = "", max_values: int = MAX_ONE_HOT_VALUES) -> OneHotState:
+    rows = collect_bounded(df.select(F.explode(F.col(arr_col)).alias("v")).distinct(), max_values)
     if rows is None:
-        raise ValueError(f"{arr_col} has more than {MAX_ONE_HOT_VALUES} distinct tokens")
+        raise ValueError(f"{arr_col} has more than {max_values} distinct tokens")
     return OneHotState(arr_col, prefix, sorted(r["v"] for r in rows))
 
 

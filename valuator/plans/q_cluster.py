@@ -14,6 +14,7 @@ from valuator.operators import cluster as C
 from valuator.plans.common import fx, rnd, round_all
 from valuator.plans.registry import register
 from valuator.plans.strategy import fit_quantiles
+from valuator.session import cut_lineage
 
 K = 3
 _FEATS = ["depreciation", "coe", "dereg_value"]
@@ -60,7 +61,7 @@ _C3_SQL = ("WITH RECURSIVE base AS (SELECT listing_id, ln(1 + price) AS lp, " +
 
 
 def _c3_fit(df):
-    base = df.select("listing_id", F.log1p("price").alias("lp"), *_FEATS).persist()
+    base = cut_lineage(df.select("listing_id", F.log1p("price").alias("lp"), *_FEATS))
     init = C.percentile_init(base, _C3_FEATS, K)
     res = C.lloyd(base, _C3_FEATS, init)
     return base, res
@@ -91,7 +92,7 @@ _C4_SQL = ("WITH RECURSIVE base AS (SELECT listing_id, price, " + ", ".join(_FEA
 
 @register("lloyd_band_init", _C4_SQL, ("listing",))
 def q_lloyd_band(spark, sf_dir):
-    base = fx(spark, sf_dir).listing().select("listing_id", "price", *_FEATS).persist()
+    base = cut_lineage(fx(spark, sf_dir).listing().select("listing_id", "price", *_FEATS))
     init = C.band_init(base, _FEATS, "price", K)
     res = C.lloyd(base, _FEATS, init)
     return base.select("listing_id", C.nearest_center(_FEATS, res.centers).alias("cluster"))
@@ -106,7 +107,7 @@ _C5_SQL = ("WITH RECURSIVE base AS (SELECT listing_id, " + ", ".join(_FEATS) + "
 @register("assign_clusters", _C5_SQL, ("listing_train", "listing_new"))
 def q_assign_clusters(spark, sf_dir):
     f = fx(spark, sf_dir)
-    base = f.listing_train().select("listing_id", *_FEATS).persist()
+    base = cut_lineage(f.listing_train().select("listing_id", *_FEATS))
     res = C.lloyd(base, _FEATS, C.percentile_init(base, _FEATS, K))
     return f.listing_new().select("listing_id", C.nearest_center(_FEATS, res.centers).alias("cluster"))
 

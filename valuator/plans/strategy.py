@@ -4,9 +4,10 @@
   such as means, medians or quantile edges; bounded by the number of columns).
 * ``attach_state``: join a fitted state table to the data. The state is
   pulled to the driver only after proving it has at most ``max_rows`` rows
-  (``limit(max_rows + 1)``) and is then broadcast from a local relation;
-  larger state falls back to a shuffle join (AQE may still pick broadcast
-  at run time from measured sizes). Nothing unbounded reaches the driver.
+  (``limit(max_rows + 1)``) and is broadcast from a local relation if its
+  values are small in bytes too; larger state falls back to a shuffle join
+  (AQE may still pick broadcast at run time from measured sizes). Nothing
+  unbounded reaches the driver.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 
 from valuator.session import cut_lineage
 
-MAX_BROADCAST_ROWS = 50_000
+#: State that is pulled to the driver: rows, and bytes of their values about, beyond which it is not broadcast.
+MAX_BROADCAST_ROWS, MAX_BROADCAST_BYTES = 50_000, 16 << 20
 
 
 def fit_row(df: DataFrame, *aggs: Column) -> Row:
@@ -34,19 +36,18 @@ def collect_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> list[R
 
 
 def localize(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Materialise a small state frame as a local relation (size-checked)."""
+    """Materialise a small state frame as a local relation (checked by rows, then by bytes)."""
     rows = collect_bounded(df, max_rows)
     if rows is None:
         return df, False
-    return df.sparkSession.createDataFrame(rows, df.schema), True
+    local = df.sparkSession.createDataFrame(rows, df.schema)
+    return local, sum(len(str(r)) for r in rows) <= MAX_BROADCAST_BYTES
 
 
 def attach_state(big: DataFrame, state: DataFrame, on: str | Sequence[str] | Column, how: str = "left",
                  max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    small, is_small = localize(state, max_rows)
-    if is_small:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(state, on, how)
+    known, is_small = localize(state, max_rows)
+    return big.join(F.broadcast(known) if is_small else known, on, how)
 
 
 def _partitions(df: DataFrame, n: int | None) -> int:

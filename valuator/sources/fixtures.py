@@ -158,10 +158,6 @@ class Fixtures:
     def values(self) -> DataFrame:
         return self.t.events.select("event_id", F.col("event_type").alias("grp"), "value")
 
-    def vectors(self) -> DataFrame:
-        e = self.t.embeddings.select("vec_id", "embedding", "label")
-        return e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(3)])
-
 
 # ---------------------------------------------------------------------- SQL text
 _LISTING_SQL = """
@@ -272,13 +268,6 @@ class_scores AS (
 _VALUES_SQL = """
 vals AS (SELECT event_id, event_type AS grp, value FROM events)"""
 
-_VECTORS_SQL = """
-vectors AS (
-  SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS x0, CAST(embedding[2] AS DOUBLE) AS x1,
-         CAST(embedding[3] AS DOUBLE) AS x2
-  FROM embeddings
-)"""
-
 # name -> (sql, dependencies)
 VIEW_SQL: dict[str, tuple[str, tuple[str, ...]]] = {
     "listing": (_LISTING_SQL, ()),
@@ -292,7 +281,6 @@ VIEW_SQL: dict[str, tuple[str, tuple[str, ...]]] = {
     "scored": (_SCORED_SQL, ("listing",)),
     "class_scores": (_CLASS_SCORES_SQL, ()),
     "vals": (_VALUES_SQL, ()),
-    "vectors": (_VECTORS_SQL, ()),
 }
 
 
