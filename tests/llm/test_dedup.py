@@ -69,6 +69,20 @@ def test_paragraph_units_and_clashing_columns(spark):
     assert [(r["doc_id"], r["start"], r["end"], r["first_id"]) for r in got] == [(2, 0, 6, 1)]
 
 
+def test_passages_inside_lines_are_found(spark):
+    passage = ". ".join(" ".join(f"w{i}x{j}" for j in range(9)) for i in range(6)) + "."
+    docs = frame(spark, [(i, f"own{i} words, {passage} then on {i} ends.\nshort same. line {i}\n{'whole line here. ' * (i > 5)}") for i in range(8)])
+    spans = substring_dedup.repeated_spans(docs, sentence_words=8).collect()
+    # the first sentence is joined with what stands before it, the other five repeat; short ones do not count
+    inner = [r for r in spans if r["level"] == 1]
+    assert sorted(r["doc_id"] for r in inner) == sorted(i for i in range(1, 8) for _ in range(5)) and {r["first_id"] for r in inner} == {0}
+    assert [(r["doc_id"], r["level"]) for r in spans if r["level"] == 0] == [(7, 0)]
+    text = {r["doc_id"]: r["text"] for r in substring_dedup.without_spans(docs, substring_dedup.repeated_spans(docs, sentence_words=8)).collect()}
+    assert text[3] == "own3 words, w0x0 w0x1 w0x2 w0x3 w0x4 w0x5 w0x6 w0x7 w0x8. then on 3 ends.\nshort same. line 3\n"
+    again = substring_dedup.repeated_spans(frame(spark, [(1, "a b c. d e f."), (2, "a b c. d e f.")]), sentence_words=2).collect()
+    assert [(r["doc_id"], r["level"]) for r in again] == [(2, 0)]
+
+
 def test_long_passages_are_found_in_all_copies(spark):
     body = " ".join(f"w{i}" for i in range(60))
     docs = frame(spark, [(i, f"start {i}\n{body}\nend {i}") for i in range(40)])

@@ -48,17 +48,29 @@ placed AS (
   FROM lines),
 units AS (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) - 1 AS unit FROM placed WHERE norm <> ''),
+parts AS (
+  SELECT doc_id, unit, start, unnest(pieces) AS part, unnest(range(len(pieces))) AS k
+  FROM (SELECT doc_id, unit, start, regexp_extract_all(line, '[^.!?]*[.!?]+|[^.!?]+') AS pieces FROM units) WHERE len(pieces) > 1),
+sentences AS (
+  SELECT doc_id, unit, length(part) AS size,
+         start + coalesce(sum(length(part)) OVER (PARTITION BY doc_id, unit ORDER BY k
+                                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+         trim(regexp_replace(lower(part), '\\s+', ' ', 'g')) AS norm
+  FROM parts),
 ranked AS (
-  SELECT *, row_number() OVER w AS rn, count(*) OVER (PARTITION BY norm) AS n,
+  SELECT *, row_number() OVER w AS rn, count(*) OVER (PARTITION BY level, norm) AS n,
          first_value(doc_id) OVER w AS first_id, first_value(unit) OVER w AS first_unit
-  FROM units WINDOW w AS (PARTITION BY norm ORDER BY doc_id, unit))
-SELECT doc_id, unit::INTEGER AS unit, start::BIGINT AS start, (start + size)::BIGINT AS "end", n, first_id,
+  FROM (SELECT 0 AS level, doc_id, unit, start, size, norm FROM units UNION ALL
+        SELECT 1, doc_id, unit, start, size, norm FROM sentences WHERE len(string_split(norm, ' ')) >= 8)
+  WINDOW w AS (PARTITION BY level, norm ORDER BY doc_id, start)),
+later AS (SELECT * FROM ranked WHERE rn > 1)
+SELECT doc_id, level, unit::INTEGER AS unit, start::BIGINT AS start, (start + size)::BIGINT AS "end", n, first_id,
        first_unit::INTEGER AS first_unit
-FROM ranked WHERE rn > 1
+FROM later l WHERE level = 0 OR NOT EXISTS (SELECT 1 FROM later g WHERE g.level = 0 AND g.doc_id = l.doc_id AND g.unit = l.unit)
 """)
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spans of lines that occur earlier in the corpus, with the place they occur first."""
-    return substring_dedup.repeated_spans(documents(spark, sf_dir)).drop("row")
+    """Spans of lines, and of sentences of 8 words or more in other lines, that occur earlier in the corpus."""
+    return substring_dedup.repeated_spans(documents(spark, sf_dir), sentence_words=8).drop("row")
 
 
 @query("op2_language_id")

@@ -3,7 +3,10 @@
 Units (lines or paragraphs) are normalised and hashed to 128 bits; digests are
 grouped over the whole table; the earliest ranked occurrence of a digest stays
 and every other one is a span to remove, with its place in the original text.
-Only digests and places are shuffled, never text.
+Passages are also pasted into the middle of a line, where no line repeats: so
+the sentences of a unit, from a number of words on, can be units of a second
+level, hashed and ranked in the same way. Only digests and places are
+shuffled, never text.
 """
 
 from __future__ import annotations
@@ -22,23 +25,43 @@ from valuator.session import cut_lineage
 _LINE = re.compile(r"[^\n]+")
 #: A paragraph ends at a line without visible characters.
 _PARAGRAPH = re.compile(r"[^\n]*\S[^\n]*(?:\n[^\n]*\S[^\n]*)*")
+#: A sentence ends after its stops; every character of a unit is in one sentence.
+_SENTENCE = re.compile(r"[^.!?]*[.!?]+|[^.!?]+")
 #: Units sent on at a time.
 BATCH_UNITS = 50_000
 
 
-def units_of(text: str | None, unit: str = "line") -> Iterator[tuple[int, int, str]]:
-    """(start, end, normalised) of each unit that has visible characters; offsets are code points of the original."""
+def units_of(text: str | None, unit: str = "line", min_words: int = 1,
+             sentence_words: int | None = None) -> Iterator[tuple[int, int, int, int, str]]:
+    """(level, unit, start, end, normalised); offsets are code points of the original.
+
+    Level 0: units with visible characters and ``min_words`` words, numbered
+    from 0 (shorter ones count). Level 1: sentences of ``sentence_words`` words
+    or more, of units with several sentences; they bear their unit's number.
+    """
+    number = -1
     for m in (_LINE if unit == "line" else _PARAGRAPH).finditer(text or ""):
         norm = " ".join(m[0].lower().split())
-        if norm:
-            yield m.start(), m.end(), norm
-
-
-def hashed_units(docs: DataFrame, id_col: str, text: str, unit: str, min_words: int) -> DataFrame:
-    """id, row, unit, start, end, h1, h2 of each unit of at least ``min_words`` words."""
+        if not norm:
+            continue
+        number += 1
+        if norm.count(" ") + 1 >= min_words:
+            yield 0, number, m.start(), m.end(), norm
+        if sentence_words is None:
+            continue
+        for x in _SENTENCE.finditer(m[0]):
+            if x.end() - x.start() == len(m[0]):
+                break
+            part = " ".join(x[0].lower().split())
+            if part and part.count(" ") + 1 >= sentence_words:
+                yield 1, number, m.start() + x.start(), m.start() + x.end(), part
+
+
+def hashed_units(docs: DataFrame, id_col: str, text: str, unit: str, min_words: int, sentence_words: int | None) -> DataFrame:
+    """id, row, level, unit, start, end, h1, h2 of each unit."""
     rows = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.col(text).alias("text"))
     kind = dict(rows.dtypes)["id"]
-    fields = ["id", "row", "unit", "start", "end", "h1", "h2"]
+    fields = ["id", "row", "level", "unit", "start", "end", "h1", "h2"]
 
     def run(batches):
         out: dict[str, list] = {c: [] for c in fields}
@@ -46,11 +69,9 @@ def hashed_units(docs: DataFrame, id_col: str, text: str, unit: str, min_words:
         for b in batches:
             id_type = b.schema.field("id").type
             for i, row, body in zip(b["id"].to_pylist(), b["row"].to_pylist(), b["text"]):
-                for k, (start, end, norm) in enumerate(units_of(body.as_py(), unit)):
-                    if norm.count(" ") + 1 < min_words:
-                        continue
+                for level, k, start, end, norm in units_of(body.as_py(), unit, min_words, sentence_words):
                     h = xxhash.xxh128_intdigest(norm)
-                    for c, v in zip(fields, (i, row, k, start, end, (h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63))):
+                    for c, v in zip(fields, (i, row, level, k, start, end, (h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63))):
                         out[c].append(v)
                     if len(out["id"]) >= BATCH_UNITS:
                         yield _batch(out, id_type)
@@ -58,54 +79,62 @@ def hashed_units(docs: DataFrame, id_col: str, text: str, unit: str, min_words:
         if out["id"]:
             yield _batch(out, id_type)
 
-    return rows.mapInArrow(run, f"id {kind}, row long, unit int, start long, end long, h1 long, h2 long")
+    return rows.mapInArrow(run, f"id {kind}, row long, level int, unit int, start long, end long, h1 long, h2 long")
 
 
 def _batch(cols: dict[str, list], id_type: pa.DataType) -> pa.RecordBatch:
-    types = {"id": id_type, "unit": pa.int32()}
+    types = {"id": id_type, "level": pa.int32(), "unit": pa.int32()}
     return pa.RecordBatch.from_pydict({c: pa.array(v, types.get(c, pa.int64())) for c, v in cols.items()})
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text", unit: str = "line",
-                   min_words: int = 1) -> DataFrame:
-    """Spans to remove: id, row, unit (number in its text), start, end, n (occurrences of the unit), first_id, first_unit.
+                   min_words: int = 1, sentence_words: int | None = None) -> DataFrame:
+    """Spans to remove: id, row, level (0: unit, 1: sentence), unit (number in its text), start, end, n (occurrences), first_id, first_unit.
 
     Two units are equal if they are after lower-casing, trimming and turning
     white space into single spaces. Occurrences rank by id, then by the row's
     place in the input (for rows that repeat an id), then by place in the
-    text; null ids rank last. The earliest stays, the others are returned. A
-    null or empty text and units without visible characters have nothing to
-    remove; an empty table gives an empty result. ``row`` is the number that
+    text; null ids rank last. The earliest stays, the others are returned.
+    With ``sentence_words``, so are repeated sentences of so many words, but
+    for those in a unit that goes as a whole (the first place of a sentence is
+    never in such a unit). Spans of one text do not overlap. A null or empty
+    text and units without visible characters have nothing to remove; an empty
+    table gives an empty result. ``row`` is the number that
     ``monotonically_increasing_id`` gives the row. Other columns are not read.
     """
     if unit not in ("line", "paragraph"):
         raise ValueError("unit must be line or paragraph")
-    units = cut_lineage(hashed_units(docs, id_col, text, unit, min_words))
-    rank = F.struct(F.col("id").isNull().alias("none"), "id", "row", "unit")
-    firsts = units.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    units = cut_lineage(hashed_units(docs, id_col, text, unit, min_words, sentence_words))
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "row", "start", "unit")
+    keys = ["level", "h1", "h2"]
+    firsts = units.groupBy(*keys).agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     firsts = firsts.withColumn("count", F.col("n"))
-    again = join_counted(units, firsts, ["h1", "h2"], "count", units.count())
-    later = (F.col("row") != F.col("first.row")) | (F.col("unit") != F.col("first.unit"))
-    return again.filter(later).select(F.col("id").alias(id_col), "row", "unit", "start", "end", "n",
-                                      F.col("first.id").alias("first_id"), F.col("first.unit").alias("first_unit"))
+    again = join_counted(units, firsts, keys, "count", units.count())
+    later = again.filter((F.col("row") != F.col("first.row")) | (F.col("start") != F.col("first.start")))
+    if sentence_words is not None:
+        later = cut_lineage(later)
+        gone = later.filter("level = 0").select("row", "unit")
+        later = later.filter("level = 0").unionByName(later.filter("level = 1").join(gone, ["row", "unit"], "left_anti"))
+    return later.select(F.col("id").alias(id_col), "row", "level", "unit", "start", "end", "n",
+                        F.col("first.id").alias("first_id"), F.col("first.unit").alias("first_unit"))
 
 
 def without_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the spans of ``repeated_spans(docs)`` cut out, each with the line end after it.
+    """``docs`` with the spans of ``repeated_spans(docs)`` cut out, units with the line end after them.
 
     ``docs`` must be the frame that the spans came from (a table read again
     gives rows the same numbers). A null text stays null; all columns stay.
     """
-    per_row = spans.groupBy(F.col("row").alias("__row")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cut"))
+    per_row = spans.groupBy(F.col("row").alias("__row")).agg(F.sort_array(F.collect_list(F.struct("start", "end", "level"))).alias("__cut"))
 
     @F.udf("string", useArrow=True)
     def cut(body, spans):
         if body is None or spans is None:
             return body
         out, at = [], 0
-        for start, end in ((s["start"], s["end"]) for s in spans):
+        for start, end, level in ((s["start"], s["end"], s["level"]) for s in spans):
             out.append(body[at:start])
-            at = end + (body[end:end + 1] == "\n")
+            at = end + (level == 0 and body[end:end + 1] == "\n")
         return "".join([*out, body[at:]])
 
     return (docs.withColumn("__row", F.monotonically_increasing_id()).join(per_row, "__row", "left")
