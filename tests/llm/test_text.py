@@ -86,10 +86,13 @@ def test_language_edges(spark):
     assert language_id.identify(docs.filter("doc_id > 99")).count() == 0
 
 
-def test_learning_in_parts_counts_alike(spark, monkeypatch):
+def test_learning_in_parts_counts_alike(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").coalesce(1)
     whole = language_id.fit_profiles(docs)
     assert language_id.fit_profiles(docs.repartition(7)) == whole
+    ids = frame(spark, [("x", "one two three four five six")], "item_id string, text string")
+    texts = frame(spark, [(1, "zero"), (2, "One two three four five six")])
+    assert [(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(texts.repartition(2), ids).collect()] == [(2, "x")]
 
 
 # ------------------------------------------------------------------ decontamination

@@ -31,6 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: Share of an item's words that may be edited: similarity 0.8 or more.
 SIMILARITY = 0.8
@@ -272,15 +273,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: s
     kind, item_kind = dict(rows.dtypes)["id"], dict(benchmark.dtypes)[item_id]
     schema = f"id {kind}, item_id {item_kind}, start long, end long, edits int, similarity double"
     out = None
+    item_type = to_arrow_type(benchmark.schema[item_id].dataType)
     for block in item_blocks(benchmark, item_id, item_text):
-        got = rows.mapInArrow(_finder(block, similarity, repetitions), schema)
+        got = rows.mapInArrow(_finder(block, item_type, similarity, repetitions), schema)
         out = got if out is None else out.unionByName(got)
     if out is None:
         out = docs.sparkSession.createDataFrame([], schema)
     return out.withColumnsRenamed({"id": id_col, "item_id": item_id})
 
 
-def _finder(block: list[tuple], similarity: float, repetitions: int):
+def _finder(block: list[tuple], item_type: pa.DataType, similarity: float, repetitions: int):
     ids, texts = [i for i, _ in block], [t for _, t in block]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,7 +297,7 @@ def _finder(block: list[tuple], similarity: float, repetitions: int):
                     start.append(spans[first][0]), end.append(spans[after - 1][1])
                     like.append(1 - e / len(matcher.items[which]))
             yield pa.RecordBatch.from_pydict({
-                "id": b["id"].take(pa.array(owner, pa.int64())), "item_id": pa.array(item, pa.from_numpy_dtype(np.int64) if all(isinstance(i, int) for i in ids) else None),
+                "id": b["id"].take(pa.array(owner, pa.int64())), "item_id": pa.array(item, item_type),
                 "start": pa.array(start, pa.int64()), "end": pa.array(end, pa.int64()), "edits": pa.array(edits, pa.int32()),
                 "similarity": pa.array(like, pa.float64())})
 

@@ -98,9 +98,11 @@ def fit_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", size:
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         waiting: dict[str, list[np.ndarray]] = {}
+        size: dict[str, int] = {}
 
         def add(name: str) -> None:
-            key, n = gram_counts(np.concatenate(waiting.pop(name)))
+            key, n = gram_counts(np.concatenate([*waiting.pop(name), [_SPACE]]))
+            size[name] = 0
             if name in total:
                 old, m = total[name]
                 both, at = np.unique(np.concatenate([old, key]), return_inverse=True)
@@ -112,11 +114,11 @@ def fit_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", size:
                 c = letters(body)
                 if len(c):
                     waiting.setdefault(name, []).append(c[:-1])
-                    if sum(map(len, waiting[name])) > LEARN_CHARS if len(waiting[name]) % 64 == 0 else len(c) > LEARN_CHARS:
-                        waiting[name].append(np.array([_SPACE]))
-                        add(name)
+                    size[name] = size.get(name, 0) + len(c)
+                    if sum(size.values()) > LEARN_CHARS:
+                        for full in list(waiting):
+                            add(full)
         for name in list(waiting):
-            waiting[name].append(np.array([_SPACE]))
             add(name)
         for name, (key, n) in total.items():
             yield pd.DataFrame({"lang": name, "gram": key, "n": n})
