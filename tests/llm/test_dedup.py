@@ -1,3 +1,5 @@
+from collections import Counter
+
 import duckdb
 import numpy as np
 import pytest
@@ -126,6 +128,14 @@ def test_linked_lines_match_brute_force(spark, max_edits):
     assert got == want
 
 
+def within(a, b, most):
+    """a and b are at most so many edits apart; an edit changes two letter counts at most."""
+    if abs(len(a) - len(b)) > most:
+        return False
+    x, y = Counter(a), Counter(b)
+    return sum(((x - y) | (y - x)).values()) <= 2 * most and edits(a, b) <= most
+
+
 def brute_lines(rows, max_edits, min_chars):
     lines = [(d, k, x.strip(" \t\r").lower()) for d, t in rows for k, x in enumerate((t or "").split("\n")) if x.strip(" \t\r")]
     big = lambda d: (d is None, d)
@@ -134,7 +144,7 @@ def brute_lines(rows, max_edits, min_chars):
         r = (d is None, d or 0, k)
         first[x] = min(first.get(x, r), r)
         count[x] = count.get(x, 0) + 1
-    near = {x: [y for y in first if y != x and abs(len(x) - len(y)) <= max_edits and min(len(x), len(y)) >= min_chars and edits(x, y) <= max_edits] for x in first}
+    near = {x: [y for y in first if y != x and min(len(x), len(y)) >= min_chars and within(x, y, max_edits)] for x in first}
     return sorted((str(d), k, count[x], len(near[x]), (d is None, d or 0, k) == min([first[x], *(first[y] for y in near[x])])) for d, k, x in lines)
 
 
