@@ -128,7 +128,7 @@ def test_prefix_sums_equals_window(spark):
     rnd = random.Random(3)
     df = spark.createDataFrame([(float(rnd.randint(0, 50)), rnd.randint(0, 3)) for _ in range(300)], "t double, n int")
     g = df.groupBy("t").agg(F.sum("n").alias("n"))
-    ps = prefix_sums(g, [F.col("t").desc()], ["n"], num_partitions=4)
+    ps = prefix_sums(g, "t", ["n"], descending=True, num_partitions=4)
     ref = g.withColumn("c2", F.sum("n").over(Window.orderBy(F.col("t").desc())))
     assert ps.join(ref, "t").filter("n_cum != c2").count() == 0
 

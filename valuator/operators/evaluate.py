@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from valuator.operators.segment import error_band
 from valuator.plans.strategy import attach_state, fit_quantiles, fit_row, group_quantiles, prefix_sums
+from valuator.session import cut_lineage
 
 
 def _col(c: str | Column) -> Column:
@@ -178,14 +179,15 @@ def roc_points(df: DataFrame, y: str, score: str) -> DataFrame:
     """ROC points (fpr, tpr) per distinct score threshold, descending.
 
     Ties are grouped into one threshold first; running sums over the
-    distinct thresholds use ``prefix_sums`` (range partitions + offsets), so
+    distinct thresholds use ``prefix_sums`` (ranges + offsets), so
     no global window gathers the table into one task.
     """
     g = df.groupBy(F.col(score).alias("threshold")).agg(
         F.sum(F.col(y).cast("long")).alias("tp_n"),
         F.sum((F.lit(1) - F.col(y)).cast("long")).alias("fp_n"))
-    tot = fit_row(df, F.sum(F.col(y).cast("long")).alias("P"), F.sum((F.lit(1) - F.col(y)).cast("long")).alias("N"))
-    cum = prefix_sums(g, [F.col("threshold").desc()], ["tp_n", "fp_n"])
+    g = cut_lineage(g)
+    tot = fit_row(g, F.sum("tp_n").alias("P"), F.sum("fp_n").alias("N"))
+    cum = prefix_sums(g, "threshold", ["tp_n", "fp_n"], descending=True)
     cum = cum.withColumnsRenamed({"tp_n_cum": "tps", "fp_n_cum": "fps"})
     cum = cum.withColumns({"P": F.lit(tot["P"]), "N": F.lit(tot["N"])})  # totals as literals
     return cum.select(

@@ -128,6 +128,15 @@ def q_log_target(spark, sf_dir):
     return l.select("listing_id", rnd(lp).alias("log_price"), rnd(C.exp_target(lp), 4).alias("back_price"))
 
 
+_EXP_SQL = "SELECT listing_id, round(exp(power / 100.0) - 1, 6) AS value, power IS NULL AS was_null FROM listing_nulls"
+
+
+@register("exp_target", _EXP_SQL, ("listing_nulls",))
+def q_exp_target(spark, sf_dir):
+    l = fx(spark, sf_dir).listing_nulls()
+    return l.select("listing_id", rnd(C.exp_target(F.col("power") / 100.0)).alias("value"), F.col("power").isNull().alias("was_null"))
+
+
 _SAFELOG_SQL = """
 SELECT c_custkey, round(ln(1 + CASE WHEN c_acctbal < 0 THEN 0.0 ELSE c_acctbal END), 6) AS log_balance FROM customer
 """

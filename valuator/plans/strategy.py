@@ -89,20 +89,29 @@ def ranked(df: DataFrame, part_cols: Sequence[str], order_cols: Sequence[Column
             .drop("_mid", "_pid", "_first", "_off"))
 
 
-def prefix_sums(df: DataFrame, order_cols: Sequence[Column | str], sum_cols: Sequence[str],
-                suffix: str = "_cum", num_partitions: int | None = None) -> DataFrame:
-    """Running sums over a global order, computed per range partition plus an
-    offset from the totals of earlier partitions (one small aggregate)."""
-    keys = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    rp = df.repartitionByRange(_partitions(df, num_partitions), *keys).withColumn("_pid", F.spark_partition_id())
-    rp = cut_lineage(rp)
-    tot = rp.groupBy("_pid").agg(*[F.sum(c).alias(c) for c in sum_cols])
-    wp = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.select("_pid", *[F.coalesce(F.sum(c).over(wp), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
-    joined = attach_state(rp, tot, "_pid", "inner")
-    wl = Window.partitionBy("_pid").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
-    return joined.select(*df.columns, *[(F.sum(c).over(wl) + F.col(f"_off_{c}")).alias(c + suffix)
-                                        for c in sum_cols])
+def prefix_sums(df: DataFrame, order: str, sum_cols: Sequence[str], descending: bool = False, suffix: str = "_cum",
+                num_partitions: int | None = None) -> DataFrame:
+    """Running sums over the global order of a numeric column.
+
+    Ranges of the column are a bucket column, a pure function of the value, so
+    that one exchange on it serves the running sums inside a bucket; what lies
+    before a bucket comes from one small aggregate. Nulls are the last bucket.
+    ``df`` is read three times: it should be a checkpoint or a scan."""
+    n = _partitions(df, num_partitions)
+    probs = [i / n for i in range(1, n)]
+    cuts = sorted(set(df.agg(F.percentile_approx(F.col(order).cast("double"), probs, 10_000)).first()[0] or [])) if probs else []
+    above = F.lit(0)
+    for c in cuts:
+        above = above + (F.col(order) > F.lit(c)).cast("int")
+    bucket = F.coalesce(F.lit(len(cuts)) - above if descending else above, F.lit(len(cuts) + 1))
+    b = df.withColumn("_b", bucket)
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    tot = b.groupBy("_b").agg(*[F.sum(c).alias(c) for c in sum_cols])
+    tot = tot.select("_b", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
+    key = F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_last()
+    inside = Window.partitionBy("_b").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    return attach_state(b, tot, "_b", "inner").select(
+        *df.columns, *[(F.sum(c).over(inside) + F.col(f"_off_{c}")).alias(c + suffix) for c in sum_cols])
 
 
 # ---------------------------------------------------------------------- exact quantiles
