@@ -107,7 +107,7 @@ def q_rf(spark, sf_dir):
     from pyspark.ml.evaluation import RegressionEvaluator
     l = fx(spark, sf_dir).listing().withColumn("split", M.three_way_split("listing_id"))
     data = M._prepare(l, FEATURES, "price", False)
-    m = M.regression_pipeline(FEATURES, "_y", "rf", params={"numTrees": 200, "maxDepth": 30}).fit(
+    m = M.regression_pipeline(FEATURES, "_y", "rf", params={"numTrees": 200, "maxDepth": 12, "maxMemoryInMB": 1024}).fit(
         data.filter("split = 'train'"))
     rows = []
     for part in ("train", "val", "test"):
