@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valuator.llm.common import connected_components
+from valuator.llm.common import connected_components, join_counted
 from valuator.session import cut_lineage
 
 #: Words hashed at a time, so that a very long text needs bounded memory.
@@ -104,14 +104,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """
     fps = cut_lineage(with_fingerprint(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")),
                                        "text", "fp", shingle).select("id", "fp"))
-    firsts = fps.groupBy("fp").agg(F.min("id").alias("first"))
+    firsts = fps.groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
     groups = connected_components(linked_fingerprints(fps, max_bits))
     named = groups.join(firsts, F.col("node") == F.col("fp")).select("fp", "component", "first")
     names = named.groupBy("component").agg(F.min("first").alias("component_id"))
     linked = named.join(names, "component").select("fp", F.col("component_id").alias("linked_id"))
     labels = (firsts.join(linked, "fp", "left")
-              .select("fp", F.when(F.col("linked_id").isNotNull(), F.col("linked_id")).otherwise(F.col("first")).alias("component_id")))
-    return fps.join(labels, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+              .select("fp", "n", F.when(F.col("linked_id").isNotNull(), F.col("linked_id")).otherwise(F.col("first")).alias("component_id")))
+    return join_counted(fps, labels, ["fp"], "n", fps.count()).select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3,
