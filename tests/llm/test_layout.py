@@ -294,6 +294,12 @@ def test_stages_match_brute_force(spark):
     check_packing(after)
 
 
+def test_language_stage_predicts_once(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plan = corpus_pipeline.identify_language(spark, docs, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_run_is_the_chain_of_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES:

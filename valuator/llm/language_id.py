@@ -28,7 +28,7 @@ MAX_LANGUAGES = 2_000
 UNDETERMINED = "und"
 _SPACE, _BITS = 32, 21
 #: Characters counted at a time while learning.
-LEARN_CHARS = 4_000_000
+LEARN_CHARS = 1_000_000
 
 
 @functools.cache
@@ -170,7 +170,9 @@ def predict(docs: DataFrame, profiles: Mapping[str, list[int]], text: str = "tex
     def name(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([ranker.best(t) for t in texts], columns=["lang", "score"])
 
-    return (docs.withColumn("__best", name(F.col(text))).withColumn("lang_pred", F.col("__best.lang"))
+    # not deterministic to the planner: a filter on the result would otherwise run the function once more
+    best = name.asNondeterministic()(F.col(text))
+    return (docs.withColumn("__best", best).withColumn("lang_pred", F.col("__best.lang"))
             .withColumn("score", F.col("__best.score")).drop("__best"))
 
 
