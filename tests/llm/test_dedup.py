@@ -159,6 +159,33 @@ def test_line_classes_match_brute_force(spark):
     assert line_dedup.line_classes(frame(spark, [])).count() == 0
 
 
+def test_edits_grow_with_the_line(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("abcdefgh"), int(rng.integers(2, 9)))) for _ in range(60)]
+    base = [" ".join(rng.choice(words, n)) for n in (12, 13, 14, 20, 30, 60, 100) for _ in range(3)]
+    lines = {mutated(rng, b, int(rng.integers(0, len(b) // 16))) for b in base for _ in range(5)}
+    changed = [b.split() for b in base]
+    for w in changed:
+        w[len(w) // 2] = "zzzz"
+    lines = sorted(lines | {" ".join(w) for w in changed} | set(base))
+    size = {x: len(x) for x in lines}
+    want = {frozenset((a, b)) for i, a in enumerate(lines) for b in lines[:i]
+            if min(size[a], size[b]) >= 32 and within(a, b, max(2, min(size[a], size[b]) // 20))}
+    assert sum(1 for p in want if not within(*p, 2)) > 40
+    df = frame(spark, [(i, x) for i, x in enumerate(lines)], "h long, line string")
+    for common, piece in ((64, 200), (2, 50)):
+        monkeypatch.setattr(line_dedup, "COMMON_GRAM", common)
+        monkeypatch.setattr(line_dedup, "PIECE_CHARS", piece)
+        got = [frozenset((lines[r["a"]], lines[r["b"]])) for r in line_dedup.linked_lines(df, 2, 32, None, 0.05).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_unchanged_runs_hold_a_window():
+    for least, window in line_dedup.gram_classes(60, 0.05)[:12]:
+        for n in range(least, least + 300):
+            assert -(-(n - n // 20) // (n // 20 + 1)) >= window + line_dedup.GRAM - 1
+
+
 def test_texts_lose_repeated_lines(spark):
     long = "this is a line of more than thirty-two characters"
     docs = frame(spark, [(1, f"a\n{long}\n\nb", 1), (2, f"c\n\n{long}s\nA\nd", 2), (3, f"{long}", 3), (4, None, 4), (5, "", 5), (None, "a", 6)],
