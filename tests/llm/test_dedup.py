@@ -180,6 +180,18 @@ def test_edits_grow_with_the_line(spark, monkeypatch):
         assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_short_lines_are_linked(spark):
+    rng = np.random.default_rng(12)
+    base = ["".join(rng.choice(list("abcd "), n)).strip().ljust(n, "x") for n in (9, 11, 12, 13, 15, 16, 17, 24, 31, 33) for _ in range(3)]
+    lines = sorted({mutated(rng, b, int(rng.integers(0, 4))) for b in base for _ in range(6)} | {"heti eror anesti.", "heti, eror anesti."})
+    allowed = lambda n: 0 if n < 12 else 1 if n < 16 else 2
+    want = {frozenset((a, b)) for i, a in enumerate(lines) for b in lines[:i] if 0 < edits(a, b) <= allowed(min(len(a), len(b)))}
+    got = line_dedup.line_classes(frame(spark, [(i, x) for i, x in enumerate(lines)])).filter("n_links > 0")
+    assert {r["doc_id"]: r["n_links"] for r in got.collect()} == Counter(lines.index(x) for p in want for x in p)
+    kept = line_dedup.without_repeated_lines(frame(spark, [(1, "heti eror anesti."), (2, "heti, eror anesti."), (3, "ab"), (4, "ac")]))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4]
+
+
 def test_unchanged_runs_hold_a_window():
     for least, window in line_dedup.gram_classes(60, 0.05)[:12]:
         for n in range(least, least + 300):
