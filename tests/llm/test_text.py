@@ -133,6 +133,23 @@ def test_every_match_is_exact_and_few_are_missed():
     assert got <= want and len(got) >= 0.95 * len(want)
 
 
+
+@pytest.mark.parametrize("words", [5, 12, 15, 16, 17, 20, 24, 25])
+def test_fully_edited_items_are_found_at_every_length(words):
+    rng = np.random.default_rng(words)
+    items = [[f"w{t}x{j}" for j in range(words)] for t in range(200)]
+    texts = []
+    for t, item in enumerate(items):
+        item = list(item)
+        for k in range(words // 5):
+            at = int(rng.integers(0, len(item))) if t % 2 else (k + 1) * words // (words // 5 + 1)  # anywhere, or evenly spread
+            kind = int(rng.integers(0, 3)) if t % 2 else 0
+            item[at:at + (kind < 2)] = [f"new{t}x{k}"] if kind != 1 else []
+        texts.append(" ".join(["before", *item, "after"]))
+    found = list(decontaminate.Matcher([" ".join(x) for x in items]).find(texts))
+    assert sum(any(h[0] == t for h in hits) for t, hits in enumerate(found)) >= 0.99 * len(items)
+
+
 def test_planted_items_are_found_and_clean_texts_are_not(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()

@@ -12,7 +12,9 @@ Windows begin at every word of every text. Since a walk only depends on where
 it begins, one walk serves the windows of all item sizes that share sampled
 steps, and it goes on only for windows whose words so far collide with some
 item. The item side embeds the item from several offsets, so that edits near
-its beginning do not hide it. A collision names an item and where it would
+its beginning do not hide it. Walks alone miss some matches of short items, so
+the run of words that the allowed edits must leave unchanged is read in full
+as well, from every word of the item. A collision names an item and where it would
 begin; the item-sized window there, with room for the allowed edits, is
 verified by exact (bit-parallel) edit distance over words.
 
@@ -81,6 +83,11 @@ def _edits(a: Sequence[int], b: Sequence[int]) -> list[int]:
     return row
 
 
+def unchanged_run(words: int, edits: int) -> int:
+    """Words in a row that so many edits leave unchanged at least."""
+    return max(1, -(-(words - edits) // (edits + 1)))
+
+
 class Matcher:
     """Finds items (lists of words) in texts."""
 
@@ -99,6 +106,13 @@ class Matcher:
             if own:
                 for r in range(repetitions if steps > 1 else 1):
                     self.walks.append(_Walk(self, own, least, steps, samples, apart, np.random.default_rng([seed, least, r])))
+        # a run that stays unchanged wherever the edits are is read in full from each of the item's words
+        runs: dict[int, list[int]] = {}
+        for i, x in enumerate(self.items):
+            if self.most[i]:
+                runs.setdefault(unchanged_run(len(x), self.most[i]), []).append(i)
+        for run, own in sorted(runs.items()):
+            self.walks.append(_Walk(self, own, run, run, run, 1, np.random.default_rng([seed, 0, run]), stay=False))
 
     def find(self, texts: Sequence[str | None]) -> Iterator[list[tuple[int, int, int, int]]]:
         """For each text, its matches in order: (item, first word, word after the last, edits).
@@ -177,10 +191,11 @@ def _spread(key: np.ndarray) -> np.ndarray:
 class _Walk:
     """One repetition: walk bits, sampled steps, and the items' words read there."""
 
-    def __init__(self, matcher: Matcher, own: list[int], least: int, steps: int, samples: int, apart: int, rng: np.random.Generator):
+    def __init__(self, matcher: Matcher, own: list[int], least: int, steps: int, samples: int, apart: int, rng: np.random.Generator,
+                 stay: bool = True):
         self.steps = steps
         self.sampled = sorted(rng.choice(steps, samples, replace=False).tolist())
-        self.moves = rng.integers(0, 2, (steps, matcher.size)).astype(np.intp)
+        self.moves = rng.integers(0 if stay else 1, 2, (steps, matcher.size)).astype(np.intp)
         self.size = matcher.size
         names, begins, parts, at = [], [], [], 0
         for i in own:
@@ -264,9 +279,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: s
 
     Words are runs of letters, digits and underscores, lower-cased; a match has
     at most (1 - similarity) times the item's words in word edits. Verification
-    is exact; candidates are found with high probability, and always if one of
-    the item's sampled parts (18 walk steps long, one beginning every 5 words)
-    is unchanged. Null or empty texts, and items without a word, match nothing;
+    is exact; so are the candidates of items with edits, as a run of words that
+    the edits must leave unchanged is looked up besides the walks. Null or empty texts, and items without a word, match nothing;
     repeated rows match as often as they are there. Other columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
