@@ -85,6 +85,27 @@ def test_passages_inside_lines_are_found(spark):
     assert [(r["doc_id"], r["level"]) for r in again] == [(2, 0)]
 
 
+def test_passages_cut_at_both_ends_are_found(spark):
+    rng = np.random.default_rng(50)
+    own = lambda n: " ".join(f"u{x}" for x in rng.integers(0, 10**9, n))
+    passages = [" ".join(f"p{x}" for x in rng.integers(0, 10**6, 50)) for _ in range(100)]
+    rows = [(k, f"{own(7)} {p} {own(9)}") for k, p in enumerate(passages)] + [(100 + k, f"{own(12)} {p}  {own(3)}") for k, p in enumerate(passages)]
+    docs = frame(spark, rows)
+    assert substring_dedup.repeated_spans(docs, sentence_words=8).count() == 0
+    spans = substring_dedup.repeated_spans(docs, sentence_words=8, passage_words=8)
+    texts = dict(rows)
+    found = {}
+    for r in spans.collect():
+        assert r["doc_id"] == 100 + r["first_id"] and texts[r["doc_id"]][r["start"]:r["end"]] in passages[r["first_id"]]
+        found.setdefault(r["first_id"], set()).update(texts[r["doc_id"]][r["start"]:r["end"]].split())
+    share = [len(found.get(k, ())) / 50 for k in range(100)]
+    print("coverage", np.mean(share), min(share), sum(x < 0.5 for x in share))
+    assert min(share) > 0 and np.mean(share) > 0.6
+    left = {r["doc_id"]: r["text"].split() for r in substring_dedup.without_spans(docs, spans).collect()}
+    assert all(left[k] == texts[k].split() for k in range(100))
+    assert all(left[100 + k] == [w for w in texts[100 + k].split() if w not in found[k]] for k in range(100))
+
+
 def test_long_passages_are_found_in_all_copies(spark):
     body = " ".join(f"w{i}" for i in range(60))
     docs = frame(spark, [(i, f"start {i}\n{body}\nend {i}") for i in range(40)])

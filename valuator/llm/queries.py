@@ -73,6 +73,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_spans(documents(spark, sf_dir), sentence_words=8).drop("row")
 
 
+@query("op1_pasted_passages")
+def op1_pasted_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spans of op1_substring_dedup, whose SQL knows lines and sentences only, and those of passages cut at both ends."""
+    return substring_dedup.repeated_spans(documents(spark, sf_dir), sentence_words=8, passage_words=8).drop("row")
+
+
 @query("op2_language_id")
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from the labelled ones that are not held out."""
