@@ -31,8 +31,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that occur earlier, exactly or within the edits that their length allows, go; so do documents of which no line is left."""
-    left = line_dedup.without_repeated_lines(docs)
+    """Lines that occur earlier, exactly or within 2 edits (lines of 32 characters or more), go; so do documents of which no line is left."""
+    left = line_dedup.without_repeated_lines(docs, share=None, short=())
     return left.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
 
 
