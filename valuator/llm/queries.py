@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valuator.llm import (
+    conversations,
     decontaminate,
     fingerprints,
     html_extract,
@@ -153,3 +154,99 @@ def op11_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in private_data.KINDS]
     return found.select("doc_id", *counts, F.sha2(private_data.listed(F.col("base")), 256).alias("base_sha256"),
                         private_data.listed(F.sort_array(F.concat("base", "added"))).alias("spans"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """``rows`` of conversations with the faults that op12 repairs, drawn by a checksum of conv_id and turn."""
+    space = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    h, role, text = F.col("h"), F.coalesce("role", space), F.coalesce("text", space)
+    hit = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), (F.crc32(key.cast("binary")) % 20).alias("h")).filter("h <> 0")
+    text = F.when(h == 1, "").when(h == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    return hit.select("conv_id", "turn", F.when(h == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+                      F.explode(F.when(h == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy")).drop("copy")
+
+
+def _repair_sql() -> str:
+    """Recursive SQL of op12: per row and state of the pattern the least (cost, audit, text) of all ways, texts of the ways written out."""
+    def step(s: str, cost: str, char: str, line: str | None = None) -> str:
+        text = f"{s}.t" if line is None else f"{s}.t || chr(10) || {line}"
+        return f"CASE WHEN {s} IS NOT NULL THEN {{'c': {s}.c + {cost}, 'a': {s}.a || '{char}', 't': {text}}} END"
+
+    def least(*options: str) -> str:
+        return f"list_min([{', '.join(options)}])"
+
+    user, helper = "'user:'", "'assistant:'"
+    one = (f"s0 AS m0, s1 AS m1, {least('s2', *[step(x, '5', 'I', user) for x in ('s0', 's1', 's3')])} AS n2, "
+           f"{least('s3', step('s2', '5', 'I', helper))} AS n3")
+    two = f"m0, m1, {least('n2', step('n3', '5', 'I', user))} AS m2, {least('n3', step('n2', '5', 'I', helper))} AS m3"
+    more = "(CASE WHEN fault = 't' THEN 5 ELSE 0 END)"
+
+    def keep(s: str, initial: str) -> str:
+        way = step(s, more, "K", "(role || ':' || txt)")
+        return f"CASE WHEN fault NOT IN ('b', 'd') AND role[1] = '{initial}' THEN {way} END"
+
+    def rerole(s: str, role: str) -> str:
+        way = step(s, more + " + 1", "R", f"('{role}:' || txt)")
+        return f"CASE WHEN fault NOT IN ('b', 'd') THEN {way} END"
+
+    kept = [keep("m0", "s")], [w for m in ("m0", "m1", "m3") for w in (keep(m, "u"), rerole(m, "user"))], [keep("m2", "a"), rerole("m2", "assistant")]
+    ends = [least(step(f"m{i}", "2", "D"), *ways) for i, ways in enumerate(([], *kept))]
+    return f"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+           lambda x, y: CASE WHEN x & 1 = 1 THEN xor(3988292384::BIGINT, x >> 1) ELSE x >> 1 END)) AS tab),
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS txt,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+drawn AS (
+  SELECT keyed.*, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(k)), lambda i: ascii(substr(k, i::INT + 1, 1))::BIGINT)),
+           lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295::BIGINT) % 20 AS h FROM keyed, crc),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN h = 1 THEN '' WHEN h = 2 THEN regexp_replace(txt, '[.!?]', '', 'g') ELSE txt END AS txt,
+         unnest(CASE WHEN h = 3 THEN [0, 1] ELSE [0] END) AS copy FROM drawn WHERE h <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(txt, 32), md5(txt)) AS rn,
+         regexp_extract(txt, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) AS tail FROM hurt),
+coded AS (
+  SELECT *, CASE WHEN tail = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, txt ORDER BY rn) > 1 THEN 'd'
+                 WHEN NOT regexp_matches(tail, '[.!?]') THEN 't' ELSE '' END AS fault,
+         lag(role) OVER (PARTITION BY conv_id ORDER BY rn) AS role_before FROM placed),
+ways AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS rn, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS s0, NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR) AS s1,
+         NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR) AS s2, NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR) AS s3 FROM conversations
+  UNION ALL
+  SELECT conv_id, rn, {ends[0]}, {ends[1]}, {ends[2]}, {ends[3]}
+  FROM (SELECT conv_id, rn, role, txt, fault, {two} FROM (SELECT w.conv_id, r.rn, r.role, r.txt, r.fault, {one}
+        FROM ways w JOIN coded r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.rn = w.rn + 1))),
+ended AS (
+  SELECT conv_id, {least('m0', 'm3')} AS best FROM (SELECT conv_id, {two} FROM (SELECT conv_id, {one} FROM ways
+    QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY rn DESC) = 1))),
+sums AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'b') AS blank,
+         count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (role_before IS NOT NULL AND left(role_before, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM coded GROUP BY conv_id)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, best.c::BIGINT AS cost, best.a AS audit,
+       sha256(substr(best.t, 2)) AS repaired_sha256
+FROM ended e LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
+
+@query("op12_conversation_repair", _repair_sql())
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, the cheapest edits that repair it, and the hash of the result."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    hurt = damaged(rows)
+    solved = cut_lineage(conversations.audits(hurt))
+    conv = F.struct("conv_id").alias("conv")
+    sums = solved.groupBy("conv").agg(
+        (F.max("high_turn") - F.min("low_turn") + 1 - F.sum("turns")).alias("gaps"),
+        *[F.sum(c).alias(c) for c in ("blank", "duplicate", "truncated", "illegal", "cost")],
+        F.array_sort(F.collect_list(F.struct("block", "audit"))).alias("audit"))
+    hashes = conversations.digests(conversations.repaired(hurt, solved)).select(conv, "repaired_sha256")
+    out = rows.select(conv).distinct().join(sums, "conv", "left").join(hashes, "conv", "left")
+    longs = [F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select("conv.conv_id", *longs, F.coalesce(F.array_join(F.transform("audit", lambda x: x["audit"]), ""), F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
