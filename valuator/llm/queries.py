@@ -12,6 +12,7 @@ from valuator.llm import (
     conversations,
     decontaminate,
     fingerprints,
+    hard_negatives,
     html_extract,
     language_id,
     line_dedup,
@@ -250,3 +251,28 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     longs = [F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
     return out.select("conv.conv_id", *longs, F.coalesce(F.array_join(F.transform("audit", lambda x: x["audit"]), ""), F.lit("")).alias("audit"),
                       F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+@query("op13_hard_negatives", """
+WITH known AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, k.vec_id AS id, a.label = k.label AS same, list_inner_product(a.v, k.v)::BIGINT AS score
+  FROM known a JOIN known k ON a.vec_id <> k.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+negatives AS (
+  SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS rank,
+         id AS negative_id, positive_score, score AS negative_score
+  FROM positives JOIN scored USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 3
+""")
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor (ids divisible by 50) and positive, against all rows; a seventh of the labels is moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 50 == 0, label=moved)
