@@ -36,7 +36,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from valuator.session import cut_lineage
@@ -145,7 +145,7 @@ def votes(found: DataFrame) -> DataFrame:
     def vote(yes: Column, no: Column) -> Column:
         return F.when(yes, 1).when(no, -1).otherwise(0)
 
-    strict = (F.when(kind == "email", match.rlike(r"^[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$"))
+    strict = (F.when(kind == "email", match.rlike("^[A-Za-z0-9]") & match.rlike(r"\.[A-Za-z]{2,24}$"))
               .when(kind == "ip", match.rlike(r"^([1-9][0-9]{0,2}|0)(\.([1-9][0-9]{0,2}|0)){3}$"))
               .when(kind == "card", match.rlike(r"^([0-9]{14,19}|[0-9]{4}([\x20-])[0-9]{4}\2[0-9]{4}\2[0-9]{2,7})$"))
               .when(kind == "phone", match.rlike(r"^(\+[0-9]{1,3}[\x20.-]?)?(\([0-9]{1,4}\)|[0-9]{1,4})([\x20.-]?[0-9]{2,4}){2,4}$"))
@@ -223,6 +223,15 @@ def _features() -> dict[str, Column]:
     }
 
 
+def _values(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A table of a few thousand rows of kinds, feature values (letters, digits, bars) and numbers, written as SQL."""
+    def literal(x) -> str:
+        return f"'{x}'" if isinstance(x, str) else f"{x!r}D" if isinstance(x, float) else str(x)
+
+    lines = ", ".join(f"({', '.join(map(literal, r))})" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {lines} AS t({', '.join(f'`{n}`' for n in names)})")
+
+
 def classify(voted: DataFrame) -> DataFrame:
     """``voted`` candidates with ``p``, the classifier's probability that they are personal data."""
     patterns = voted.filter("kind IS NOT NULL").groupBy("kind", *LABELERS).agg(F.count(F.lit(1)).alias("n")).collect()
@@ -230,8 +239,7 @@ def classify(voted: DataFrame) -> DataFrame:
     if not post:
         return voted.withColumn("p", F.lit(None).cast("double"))
     spark = voted.sparkSession
-    table = spark.createDataFrame([(k, *v, p) for (k, v), p in sorted(post.items())],
-                                  f"kind string, {', '.join(x + ' int' for x in LABELERS)}, soft double")
+    table = _values(spark, [(k, *v, p) for (k, v), p in sorted(post.items())], ["kind", *LABELERS, "soft"])
     weighed = voted.join(F.broadcast(table), ["kind", *LABELERS], "left")
     feats = _features()
     named = weighed.withColumns({f"f_{k}": v for k, v in feats.items()})
@@ -254,7 +262,7 @@ def classify(voted: DataFrame) -> DataFrame:
     score = F.lit(0.0)
     for kind, (yes, no) in sorted(base.items()):
         score = F.when(F.col("kind") == kind, F.lit(math.log(yes / no))).otherwise(score)
-    weights = spark.createDataFrame(sorted(odds), "feature string, value string, w double")
+    weights = _values(spark, sorted(odds), ["feature", "value", "w"])
     for k in feats:
         part = weights.filter(F.col("feature") == k).select(F.col("value").alias(f"f_{k}"), F.col("w").alias(f"w_{k}"))
         named = named.join(F.broadcast(part), f"f_{k}", "left")
@@ -271,7 +279,9 @@ def spans(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFr
     taken = found.withColumns({"rank": rank, "own": is_base}).withColumn("taken", F.col("own") | F.coalesce(F.col("p") > 0.5, F.lit(False)))
     order = Window.partitionBy("row").orderBy("start", F.col("own").desc(), "end", "rank")
     ended = F.max(F.when(F.col("taken"), F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    begins = F.min(F.when(F.col("own"), F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
+    # backwards, as a frame that ends at the last row takes the square of the rows
+    back = Window.partitionBy("row").orderBy(F.col("start").desc(), "own", F.col("end").desc(), F.col("rank").desc())
+    begins = F.min(F.when(F.col("own"), F.col("start"))).over(back.rowsBetween(Window.unboundedPreceding, -1))
     clear = (F.coalesce(ended, F.lit(0)) <= F.col("start")) & (F.coalesce(begins, F.col("end")) >= F.col("end"))
     one = F.struct("start", "rank", "end", "kind", "match", "p")
     marked = taken.withColumn("more", F.col("taken") & ~F.col("own") & clear)
@@ -280,6 +290,10 @@ def spans(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFr
         F.sort_array(F.collect_list(F.when(F.col("more"), one))).alias("added"))
 
 
+def count_of(items: Column | str, kind: str) -> Column:
+    return F.size(F.filter(items, lambda s: s["kind"] == kind)).cast("long")
+
+
 def listed(items: Column) -> Column:
     """kind:start:end of an array of spans, in its order, comma-joined."""
     return F.array_join(F.transform(items, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")

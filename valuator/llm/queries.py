@@ -152,7 +152,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: base spans counted by kind and hashed, and all spans."""
     found = private_data.spans(documents(spark, sf_dir).select("doc_id", "text"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in private_data.KINDS]
+    counts = [private_data.count_of("base", k).alias(f"n_{k}") for k in private_data.KINDS]
     return found.select("doc_id", *counts, F.sha2(private_data.listed(F.col("base")), 256).alias("base_sha256"),
                         private_data.listed(F.sort_array(F.concat("base", "added"))).alias("spans"))
 
