@@ -288,9 +288,55 @@ def test_lloyd_matches_numpy(spark):
     assert np.allclose(np.array(res.centers), c)
 
 
-def test_merge_weak_segments():
-    m = CL.merge_weak_segments({0: [0.0], 1: [1.0], 2: [10.0]}, {0: 5.0, 1: 1.0, 2: 1.0}, threshold=2.0)
-    assert m == {0: 1, 1: 1, 2: 2}
+def test_merge_weak_segments(spark):
+    """Rescored after each merge; a weak segment whose nearest centre is weak too stays."""
+    df = spark.createDataFrame([(0, 5.0), (1, 1.0), (2, 1.0), (3, 9.0), (4, 9.0), (None, 1.0)], "seg int, e double")
+    centers = {0: [0.0], 1: [1.0], 2: [10.0], 3: [50.0], 4: [51.0]}
+
+    def rmse_of(frame, c):
+        return {r[0]: r[1] for r in frame.filter(f"{c} IS NOT NULL").groupBy(c).agg(F.avg("e")).collect()}
+
+    out, mapping = CL.merge_weak_segments(df, "seg", centers, rmse_of, threshold=4.0)
+    assert mapping == {0: 1, 1: 1, 2: 2, 3: 3, 4: 4}
+    assert {(r["seg"], r["merged_segment"]) for r in out.collect()} == {(0, 1), (1, 1), (2, 2), (3, 3), (4, 4), (None, None)}
+
+
+def test_null_groups_keep_their_rows(spark):
+    """Rows of the null group are there and are treated as one group."""
+    from valuator.sources import holdout as H
+    rows = [(i, None if i % 3 == 0 else "a" if i % 3 == 1 else "b", float(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, g string, x double").repartition(4)
+
+    def per_group(frame, *by):
+        return {tuple(r[c] for c in ("g", *by)): r["count"] for r in frame.groupBy("g", *by).count().collect()}
+
+    train, test, _ = H.stratified_holdout(df, "id", "g", 60)
+    assert per_group(test) == {(g,): 20 for g in (None, "a", "b")} and per_group(train) == {(g,): 80 for g in (None, "a", "b")}
+    share = {r["g"]: (r["original_share"], r["test_share"]) for r in H.holdout_share_report(df, test, "g").collect()}
+    assert len(share) == 3 and all(abs(a - 1 / 3) < 1e-12 and abs(b - 1 / 3) < 1e-12 for a, b in share.values())
+    assert per_group(CL.cap_segment_sample(df, "id", "g", cap=30)) == {(g,): 30 for g in (None, "a", "b")}
+    assert per_group(M.stratified_kfold_assign(df, "id", "g", 5), "fold") == {(g, f): 20 for g in (None, "a", "b") for f in range(5)}
+    assert per_group(M.stratified_split(df, "id", "g", 0.2), "split") == {
+        (g, s): n for g in (None, "a", "b") for s, n in (("test", 20), ("train", 80))}
+    assert {r["g"]: r["n"] for r in N.gini_coefficient(df, "x", "g").collect()} == {None: 100, "a": 100, "b": 100}
+    from valuator.operators.segment import segment_weights
+    assert {round(r[0], 9) for r in segment_weights(df, "g").select("weight").collect()} == {round(3 ** 0.5, 9)}
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_prefix_sums_for_any_number_of_partitions(spark, descending):
+    from valuator.plans.strategy import prefix_sums
+    rnd = np.random.default_rng(3)
+    vals = [float(v) for v in rnd.integers(0, 500, 3000)] + [float("inf"), float("-inf"), None]
+    df = spark.createDataFrame([(v,) for v in vals], "v double").groupBy("v").agg(F.count(F.lit(1)).alias("n")).cache()
+    order = sorted({v for v in vals if v is not None}, reverse=descending) + [None]
+    want, run = {}, 0
+    for v in order:
+        run += vals.count(v)
+        want[v] = run
+    for n in (1, 8, 400, 10_000):
+        got = prefix_sums(df, "v", ["n"], descending, num_partitions=n).collect()
+        assert {r["v"]: r["n_cum"] for r in got} == want
 
 
 @pytest.mark.parametrize("mode", ["zero", "median", "ignore"])

@@ -277,6 +277,7 @@ def stacked_meta_model(oof: DataFrame, preds: Sequence[str], y: str, fold: str,
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor, LinearRegression
     from valuator.functions.columns import safe_log1p
+    from valuator.operators.train import fold_ids, in_parallel, union_all
     data = oof.withColumn("_ly", F.log1p(y)).withColumns({f"_lp_{p}": safe_log1p(p) for p in preds})
     inputs = [f"_lp_{p}" for p in preds] + list(passthrough)
 
@@ -286,14 +287,9 @@ def stacked_meta_model(oof: DataFrame, preds: Sequence[str], y: str, fold: str,
                else GBTRegressor(featuresCol="_fv", labelCol="_ly", predictionCol="_meta", maxIter=50, seed=seed))
         return Pipeline(stages=[VectorAssembler(inputCols=inputs, outputCol="_fv"), est])
 
-    folds = [r[0] for r in data.select(fold).distinct().collect()]
-    outs = []
-    for f in sorted(folds):
-        m = make().fit(data.filter(F.col(fold) != f))
-        outs.append(m.transform(data.filter(F.col(fold) == f)))
-    oof_meta = outs[0]
-    for o in outs[1:]:
-        oof_meta = oof_meta.unionByName(o)
+    folds = fold_ids(data, fold)
+    models = in_parallel(lambda f: make().fit(data.filter(F.col(fold) != f)), folds)
+    oof_meta = union_all([m.transform(data.filter(F.col(fold) == f)) for f, m in zip(folds, models)])
     full = make().fit(data)
     res = oof_meta.withColumn("meta_prediction", F.expm1("_meta")).drop("_fv", "_meta", "_ly",
                                                                         *[f"_lp_{p}" for p in preds])

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from valuator.functions.columns import clip
-from valuator.plans.strategy import attach_state, fit_quantiles, fit_row, group_quantiles
+from valuator.plans.strategy import attach_groups, fit_quantiles, fit_row, group_quantiles
 
 # The reference's nine absolute-error bands (inclusive integer
 # bounds; values above the last band, or inside the integer gaps, get id 9).
@@ -152,10 +152,10 @@ def price_range_class(df: DataFrame, group: str, col: str = "price", mode: str =
 
 # ------------------------------------------------------------------ B8–B11
 def segment_weights(df: DataFrame, segment: str, out: str = "weight") -> DataFrame:
-    """weight = sqrt(N / count(segment)); counts by partial aggregation."""
+    """weight = sqrt(N / count(segment)); rows without a segment are one. Counts by partial aggregation."""
     counts = df.groupBy(segment).agg(F.count(F.lit(1)).alias("_seg_n"))
     total = df.count()
-    joined = attach_state(df, counts, segment, "left")
+    joined = attach_groups(df, counts, [segment], "left")
     return joined.withColumn(out, F.sqrt(F.lit(float(total)) / F.col("_seg_n"))).drop("_seg_n")
 
 

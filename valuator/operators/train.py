@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from valuator.plans.strategy import attach_state, fit_row, ranked
+from valuator.plans.strategy import attach_groups, fit_row, ranked
 
 LCG_MULT = 48271
 LCG_MOD = 2147483647
@@ -76,7 +76,7 @@ def stratified_split(df: DataFrame, key: str, strata: str, test_fraction: float
     from valuator.sources.holdout import stratified_rank
     r, counts = stratified_rank(df, key, strata, seed)
     cut = F.expr(f"bround(_cls_n * {float(test_fraction)}, 0)")
-    return (attach_state(r, counts, strata, "inner")
+    return (attach_groups(r, counts, [strata], "inner")
             .withColumn(out, F.when(F.col("_rn") <= cut, "test").otherwise("train"))
             .drop("_rn", "_cls_n"))
 

@@ -293,7 +293,8 @@ cen AS (SELECT seg, {", ".join(f"avg({f}) AS {f}" for f in _FEATS)} FROM x GROUP
 near AS (SELECT seg, near FROM (SELECT a.seg, b.seg AS near, row_number() OVER (PARTITION BY a.seg ORDER BY {dist}, b.seg) AS r
                                 FROM cen a JOIN cen b ON a.seg <> b.seg) WHERE r = 1),
 map0 AS (SELECT seg, seg AS m0 FROM cen),
-thr AS (SELECT quantile_disc(rmse, 0.5) AS t FROM (SELECT sqrt(var_pop(err)) AS rmse FROM x GROUP BY seg)),
+thr AS (SELECT (s[(len(s) + 1) // 2] + s[least((len(s) + 1) // 2 + 1, len(s))]) / 2 AS t
+        FROM (SELECT list_sort(list(rmse)) AS s FROM (SELECT sqrt(var_pop(err)) AS rmse FROM x GROUP BY seg))),
 {score(0)},
 {step(0)},
 {score(1)},
@@ -304,7 +305,8 @@ SELECT x.seg, m2 AS merged_seg, count(*) AS n FROM x JOIN map2 ON x.seg = map2.s
 
 @register("merge_weak_segments", _merge_sql(), ("scored",))
 def q_merge_weak(spark, sf_dir):
-    """Segments scored by the spread of their error, that is after a correction of its mean fitted anew in each merged one."""
+    """Segments scored by the spread of their error, that is after a correction of its mean fitted anew in each merged one.
+    The threshold lies half way between the middle score and the next, so that the order of a sum decides nothing."""
     from valuator.operators.segment import quantile_bins
     s = quantile_bins(fx(spark, sf_dir).scored(), "price", 5, out="seg").withColumn("err", F.col("price") - F.col("pred_c"))
 
@@ -313,7 +315,9 @@ def q_merge_weak(spark, sf_dir):
 
     centers = {r["seg"]: [r[f] for f in _FEATS] for r in s.groupBy("seg").agg(*[F.avg(f).alias(f) for f in _FEATS]).collect()}
     scores = sorted(rmse_of(s, "seg").values())
-    out, _ = C.merge_weak_segments(s, "seg", centers, rmse_of, scores[(len(scores) - 1) // 2], out="merged_seg")
+    middle = (len(scores) - 1) // 2
+    threshold = (scores[middle] + scores[min(middle + 1, len(scores) - 1)]) / 2
+    out, _ = C.merge_weak_segments(s, "seg", centers, rmse_of, threshold, out="merged_seg")
     return out.groupBy("seg", "merged_seg").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -324,3 +328,10 @@ def q_cluster_errors(spark, sf_dir):
     return labelled.groupBy("error_cluster").agg(F.count(F.lit(1)).alias("n"), F.min("err").alias("min_err"),
                                                  F.max("err").alias("max_err")).withColumn("best_k", F.lit(best))
 
+
+
+@register("cap_segment_sample_null_segment", _CAP_SQL.replace("type_of_vehicle", "make").replace("FROM listing)", "FROM listing_nulls)"),
+          ("listing", "listing_nulls"))
+def q_cap_segment_nulls(spark, sf_dir):
+    """C13 where the segment may be missing: rows without one are a segment."""
+    return C.cap_segment_sample(fx(spark, sf_dir).listing_nulls().select("listing_id", "make"), "listing_id", "make", cap=1000)

@@ -325,6 +325,16 @@ def q_gini(spark, sf_dir):
     return round_all(N.gini_coefficient(fx(spark, sf_dir).values(), "value", "grp"))
 
 
+@register("gini_coefficient_null_group", """
+WITH r AS (SELECT make, price AS x, row_number() OVER (PARTITION BY make ORDER BY price, listing_id) - 1 AS i FROM listing_nulls),
+a AS (SELECT make, count(*) AS n, sum(x) AS sx, sum(i * x) AS six FROM r GROUP BY make)
+SELECT make, n, round(CASE WHEN sx = 0 THEN 0.0 ELSE least(greatest((n + 1 - 2 * (n * sx - six) / sx) / n, 0.0), 1.0) END, 6) AS gini FROM a
+""", ("listing", "listing_nulls"))
+def q_gini_nulls(spark, sf_dir):
+    """N19 where the group may be missing: rows without one are a group."""
+    return round_all(N.gini_coefficient(fx(spark, sf_dir).listing_nulls(), "price", "make"))
+
+
 _PEAKS_SQL = """
 WITH st AS (SELECT min(value) AS lo, max(value) AS hi, stddev_samp(value) AS sd, count(value) AS n FROM vals),
 h AS (

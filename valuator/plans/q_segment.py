@@ -126,6 +126,15 @@ def q_segment_weights(spark, sf_dir):
     return B.segment_weights(l, "type_of_vehicle").select("listing_id", rnd("weight").alias("weight"))
 
 
+@register("segment_weights_null_segment", """
+SELECT listing_id, round(sqrt(count(*) OVER () / CAST(count(*) OVER (PARTITION BY make) AS DOUBLE)), 6) AS weight FROM listing_nulls
+""", ("listing", "listing_nulls"))
+def q_segment_weights_nulls(spark, sf_dir):
+    """B8 where the segment may be missing."""
+    l = fx(spark, sf_dir).listing_nulls().select("listing_id", "make")
+    return B.segment_weights(l, "make").select("listing_id", rnd("weight").alias("weight"))
+
+
 _SEGB_SQL = """
 SELECT type_of_vehicle, round(quantile_cont(price, 0.01), 4) AS q01, round(quantile_cont(price, 0.33), 4) AS q33,
        round(quantile_cont(price, 0.67), 4) AS q67, round(quantile_cont(price, 0.99), 4) AS q99

@@ -136,6 +136,18 @@ def q_holdout(spark, sf_dir):
     return H.stratified_flag(l, "listing_id", "type_of_vehicle")
 
 
+_HOLDOUT_NULLS_SQL = "WITH " + _HOLDOUT.strip().replace("type_of_vehicle", "make").replace("FROM listing", "FROM listing_nulls") + """
+SELECT listing_id, make, is_test FROM t
+"""
+
+
+@register("stratified_holdout_null_class", _HOLDOUT_NULLS_SQL, ("listing", "listing_nulls"))
+def q_holdout_nulls(spark, sf_dir):
+    """S7 where the class may be missing: rows without one are a class."""
+    l = fx(spark, sf_dir).listing_nulls().select("listing_id", "make")
+    return H.stratified_flag(l, "listing_id", "make")
+
+
 _SHARE_SQL = "WITH " + _HOLDOUT.strip() + """,
 o AS (SELECT type_of_vehicle, count(*) / (SELECT count(*) FROM t) AS original_share FROM t GROUP BY type_of_vehicle),
 s AS (SELECT type_of_vehicle, count(*) / (SELECT count(*) FROM t WHERE is_test) AS test_share

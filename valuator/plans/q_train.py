@@ -57,6 +57,21 @@ def q_skfold(spark, sf_dir):
     return M.stratified_kfold_assign(l, "listing_id", "bin", 5).select("listing_id", "fold")
 
 
+_MAKE_SQL = """
+WITH r AS (SELECT listing_id, row_number() OVER (PARTITION BY make ORDER BY ((((listing_id % 2147483647 * 48271 + 42) % 2147483647) * 48271) % 2147483647),
+                                                 listing_id) AS rn, count(*) OVER (PARTITION BY make) AS n FROM listing_nulls)
+SELECT listing_id, CAST((rn - 1) % 5 AS INTEGER) AS fold, CASE WHEN rn <= round_even(n * 0.2, 0) THEN 'test' ELSE 'train' END AS split FROM r
+"""
+
+
+@register("stratified_splits_null_stratum", _MAKE_SQL, ("listing", "listing_nulls"))
+def q_splits_nulls(spark, sf_dir):
+    """M2 and stratified M3 where the stratum may be missing: rows without one are a stratum."""
+    l = fx(spark, sf_dir).listing_nulls().select("listing_id", "make")
+    folds = M.stratified_kfold_assign(l, "listing_id", "make", 5).select("listing_id", "fold")
+    return folds.join(M.stratified_split(l, "listing_id", "make").select("listing_id", "split"), "listing_id")
+
+
 _SPLIT_SQL = """
 SELECT listing_id,
   CASE WHEN ((((listing_id % 2147483647 * 48271 + 42) % 2147483647) * 48271) % 2147483647) < 429496729 THEN 'test' ELSE 'train' END AS split,

@@ -50,6 +50,15 @@ def attach_state(big: DataFrame, state: DataFrame, on: str | Sequence[str] | Col
     return big.join(F.broadcast(known) if is_small else known, on, how)
 
 
+def attach_groups(big: DataFrame, state: DataFrame, groups: Sequence[str], how: str = "left",
+                  max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``attach_state`` on group columns in which a null is a group like any other."""
+    groups = list(groups)
+    # fields of a struct compare null with null as equal, and the struct itself is never null
+    keyed = state.withColumn("_group", F.struct(*groups)).drop(*groups)
+    return attach_state(big.withColumn("_group", F.struct(*groups)), keyed, "_group", how, max_rows).drop("_group")
+
+
 def _partitions(df: DataFrame, n: int | None) -> int:
     if n:
         return int(n)
@@ -84,11 +93,22 @@ def ranked(df: DataFrame, part_cols: Sequence[str], order_cols: Sequence[Column
     stats = stats.withColumn("_off", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)),
                                                  F.lit(0)))
     stats = stats.select("_pid", *part_cols, "_first", "_off")
-    joined = attach_state(rp, stats, ["_pid", *part_cols], "inner")
+    joined = attach_groups(rp, stats, ["_pid", *part_cols], "inner") if part_cols else attach_state(rp, stats, "_pid", "inner")
     return (joined.withColumn(out, (F.col("_mid") - F.col("_first") + F.col("_off") + 1).cast("long"))
             .drop("_mid", "_pid", "_first", "_off"))
 
 
+def _cuts_below(v: Column, cuts: Sequence[float]) -> Column:
+    """How many of the ascending ``cuts`` are below the value: a binary search in one literal array, however many there are."""
+    if not cuts:
+        return F.lit(0)
+    # decimal text of a double is the double; infinite ends have names of their own
+    table = F.expr("array(" + ", ".join(f"double('{c}')" if math.isinf(c) or math.isnan(c) else f"{c!r}D" for c in cuts) + ")")
+    steps = [1 << i for i in range(len(cuts).bit_length() - 1, -1, -1)]
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0),
+                       lambda n, s: F.when(F.get(table, n + s - 1) < v, n + s).otherwise(n))
+
+
 def prefix_sums(df: DataFrame, order: str, sum_cols: Sequence[str], descending: bool = False, suffix: str = "_cum",
                 num_partitions: int | None = None) -> DataFrame:
     """Running sums over the global order of a numeric column.
@@ -100,10 +120,8 @@ def prefix_sums(df: DataFrame, order: str, sum_cols: Sequence[str], descending:
     n = _partitions(df, num_partitions)
     probs = [i / n for i in range(1, n)]
     cuts = sorted(set(df.agg(F.percentile_approx(F.col(order).cast("double"), probs, 10_000)).first()[0] or [])) if probs else []
-    above = F.lit(0)
-    for c in cuts:
-        above = above + (F.col(order) > F.lit(c)).cast("int")
-    bucket = F.coalesce(F.lit(len(cuts)) - above if descending else above, F.lit(len(cuts) + 1))
+    above = _cuts_below(F.col(order).cast("double"), cuts)
+    bucket = F.when(F.col(order).isNull(), F.lit(len(cuts) + 1)).otherwise(F.lit(len(cuts)) - above if descending else above)
     b = df.withColumn("_b", bucket)
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     tot = b.groupBy("_b").agg(*[F.sum(c).alias(c) for c in sum_cols])
