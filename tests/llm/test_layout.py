@@ -306,3 +306,12 @@ def test_run_is_the_chain_of_stages(spark):
         docs = stage(spark, docs, SF)
     key = lambda rows: sorted((r["doc_id"], r["piece"], r["length"], r["ids_crc32"]) for r in rows)
     assert key(corpus_pipeline.run(spark, SF).collect()) == key(docs.collect())
+
+
+def test_rows_that_share_an_id_lose_their_own_lines_only(spark):
+    from valuator.llm import line_dedup
+    a, b = "the first of the two lines is here", "quite another line that nobody repeats"
+    rows = [(0, a, "x"), (1, a, "y"), (1, b, "z"), (2, None, "n"), (2, "", "e"), (2, f"{b}\n\n{a}\nwholly new words at the end", "w"), (None, a, "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = {r.source: r.text for r in line_dedup.without_repeated_lines(docs).collect()}
+    assert got == {"x": a, "z": b, "n": None, "e": "", "w": "\nwholly new words at the end", "k": a}
