@@ -17,7 +17,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from valuator.plans.strategy import fit_quantiles, fit_row, group_quantiles, ranked
+from valuator.plans.strategy import fit_quantiles, fit_row, group_quantiles, prefix_sums, ranked
+from valuator.session import cut_lineage
 
 #: Centres that travel as literals, unless the caller asks for more.
 MAX_K = 64
@@ -141,6 +142,45 @@ def _assemble(df: DataFrame, features: Sequence[str], out: str = "features") ->
     return VectorAssembler(inputCols=names, outputCol=out, handleInvalid="error").transform(filled).drop(*names)
 
 
+def silhouette_1d(df: DataFrame, value: str, label: str, max_k: int = MAX_K) -> DataFrame:
+    """Exact plain (Euclidean) silhouette of one numeric column: per cluster its rows and their mean silhouette.
+
+    A row's distance to all rows of a cluster is its value times the rows below
+    it, less their sum, plus the same from above: running counts and sums of
+    every cluster over the distinct values in order give it, so no pair of rows is made.
+    A row that is alone in its cluster scores 0; with one cluster there is no score (null). Rows without value or label do not count."""
+    rows = df.select(F.col(value).cast("double").alias("_x"), F.col(label).alias("_c")).filter("_x IS NOT NULL AND NOT isnan(_x) AND _c IS NOT NULL")
+    sizes = [(r["_c"], r["n"], r["s"]) for r in rows.groupBy("_c").agg(F.count(F.lit(1)).alias("n"), F.sum("_x").alias("s")).limit(max_k + 1).collect()]
+    if len(sizes) > max_k:
+        raise ValueError(f"more than {max_k} clusters")
+    if not sizes:
+        return rows.groupBy(F.col("_c").alias(label)).agg(F.count(F.lit(1)).alias("n"), F.avg(F.lit(None).cast("double")).alias("silhouette"))
+    sizes.sort(key=lambda r: str(r[0]))
+    of = [F.col("_c") == F.lit(c) for c, _, _ in sizes]
+    counts = [F.count(F.when(is_c, 1)).alias(f"_n{i}") for i, is_c in enumerate(of)]
+    # one row a value: equal values, however many, are one row with a count per cluster
+    by_value = rows.groupBy("_x").agg(*counts)
+    by_value = cut_lineage(by_value.withColumns({f"_s{i}": F.col(f"_n{i}") * F.col("_x") for i in range(len(sizes))}))
+    cols = [f"_{kind}{i}" for i in range(len(sizes)) for kind in "ns"]
+    cum = prefix_sums(by_value, "_x", cols)
+    far = []
+    for i, (_, n, total) in enumerate(sizes):
+        below_n, below_s = F.col(f"_n{i}_cum"), F.col(f"_s{i}_cum")
+        far.append(F.col("_x") * below_n - below_s + (F.lit(total) - below_s) - F.col("_x") * (F.lit(n) - below_n))
+    longs = F.array(*[F.lit(n).cast("long") for _, n, _ in sizes])
+    each = cum.select(F.array(*far).alias("_far"), F.posexplode(F.array(*[F.col(f"_n{i}") for i in range(len(sizes))])).alias("_i", "n")).filter("n > 0")
+    size = F.get(longs, F.col("_i"))
+    within = F.greatest(F.get("_far", F.col("_i")), F.lit(0.0)) / (size - 1)
+    near = F.array_min(F.filter(F.transform("_far", lambda d, j: F.when(j != F.col("_i"), F.greatest(d, F.lit(0.0)) / F.get(longs, j))),
+                                lambda d: d.isNotNull()))
+    most = F.greatest(within, near)
+    score = F.when(near.isNull(), F.lit(None)).when(size == 1, 0.0).when(most > 0, (near - within) / most).otherwise(0.0)
+    found = each.select("_i", "n", score.alias("s")).groupBy("_i").agg(
+        F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("s")) / F.sum(F.when(F.col("s").isNotNull(), F.col("n")))).alias("silhouette"))
+    names = F.array(*[F.lit(c) for c, _, _ in sizes])
+    return found.select(F.get(names, F.col("_i")).alias(label), "n", "silhouette")
+
+
 def choose_k_silhouette(df: DataFrame, features: Sequence[str], k_range: Sequence[int] = range(2, 6),
                         seed: int = 42) -> tuple[int, DataFrame]:
     """K-means for each k, mean silhouette (squared Euclidean, linear time),
@@ -150,11 +190,13 @@ def choose_k_silhouette(df: DataFrame, features: Sequence[str], k_range: Sequenc
     data = _assemble(df, features).select("features").persist()
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
     res = []
-    for k in k_range:
-        m = KMeans(k=k, seed=seed, featuresCol="features").fit(data)
-        s = ev.evaluate(m.transform(data))
-        res.append((int(k), float(s), float(m.summary.trainingCost)))
-    data.unpersist()
+    try:
+        for k in k_range:
+            m = KMeans(k=k, seed=seed, featuresCol="features").fit(data)
+            s = ev.evaluate(m.transform(data))
+            res.append((int(k), float(s), float(m.summary.trainingCost)))
+    finally:
+        data.unpersist()
     best = max(res, key=lambda r: (r[1], -r[0]))[0]
     table = df.sparkSession.createDataFrame(res, "k int, silhouette double, cost double")
     return best, table
@@ -166,11 +208,13 @@ def kmeans_segments(df: DataFrame, features: Sequence[str], k: int, restarts: in
     from pyspark.ml.clustering import KMeans
     data = _assemble(df, features).persist()
     best = None
-    for r in range(restarts):
-        m = KMeans(k=k, seed=seed + r, featuresCol="features", predictionCol=out).fit(data)
-        if best is None or m.summary.trainingCost < best.summary.trainingCost:
-            best = m
-    data.unpersist()
+    try:
+        for r in range(restarts):
+            m = KMeans(k=k, seed=seed + r, featuresCol="features", predictionCol=out).fit(data)
+            if best is None or m.summary.trainingCost < best.summary.trainingCost:
+                best = m
+    finally:
+        data.unpersist()
     return best, best.transform(_assemble(df, features)).drop("features")
 
 
@@ -206,8 +250,10 @@ def gmm_label(df: DataFrame, features: Sequence[str], n: int, seed: int = 42, ou
     """The mixture of n components fitted on all rows, and each row's most likely one."""
     from pyspark.ml.clustering import GaussianMixture
     data = _assemble(df, features).persist()
-    m = GaussianMixture(k=n, seed=seed, featuresCol="features", predictionCol=out, probabilityCol="_prob").fit(data)
-    data.unpersist()
+    try:
+        m = GaussianMixture(k=n, seed=seed, featuresCol="features", predictionCol=out, probabilityCol="_prob").fit(data)
+    finally:
+        data.unpersist()
     return m.transform(_assemble(df, features)).drop("features", "_prob")
 
 
@@ -225,12 +271,19 @@ def gmm_segments_combined(table: DataFrame) -> DataFrame:
 
 def cluster_errors(df: DataFrame, err: str, k_range: Sequence[int] = range(2, 11), seed: int = 42,
                    out: str = "error_cluster") -> tuple[int, DataFrame]:
-    """C11: standardise the error, choose k by silhouette, label rows."""
+    """C11: standardise the error, choose k by the exact plain silhouette in one dimension (first best), label rows."""
     st = fit_row(df, F.avg(err).alias("m"), F.stddev_pop(err).alias("s"))
     z = df.withColumn("_z", (F.col(err) - F.lit(st["m"])) / F.lit(st["s"] or 1.0))
-    best, _ = choose_k_silhouette(z, ["_z"], k_range, seed)
-    _, labelled = kmeans_segments(z, ["_z"], best, restarts=1, seed=seed, out=out)
-    return best, labelled.drop("_z")
+    from valuator.operators.train import in_parallel
+
+    def run(k: int) -> tuple:
+        _, labelled = kmeans_segments(z, ["_z"], k, restarts=1, seed=seed, out=out)
+        r = fit_row(silhouette_1d(labelled, "_z", out), (F.sum(F.col("n") * F.col("silhouette")) / F.sum("n")).alias("s"))
+        return r["s"] if r["s"] is not None else -1.0, -k, labelled
+
+    scored = in_parallel(run, list(k_range))
+    _, k, labelled = max(scored, key=lambda x: x[:2])
+    return -k, labelled.drop("_z")
 
 
 # ------------------------------------------------------------------ C6

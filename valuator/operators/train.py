@@ -85,7 +85,7 @@ def stratified_split(df: DataFrame, key: str, strata: str, test_fraction: float
 #: Folds, and segments with a model of their own: one fit each, so their number is bounded.
 MAX_FOLDS, MAX_SEGMENTS = 100, 1_000
 #: Fits that are submitted at a time.
-PARALLEL_FITS = 4
+PARALLEL_FITS = 5
 
 
 def fold_ids(df: DataFrame, fold: str) -> list:
@@ -116,6 +116,8 @@ class FoldRun:
     oof: DataFrame
     models: dict = field(default_factory=dict)
     importances: list = field(default_factory=list)
+    #: per fold the held-out score of every prefix of the trees (with ``patience``)
+    rounds: dict = field(default_factory=dict)
 
 
 def _learner(kind: str, label: str, seed: int, params: dict | None = None, weight: str | None = None):
@@ -130,21 +132,54 @@ def _learner(kind: str, label: str, seed: int, params: dict | None = None, weigh
         return RandomForestRegressor(seed=seed, **{"numTrees": 200, "maxDepth": 30, **p}, **common)
     if kind == "linear":
         return LinearRegression(**{"regParam": 0.0, "elasticNetParam": 0.0, **p}, **common)
+    if kind == "huber":
+        from valuator.operators.huber import HuberBoostedTrees
+        if weight:
+            raise ValueError("Huber boosting takes no weights")
+        return HuberBoostedTrees(seed=seed, **{"maxIter": 20, "maxDepth": 5, **p}, **common)
     raise ValueError(f"unknown learner {kind}")
 
 
+@dataclass(frozen=True)
+class Categories:
+    """Categorical columns of a model: ``coded`` by the mean of the label (E9), ``flagged`` by value (E4-E7) and ``listed``, comma lists
+    flagged by token (E5). With ``fold`` a row's own fold is left out of its mean codes."""
+    coded: tuple[str, ...] = ()
+    flagged: tuple[str, ...] = ()
+    listed: tuple[str, ...] = ()
+    fold: str = ""
+    smoothing: float = 1.0
+
+    def stages(self, label: str) -> tuple[list, list[str]]:
+        """Encoder stages, and the columns that they give."""
+        from valuator.operators.stages import FlagEncoder, MeanEncoder
+        out, cols = [], [f"_te_{c}" for c in self.coded]
+        if self.coded:
+            out.append(MeanEncoder(inputCols=list(self.coded), outputCols=cols[:], labelCol=label, foldCol=self.fold, smoothing=self.smoothing))
+        if self.flagged or self.listed:
+            out.append(FlagEncoder(inputCols=[*self.flagged, *self.listed], listCols=list(self.listed), outputCol="_flags"))
+            cols.append("_flags")
+        return out, cols
+
+
 def regression_pipeline(features: Sequence[str], label: str, kind: str = "gbt", seed: int = 42,
-                        params: dict | None = None, weight: str | None = None):
-    """Median imputer (fitted inside each fit, i.e. per fold) + assembler + learner."""
+                        params: dict | None = None, weight: str | None = None, categories: Categories | None = None):
+    """Median imputer and encoders (fitted inside each fit, i.e. per fold) + assembler + learner."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import Imputer, VectorAssembler
     imp = [f"_imp_{f}" for f in features]
+    encoders, coded = (categories or Categories()).stages(label)
     return Pipeline(stages=[
-        Imputer(inputCols=list(features), outputCols=imp, strategy="median"),
-        VectorAssembler(inputCols=imp, outputCol="_fv", handleInvalid="keep"),
+        Imputer(inputCols=list(features), outputCols=imp, strategy="median"), *encoders,
+        VectorAssembler(inputCols=[*imp, *coded], outputCol="_fv", handleInvalid="keep"),
         _learner(kind, label, seed, params, weight)])
 
 
+def feature_names(model, features: Sequence[str]) -> list[str]:
+    """Names of the entries of a fitted pipeline's feature vector."""
+    return [*features, *[n for stage in model.stages if hasattr(stage, "names") for n in stage.names()]]
+
+
 def _prepare(df: DataFrame, features: Sequence[str], target: str, log_target: bool) -> DataFrame:
     out = df.withColumns({f: F.col(f).cast("double") for f in features})
     y = F.log1p(F.col(target)) if log_target else F.col(target).cast("double")
@@ -153,48 +188,120 @@ def _prepare(df: DataFrame, features: Sequence[str], target: str, log_target: bo
 
 def oof_run(df: DataFrame, key: str, features: Sequence[str], target: str, fold: str, kind: str = "gbt",
             log_target: bool = True, seed: int = 42, params: dict | None = None, weight: str | None = None,
-            early_stop_tol: float | None = None, parallelism: int = PARALLEL_FITS) -> FoldRun:
+            early_stop_tol: float | None = None, parallelism: int = PARALLEL_FITS, categories: Categories | None = None,
+            patience: int | None = None) -> FoldRun:
     """M4/M5/M6: per fold fit on the other folds, predict the held-out fold,
     undo the log transform, union the OOF rows keyed by id. Folds are fitted
     side by side.
 
     ``early_stop_tol`` (GBT only): boosting stops when the error on the
-    held-out fold improves by less than the tolerance (M6); the imputer is
-    fitted on the training folds alone."""
+    held-out fold improves by less than the tolerance; ``patience`` (GBT only,
+    M6): all rounds are fitted, and the model is cut to the best one on the
+    held-out fold, as found by ``best_round``. Imputer and encoders are fitted on the training
+    folds alone."""
     data = _prepare(df, features, target, log_target).persist()
-    folds = fold_ids(data, fold)
-
-    def fit(f):
-        train_part = data.filter(F.col(fold) != f)
-        if early_stop_tol is None or kind != "gbt":
-            return regression_pipeline(features, "_y", kind, seed, params, weight).fit(train_part)
-        from pyspark.ml import PipelineModel
-        p = {**(params or {}), "validationIndicatorCol": "_is_val", "validationTol": early_stop_tol}
-        *before, learner = regression_pipeline(features, "_y", kind, seed, p, weight).getStages()
-        fitted, shown = [], data.withColumn("_is_val", F.col(fold) == f)
-        for stage in before:
-            m = stage.fit(train_part) if hasattr(stage, "fit") else stage
-            fitted.append(m)
-            train_part, shown = m.transform(train_part), m.transform(shown)
-        return PipelineModel([*fitted, learner.fit(shown)])
-
     run = FoldRun(oof=None)
+    try:
+        folds = fold_ids(data, fold)
+
+        def fit(f):
+            train_part = data.filter(F.col(fold) != f)
+            if early_stop_tol is None or kind != "gbt":
+                m = regression_pipeline(features, "_y", kind, seed, params, weight, categories).fit(train_part)
+                if patience is None or kind != "gbt":
+                    return m, None
+                scores = prefix_scores(m, data.filter(F.col(fold) == f), "_y")
+                best = best_round(scores, patience)
+                return cut_boosting(m, best), scores
+            from pyspark.ml import PipelineModel
+            p = {**(params or {}), "validationIndicatorCol": "_is_val", "validationTol": early_stop_tol}
+            *before, learner = regression_pipeline(features, "_y", kind, seed, p, weight, categories).getStages()
+            fitted, shown = [], data.withColumn("_is_val", F.col(fold) == f)
+            for stage in before:
+                m = stage.fit(train_part) if hasattr(stage, "fit") else stage
+                fitted.append(m)
+                train_part, shown = m.transform(train_part), m.transform(shown)
+            return PipelineModel([*fitted, learner.fit(shown)]), None
+
+        fitted = in_parallel(fit, folds, parallelism)
+    finally:
+        data.unpersist()
     outs = []
-    for f, m in zip(folds, in_parallel(fit, folds, parallelism)):
+    for f, (m, scores) in zip(folds, fitted):
         run.models[f] = m
+        if scores is not None:
+            run.rounds[f] = scores
         learner = m.stages[-1]
         if hasattr(learner, "featureImportances"):
             imp = learner.featureImportances.toArray()
-            run.importances.extend((int(f), feat, float(v)) for feat, v in zip(features, imp))
+            run.importances.extend((int(f), feat, float(v)) for feat, v in zip(feature_names(m, features), imp))
         pred = m.transform(_prepare(df, features, target, log_target).filter(F.col(fold) == f))
         back = F.expm1("_pred") if log_target else F.col("_pred")
         outs.append(pred.select(key, F.col(fold).alias("fold"), F.col(target).alias("actual"),
                                 back.alias("prediction")))
-    data.unpersist()
     run.oof = union_all(outs)
     return run
 
 
+# ------------------------------------------------------------------ M6
+def prefix_scores(model, rows: DataFrame, label: str) -> list[float]:
+    """RMSE on ``rows`` of the first 1, 2, ... trees of a boosted pipeline: one scan and one aggregate for all of them.
+
+    Each row's tree outputs are one array; their running sums are taken per
+    Arrow batch, and a batch gives one row of sums of squares."""
+    boosted = model.stages[-1]
+    shown = rows
+    for stage in model.stages[:-1]:
+        shown = stage.transform(shown)
+    trees, weights = boosted.trees, boosted.treeWeights
+    shown = shown.select("_fv", F.col(label).cast("double").alias("_label")).filter("_label IS NOT NULL")
+    each = shown
+    for i, t in enumerate(trees):
+        each = t.setFeaturesCol("_fv").setPredictionCol(f"_t{i}").transform(each)
+    weight = np.array(weights)
+
+    def sums(batches):
+        import pyarrow as pa
+        for b in batches:
+            y = b.column(0).to_numpy(zero_copy_only=False)
+            out = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, len(weight))
+            sq = ((np.cumsum(out * weight, axis=1) - y[:, None]) ** 2).sum(0) if b.num_rows else np.zeros(len(weight))
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64()), pa.array([sq.tolist()], pa.list_(pa.float64()))], ["n", "sq"])
+
+    per_batch = each.select("_label", F.array(*[F.col(f"_t{i}") for i in range(len(trees))]).alias("out")).mapInArrow(sums, "n long, sq array<double>")
+    total = fit_row(per_batch, F.sum("n").alias("n"), *[F.sum(F.get("sq", F.lit(i))).alias(f"s{i}") for i in range(len(trees))])
+    return [float(np.sqrt(total[f"s{i}"] / total["n"])) for i in range(len(trees))] if total["n"] else [0.0] * len(trees)
+
+
+def best_round(scores: Sequence[float], patience: int) -> int:
+    """Number of rounds (from 1) of the lowest score seen before ``patience`` rounds in a row brought none lower."""
+    best = 0
+    for i, s in enumerate(scores):
+        if s < scores[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def cut_boosting(model, rounds: int):
+    """A boosted pipeline with its first ``rounds`` trees only; saved and loaded like the whole."""
+    from pyspark import SparkContext
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.regression import GBTRegressionModel
+    last = model.stages[-1]
+    sc = SparkContext._active_spark_context
+    j, jvm = last._java_obj, sc._jvm
+    trees = sc._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = sc._gateway.new_array(jvm.double, rounds)
+    for i, (t, w) in enumerate(zip(j.trees()[:rounds], list(j.treeWeights())[:rounds])):
+        trees[i], weights[i] = t, w
+    cut = jvm.org.apache.spark.ml.regression.GBTRegressionModel(j.uid(), trees, weights, j.numFeatures())
+    out = GBTRegressionModel(cut)
+    out._resetUid(last.uid)
+    return PipelineModel([*model.stages[:-1], out.setFeaturesCol("_fv").setPredictionCol("_pred")])
+
+
 def predict_folds(models: dict, df: DataFrame, key: str, features: Sequence[str], log_target: bool = True,
                   agg: str = "mean") -> DataFrame:
     """Score new rows with every fold model and average (W1) or take the median."""
@@ -264,47 +371,66 @@ def _segment_params(params_for: dict | None, name: str, kind: str) -> dict | Non
     return (p.get(name) or p.get(None) or {}).get(kind)
 
 
+def training_layout(df: DataFrame, path: str, segment: Column, fold: str | None = None) -> DataFrame:
+    """``df`` written once under ``path``, a folder per segment (and fold), and read back: a filter on ``_seg`` (and ``_fold``) reads those
+    folders only. Rows are spread over the folders by a hash besides, so that a large segment is written by many tasks."""
+    parts = ["_seg", "_fold"] if fold else ["_seg"]
+    rows = df.withColumn("_seg", segment)
+    if fold:
+        rows = rows.withColumn("_fold", F.col(fold))
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns[:1]]), F.lit(16))
+    rows.repartition(*parts, spread).write.mode("overwrite").partitionBy(*parts).option("compression", "zstd").parquet(path)
+    schema = rows.schema
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
 def per_segment_models(df: DataFrame, key: str, segment: str, fold: str, features: Sequence[str], target: str,
                        learners: Sequence[str] = SEGMENT_LEARNERS, params_for: dict | None = None, seed: int = 42,
-                       parallelism: int = PARALLEL_FITS, min_rows: int = 30) -> tuple[DataFrame, DataFrame, DataFrame]:
+                       parallelism: int = PARALLEL_FITS, min_rows: int = 30, path: str | None = None,
+                       categories: Categories | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """M9: per segment, out-of-fold predictions of every learner, averaged.
 
     Returns (predictions: key, segment, fold, actual, prediction; scores per
     segment; importances per segment and feature, averaged over folds and the
     learners that have them). Every input row is predicted: segments with
     fewer than ``min_rows`` rows, and rows without a segment, form one group,
-    which learns from all rows if it is smaller than that itself."""
+    which learns from all rows if it is smaller than that itself.
+
+    The prepared rows are written once, in a folder per segment and fold under
+    ``path`` (a scratch folder of the session by default): a fit reads its
+    segment's other folds, a prediction its own folder, so that the predictions
+    together read the table once, however many segments and folds there are."""
     from valuator.operators.evaluate import regression_metrics
+    from valuator.sources.io import scratch_path
     label, names, rest = segment_label(df, segment, min_rows)
-    data = _prepare(df, features, target, True).withColumn("_seg", label).persist()
+    prepared = _prepare(df, features, target, True)
+    data = training_layout(prepared, path or scratch_path(df.sparkSession, "segments"), label, fold)
     folds = fold_ids(data, fold)
     groups = names + ([REST] if rest else [])
-    jobs = [(g, f, kind) for g in groups for f in folds for kind in learners]
+    # cells without a row: a segment with all rows in one fold learns from all segments, and an empty cell needs no model
+    counts = {(r["_seg"], r["_fold"]): r["n"] for r in data.groupBy("_seg", "_fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    cells = [(g, f) for g in groups for f in folds if counts.get((g, f))]
+    jobs = [(g, f, kind) for g, f in cells for kind in learners]
 
     def fit(job):
         g, f, kind = job
-        rows = data.filter(F.col(fold) != f)
-        own = rows.filter(F.col("_seg") == g) if g != REST or rest >= min_rows else rows
-        # a fold that holds all of a segment leaves nothing to learn from
-        return regression_pipeline(features, "_y", kind, seed, _segment_params(params_for, g, kind)).fit(
-            own if own.limit(1).count() else rows)
+        rows = data.filter(F.col("_fold") != f)
+        others = sum(n for (s, x), n in counts.items() if s == g and x != f)
+        own = rows.filter(F.col("_seg") == g) if others and (g != REST or rest >= min_rows) else rows
+        return regression_pipeline(features, "_y", kind, seed, _segment_params(params_for, g, kind), categories=categories).fit(own)
 
     fitted = dict(zip(jobs, in_parallel(fit, jobs, parallelism)))
-    data.unpersist()
-    shown = _prepare(df, features, target, True).withColumn("_seg", label)
     parts, imps = [], []
-    for g in groups:
-        for f in folds:
-            rows = shown.filter((F.col("_seg") == g) & (F.col(fold) == f))
-            for kind in learners:
-                m = fitted[g, f, kind]
-                rows = m.transform(rows).withColumn(f"_p_{kind}", F.expm1("_pred")).drop(
-                    "_pred", "_fv", *[f"_imp_{x}" for x in features])
-                if hasattr(m.stages[-1], "featureImportances"):
-                    imps += [(g, x, float(v)) for x, v in zip(features, m.stages[-1].featureImportances.toArray())]
-            mean = sum((F.col(f"_p_{kind}") for kind in learners), F.lit(0.0)) / len(learners)
-            parts.append(rows.select(key, F.col("_seg").alias(segment), F.col(fold).alias("fold"),
-                                     F.col(target).alias("actual"), mean.alias("prediction")))
+    for g, f in cells:
+        rows = data.filter((F.col("_seg") == g) & (F.col("_fold") == f))
+        for kind in learners:
+            m = fitted[g, f, kind]
+            rows = _scored(m, rows, kind, features, categories)
+            if hasattr(m.stages[-1], "featureImportances"):
+                imps += [(g, x, float(v)) for x, v in zip(feature_names(m, features), m.stages[-1].featureImportances.toArray())]
+        mean = sum((F.col(f"_p_{kind}") for kind in learners), F.lit(0.0)) / len(learners)
+        parts.append(rows.select(key, F.col("_seg").alias(segment), F.col(fold).alias("fold"),
+                                 F.col(target).alias("actual"), mean.alias("prediction")))
     pred = union_all(parts)
     scores = regression_metrics(pred, [segment], "actual", "prediction")
     importances = (df.sparkSession.createDataFrame(imps, f"{segment} string, feature string, importance double")
@@ -312,14 +438,23 @@ def per_segment_models(df: DataFrame, key: str, segment: str, fold: str, feature
     return pred, scores, importances
 
 
+def _scored(model, rows: DataFrame, kind: str, features: Sequence[str], categories: Categories | None) -> DataFrame:
+    """``rows`` with the price that a pipeline on the log of the price predicts, ``_p_<kind>``, and none of its other columns."""
+    coded = (categories or Categories()).stages("_y")[1]
+    return model.transform(rows).withColumn(f"_p_{kind}", F.expm1("_pred")).drop("_pred", "_fv", *coded, *[f"_imp_{x}" for x in features])
+
+
 def retrain_on_segments(train: DataFrame, new: DataFrame, key: str, segment: str, features: Sequence[str], target: str,
                         learners: Sequence[str] = SEGMENT_LEARNERS, params_for: dict | None = None, seed: int = 42,
-                        parallelism: int = PARALLEL_FITS, min_rows: int = 30) -> DataFrame:
+                        parallelism: int = PARALLEL_FITS, min_rows: int = 30, path: str | None = None) -> DataFrame:
     """Every segment's learners refitted on all its rows, and the new rows
     predicted by the mean of their segment's learners. New rows of other
-    segments, or without one, are predicted by learners of all rows."""
+    segments, or without one, are predicted by learners of all rows. Training
+    and new rows are written in a folder per segment under ``path``, and read by segment."""
+    from valuator.sources.io import scratch_path
     label, names, _ = segment_label(train, segment, min_rows)
-    data = _prepare(train, features, target, True).withColumn("_seg", label).persist()
+    base = path or scratch_path(train.sparkSession, "segments")
+    data = training_layout(_prepare(train, features, target, True), f"{base}/train", label)
     jobs = [(g, kind) for g in [*names, REST] for kind in learners]
 
     def fit(job):
@@ -328,14 +463,12 @@ def retrain_on_segments(train: DataFrame, new: DataFrame, key: str, segment: str
         return regression_pipeline(features, "_y", kind, seed, _segment_params(params_for, g, kind)).fit(rows)
 
     fitted = dict(zip(jobs, in_parallel(fit, jobs, parallelism)))
-    data.unpersist()
-    shown = new.withColumns({f: F.col(f).cast("double") for f in features}).withColumn("_seg", label)
+    shown = training_layout(new.withColumns({f: F.col(f).cast("double") for f in features}), f"{base}/new", label)
     parts = []
     for g in [*names, REST]:
         rows = shown.filter(F.col("_seg") == g)
         for kind in learners:
-            rows = fitted[g, kind].transform(rows).withColumn(f"_p_{kind}", F.expm1("_pred")).drop(
-                "_pred", "_fv", *[f"_imp_{x}" for x in features])
+            rows = _scored(fitted[g, kind], rows, kind, features, None)
         mean = sum((F.col(f"_p_{kind}") for kind in learners), F.lit(0.0)) / len(learners)
         parts.append(rows.select(key, segment, F.col("_seg").alias("model"), mean.alias("prediction")))
     return union_all(parts)

@@ -335,3 +335,23 @@ def q_cluster_errors(spark, sf_dir):
 def q_cap_segment_nulls(spark, sf_dir):
     """C13 where the segment may be missing: rows without one are a segment."""
     return C.cap_segment_sample(fx(spark, sf_dir).listing_nulls().select("listing_id", "make"), "listing_id", "make", cap=1000)
+
+
+_SIL_SQL = f"""
+WITH q AS (SELECT {_SEG_EDGES} AS e FROM scored),
+x AS (SELECT listing_id AS id, price - pred_c AS v, CAST(len(list_filter(list_sort(list_distinct(e))[2:len(list_sort(list_distinct(e))) - 1],
+             lambda u: price > u)) AS INTEGER) AS seg FROM scored CROSS JOIN q),
+c AS (SELECT seg, count(*) AS n FROM x GROUP BY seg),
+d AS (SELECT a.id, a.seg AS own, b.seg AS other, sum(abs(a.v - b.v)) AS far FROM x a CROSS JOIN x b GROUP BY ALL),
+s AS (SELECT id, own, max(CASE WHEN other = own THEN far / (c.n - 1) END) AS a, min(CASE WHEN other <> own THEN far / c.n END) AS b
+      FROM d JOIN c ON c.seg = d.other GROUP BY id, own)
+SELECT own AS seg, count(*) AS n, round(avg((b - a) / greatest(a, b)), 6) AS silhouette FROM s GROUP BY own
+"""
+
+
+@register("silhouette_1d", _SIL_SQL, ("scored",))
+def q_silhouette_1d(spark, sf_dir):
+    """C11's score: plain silhouette of the price segments in the error, exact for all rows."""
+    from valuator.operators.segment import quantile_bins
+    s = quantile_bins(fx(spark, sf_dir).scored(), "price", 5, out="seg").withColumn("err", F.col("price") - F.col("pred_c"))
+    return round_all(C.silhouette_1d(s, "err", "seg"))

@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from valuator.operators import ensemble as W
 from valuator.operators import evaluate as ev
 from valuator.operators import train as M
-from valuator.plans.common import NUMERIC_FEATURES, fx
+from valuator.plans.common import NUMERIC_FEATURES, fx, rnd
 from valuator.plans.registry import register
 
 FEATURES = [*NUMERIC_FEATURES, "manufactured"]
+#: Categorical columns of the models; a row's own fold is left out of its mean codes.
+CATEGORIES = M.Categories(coded=("make", "model"), flagged=("type_of_vehicle", "transmission"), listed=("category",), fold="fold")
 #: Settings of the segment learners; the others are the library's own.
 _SEGMENT_PARAMS = {None: {"rf": {"numTrees": 20, "maxDepth": 8}}}
 
@@ -23,7 +25,7 @@ _SEGMENT_PARAMS = {None: {"rf": {"numTrees": 20, "maxDepth": 8}}}
 def _train(spark, sf_dir, k: int = 5, nulls: bool = True):
     """All rows, each with its fold."""
     f = fx(spark, sf_dir)
-    base = f.listing_nulls() if nulls else f.listing()
+    base = f.listing_features() if nulls else f.listing()
     return base.withColumn("fold", M.kfold_assign("listing_id", k))
 
 
@@ -95,23 +97,58 @@ def _oof_metrics(run: M.FoldRun):
     return per.unionByName(tot)
 
 
+_CODES_SQL = """
+WITH l AS (SELECT listing_id, coalesce(make, 'unknown') AS make, coalesce(model, 'unknown') AS model, ln(1 + price) AS y,
+                  ((listing_id % 2147483647 * 48271 + 42) % 2147483647) % 5 AS fold FROM listing_nulls),
+p AS (SELECT fold, count(*) AS n, sum(y) AS s FROM l GROUP BY fold),
+pairs AS (SELECT a.fold AS own, b.fold AS held, (SELECT sum(s) / sum(n) FROM p WHERE fold <> a.fold AND fold <> b.fold) AS prior
+          FROM p a CROSS JOIN p b),
+sums AS (SELECT 'make' AS col, make AS v, fold, count(*) AS n, sum(y) AS s FROM l GROUP BY make, fold
+         UNION ALL SELECT 'model', model, fold, count(*), sum(y) FROM l GROUP BY model, fold),
+codes AS (
+  SELECT col, own, held, t.v, any_value(prior) AS prior, coalesce(sum(n) FILTER (s.fold <> own AND s.fold <> held), 0) AS n,
+         coalesce(sum(s.s) FILTER (s.fold <> own AND s.fold <> held), 0) AS s
+  FROM (SELECT DISTINCT col, v FROM sums) t CROSS JOIN pairs JOIN sums s USING (col, v) GROUP BY col, own, held, t.v),
+coded AS (SELECT col, own, held, v, CASE WHEN n <= 1 THEN prior ELSE prior * (1 - 1 / (1 + exp(CAST(1 - n AS DOUBLE))))
+                                                             + s / n / (1 + exp(CAST(1 - n AS DOUBLE))) END AS code FROM codes)
+SELECT l.listing_id, round(a.code, 6) AS make_code, round(b.code, 6) AS model_code, round(c.code, 6) AS make_code_in_0
+FROM l JOIN coded a ON a.col = 'make' AND a.v = l.make AND a.own = l.fold AND a.held = l.fold
+JOIN coded b ON b.col = 'model' AND b.v = l.model AND b.own = l.fold AND b.held = l.fold
+JOIN coded c ON c.col = 'make' AND c.v = l.make AND c.own = l.fold AND c.held = 0
+"""
+
+
+@register("fold_mean_codes", _CODES_SQL, ("listing", "listing_nulls"))
+def q_fold_codes(spark, sf_dir):
+    """E9 inside the folds: codes of every row where its fold is held out, and in the model that holds out fold 0."""
+    from valuator.operators.stages import MeanEncoder
+    tr = M._prepare(_train(spark, sf_dir), [], "price", True)
+    enc = MeanEncoder(inputCols=["make", "model"], outputCols=["make_code", "model_code"], labelCol="_y", foldCol="fold")
+    models = {f: enc.fit(tr.filter(F.col("fold") != f)) for f in M.fold_ids(tr, "fold")}
+    held = M.union_all([m.transform(tr.filter(F.col("fold") == f)) for f, m in models.items()])
+    in0 = models[0].transform(tr).select("listing_id", rnd("make_code").alias("make_code_in_0"))
+    return held.select("listing_id", rnd("make_code").alias("make_code"), rnd("model_code").alias("model_code")).join(in0, "listing_id")
+
+
 @register("gbt_oof")
 def q_gbt_oof(spark, sf_dir):
-    run = M.oof_run(_train(spark, sf_dir), "listing_id", FEATURES, "price", "fold", "gbt")
+    run = M.oof_run(_train(spark, sf_dir), "listing_id", FEATURES, "price", "fold", "gbt", categories=CATEGORIES)
     return run.oof
 
 
 @register("gbt_oof_raw_target")
 def q_gbt_raw(spark, sf_dir):
-    run = M.oof_run(_train(spark, sf_dir), "listing_id", FEATURES, "price", "fold", "gbt", log_target=False,
-                    params={"lossType": "absolute"})
+    """Huber loss on the price itself, 10 rounds."""
+    run = M.oof_run(_train(spark, sf_dir), "listing_id", FEATURES, "price", "fold", "huber", log_target=False, categories=CATEGORIES,
+                    params={"maxIter": 10, "stepSize": 0.3})
     return _oof_metrics(run)
 
 
 @register("gbt_early_stop")
 def q_gbt_early(spark, sf_dir):
-    run = M.oof_run(_train(spark, sf_dir), "listing_id", FEATURES, "price", "fold", "gbt",
-                    params={"maxIter": 40, "maxDepth": 4}, early_stop_tol=0.01)
+    """100 rounds a fold, each model cut to the round that no other beat within 50 rounds."""
+    run = M.oof_run(_train(spark, sf_dir), "listing_id", FEATURES, "price", "fold", "gbt", params={"maxIter": 100}, patience=50,
+                    categories=CATEGORIES)
     trees = [(str(f), len(m.stages[-1].trees)) for f, m in run.models.items()]
     t = spark.createDataFrame(trees, "fold string, n_trees int")
     return _oof_metrics(run).join(t, "fold", "left")
@@ -141,13 +178,13 @@ def q_linear(spark, sf_dir):
 @register("per_segment_models")
 def q_per_segment(spark, sf_dir):
     pred, _scores, _importances = M.per_segment_models(
-        _train(spark, sf_dir, 3), "listing_id", "type_of_vehicle", "fold", FEATURES, "price", params_for=_SEGMENT_PARAMS)
+        _train(spark, sf_dir), "listing_id", "type_of_vehicle", "fold", FEATURES, "price", params_for=_SEGMENT_PARAMS)
     return pred
 
 
 @register("bagged_seeds")
 def q_bagged(spark, sf_dir):
-    return M.bagged_seeds(_train(spark, sf_dir, 3), "listing_id", FEATURES, "price", "fold", n_bags=3)
+    return M.bagged_seeds(_train(spark, sf_dir), "listing_id", FEATURES, "price", "fold", n_bags=3)
 
 
 @register("weighted_training")
@@ -224,7 +261,7 @@ def q_error_refit(spark, sf_dir):
 @register("save_model_bundle")
 def q_bundle(spark, sf_dir):
     from valuator.sources.io import scratch_path
-    run = M.oof_run(_train(spark, sf_dir), "listing_id", FEATURES, "price", "fold", "gbt")
+    run = M.oof_run(_train(spark, sf_dir), "listing_id", FEATURES, "price", "fold", "gbt", categories=CATEGORIES)
     base = scratch_path(spark, "bundles")
     M.save_model_bundle(run.models, base, "gbt", "log1p(price)", spark)
     return M.verify_bundle(spark, base, "gbt", [0, 1, 2, 3, 4, 5])

@@ -78,6 +78,14 @@ class Fixtures:
             nul("dereg_value", 41), nul("omv", 31), nul("arf", 37),
         )
 
+    def listing_features(self) -> DataFrame:
+        """listing_nulls with a comma list of categories."""
+        k = F.col("listing_id")
+        category = F.when(k % 7 == 0, F.lit("-")).otherwise(F.concat_ws(
+            ", ", F.when(k % 2 == 0, F.lit("parf car")), F.when(k % 3 == 0, F.lit("premium ad car")), F.when(k % 5 == 0, F.lit("direct owner sale")),
+            F.when(k % 11 == 0, F.lit("rare & exotic"))))
+        return self.listing_nulls().withColumn("category", category)
+
     @staticmethod
     def split_fold(key: Column) -> Column:
         return (((key % F.lit(LCG_MOD)) * F.lit(LCG_MULT) + F.lit(FOLD_SEED)) % F.lit(LCG_MOD)) % F.lit(5)
