@@ -175,3 +175,35 @@ def test_silhouette_equals_brute_force(spark):
     one = C.silhouette_1d(spark.createDataFrame([(1.0, 0), (2.0, 0)], "v double, c int"), "v", "c").collect()
     assert [tuple(r) for r in one] == [(0, 2, None)]
     assert C.silhouette_1d(spark.createDataFrame([], "v double, c int"), "v", "c").collect() == []
+
+
+def test_linear_paths_equal_plain_fits(spark):
+    """Ridge equals the normal equations of the rows themselves, lasso meets its optimality conditions, errors are those of the rows."""
+    from valuator.operators import linear_path as L
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 1, (400, 4)) * [1, 5, 0.1, 1] + [0, 100, 0, 3]
+    y = x @ [2.0, -1.0, 0.0, 0.0] + 50 + rng.normal(0, 1, 400)
+    df = spark.createDataFrame([(i, *map(float, r), float(t), i % 3) for i, (r, t) in enumerate(zip(x, y))], "id long, a double, b double, c double, d double, y double, fold int")
+    feats, fold = ["a", "b", "c", "d"], np.arange(400) % 3
+    got = {(r["model"], r["alpha"]): r for r in L.linear_paths(df, "id", feats, "y", "fold", (0.5, 20.0)).collect()}
+    for alpha in (0.5, 20.0):
+        sq = 0.0
+        for f in range(3):
+            tx, ty = x[fold != f], y[fold != f]
+            cx, cy = tx - tx.mean(0), ty - ty.mean()
+            w = np.linalg.solve(cx.T @ cx + alpha * np.eye(4), cx.T @ cy)
+            sq += ((y[fold == f] - ty.mean() - (x[fold == f] - tx.mean(0)) @ w) ** 2).sum()
+        assert got["ridge", alpha]["cv_rmse"] == pytest.approx(math.sqrt(sq / 400), rel=1e-9)
+    sums = L.training_sums(df, "id", feats, "y", "fold")
+    assert sum(s.n for s in sums.values()) == 400
+    everything = L._total(list(sums.values()))
+    gram, xy, _ = everything.centered()
+    cx, cy = x - x.mean(0), y - y.mean()
+    assert np.allclose(gram, cx.T @ cx) and np.allclose(xy, cx.T @ cy)
+    for l1 in (1.0, 0.5):
+        w = L.elastic_net_weights(gram, xy, 400, 0.3, l1)
+        slope = cx.T @ (cy - cx @ w) / 400 - 0.3 * (1 - l1) * w
+        for j in range(4):
+            assert abs(slope[j]) <= 0.3 * l1 + 1e-6 if w[j] == 0 else slope[j] == pytest.approx(0.3 * l1 * np.sign(w[j]), abs=1e-6)
+    curve = L.linear_learning_curve(df, "id", feats, "y", "fold").collect()
+    assert [r["train_fraction"] for r in curve] == [d / 10 for d in range(1, 11)] and curve[-1]["cv_rmse"] < 1.2

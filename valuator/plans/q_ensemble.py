@@ -311,6 +311,55 @@ def q_grid_weights(spark, sf_dir):
         lambda d: round_all(d.withColumn("rmse", rnd("rmse", 2))))
 
 
+_CLASS = "CASE WHEN price < 100000 THEN 'low' WHEN price < 200000 THEN 'medium' ELSE 'high' END"
+#: Least and greatest weight of each model, by price class.
+_CLASS_RANGES = {"low": ([0.0, 0.0, 0.0], [0.5, 0.5, 1.0]), "medium": ([0.2, 0.1, 0.0], [0.8, 0.6, 0.7])}
+
+
+def _class_grid_sql() -> str:
+    per = " UNION ALL ".join(
+        f"SELECT '{c}' AS class, w0, w1, w2, rmse, i, j FROM r WHERE class = '{c}'"
+        + "".join(f" AND w{m} >= {lo[m]} - 1e-9 AND w{m} <= {hi[m]} + 1e-9" for m in range(3))
+        for c, (lo, hi) in {**_CLASS_RANGES, "high": ([0.0] * 3, [1.0] * 3)}.items())
+    return f"""
+WITH e AS (SELECT {_CLASS} AS class, price AS y, pred_a AS a, pred_b AS b, pred_c AS c FROM scored),
+grid AS (SELECT i, j, i / 20.0 AS w0, j / 20.0 AS w1, (20 - i - j) / 20.0 AS w2 FROM range(21) a(i) CROSS JOIN range(21) b(j) WHERE i + j <= 20),
+r AS (SELECT class, i, j, w0, w1, w2, sqrt(avg((y - w0 * a - w1 * b - w2 * c) * (y - w0 * a - w1 * b - w2 * c))) AS rmse
+      FROM e CROSS JOIN grid GROUP BY ALL)
+SELECT class, round(w0, 6) AS w_pred_a, round(w1, 6) AS w_pred_b, round(w2, 6) AS w_pred_c, round(rmse, 2) AS rmse
+FROM ({per}) QUALIFY row_number() OVER (PARTITION BY class ORDER BY rmse, i, j) = 1
+"""
+
+
+@register("grid_weights_by_class", _class_grid_sql(), ("scored",))
+def q_grid_by_class(spark, sf_dir):
+    """W14 with a range of weights per price class."""
+    s = fx(spark, sf_dir).scored().withColumn("class", F.expr(_CLASS))
+    best = W.grid_weights_by_class(s, PRED_COLS, "price", "class", _CLASS_RANGES)
+    rows = [(c, *(round(float(x), 6) for x in w), round(float(r), 2)) for c, (w, r) in best.items()]
+    return spark.createDataFrame(rows, "class string, w_pred_a double, w_pred_b double, w_pred_c double, rmse double")
+
+
+def _meta(spark, sf_dir, **more):
+    from valuator.operators.train import kfold_assign
+    s = fx(spark, sf_dir).scored().withColumn("fold", kfold_assign("listing_id", 5))
+    passed = list(more.get("passthrough", ()))
+    _m, res = W.stacked_meta_model(s.select("listing_id", "price", "fold", *PRED_COLS, *passed), PRED_COLS, "price", "fold", **more)
+    return res.select("listing_id", "fold", "price", "meta_prediction")
+
+
+@register("stacked_meta_boosted")
+def q_meta_boosted(spark, sf_dir):
+    """W7 with a boosted second level, 50 rounds a fold."""
+    return _meta(spark, sf_dir, kind="boosted")
+
+
+@register("stacked_meta_passthrough")
+def q_meta_passthrough(spark, sf_dir):
+    """W7 with features passed through beside the predictions."""
+    return _meta(spark, sf_dir, passthrough=("power", "engine_cap", "curb_weight", "depreciation"))
+
+
 _MEDIAN_SQL = """
 SELECT listing_id, quantile_cont(p, 0.5) AS prediction FROM (
   SELECT listing_id, pred_a AS p FROM scored UNION ALL SELECT listing_id, pred_b FROM scored

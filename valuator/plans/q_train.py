@@ -174,6 +174,39 @@ def q_linear(spark, sf_dir):
     return M.linear_family(_train(spark, sf_dir), FEATURES, "price", "fold")
 
 
+@register("linear_paths")
+def q_linear_paths(spark, sf_dir):
+    """Ridge, lasso and elastic net at five penalties, all folds, from one aggregate."""
+    from valuator.operators.linear_path import linear_paths
+    return linear_paths(_train(spark, sf_dir), "listing_id", FEATURES, "price", "fold", (0.01, 1.0, 100.0, 1_000.0, 10_000.0))
+
+
+@register("linear_learning_curve")
+def q_linear_curve(spark, sf_dir):
+    from valuator.operators.linear_path import linear_learning_curve
+    return linear_learning_curve(_train(spark, sf_dir), "listing_id", FEATURES, "price", "fold")
+
+
+_ONE_SQL = """
+WITH l AS (SELECT ((listing_id % 2147483647 * 48271 + 42) % 2147483647) % 5 AS fold, dereg_value AS x, price AS y FROM listing),
+g AS (SELECT fold, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(x * y) AS sxy FROM l GROUP BY fold),
+t AS (SELECT f.fold AS held, sum(g.n) AS n, sum(g.sx) AS sx, sum(g.sy) AS sy, sum(g.sxx) AS sxx, sum(g.sxy) AS sxy
+      FROM g f JOIN g ON g.fold <> f.fold GROUP BY f.fold),
+w AS (SELECT held, alpha, (sxy - sx * sy / n) / (sxx - sx * sx / n + alpha) AS w, sx / n AS mx, sy / n AS my
+      FROM t CROSS JOIN (VALUES (1e-2), (1e12), (1e13)) a(alpha))
+SELECT alpha::DOUBLE AS alpha, round(sqrt(avg((y - my - (x - mx) * w) * (y - my - (x - mx) * w))), 3) AS cv_rmse
+FROM l JOIN w ON w.held = l.fold GROUP BY alpha
+"""
+
+
+@register("ridge_path_one_feature", _ONE_SQL, ("listing",))
+def q_ridge_one(spark, sf_dir):
+    """The ridge path of one feature, where SQL has the closed form."""
+    from valuator.operators.linear_path import linear_paths
+    out = linear_paths(_train(spark, sf_dir, nulls=False), "listing_id", ["dereg_value"], "price", "fold", (1e-2, 1e12, 1e13), ("ridge",))
+    return out.select("alpha", rnd("cv_rmse", 3).alias("cv_rmse"))
+
+
 # ------------------------------------------------------------------ M9–M18
 @register("per_segment_models")
 def q_per_segment(spark, sf_dir):
