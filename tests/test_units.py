@@ -477,3 +477,70 @@ def test_plans_scan_once(spark, name, scans, exchanges):
     plan = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
     executed = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == scans and executed.count("Exchange") <= exchanges + 1
+
+
+def test_normal_scores_of_box_cox(spark):
+    import statistics
+
+    import numpy as np
+
+    from valuator.operators import normality as R
+    rnd, nd = random.Random(8), statistics.NormalDist()
+    data = [(math.exp(rnd.gauss(1, 0.7)), None if i % 3 == 0 else float(int(rnd.expovariate(0.2))), 1.0) for i in range(400)]
+    data += [(float("nan"), -5.0, 1.0), (None, None, None)]
+    df = spark.createDataFrame(data, "a double, b double, c double")
+    got = {r["column"]: r for r in R.boxcox_normal_scores(df, ["a", "b", "c"], skew_threshold=0.0).collect()}
+    assert set(got) == {"a", "b"}  # one value only: nothing to transform
+
+    def corr(x, lam):
+        n = len(x)
+        p = [(i - 0.3175) / (n + 0.365) for i in range(1, n + 1)]
+        p[-1] = 0.5 ** (1 / n)
+        p[0] = 1 - p[-1]
+        y = np.log(x) if lam == 0 else (x ** lam - 1) / lam
+        return np.corrcoef([nd.inv_cdf(v) for v in p], y)[0, 1]
+
+    for i, c in enumerate("ab"):
+        x = np.sort([1 + r[i] for r in data if r[i] is not None and r[i] > -1])
+        lams = [round(got[c]["lambda"] + d * 0.0005, 6) for d in range(-400, 401)]
+        best = max(lams, key=lambda lam: corr(x, lam))
+        assert abs(best - got[c]["lambda"]) <= 1e-3 and abs(corr(x, got[c]["lambda"]) - got[c]["corr"]) < 1e-9
+    far = spark.createDataFrame([((1 + i / 50) ** 0.25 - 1,) for i in range(300)], "a double")
+    assert R.boxcox_normal_scores(far, ["a"], 0.0).first()["lambda"] > 2  # outside of the first range
+    assert R.boxcox_normal_scores(df.limit(0), ["a", "b"]).count() == 0
+
+
+def test_mutual_information_of_neighbours(spark):
+    import numpy as np
+
+    from valuator.operators import normality as R
+    rnd = random.Random(9)
+    data = []
+    for i in range(700):
+        x = rnd.gauss(0, 1)
+        # a continuous one, a heavy tail with ties, few values of which one is hot, one with holes
+        data.append((x, round(math.exp(rnd.gauss(0, 3)), 1), float(rnd.choice([0, 0, 0, 1, 2])), None if i % 4 == 0 else -x,
+                     x + rnd.gauss(0, 0.3)))
+    data += data[:30] + [(float("nan"), float("inf"), 1.0, None, 0.5), (1.0, 1.0, None, 1.0, None)]
+    df = spark.createDataFrame(data, "a double, b double, c double, d double, y double")
+
+    def brute(i, k):
+        ok = [[v if v is not None and math.isfinite(v) else math.nan for v in (r[i], r[4])] for r in data]
+        ys = np.array([v[1] for v in ok])
+        xs = np.array([v[0] for v in ok])
+        q = np.stack([np.floor((v - np.nanmean(v)) / np.nanstd(v) * (1 << 20) + 0.5) for v in (xs, ys)], 1)
+        q = q[~np.isnan(q).any(axis=1)].astype(np.int64)
+        n = len(q)
+        dx, dy = (abs(q[:, None, j] - q[None, :, j]) for j in (0, 1))
+        d = np.maximum(dx, dy)
+        np.fill_diagonal(d, 1 << 60)
+        reach = np.maximum(np.sort(d, axis=1)[:, k - 1] - 1, 0)[:, None]
+        psi = np.concatenate([[np.nan, 0], np.cumsum(1 / np.arange(1, n + 1))]) - 0.5772156649015329
+        return n, max(0.0, psi[n] + psi[k] - psi[(dx <= reach).sum(1)].mean() - psi[(dy <= reach).sum(1)].mean())
+
+    for k in (1, 3):
+        for r in R.neighbour_mutual_info(df, ["a", "b", "c", "d"], "y", k).collect():
+            n, info = brute("abcd".index(r["feature"]), k)
+            assert r["n"] == n and abs(r["mutual_info"] - info) < 1e-7, r
+    assert [r["mutual_info"] for r in R.neighbour_mutual_info(df.limit(3), ["a"], "y", 3).collect()] == [None]
+    assert [r["n"] for r in R.neighbour_mutual_info(df.limit(0), ["a", "b"], "y").collect()] == [0, 0]

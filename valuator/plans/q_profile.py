@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from valuator.operators import normality as R
 from valuator.operators import profile as N
 from valuator.plans.common import NUMERIC_FEATURES, fx, rnd, round_all
 from valuator.plans.registry import register
@@ -356,3 +357,75 @@ SELECT round(x, 6) AS x, round(density, 8) AS density FROM p WHERE density > pd
 def q_peaks(spark, sf_dir):
     p = N.distribution_peaks(fx(spark, sf_dir).values(), "value")
     return p.select(rnd("x", 6).alias("x"), rnd("density", 8).alias("density"))
+
+
+# ---------------------------------------------------------------------- normal scores, neighbours
+def _sql_ratio(z: str, fraction) -> str:
+    def poly(cs):
+        out = f"{cs[-1]!r}::DOUBLE"
+        for c in reversed(cs[:-1]):
+            out = f"({out} * {z} + {c!r}::DOUBLE)"
+        return out
+    return f"{poly(fraction[0])} / {poly(fraction[1])}"
+
+
+def _normal_scores_sql() -> str:
+    passes, before = [], "SELECT feature, 0.0::DOUBLE AS lam FROM score GROUP BY feature"
+    for i, step in enumerate((0.1, 0.005, 0.00025)):
+        passes.append(f"""
+t{i} AS (SELECT b.feature, round((round(b.lam / {step}::DOUBLE) + g.j) * {step}::DOUBLE, 6) AS lam FROM ({before}) b CROSS JOIN range(-20, 21) g(j)),
+r{i} AS (SELECT s.feature, t.lam, corr(s.m, CASE WHEN t.lam = 0 THEN ln(s.x1) ELSE (pow(s.x1, t.lam) - 1.0) / t.lam END) AS r
+         FROM score s JOIN t{i} t ON s.feature = t.feature GROUP BY s.feature, t.lam),
+b{i} AS (SELECT feature, lam, r FROM r{i} QUALIFY row_number() OVER (PARTITION BY feature ORDER BY r DESC, lam) = 1)""")
+        before = f"SELECT feature, lam FROM b{i}"
+    head = _BOXCOX_SQL.split("grid AS")[0]
+    return head + f"""pos AS (SELECT l.feature, 1.0 + l.x AS x1, row_number() OVER (PARTITION BY l.feature ORDER BY l.x) AS rn,
+               count(*) OVER (PARTITION BY l.feature) AS n
+        FROM lst l JOIN chosen c ON l.feature = c.feature WHERE l.x > -1),
+p AS (SELECT feature, x1, CASE WHEN rn = n THEN pow(0.5::DOUBLE, 1.0::DOUBLE / n) WHEN rn = 1 THEN 1.0 - pow(0.5::DOUBLE, 1.0::DOUBLE / n)
+                          ELSE (rn - 0.3175::DOUBLE) / (n + 0.365::DOUBLE) END AS p FROM pos),
+z AS (SELECT feature, x1, p - 0.5 AS q, 0.180625::DOUBLE - (p - 0.5) * (p - 0.5) AS c, sqrt(-ln(least(p, 1.0 - p))) AS r,
+             r - 1.6::DOUBLE AS r1, r - 5.0::DOUBLE AS r5 FROM p),
+score AS (SELECT feature, x1, CASE WHEN abs(q) <= 0.425 THEN q * ({_sql_ratio('c', R.CENTRE)})
+                              WHEN r <= 5 THEN sign(q) * ({_sql_ratio('r1', R.SHOULDER)}) ELSE sign(q) * ({_sql_ratio('r5', R.TAIL)}) END AS m FROM z),
+{",".join(passes)}
+SELECT b.feature, round(c.skewness, 6) AS skewness, b.lam AS lambda, round(b.r, 6) AS corr FROM b2 b JOIN chosen c ON b.feature = c.feature
+"""
+
+
+@register("boxcox_normal_scores", _normal_scores_sql(), ("listing_nulls",))
+def q_boxcox_normal_scores(spark, sf_dir):
+    l = fx(spark, sf_dir).listing_nulls().withColumns({
+        "price_sq": F.col("price") * F.col("price") / F.lit(100000.0),
+        "power_cube": F.col("power") * F.col("power") * F.col("power") / F.lit(10000.0)})
+    t = R.boxcox_normal_scores(l, _BC_COLS)
+    return t.select(F.col("column").alias("feature"), rnd("skewness").alias("skewness"), "lambda", rnd("corr").alias("corr"))
+
+
+def _sql_digamma(m: str) -> str:
+    z = f"({m} + 10.0::DOUBLE)"
+    return (f"(ln({z}) - 0.5 / {z} - 1.0 / (12.0 * {z} * {z}) + 1.0 / (120.0 * {z} * {z} * {z} * {z})"
+            + "".join(f" - 1.0::DOUBLE / ({m} + {i})" for i in range(10)) + ")")
+
+
+_NMI_FEATS = ["power", "depreciation", "coe"]
+_NMI_COLS = [*_NMI_FEATS, "price"]
+_NMI_SQL = f"""
+WITH st AS (SELECT {", ".join(f"round(avg({c}), 6) AS m_{c}, round(stddev_pop({c}), 6) AS s_{c}" for c in _NMI_COLS)} FROM listing_nulls),
+q AS (SELECT {", ".join(f"CAST(floor(({c} - m_{c}) / s_{c} * 1048576.0::DOUBLE + 0.5) AS BIGINT) AS {c}" for c in _NMI_COLS)}
+      FROM listing_nulls CROSS JOIN st),
+pts AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS x, price AS y FROM q WHERE {c} IS NOT NULL AND price IS NOT NULL" for c in _NMI_FEATS)}),
+own AS (SELECT feature, x, y FROM pts GROUP BY feature, x, y),
+near AS (SELECT a.feature, a.x, a.y, greatest(min(greatest(abs(a.x - b.x), abs(a.y - b.y)), 4)[4] - 1, 0) AS reach
+         FROM own a JOIN pts b ON a.feature = b.feature GROUP BY a.feature, a.x, a.y),
+each_row AS (SELECT p.feature, p.x, p.y, n.reach FROM pts p JOIN near n ON p.feature = n.feature AND p.x = n.x AND p.y = n.y),
+counted AS (SELECT feature, count(*) OVER (PARTITION BY feature ORDER BY x RANGE BETWEEN reach PRECEDING AND reach FOLLOWING) AS nx,
+                   count(*) OVER (PARTITION BY feature ORDER BY y RANGE BETWEEN reach PRECEDING AND reach FOLLOWING) AS ny FROM each_row),
+means AS (SELECT feature, count(*) AS n, avg({_sql_digamma("nx")}) + avg({_sql_digamma("ny")}) AS psi FROM counted GROUP BY feature)
+SELECT feature, n, round(greatest({_sql_digamma("n")} + {_sql_digamma("3")} - psi, 0.0), 6) AS mutual_info FROM means
+"""
+
+
+@register("neighbour_mutual_info", _NMI_SQL, ("listing_nulls",))
+def q_neighbour_mutual_info(spark, sf_dir):
+    return round_all(R.neighbour_mutual_info(fx(spark, sf_dir).listing_nulls(), _NMI_FEATS, "price", stats_digits=6))
