@@ -544,3 +544,88 @@ def test_mutual_information_of_neighbours(spark):
             assert r["n"] == n and abs(r["mutual_info"] - info) < 1e-7, r
     assert [r["mutual_info"] for r in R.neighbour_mutual_info(df.limit(3), ["a"], "y", 3).collect()] == [None]
     assert [r["n"] for r in R.neighbour_mutual_info(df.limit(0), ["a", "b"], "y").collect()] == [0, 0]
+
+
+def test_distance_squared_draws_have_their_law(spark):
+    pts = [(0, [0.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 2.0]), (3, [3.0, 0.0]), (4, [3.0, 0.0])]
+    df = spark.createDataFrame(pts, "k int, v array<double>").repartition(3).cache()
+    runs = [s for seed in range(8) for s in CL.distance_squared_seeds(df, "v", "k", 2, restarts=50, seed=seed)]
+    expected = {}
+    for _, a in pts:
+        w = [sum((x - y) ** 2 for x, y in zip(a, b)) for _, b in pts]
+        for (_, b), x in zip(pts, w):
+            pair = (tuple(a), tuple(b))
+            expected[pair] = expected.get(pair, 0.0) + 0.2 * x / sum(w)
+    got = {}
+    for a, b in runs:
+        got[tuple(a), tuple(b)] = got.get((tuple(a), tuple(b)), 0) + 1
+    assert set(got) <= {p for p, x in expected.items() if x > 0}
+    for pair, x in expected.items():  # within four standard deviations of 400 draws
+        assert abs(got.get(pair, 0) / 400 - x) <= 4 * math.sqrt(x * (1 - x) / 400) + 1e-12, pair
+    assert [len(s) for s in CL.distance_squared_seeds(df, "v", "k", 9, restarts=2)] == [4, 4]  # four different points
+    assert runs[:50] == CL.distance_squared_seeds(df.coalesce(1), "v", "k", 2, restarts=50, seed=0)
+    df.unpersist()
+
+
+def test_kmeans_restarts(spark):
+    rnd = random.Random(12)
+    data = [(i, 10.0 * (i % 3) + rnd.gauss(0, 0.3), None if i % 40 == 7 else rnd.gauss(0, 0.3)) for i in range(300)]
+    df = spark.createDataFrame(data, "k int, x double, y double")
+    rows, table = CL.kmeans_restarts(df, ["x", "y"], "k", 3, restarts=4)
+    got = {r["k"]: r["cluster"] for r in rows.collect()}
+    assert len(got) == 300 and len({(k % 3, c) for k, c in got.items()}) == 3
+    costs = [r["cost"] for r in table.collect()]
+    assert len(costs) == 4 and min(costs) < 100
+    none, empty = CL.kmeans_restarts(df.limit(0), ["x", "y"], "k", 3)
+    assert none.count() == empty.count() == 0
+
+
+def test_colocated_join_has_no_exchange(spark):
+    from valuator.operators import joins as J
+    big = spark.createDataFrame([(i, None if i % 3 == 0 else ("hot" if i % 3 == 1 else f"m{i % 7}"), i % 2) for i in range(200)], "k int, make string, model int")
+    ref = spark.createDataFrame([(m, j, float(j)) for m in ("hot", "m1", "m2", None) for j in (0, 1)], "make string, model int, price double")
+    names = J.colocate(big, ref, ["make", "model"], "k", 4, spread=3)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = J.colocated_join(spark, *names, ["make", "model"])
+        rows = out.collect()
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    want = {r["k"]: r["price"] for r in big.join(ref, ["make", "model"], "left").collect()}
+    assert len(rows) == 200 and {r["k"]: r["price"] for r in rows} == want
+    assert sum(p is not None for p in want.values()) > 60
+
+
+def test_guided_search_needs_fewer_fits_than_random_search(spark):
+    rnd = random.Random(5)
+    data = []
+    for i in range(90):
+        x = [rnd.gauss(0, 1) for _ in range(3)]
+        data.append((i, *x, math.expm1(2 + x[0] + 0.5 * x[1] + rnd.gauss(0, 0.3)), i % 3))
+    df = spark.createDataFrame(data, "k int, a double, b double, c double, price double, fold int")
+    space = {"regParam": ("log", 1e-4, 1e2), "elasticNetParam": [0.0, 1.0]}
+    got = M.guided_search(df, ["a", "b", "c"], "price", "fold", space, rounds=3, batch=4, kind="linear", seed=1).collect()
+    lists = {"regParam": [10 ** (-4 + 6 * i / 40) for i in range(41)], "elasticNetParam": [0.0, 1.0]}
+    other = M.random_search(df, ["a", "b", "c"], "price", "fold", lists, n=10, kind="linear", seed=1).collect()
+    fits = sum(r["fits"] for r in got)
+    assert fits < 3 * 10 and got[0]["finished"] and got[0]["cv_rmse"] <= other[0]["cv_rmse"] + 0.01
+    assert all(r["fits"] == 3 for r in got if r["finished"]) and any(not r["finished"] for r in got)
+    done = [r["cv_rmse"] for r in got if r["finished"]]
+    assert done == sorted(done)
+
+
+def test_ranges_of_the_guided_search():
+    rnd = random.Random(3)
+    for spec, ok in ((("log", 0.01, 10.0), lambda v: 0.01 <= v <= 10.0 + 1e-9), (("int", 2, 6), lambda v: v in (2, 3, 4, 5, 6)),
+                     (("float", -1.0, 1.0), lambda v: -1 <= v <= 1), (["a", "b"], lambda v: v in ("a", "b"))):
+        r = M._Range(spec)
+        seen = [r.draw(rnd) for _ in range(3)]
+        assert all(ok(r.propose(rnd, seen)) and r.density(r.draw(rnd), seen) > 0 for _ in range(200))
+    near = M._Range(("float", 0.0, 1.0))
+    assert near.density(0.5, [0.5, 0.52]) > near.density(0.95, [0.5, 0.52])
+    # the estimate is a density: it adds up to 1 but for what the kernels lose at the ends
+    assert 0.9 < sum(near.density(i / 1000, [0.5, 0.45]) for i in range(1000)) / 1000 <= 1.001
+    with pytest.raises(ValueError):
+        M._Range(("log", 0.0, 1.0))

@@ -218,6 +218,93 @@ def kmeans_segments(df: DataFrame, features: Sequence[str], k: int, restarts: in
     return best, best.transform(_assemble(df, features)).drop("features")
 
 
+def _uniform(key: str, *salt: Column) -> Column:
+    """A number of (0, 1) that the key and the salt decide."""
+    bits = F.shiftrightunsigned(F.xxhash64(F.col(key).cast("string"), *salt), 11)
+    return (bits.cast("double") + 0.5) / float(1 << 53)
+
+
+def _points(centers: Sequence[Sequence[float]]) -> Column:
+    return F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centers]).cast("array<array<double>>")
+
+
+def _sq_to(points: Column, vector: str) -> Column:
+    """Squared distances of the row's vector to the points of an array."""
+    return F.transform(points, lambda c: F.aggregate(F.zip_with(F.col(vector), c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
+
+
+def distance_squared_seeds(df: DataFrame, vector: str, key: str, k: int, restarts: int = 10, seed: int = 42) -> list[list[list[float]]]:
+    """C2 init: per restart up to k rows, the first uniformly drawn, each further one with weight squared distance to the nearest drawn one.
+
+    A weighted draw is a race: the row with the least -ln(u) / weight wins, u a
+    hash of key, restart and step. So a step is one aggregate for all restarts
+    with one row of each back, and does not depend on the partitioning. Rows at distance
+    0 are not drawn; a restart ends early when there are no others. Rows of
+    equal key share u: keys should be unique. ``df`` is read k times."""
+    drawn: list[list[list[float]]] = [[] for _ in range(restarts)]
+    for step in range(k):
+        todo = [r for r in range(restarts) if len(drawn[r]) == step]
+        if not todo:
+            break
+        each = df.select(F.col(vector), F.col(key), F.explode(F.array(*[
+            F.struct(F.lit(r).alias("r"), _points(drawn[r]).alias("p")) for r in todo])).alias("_n"))
+        weight = F.array_min(_sq_to(F.col("_n.p"), vector)) if step else F.lit(1.0)
+        time = F.when(weight > 0, -F.log(_uniform(key, F.lit(seed), F.col("_n.r"), F.lit(step))) / weight)
+        # rows without a time do not race; ties go to the lesser vector
+        won = each.select(F.col("_n.r").alias("r"), F.struct(time.alias("t"), F.col(vector).alias("v")).alias("s")).filter("s.t IS NOT NULL")
+        for row in won.groupBy("r").agg(F.min("s").alias("s")).collect():
+            drawn[row["r"]].append([float(x) for x in row["s"]["v"]])
+    return drawn
+
+
+def kmeans_restarts(df: DataFrame, features: Sequence[str], key: str, k: int, restarts: int = 10, seed: int = 42, max_iter: int = 300,
+                    tol: float = 1e-4, out: str = "cluster", max_k: int = MAX_K) -> tuple[DataFrame, DataFrame]:
+    """K-means from ``restarts`` draws of ``distance_squared_seeds``, all restarts in one aggregate an iteration.
+    Returns the rows with the cluster of the restart of least cost, and a table (restart, clusters, iterations, cost).
+
+    A restart ends when its squared centre shift is at most tol times the mean
+    variance. Nulls count as the column's median. An empty cluster keeps its
+    centre; with fewer than k different rows there are fewer clusters, and
+    without rows no restart and null clusters."""
+    from pyspark.ml.functions import vector_to_array
+    if not 1 <= k <= max_k:
+        raise ValueError(f"need 1..{max_k} clusters")
+    vectors = _assemble(df, features).withColumn("_vec", vector_to_array("features")).drop("features")
+    rows = cut_lineage(vectors.select(F.col(key), "_vec"))
+    centers = {r: c for r, c in enumerate(distance_squared_seeds(rows, "_vec", key, k, restarts, seed)) if c}
+    schema = "restart int, clusters int, iterations int, cost double"
+    if not centers:
+        return vectors.drop("_vec").withColumn(out, F.lit(None).cast("int")), df.sparkSession.createDataFrame([], schema)
+    dims = range(len(features))
+    v = fit_row(rows, *[F.var_pop(F.col("_vec")[i]).alias(f"v{i}") for i in dims])
+    tol_abs = tol * sum(float(v[f"v{i}"] or 0.0) for i in dims) / len(features)
+    iterations = {r: 0 for r in centers}
+    open_, cost = set(centers), {}
+    while open_:
+        tried = sorted(open_)
+        near = F.array(*[F.struct(F.lit(r).alias("r"), _sq_to(_points(centers[r]), "_vec").alias("d")) for r in tried])
+        each = rows.select("_vec", F.explode(near).alias("n")).select("_vec", F.col("n.r").alias("r"), "n.d", F.array_min("n.d").alias("_least"))
+        each = each.withColumn("c", F.array_position("d", F.col("_least")) - 1)
+        got = each.groupBy("r", "c").agg(F.sum("_least").alias("cost"), *[F.avg(F.col("_vec")[i]).alias(f"m{i}") for i in dims]).collect()
+        for r in tried:
+            own = [g for g in got if g["r"] == r]
+            cost[r] = sum(g["cost"] for g in own)
+            new = [list(c) for c in centers[r]]
+            for g in own:
+                new[g["c"]] = [float(g[f"m{i}"]) for i in dims]
+            shift = sum((a - b) ** 2 for x, y in zip(centers[r], new) for a, b in zip(x, y))
+            iterations[r] += 1
+            if shift <= tol_abs or iterations[r] >= max_iter:
+                open_.discard(r)  # the cost is that of the centres it was taken with
+            else:
+                centers[r] = new
+    best = min(centers, key=lambda r: (cost[r], r))
+    d = _sq_to(_points(centers[best]), "_vec")
+    labelled = vectors.withColumn(out, (F.array_position(d, F.array_min(d)) - 1).cast("int")).drop("_vec")
+    table = [(r, len(centers[r]), iterations[r], float(cost[r])) for r in sorted(centers)]
+    return labelled, df.sparkSession.createDataFrame(table, schema)
+
+
 def gmm_segments_bic(df: DataFrame, features: Sequence[str], n_range: Sequence[int] = range(2, 11),
                      seed: int = 42, min_silhouette: float = 0.2) -> tuple[int, DataFrame]:
     """GaussianMixture per n on the given (already log/standardised)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valuator.plans.strategy import attach_state
@@ -20,6 +20,28 @@ def merge_inner(a: DataFrame, b: DataFrame, on: str | Sequence[str]) -> DataFram
     return a.join(b, on, "inner")
 
 
+#: Column that spreads the rows of one key over several buckets.
+SPREAD = "_spread"
+
+
+def colocate(big: DataFrame, lookup: DataFrame, on: Sequence[str], row_key: str, buckets: int, spread: int = 1) -> tuple[str, str]:
+    """J1/J2 on large lookups that are joined again and again: both sides written once as co-bucketed tables; returns their names.
+
+    With ``spread`` over 1 the rows of a key go to as many buckets, by a hash of
+    ``row_key``, and the lookup has a copy for each, so that a key with a third
+    of the rows (null included) is not one task."""
+    from valuator.sources.io import write_bucketed
+    keys = [*on, SPREAD]
+    rows = big.withColumn(SPREAD, F.pmod(F.xxhash64(F.col(row_key).cast("string")), F.lit(spread)).cast("int"))
+    copies = lookup.withColumn(SPREAD, F.explode(F.array(*[F.lit(i) for i in range(spread)])))
+    return write_bucketed(rows, keys, buckets, "rows"), write_bucketed(copies, keys, buckets, "lookup")
+
+
+def colocated_join(spark: SparkSession, rows: str, lookup: str, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join of two tables of ``colocate``: no exchange on either side. Null keys match nothing, as in any join."""
+    return spark.table(rows).join(spark.table(lookup), [*on, SPREAD], how).drop(SPREAD)
+
+
 def prefer_first(first: DataFrame, second: DataFrame, keys: DataFrame, key: str, value: str) -> DataFrame:
     """Combine two partial results, first non-null wins, re-expressed on the full key set."""
     a = first.select(key, F.col(value).alias("_a"))

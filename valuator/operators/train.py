@@ -7,6 +7,7 @@ uses ``pyspark.ml`` estimators; each fold fit is a distributed job.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from valuator.plans.strategy import attach_groups, fit_row, ranked
+from valuator.session import cut_lineage
 
 LCG_MULT = 48271
 LCG_MOD = 2147483647
@@ -536,6 +538,109 @@ def random_search(df: DataFrame, features: Sequence[str], target: str, fold: str
     return df.sparkSession.createDataFrame(rows, "params string, cv_rmse double").orderBy("cv_rmse", "params")
 
 
+class _Range:
+    """One searched setting: ("log" | "float" | "int", low, high), or a list of choices.
+
+    ``propose`` draws near the settings that did well, ``density`` is the Parzen
+    estimate on the range taken to 0..1: a normal kernel at each setting and an
+    even share of the whole range, which keeps every value within reach."""
+
+    def __init__(self, spec):
+        self.choices = None if isinstance(spec, tuple) else list(spec)
+        if self.choices is None:
+            self.kind, self.low, self.high = spec
+            if self.kind not in ("log", "float", "int") or not self.low < self.high or (self.kind == "log" and self.low <= 0):
+                raise ValueError(f"bad range {spec}")
+
+    def _unit(self, v) -> float:
+        if self.kind == "log":
+            return math.log(v / self.low) / math.log(self.high / self.low)
+        return (v - self.low) / (self.high - self.low)
+
+    def _value(self, u: float):
+        u = min(max(u, 0.0), 1.0)
+        if self.kind == "log":
+            return self.low * (self.high / self.low) ** u
+        v = self.low + u * (self.high - self.low)
+        return int(round(v)) if self.kind == "int" else v
+
+    def draw(self, rnd):
+        return rnd.choice(self.choices) if self.choices else self._value(rnd.random())
+
+    @staticmethod
+    def _width(seen: Sequence) -> float:
+        return max(0.05, 0.5 / (1 + len(seen)) ** 0.5)
+
+    def propose(self, rnd, seen: Sequence):
+        if not seen or rnd.random() < 1.0 / (1 + len(seen)):
+            return self.draw(rnd)
+        near = rnd.choice(list(seen))
+        return near if self.choices else self._value(rnd.gauss(self._unit(near), self._width(seen)))
+
+    def density(self, v, seen: Sequence) -> float:
+        if self.choices:
+            return (seen.count(v) + 1.0) / (len(seen) + len(self.choices))
+        u, h = self._unit(v), self._width(seen)
+        kernels = sum(math.exp(-0.5 * ((u - self._unit(s)) / h) ** 2) / (h * math.sqrt(2 * math.pi)) for s in seen)
+        return (1.0 + kernels) / (1 + len(seen))
+
+
+def guided_search(df: DataFrame, features: Sequence[str], target: str, fold: str, space: dict, rounds: int = 4, batch: int = 4,
+                  kind: str = "gbt", seed: int = 42, keep: float = 0.5, good: float = 0.25, draws: int = 24,
+                  parallelism: int = PARALLEL_FITS) -> DataFrame:
+    """Settings from a Parzen sampler, scored by successive halving over the folds.
+
+    Each round tries ``batch`` settings: drawn at random in the first one, later
+    those of ``draws`` proposals for which the density near the best ``good``
+    share of earlier settings is largest against that near the others. All of a
+    round are scored on the first fold, the better ``keep`` share of them (at
+    least one) on the next, and so on, so only the last survivors take a fit on
+    every fold. Fits of a fold run side by side, as jobs of their own.
+
+    ``space``: name of a learner's parameter -> ("log" | "float" | "int", low,
+    high) or a list of choices. Returns (params, fits, cv_rmse of the folds it
+    was scored on, finished), finished settings first, best first. Settings of a
+    round that come out equal are tried once. Null targets do not count."""
+    import random
+
+    from pyspark.ml.evaluation import RegressionEvaluator
+    spark, rnd = df.sparkSession, random.Random(seed)
+    ranges = {name: _Range(spec) for name, spec in sorted(space.items())}
+    data = cut_lineage(_prepare(df, features, target, True).select(*features, fold, "_y").filter(F.col("_y").isNotNull()))
+    folds = sorted(fold_ids(data, fold))
+    metric = RegressionEvaluator(labelCol="_y", predictionCol="_pred", metricName="rmse")
+    scores: dict[tuple, list[float]] = {}
+
+    def score(task) -> float:
+        setting, f = task
+        model = regression_pipeline(features, "_y", kind, seed, dict(zip(ranges, setting))).fit(data.filter(F.col(fold) != f))
+        return float(metric.evaluate(model.transform(data.filter(F.col(fold) == f))))
+
+    def pick() -> tuple:
+        # all settings have a score on the first fold
+        order = sorted(scores, key=lambda s: (scores[s][0], str(s)))
+        split = max(1, math.ceil(good * len(order)))
+        best, rest = order[:split], order[split:]
+        offers = [tuple(r.propose(rnd, [s[i] for s in best]) for i, r in enumerate(ranges.values())) for _ in range(draws)]
+        offers = [o for o in offers if o not in scores] or offers
+
+        def gain(offer: tuple) -> float:
+            return sum(math.log(r.density(v, [s[i] for s in best]) / r.density(v, [s[i] for s in rest]))
+                       for i, (r, v) in enumerate(zip(ranges.values(), offer)))
+        return max(offers, key=gain)
+
+    for n in range(rounds):
+        drawn = [pick() if scores else tuple(r.draw(rnd) for r in ranges.values()) for _ in range(batch)]
+        running = [s for s in dict.fromkeys(drawn) if s not in scores]
+        for f in folds:
+            for s, v in zip(running, in_parallel(score, [(s, f) for s in running], parallelism)):
+                scores.setdefault(s, []).append(v)
+            running = sorted(running, key=lambda s: (sum(scores[s]) / len(scores[s]), str(s)))[:max(1, math.ceil(keep * len(running)))]
+    rows = [(str(dict(zip(ranges, s))), len(v), sum(v) / len(v), len(v) == len(folds)) for s, v in scores.items()]
+    return (spark.createDataFrame(rows, "params string, fits int, cv_rmse double, finished boolean")
+            .orderBy(F.col("finished").desc(), "cv_rmse", "params"))
+
+
 CLASS_GRIDS = {"forest": {"maxDepth": [5, 10]}, "logistic": {"regParam": [0.0, 0.1]}, "boosted": {}}
 
 

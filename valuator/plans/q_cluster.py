@@ -230,6 +230,25 @@ def q_kmeans_segments_keys(spark, sf_dir):
                         F.count_distinct("cluster").cast("int").alias("clusters"))
 
 
+@register("kmeans_restarts")
+def q_kmeans_restarts(spark, sf_dir):
+    """Cost of each of ten restarts from distance-squared draws."""
+    l = fx(spark, sf_dir).listing_nulls().select("listing_id", *_FEATS)
+    return C.kmeans_restarts(l, _FEATS, "listing_id", 3)[1]
+
+
+@register("kmeans_restarts_keys", """
+SELECT count(*) AS n, count(DISTINCT listing_id) AS keys, CAST(sum(listing_id) AS DOUBLE) AS key_sum, 3 AS clusters FROM listing_nulls
+""", ("listing_nulls",))
+def q_kmeans_restarts_keys(spark, sf_dir):
+    """Every row of a table with nulls is labelled, once, by the restart of least cost."""
+    l = fx(spark, sf_dir).listing_nulls().select("listing_id", *_FEATS)
+    labelled, _ = C.kmeans_restarts(l, _FEATS, "listing_id", 3)
+    return labelled.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("listing_id").alias("keys"),
+                        F.sum(F.col("listing_id").cast("double")).alias("key_sum"),
+                        F.count_distinct("cluster").cast("int").alias("clusters"))
+
+
 def _log_std(df, cols):
     """The rows with the columns as log1p, standardised; nulls stay."""
     from valuator.operators.profile import apply_standard, fit_standard

@@ -22,6 +22,22 @@ def q_lookup_join(spark, sf_dir):
     return out.select("listing_id", rnd("model_mean", 4).alias("model_mean"))
 
 
+_COLOCATED_SQL = """
+WITH ref AS (SELECT make, model, avg(price) AS ref_price, count(*) AS n FROM listing_train GROUP BY make, model)
+SELECT n.listing_id, round(ref.ref_price, 4) AS ref_price, CAST(ref.n AS DOUBLE) AS n FROM listing_new n
+LEFT JOIN ref ON n.make = ref.make AND n.model = ref.model
+"""
+
+
+@register("colocated_lookup", _COLOCATED_SQL, ("listing_train", "listing_new"))
+def q_colocated_lookup(spark, sf_dir):
+    f = fx(spark, sf_dir)
+    ref = f.listing_train().groupBy("make", "model").agg(F.avg("price").alias("ref_price"), F.count(F.lit(1)).alias("n"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = J.colocate(f.listing_new().select("listing_id", "make", "model"), ref, ["make", "model"], "listing_id", buckets, spread=4)
+    return J.colocated_join(spark, *names, ["make", "model"]).select("listing_id", rnd("ref_price", 4).alias("ref_price"), F.col("n").cast("double").alias("n"))
+
+
 _MERGE_SQL = """
 SELECT o.o_orderkey, o.o_totalprice, c.c_name, c.c_acctbal
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey

@@ -239,6 +239,12 @@ def q_random(spark, sf_dir):
                            {"maxDepth": [2, 3, 4, 5], "maxIter": [5, 10, 15], "stepSize": [0.05, 0.1, 0.2]}, n=4)
 
 
+@register("guided_search")
+def q_guided(spark, sf_dir):
+    return M.guided_search(_train(spark, sf_dir), FEATURES, "price", "fold",
+                           {"maxDepth": ("int", 2, 6), "maxIter": ("int", 5, 20), "stepSize": ("log", 0.03, 0.5)}, rounds=3, batch=3)
+
+
 @register("feature_importance")
 def q_importance(spark, sf_dir):
     tr = _train(spark, sf_dir)
