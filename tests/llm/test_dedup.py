@@ -71,6 +71,14 @@ def test_paragraph_units_and_clashing_columns(spark):
     assert [(r["doc_id"], r["start"], r["end"], r["first_id"]) for r in got] == [(2, 0, 6, 1)]
 
 
+def test_short_lines_stay(spark):
+    docs = frame(spark, [(i, f"And.\nOf the.\nthree words here\nown {i}\n\nAnd.") for i in range(4)] + [(9, None), (10, "And.")])
+    spans = substring_dedup.repeated_spans(docs, min_words=3, sentence_words=8)
+    assert sorted((r["doc_id"], r["unit"], r["first_id"]) for r in spans.collect()) == [(i, 2, 0) for i in (1, 2, 3)]
+    text = {r["doc_id"]: r["text"] for r in substring_dedup.without_spans(docs, spans).collect()}
+    assert text[0] == "And.\nOf the.\nthree words here\nown 0\n\nAnd." and text[2] == "And.\nOf the.\nown 2\n\nAnd." and text[10] == "And."
+
+
 def test_passages_inside_lines_are_found(spark):
     passage = ". ".join(" ".join(f"w{i}x{j}" for j in range(9)) for i in range(6)) + "."
     docs = frame(spark, [(i, f"own{i} words, {passage} then on {i} ends.\nshort same. line {i}\n{'whole line here. ' * (i > 5)}") for i in range(8)])

@@ -39,6 +39,10 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+#: Words of a line from which on a repeated one is a copy; the SQL has the same number.
+LINE_WORDS = 3
+
+
 @query("op1_substring_dedup", """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no
@@ -63,7 +67,7 @@ sentences AS (
 ranked AS (
   SELECT *, row_number() OVER w AS rn, count(*) OVER (PARTITION BY level, norm) AS n,
          first_value(doc_id) OVER w AS first_id, first_value(unit) OVER w AS first_unit
-  FROM (SELECT 0 AS level, doc_id, unit, start, size, norm FROM units UNION ALL
+  FROM (SELECT 0 AS level, doc_id, unit, start, size, norm FROM units WHERE len(string_split(norm, ' ')) >= 3 UNION ALL
         SELECT 1, doc_id, unit, start, size, norm FROM sentences WHERE len(string_split(norm, ' ')) >= 8)
   WINDOW w AS (PARTITION BY level, norm ORDER BY doc_id, start)),
 later AS (SELECT * FROM ranked WHERE rn > 1)
@@ -72,14 +76,15 @@ SELECT doc_id, level, unit::INTEGER AS unit, start::BIGINT AS start, (start + si
 FROM later l WHERE level = 0 OR NOT EXISTS (SELECT 1 FROM later g WHERE g.level = 0 AND g.doc_id = l.doc_id AND g.unit = l.unit)
 """)
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spans of lines, and of sentences of 8 words or more in other lines, that occur earlier in the corpus."""
-    return substring_dedup.repeated_spans(documents(spark, sf_dir), sentence_words=8).drop("row")
+    """Spans of lines of 3 words or more, and of sentences of 8 words or more in other lines, that occur earlier in the corpus.
+    Shorter lines repeat by chance and stay."""
+    return substring_dedup.repeated_spans(documents(spark, sf_dir), min_words=LINE_WORDS, sentence_words=8).drop("row")
 
 
 @query("op1_pasted_passages")
 def op1_pasted_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The spans of op1_substring_dedup, whose SQL knows lines and sentences only, and those of passages cut at both ends."""
-    return substring_dedup.repeated_spans(documents(spark, sf_dir), sentence_words=8, passage_words=8).drop("row")
+    return substring_dedup.repeated_spans(documents(spark, sf_dir), min_words=LINE_WORDS, sentence_words=8, passage_words=8).drop("row")
 
 
 @query("op2_language_id")
