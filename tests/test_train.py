@@ -41,7 +41,7 @@ def test_bundle_roundtrip(spark):
 ROWS = {"gbt_oof": 1500, "gbt_oof_raw_target": 6, "gbt_early_stop": 6, "linear_family": 3, "stacked_meta_model": 1500,
         "stacked_nonneg_ridge": 5, "stacked_ridge_predictions": 1500, "impute_outliers_iqr": 1500, "impute_model": 1500,
         "impute_cluster_median": 1500, "impute_cluster_median_by_row": 1500, "select_features_for_impute": 5,
-        "kmeans_segments": 3, "choose_k_silhouette": 4, "entropy_ensemble_weights": 3, "learning_curve": 10}
+        "kmeans_segments": 3, "kmeans_restarts": 10, "choose_k_silhouette": 4, "entropy_ensemble_weights": 3, "learning_curve": 10}
 
 
 @pytest.mark.parametrize("name", sorted(ROWS))
