@@ -188,6 +188,37 @@ def test_knn_matches_brute_force(spark, kind):
     assert set(got) == set(want) and all(abs(got[i] - want[i]) <= 1e-9 * max(1, abs(want[i])) for i in want)
 
 
+@pytest.mark.parametrize("kind", ["plain", "nulls", "log spread", "one value", "eight features", "starved"])
+def test_knn_split_leaves_match_brute_force(spark, monkeypatch, kind):
+    monkeypatch.setattr(I, "MAX_LEAVES", 2)
+    monkeypatch.setattr(I, "LEAF_K", 1)
+    monkeypatch.setattr(I, "SPLIT_OVER", 1)
+    monkeypatch.setattr(I, "SPLIT_BITS", 2)
+    feats, data = _knn_case(kind, random.Random(kind))
+    names = [f"f{i}" for i in range(feats)]
+    df = spark.createDataFrame(data, "k int, " + ", ".join(f"{f} double" for f in names) + ", t double")
+    got = {r["k"]: r["t"] for r in I.knn_impute(df, "k", "t", names, 5).collect()}
+    want = _brute_knn(data, feats, 5)
+    assert set(got) == set(want) and all(abs(got[i] - want[i]) <= 1e-9 * max(1, abs(want[i])) for i in want)
+
+
+@pytest.mark.parametrize("kind", ["even", "log spread", "mostly one value"])
+def test_knn_leaves_are_split_until_small(spark, monkeypatch, kind):
+    monkeypatch.setattr(I, "MAX_LEAVES", 4)
+    rnd, k = random.Random(kind), 3
+    draw = {"even": lambda: [rnd.random(), rnd.random() * 5], "log spread": lambda: [math.exp(rnd.gauss(0, 6)), rnd.gauss(0, 1)],
+            "mostly one value": lambda: [7.0 if rnd.random() < 0.97 else rnd.random() * 9, rnd.random() * 1e-3]}[kind]
+    don = spark.createDataFrame([(i, *draw()) for i in range(6000)], "_dk int, _d_a double, _d_b double")
+    tree, placed = I._donor_tree(don, ["a", "b"], k)
+    most = int(tree.n[tree.leaf >= 0].max())
+    assert tree.leaves <= 4 and most >= 1500
+    cut, levels = I._split_leaves(placed.withColumn("_leaf", F.col("_leaf") + I.TOP_NODE), ["_d_a", "_d_b"], I.LEAF_K * k, most)
+    size = {r["_leaf"]: r["count"] for r in cut.groupBy("_leaf").count().collect()}
+    assert sum(size.values()) == 6000 and max(size.values()) <= I.SPLIT_OVER * I.LEAF_K * k and levels
+    parents = [r["_up"] for level in levels for r in level.select("_up").collect()]
+    assert len(parents) == len(set(parents)) and not set(parents) & set(size)
+
+
 @pytest.mark.parametrize("kind", ["log spread", "eight features"])
 def test_knn_candidates_stay_near_k(spark, kind):
     rnd = random.Random(kind)

@@ -138,6 +138,10 @@ def _pattern(feats: Sequence[str], prefix: str) -> Column:
 
 #: Donors that the splits are fitted on, most leaves, and donors of a leaf in units of k.
 TREE_SAMPLE, MAX_LEAVES, LEAF_K = 100_000, 20_000, 4
+#: A leaf with over so many times its intended donors is split again, into so many parts a level, for so many levels.
+SPLIT_OVER, SPLIT_BITS, SPLIT_LEVELS = 4, 4, 11
+#: Added to the tree's leaf numbers: a child's number is its parent's, shifted, and the part, so this first bit tells the levels apart.
+TOP_NODE = 1 << 18
 
 
 class DonorTree:
@@ -281,14 +285,15 @@ def _donor_tree(don: DataFrame, feats: Sequence[str], k: int) -> tuple[DonorTree
     rows = don.filter(place < share).select("_q", *cols).limit(4 * TREE_SAMPLE).toPandas()
     tree = DonorTree(rows[cols].to_numpy(np.float64).reshape(-1, len(cols)), rows["_q"].to_numpy(np.int64), counts, LEAF_K * k)
 
-    @F.pandas_udf("int")
+    shared = don.sparkSession.sparkContext.broadcast(tree)  # at most 2 * MAX_LEAVES nodes
+
+    @F.pandas_udf("long")
     def leaf(q: pd.Series, *xs: pd.Series) -> pd.Series:
         x = np.column_stack([v.to_numpy(np.float64) for v in xs])
-        return pd.Series(tree.leaf_of(x, q.to_numpy(np.int64)).astype(np.int32))
+        return pd.Series(shared.value.leaf_of(x, q.to_numpy(np.int64)))
 
     placed = don.withColumn("_leaf", leaf("_q", *cols)).drop("_q")
-    boxes = placed.groupBy("_leaf").agg(F.count(F.lit(1)).alias("n"), *[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
-                                        *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).toPandas()
+    boxes = placed.groupBy("_leaf").agg(*_box(cols)).toPandas()
     m = len(cols)
     tree.set_boxes(boxes["_leaf"].to_numpy(np.int64), boxes["n"].to_numpy(np.int64),
                    boxes[[f"lo{i}" for i in range(m)]].to_numpy(np.float64).reshape(-1, m),
@@ -296,22 +301,100 @@ def _donor_tree(don: DataFrame, feats: Sequence[str], k: int) -> tuple[DonorTree
     return tree, placed
 
 
+def _box(cols: Sequence[str]) -> list[Column]:
+    return [F.count(F.lit(1)).alias("n"), *[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
+            *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]]
+
+
+def _split_leaves(placed: DataFrame, cols: Sequence[str], leaf_donors: int, most: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Leaves of over SPLIT_OVER * leaf_donors donors cut again, level by level, until none is left.
+
+    The tree on the driver has at most MAX_LEAVES leaves, so its leaves grow
+    with the donors; these levels do not. Each cuts a large leaf at quantiles
+    of its widest column (one aggregate over all large leaves) and is a table
+    of parent, child, donors and box, joined to the receivers on the parent.
+    ``_leaf`` of a donor is then the number of its last node: the parent's, shifted,
+    and the part. ``most``: donors of the largest leaf. A leaf that is still
+    large after SPLIT_LEVELS stays as it is, which costs time, not results.
+    """
+    levels: list[DataFrame] = []
+    parts = 1 << SPLIT_BITS
+    wide = F.greatest(*[F.coalesce(F.col(f"hi{i}") - F.col(f"lo{i}"), F.lit(-1.0)) for i in range(len(cols))], F.lit(-1.0))
+    while most > SPLIT_OVER * leaf_donors and len(levels) < SPLIT_LEVELS:
+        box = placed.groupBy("_leaf").agg(*_box(cols)).filter(F.col("n") > SPLIT_OVER * leaf_donors).withColumn("_wide", wide)
+        dim, low, high = F.lit(-1), F.lit(None).cast("double"), F.lit(None).cast("double")
+        for i in range(len(cols)):
+            is_wide = (F.col(f"hi{i}") - F.col(f"lo{i}")) == F.col("_wide")
+            dim = F.when(is_wide, i).otherwise(dim)
+            low, high = F.when(is_wide, F.col(f"lo{i}")).otherwise(low), F.when(is_wide, F.col(f"hi{i}")).otherwise(high)
+        large = box.filter("_wide > 0").select("_leaf", dim.alias("_dim"), low.alias("_low"), high.alias("_high"))
+        x = F.lit(None).cast("double")
+        for i, c in enumerate(cols):
+            x = F.when(F.col("_dim") == i, F.col(c)).otherwise(x)
+        inside = placed.join(large, "_leaf").withColumn("_x", x)
+        cuts = inside.groupBy("_leaf").agg(
+            F.first("_dim").alias("_dim"), F.first("_low").alias("_low"), F.first("_high").alias("_high"),
+            F.percentile_approx("_x", [i / parts for i in range(1, parts)], 1000).alias("_cuts"))
+        # the least value and the middle, so that a leaf of which most lies in one value is divided as well
+        some = F.array_distinct(F.filter("_cuts", lambda c: c < F.col("_high")))
+        spare = F.filter(F.array("_low", (F.col("_low") + F.col("_high")) / 2.0), lambda c: c < F.col("_high"))
+        cuts = cuts.select("_leaf", "_dim", F.when(F.size(some) > 0, some).otherwise(F.array_distinct(spare)).alias("_cuts"))
+        part = F.size(F.filter("_cuts", lambda c: c < F.col("_x"))).cast("long")
+        child = F.when(F.col("_cuts").isNull(), F.col("_leaf")).otherwise(F.shiftleft("_leaf", SPLIT_BITS) + part)
+        placed = cut_lineage(placed.join(cuts, "_leaf", "left").withColumn("_x", x)
+                             .withColumn("_up", F.when(F.col("_cuts").isNotNull(), F.col("_leaf")))
+                             .withColumn("_leaf", child).drop("_dim", "_cuts", "_x"))
+        kids = placed.filter("_up IS NOT NULL").groupBy("_up", "_leaf").agg(*_box(cols))
+        entry = F.struct("_leaf", "n", *[f"{e}{i}" for i in range(len(cols)) for e in ("lo", "hi")])
+        level = cut_lineage(kids.groupBy("_up").agg(F.collect_list(entry).alias("_kids"), F.max("n").alias("n")))
+        placed = placed.drop("_up")
+        top = fit_row(level, F.max("n").alias("n"))["n"]
+        if top is None:  # nothing was left to cut
+            break
+        levels.append(level.drop("n"))
+        most = top
+    return placed, levels
+
+
+def _descend(met: DataFrame, levels: list[DataFrame], pick: Callable[[Column], Column]) -> DataFrame:
+    """Receivers' leaves of the tree (``_leaf``) taken down the levels; ``pick`` names the children to go on with."""
+    for level in levels:
+        on = F.when(F.col("_kids").isNull(), F.array("_leaf")).otherwise(pick(F.col("_kids")))
+        both = met.join(level, F.col("_leaf") == F.col("_up"), "left")
+        met = both.select(*[c for c in met.columns if c != "_leaf"], F.explode(on).alias("_leaf"))
+    return met
+
+
+def _box_bound(feats: Sequence[str], m_total: int, box: Column) -> Column:
+    """Least distance of a receiver to any donor of a box."""
+    sq, present = F.lit(0.0), F.lit(0)
+    for i, f in enumerate(feats):
+        x, low, high = F.col(f"_r_{f}"), box[f"lo{i}"], box[f"hi{i}"]
+        both = x.isNotNull() & low.isNotNull()
+        gap = F.greatest(low - x, x - high, F.lit(0.0))
+        sq = sq + F.when(both, gap * gap).otherwise(0.0)
+        present = present + F.when(both, 1).otherwise(0)
+    return F.sqrt(F.lit(float(m_total)) / present * sq)
+
+
 def _receiver_leaves(rec: DataFrame, feats: Sequence[str], tree: DonorTree, k: int, m_total: int) -> tuple[DataFrame, Callable]:
-    """Receivers with the leaves of the first look, and a function that adds those of the second, up to a distance."""
+    """Receivers with the tree's leaves of the first look, and a function that gives those of the second, up to a distance."""
     cols = [f"_r_{f}" for f in feats]
+    shared = rec.sparkSession.sparkContext.broadcast(tree)
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("array<long>")
     def near(*xs: pd.Series) -> pd.Series:
         x = np.column_stack([v.to_numpy(np.float64) for v in xs])
-        return pd.Series([v.astype(np.int32) for v in tree.near_leaves(x, k, m_total)], dtype=object)
+        return pd.Series([v + TOP_NODE for v in shared.value.near_leaves(x, k, m_total)], dtype=object)
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("array<long>")
     def within(distance: pd.Series, *xs: pd.Series) -> pd.Series:
         x = np.column_stack([v.to_numpy(np.float64) for v in xs])
-        row, leaf = tree.leaves_within(x, distance.to_numpy(np.float64), m_total)
+        row, leaf = shared.value.leaves_within(x, distance.to_numpy(np.float64), m_total)
         order = np.argsort(row, kind="stable")
         ends = np.searchsorted(row[order], np.arange(len(x) + 1))
-        return pd.Series([leaf[order[ends[i]:ends[i + 1]]].astype(np.int32) for i in range(len(x))], dtype=object)
+        leaf = leaf[order] + TOP_NODE
+        return pd.Series([leaf[ends[i]:ends[i + 1]] for i in range(len(x))], dtype=object)
 
     return rec.withColumn("_first", near(*cols)), lambda frame, distance: frame.withColumn("_all", within(distance, *cols))
 
@@ -328,9 +411,10 @@ def knn_impute(df: DataFrame, key: str, target: str, features: Sequence[str], k:
 
     Exact, by two joins on the leaves of ``DonorTree``: each receiver first
     meets the donors of the leaves around it, at least k of them, whose k-th
-    distance bounds the answer; then those of every other leaf whose box is
-    not farther. Splits are medians, so leaves hold a few times k donors
-    however the values spread; of donors with the same coordinates only the
+    distance bounds the answer; then those of every leaf whose box is not
+    farther. Splits are medians, and leaves that are still large are split
+    again by ``_split_leaves``, so leaves hold a few times k donors however
+    many there are and however the values spread; of donors with the same coordinates only the
     first k by key can count and only they are kept, so a point that many
     share is no large leaf. A donor is in one leaf, whatever the number of
     features and null patterns.
@@ -349,20 +433,33 @@ def knn_impute(df: DataFrame, key: str, target: str, features: Sequence[str], k:
     tree, placed = _donor_tree(don, feats, k)
     if not tree.roots:
         return df.withColumn(out, F.coalesce(_d(target), F.lit(col_mean).cast("double")))
-    placed = cut_lineage(placed)
+    cols, rcols = [f"_d_{f}" for f in feats], [f"_r_{f}" for f in feats]
+    most = int(tree.n[tree.leaf >= 0].max())
+    placed, levels = _split_leaves(cut_lineage(placed.withColumn("_leaf", F.col("_leaf") + TOP_NODE)), cols, LEAF_K * k, most)
     dist = _knn_distance(feats, m_total)
 
-    def meet(receivers: DataFrame, leaves: str) -> DataFrame:
-        each = receivers.select("_rk", *[f"_r_{f}" for f in feats], F.explode(leaves).alias("_leaf"))
-        return each.join(placed, "_leaf").select("_rk", "_dk", "_dv", dist.alias("_dist")).filter("_dist IS NOT NULL")
+    def nearest(kids: Column) -> Column:
+        enough = F.filter(kids, lambda e: e["n"] >= k)
+        best = F.array_min(F.transform(enough, lambda e: F.struct(_box_bound(feats, m_total, e).alias("b"), e["_leaf"].alias("v"))))
+        return F.when(F.size(enough) > 0, F.array(best["v"])).otherwise(F.transform(kids, lambda e: e["_leaf"]))
+
+    def not_farther(kids: Column) -> Column:
+        reached = F.filter(kids, lambda e: _box_bound(feats, m_total, e) <= F.col("_far") * (1 + 1e-9))
+        return F.transform(reached, lambda e: e["_leaf"])
 
     first, add_within = _receiver_leaves(rec, feats, tree, k, m_total)
     first = cut_lineage(first)
-    top = cut_lineage(_top_k(meet(first, "_first"), k))
-    reach = top.groupBy("_rk").agg(F.max("_dist").alias("_far"), F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= k)
-    second = add_within(first.join(reach, "_rk"), F.col("_far"))
-    second = second.withColumn("_more", F.array_except("_all", "_first"))
-    est = _weighted_estimate(_top_k(top.unionByName(meet(second, "_more")), k))
+    near = _descend(first.select("_rk", *rcols, F.explode("_first").alias("_leaf")), levels, nearest)
+    pairs = near.join(placed, "_leaf").select("_rk", "_dk", "_dv", dist.alias("_dist")).filter("_dist IS NOT NULL")
+    top = cut_lineage(_top_k(pairs, k))
+    reach = top.groupBy("_rk").agg(F.max("_dist").alias("_far"), F.count(F.lit(1)).alias("_n"))
+    full = reach.filter(F.col("_n") >= k).drop("_n")
+    second = add_within(first.drop("_first").join(full, "_rk"), F.col("_far"))
+    second = _descend(second.select("_rk", "_far", *rcols, F.explode("_all").alias("_leaf")), levels, not_farther)
+    # the second look meets the donors of the first again; only those that are no farther go into the sort
+    closer = second.join(placed, "_leaf").withColumn("_dist", dist).filter(F.col("_dist") <= F.col("_far")).select("_rk", "_dk", "_dv", "_dist")
+    few = top.join(reach.filter(F.col("_n") < k).select("_rk"), "_rk", "left_semi")
+    est = _weighted_estimate(few.unionByName(_top_k(closer, k)))
     j = df.join(est, F.col(key) == F.col("_rk"), "left").drop("_rk")
     filled = F.coalesce(_d(target), F.col("_knn"), F.when(F.col(target).isNull(), F.lit(col_mean)))
     return j.withColumn(out, filled).drop("_knn")
