@@ -386,23 +386,26 @@ def training_layout(df: DataFrame, path: str, segment: Column, fold: str | None
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
-def per_segment_models(df: DataFrame, key: str, segment: str, fold: str, features: Sequence[str], target: str,
-                       learners: Sequence[str] = SEGMENT_LEARNERS, params_for: dict | None = None, seed: int = 42,
-                       parallelism: int = PARALLEL_FITS, min_rows: int = 30, path: str | None = None,
-                       categories: Categories | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """M9: per segment, out-of-fold predictions of every learner, averaged.
+@dataclass
+class SegmentFits:
+    """Fold models per segment: the prepared rows by folder, the label, segments and folds, and a model per (segment, fold, learner).
+    A cell without a row has no models."""
+    data: DataFrame
+    label: Column
+    groups: list
+    cells: list
+    fitted: dict
 
-    Returns (predictions: key, segment, fold, actual, prediction; scores per
-    segment; importances per segment and feature, averaged over folds and the
-    learners that have them). Every input row is predicted: segments with
-    fewer than ``min_rows`` rows, and rows without a segment, form one group,
-    which learns from all rows if it is smaller than that itself.
+
+def fit_segments(df: DataFrame, segment: str, fold: str, features: Sequence[str], target: str, learners: Sequence[str] = SEGMENT_LEARNERS,
+                 params_for: dict | None = None, seed: int = 42, parallelism: int = PARALLEL_FITS, min_rows: int = 30,
+                 path: str | None = None, categories: Categories | None = None) -> SegmentFits:
+    """Every segment's learners for every fold, each fitted on the segment's other folds.
 
     The prepared rows are written once, in a folder per segment and fold under
     ``path`` (a scratch folder of the session by default): a fit reads its
     segment's other folds, a prediction its own folder, so that the predictions
     together read the table once, however many segments and folds there are."""
-    from valuator.operators.evaluate import regression_metrics
     from valuator.sources.io import scratch_path
     label, names, rest = segment_label(df, segment, min_rows)
     prepared = _prepare(df, features, target, True)
@@ -421,19 +424,40 @@ def per_segment_models(df: DataFrame, key: str, segment: str, fold: str, feature
         own = rows.filter(F.col("_seg") == g) if others and (g != REST or rest >= min_rows) else rows
         return regression_pipeline(features, "_y", kind, seed, _segment_params(params_for, g, kind), categories=categories).fit(own)
 
-    fitted = dict(zip(jobs, in_parallel(fit, jobs, parallelism)))
-    parts, imps = [], []
-    for g, f in cells:
-        rows = data.filter((F.col("_seg") == g) & (F.col("_fold") == f))
+    return SegmentFits(data, label, groups, cells, dict(zip(jobs, in_parallel(fit, jobs, parallelism))))
+
+
+def predict_held_out(fits: SegmentFits, key: str, segment: str, fold: str, features: Sequence[str], target: str,
+                     learners: Sequence[str] = SEGMENT_LEARNERS, categories: Categories | None = None) -> DataFrame:
+    """key, segment, fold, actual, prediction: the mean of the learners that did not see the row's fold."""
+    parts = []
+    for g, f in fits.cells:
+        rows = fits.data.filter((F.col("_seg") == g) & (F.col("_fold") == f))
         for kind in learners:
-            m = fitted[g, f, kind]
-            rows = _scored(m, rows, kind, features, categories)
-            if hasattr(m.stages[-1], "featureImportances"):
-                imps += [(g, x, float(v)) for x, v in zip(feature_names(m, features), m.stages[-1].featureImportances.toArray())]
+            rows = _scored(fits.fitted[g, f, kind], rows, kind, features, categories)
         mean = sum((F.col(f"_p_{kind}") for kind in learners), F.lit(0.0)) / len(learners)
         parts.append(rows.select(key, F.col("_seg").alias(segment), F.col(fold).alias("fold"),
                                  F.col(target).alias("actual"), mean.alias("prediction")))
-    pred = union_all(parts)
+    return union_all(parts)
+
+
+def per_segment_models(df: DataFrame, key: str, segment: str, fold: str, features: Sequence[str], target: str,
+                       learners: Sequence[str] = SEGMENT_LEARNERS, params_for: dict | None = None, seed: int = 42,
+                       parallelism: int = PARALLEL_FITS, min_rows: int = 30, path: str | None = None,
+                       categories: Categories | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """M9: per segment, out-of-fold predictions of every learner, averaged.
+
+    Returns (predictions: key, segment, fold, actual, prediction; scores per
+    segment; importances per segment and feature, averaged over folds and the
+    learners that have them). Every input row is predicted: segments with
+    fewer than ``min_rows`` rows, and rows without a segment, form one group,
+    which learns from all rows if it is smaller than that itself. Rows are
+    laid out as in ``fit_segments``."""
+    from valuator.operators.evaluate import regression_metrics
+    fits = fit_segments(df, segment, fold, features, target, learners, params_for, seed, parallelism, min_rows, path, categories)
+    imps = [(g, x, float(v)) for (g, _, _), m in fits.fitted.items() if hasattr(m.stages[-1], "featureImportances")
+            for x, v in zip(feature_names(m, features), m.stages[-1].featureImportances.toArray())]
+    pred = predict_held_out(fits, key, segment, fold, features, target, learners, categories)
     scores = regression_metrics(pred, [segment], "actual", "prediction")
     importances = (df.sparkSession.createDataFrame(imps, f"{segment} string, feature string, importance double")
                    .groupBy(segment, "feature").agg(F.avg("importance").alias("importance")))

@@ -268,6 +268,24 @@ def q_ref_price_feature(spark, sf_dir):
     return out.withColumn("test_rows_with_ref", F.lit(n_ref))
 
 
+@register("two_pass_run")
+def q_two_pass(spark, sf_dir):
+    """The two passes whole: errors of each pass by segment, and the new rows that each predicts."""
+    from valuator.operators import train as M
+    from valuator.operators.two_pass import two_pass_run
+    from valuator.plans.q_train import _SEGMENT_PARAMS, FEATURES
+    f = fx(spark, sf_dir)
+    tr = f.listing_labelled().withColumn("fold", M.kfold_assign("listing_id", 5, seed=7))
+    passes = two_pass_run(tr, f.listing_new(), "listing_id", ["depreciation", "coe", "dereg_value"], FEATURES, "price", "fold",
+                          params_for=_SEGMENT_PARAMS)
+    out = []
+    for i, p in enumerate(passes, 1):
+        per = ev.regression_metrics(p.held_out, ["segment"], "actual", "prediction")
+        seen = p.new.groupBy("segment").agg(F.count("prediction").alias("new_rows"), F.avg("prediction").alias("mean_new_prediction"))
+        out.append(per.join(seen, "segment", "full").withColumn("pass", F.lit(i)))
+    return M.union_all(out)
+
+
 _OOF_SQL = """
 WITH u AS (
   SELECT listing_id, pred_a AS prediction FROM scored WHERE ((listing_id % 2147483647 * 48271 + 42) % 2147483647) % 3 <> 0
