@@ -131,9 +131,28 @@ def test_huber_of_constant_labels_has_no_trees(spark):
     df = VectorAssembler(inputCols=["x"], outputCol="features").transform(
         spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (3.0, None)], "x double, label double"))
     model = HuberBoostedTrees(maxIter=3).fit(df)
+    assert not hasattr(model, "featureImportances")
     assert model.trees == [] and {r["prediction"] for r in model.transform(df).collect()} == {5.0}
 
 
+def test_importances_of_three_models_are_merged(spark):
+    rng = random.Random(5)
+    rows = [(i, rng.random(), rng.random(), None, i % 2) for i in range(160)]
+    rows = [(i, a, b, 1000.0 * (2 + 5 * a + b), f) for i, a, b, _, f in rows]
+    df = spark.createDataFrame(rows, "id long, a double, b double, price double, fold int")
+    small = {"maxIter": 2, "maxDepth": 3}
+    runs = {"gbt": M.oof_run(df, "id", ["a", "b"], "price", "fold", "gbt", params=small),
+            "huber": M.oof_run(df, "id", ["a", "b"], "price", "fold", "huber", params=small),
+            "rf": M.oof_run(df, "id", ["a", "b"], "price", "fold", "rf", params={"numTrees": 5, "maxDepth": 3})}
+    got = M.feature_importance(runs, spark).collect()
+    assert [r["feature"] for r in got] == ["a", "b"]
+    for name, run in runs.items():
+        assert sum(r[f"importance_{name}"] for r in got) == pytest.approx(1.0)
+        for r in got:
+            assert r[f"importance_{name}"] == pytest.approx(np.mean([v for _, x, v in run.importances if x == r["feature"]]))
+    assert all(r["importance_mean"] == pytest.approx(np.mean([r[f"importance_{n}"] for n in runs])) for r in got)
+
+
 def test_segment_training_reads_its_own_folders(spark, tmp_path):
     rows = [(*r[:2], None if r[0] % 9 == 0 else r[2], *r[3:]) for r in listings(240)]
     df = spark.createDataFrame(rows, SCHEMA).withColumn("x", F.coalesce("x", F.lit(0.5)))

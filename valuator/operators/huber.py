@@ -15,6 +15,7 @@ import json
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
+from pyspark.ml.linalg import DenseVector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasMaxIter, HasPredictionCol, HasSeed, HasStepSize
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
@@ -98,6 +99,15 @@ class HuberBoostedTreesModel(Model, _HuberParams, MLReadable, MLWritable):
         super().__init__()
         self.start, self.trees, self.values, self.losses = start, list(trees), [list(v) for v in values], list(losses)
 
+    @property
+    def featureImportances(self) -> DenseVector:
+        """Mean of the importances of the trees that have a split, summing to 1 (all 0 without a split); without trees there are none."""
+        if not self.trees:
+            raise AttributeError("no trees")
+        each = [t.featureImportances.toArray() for t in self.trees]
+        total = sum(each)
+        return DenseVector(total / total.sum() if total.sum() > 0 else total)
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         out, total = dataset, F.lit(float(self.start))
         for i, (tree, values) in enumerate(zip(self.trees, self.values, strict=True)):

@@ -247,8 +247,10 @@ def q_guided(spark, sf_dir):
 
 @register("feature_importance")
 def q_importance(spark, sf_dir):
+    """Three models' importances merged: boosting on squared and on absolute loss, and a forest."""
     tr = _train(spark, sf_dir)
     runs = {"gbt": M.oof_run(tr, "listing_id", FEATURES, "price", "fold", "gbt"),
+            "gbt_absolute": M.oof_run(tr, "listing_id", FEATURES, "price", "fold", "gbt", params={"lossType": "absolute"}),
             "rf": M.oof_run(tr, "listing_id", FEATURES, "price", "fold", "rf", params={"numTrees": 100, "maxDepth": 10})}
     return M.feature_importance(runs, spark, top=10)
 
