@@ -63,3 +63,13 @@ def test_ensemble_weights_on_simplex(spark):
     for name in ("robust_ensemble_weights", "entropy_ensemble_weights"):
         w = [r["weight"] for r in entry.queries()[name](spark, SF_SMALL).collect()]
         assert all(x >= -1e-12 for x in w) and abs(sum(w) - 1) < 1e-6, name
+
+
+def _model_steps(name, spark):
+    """Assemblers and models that a query's plan runs on rows."""
+    return entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString().count("UDF(")
+
+
+def test_refit_scores_run_no_model_again(spark):
+    """The five scores share frames that were written once (80 steps as lazy plans)."""
+    assert _model_steps("error_weighted_refit", spark) == 0
