@@ -73,3 +73,8 @@ def _model_steps(name, spark):
 def test_refit_scores_run_no_model_again(spark):
     """The five scores share frames that were written once (80 steps as lazy plans)."""
     assert _model_steps("error_weighted_refit", spark) == 0
+
+
+def test_second_stage_runs_the_first_stage_once(spark):
+    """The second stage's five folds read the first stage's prices from a written frame (48 steps as a lazy plan)."""
+    assert _model_steps("ref_price_feature", spark) <= 10

@@ -11,6 +11,7 @@ from valuator.operators.segment import error_band
 from valuator.plans.common import PRED_COLS, fx, rnd, round_all
 from valuator.plans.registry import register
 from valuator.plans.strategy import fit_row
+from valuator.session import cut_lineage
 
 
 def _long(spark, sf_dir):
@@ -256,10 +257,13 @@ def q_ref_price_feature(spark, sf_dir):
     tr = f.listing_labelled().withColumn("fold", M.kfold_assign("listing_id", 5, seed=7))
     te = f.listing_new()
     stage1 = M.oof_run(tr, "listing_id", FEATURES, "price", "fold", "gbt")
+    # read by the scores and by every fold of the second stage: each would run the first stage's models again
+    oof1 = cut_lineage(stage1.oof)
     test1 = M.predict_folds(stage1.models, te, "listing_id", FEATURES)
-    tr2, te2 = W.ref_price_feature(tr, te, "listing_id", stage1.oof, test1)
+    tr2, te2 = W.ref_price_feature(tr, te, "listing_id", oof1, test1)
+    tr2 = cut_lineage(tr2)
     stage2 = M.oof_run(tr2, "listing_id", [*FEATURES, "ref_price"], "price", "fold", "gbt")
-    rows = [("stage1", stage1.oof), ("stage2", stage2.oof)]
+    rows = [("stage1", oof1), ("stage2", stage2.oof)]
     out = None
     for name, o in rows:
         r = ev.regression_metrics(o, [], "actual", "prediction").withColumn("stage", F.lit(name))
