@@ -660,3 +660,18 @@ def test_ranges_of_the_guided_search():
     assert 0.9 < sum(near.density(i / 1000, [0.5, 0.45]) for i in range(1000)) / 1000 <= 1.001
     with pytest.raises(ValueError):
         M._Range(("log", 0.0, 1.0))
+
+
+def test_restart_draws_do_not_sort_the_rows(spark):
+    """A least struct of a vector is found by sorting, so every step sorted each row once a restart; ties for a least time go to the lesser vector."""
+    df = spark.createDataFrame([(None, [float(9 - i % 10), 1.0]) for i in range(200)], "k int, v array<double>").repartition(3)
+    seen = []
+    real = CL.fit_row
+    try:
+        CL.fit_row = lambda frame, *aggs: seen.append(frame.agg(*aggs)._jdf.queryExecution().executedPlan().toString()) or real(frame, *aggs)
+        drawn = CL.distance_squared_seeds(df, "v", "k", 2, restarts=2)
+    finally:
+        CL.fit_row = real
+    assert len(seen) == 2 and not any("Sort" in p for p in seen)
+    # all keys are equal: the first draw is a tie of all rows, the second one takes the farthest
+    assert drawn == [[[0.0, 1.0], [9.0, 1.0]]] * 2

@@ -237,23 +237,27 @@ def distance_squared_seeds(df: DataFrame, vector: str, key: str, k: int, restart
     """C2 init: per restart up to k rows, the first uniformly drawn, each further one with weight squared distance to the nearest drawn one.
 
     A weighted draw is a race: the row with the least -ln(u) / weight wins, u a
-    hash of key, restart and step. So a step is one aggregate for all restarts
-    with one row of each back, and does not depend on the partitioning. Rows at distance
+    hash of key, restart and step. So a step is one aggregate of a least time for each
+    restart, then a look for the vectors that have it, and does not depend on the partitioning. Rows at distance
     0 are not drawn; a restart ends early when there are no others. Rows of
-    equal key share u: keys should be unique. ``df`` is read k times."""
+    equal key share u: keys should be unique. ``df`` is read 2 k times; nothing of a row is sorted or shuffled but ties for a least time."""
     drawn: list[list[list[float]]] = [[] for _ in range(restarts)]
     for step in range(k):
         todo = [r for r in range(restarts) if len(drawn[r]) == step]
         if not todo:
             break
-        each = df.select(F.col(vector), F.col(key), F.explode(F.array(*[
-            F.struct(F.lit(r).alias("r"), _points(drawn[r]).alias("p")) for r in todo])).alias("_n"))
-        weight = F.array_min(_sq_to(F.col("_n.p"), vector)) if step else F.lit(1.0)
-        time = F.when(weight > 0, -F.log(_uniform(key, F.lit(seed), F.col("_n.r"), F.lit(step))) / weight)
-        # rows without a time do not race; ties go to the lesser vector
-        won = each.select(F.col("_n.r").alias("r"), F.struct(time.alias("t"), F.col(vector).alias("v")).alias("s")).filter("s.t IS NOT NULL")
-        for row in won.groupBy("r").agg(F.min("s").alias("s")).collect():
-            drawn[row["r"]].append([float(x) for x in row["s"]["v"]])
+        # rows without a time do not race
+        times = {}
+        for r in todo:
+            weight = F.array_min(_sq_to(_points(drawn[r]), vector)) if step else F.lit(1.0)
+            times[r] = F.when(weight > 0, -F.log(_uniform(key, F.lit(seed), F.lit(r), F.lit(step))) / weight)
+        raced = df.select(F.col(vector).alias("v"), *[t.alias(f"t{r}") for r, t in times.items()])
+        least = fit_row(raced, *[F.min(f"t{r}").alias(f"t{r}") for r in times])
+        won = F.filter(F.array(*[F.when(F.col(f"t{r}") == F.lit(least[f"t{r}"]), F.lit(r)) for r in times]), lambda x: x.isNotNull())
+        # ties go to the lesser vector
+        winners = raced.select("v", F.explode(won).alias("r")).distinct().groupBy("r").agg(F.min("v").alias("v"))
+        for row in winners.collect():
+            drawn[row["r"]].append([float(x) for x in row["v"]])
     return drawn
 
 
