@@ -675,3 +675,29 @@ def test_restart_draws_do_not_sort_the_rows(spark):
     assert len(seen) == 2 and not any("Sort" in p for p in seen)
     # all keys are equal: the first draw is a tie of all rows, the second one takes the farthest
     assert drawn == [[[0.0, 1.0], [9.0, 1.0]]] * 2
+
+
+def test_mixtures_of_all_sizes_share_each_pass(spark):
+    """Equal to the library's mixtures fitted one by one, with one scan an iteration for all sizes that are open."""
+    from pyspark.ml.clustering import GaussianMixture
+    from pyspark.ml.functions import vector_to_array
+
+    from valuator.operators import mixture as MX
+    rnd = random.Random(5)
+    data = [(rnd.gauss(8.0 * (i % 3), 1.0), rnd.gauss(4.0 * (i % 2), 0.7)) for i in range(400)]
+    rows = CL._assemble(spark.createDataFrame(data, "x double, y double"), ["x", "y"]).withColumn("_x", vector_to_array("features")).cache()
+    scans = []
+    real = MX._sums
+    try:
+        MX._sums = lambda r, v, tried, d: scans.append(len(tried)) or real(r, v, tried, d)
+        found = MX.fit_mixtures(rows, "features", "_x", [2, 3, 4])
+    finally:
+        MX._sums = real
+    assert scans[0] == 3 and len(scans) == max(m.iterations for m in found.values()) < sum(m.iterations for m in found.values())
+    for n, m in found.items():
+        own = GaussianMixture(k=n, seed=42, featuresCol="features").fit(rows)
+        assert abs(own.summary.logLikelihood - m.log_likelihood) < 1e-6 and own.summary.numIter == m.iterations
+        assert max(abs(own.weights - m.weights)) < 1e-8
+        both = own.transform(rows).withColumn("_c", MX.component(m, "_x")).select("prediction", "_c").collect()
+        assert all(r["prediction"] == r["_c"] for r in both)
+    rows.unpersist()

@@ -4,8 +4,8 @@ Lloyd iterations run as DataFrame jobs: k centres (k ≤ a few dozen) travel as
 literals inside the distance expression, the assignment is an argmin over k
 distance columns computed per row, and the update is a groupBy on the cluster
 id with map-side partial aggregation (k rows come back). No all-pairs
-distances are formed. ``pyspark.ml`` KMeans / GaussianMixture cover the
-k-means++ and mixture variants.
+distances are formed. ``pyspark.ml`` KMeans covers the k-means++ variants,
+``mixture`` the Gaussian ones.
 """
 
 from __future__ import annotations
@@ -311,26 +311,32 @@ def kmeans_restarts(df: DataFrame, features: Sequence[str], key: str, k: int, re
 
 def gmm_segments_bic(df: DataFrame, features: Sequence[str], n_range: Sequence[int] = range(2, 11),
                      seed: int = 42, min_silhouette: float = 0.2) -> tuple[int, DataFrame]:
-    """GaussianMixture per n on the given (already log/standardised)
+    """A Gaussian mixture per n, all n in one pass an iteration, on the given (already log/standardised)
     features; BIC = −2·logLik + p·ln(n_rows); among silhouette > 0.2 pick the
     lowest BIC, else the lowest BIC overall. A mixture that puts all rows in
     one cluster has no silhouette (NaN)."""
-    from pyspark.ml.clustering import GaussianMixture
     from pyspark.ml.evaluation import ClusteringEvaluator
-    data = _assemble(df, features).select("features").persist()
-    n_rows = data.count()
+    from pyspark.ml.functions import vector_to_array
+
+    from valuator.operators.mixture import component, fit_mixtures
+    from valuator.operators.train import in_parallel
+    data = _assemble(df, features).select("features", vector_to_array("features").alias("_x")).persist()
     d = len(features)
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
-    res = []
-    for n in n_range:
-        m = GaussianMixture(k=n, seed=seed, featuresCol="features").fit(data)
-        ll = float(m.summary.logLikelihood)
-        p = n * d + n * d * (d + 1) / 2 + (n - 1)
-        bic = -2.0 * ll + p * math.log(n_rows)
-        pred = m.transform(data)
-        several = pred.select("prediction").distinct().limit(2).count() > 1
-        res.append((int(n), bic, float(ev.evaluate(pred)) if several else float("nan")))
-    data.unpersist()
+    try:
+        n_rows = data.count()
+        fitted = fit_mixtures(data, "features", "_x", list(n_range), seed)
+
+        def score(n: int) -> tuple[int, float, float]:
+            p = n * d + n * d * (d + 1) / 2 + (n - 1)
+            bic = -2.0 * fitted[n].log_likelihood + p * math.log(n_rows)
+            pred = data.select("features", component(fitted[n], "_x").alias("prediction"))
+            several = pred.select("prediction").distinct().limit(2).count() > 1
+            return int(n), bic, float(ev.evaluate(pred)) if several else float("nan")
+
+        res = in_parallel(score, list(n_range))
+    finally:
+        data.unpersist()
     ok = [r for r in res if r[2] == r[2] and r[2] > min_silhouette]
     best = min(ok or res, key=lambda r: (r[1], r[0]))[0]
     table = df.sparkSession.createDataFrame(res, "n int, bic double, silhouette double")
@@ -339,13 +345,16 @@ def gmm_segments_bic(df: DataFrame, features: Sequence[str], n_range: Sequence[i
 
 def gmm_label(df: DataFrame, features: Sequence[str], n: int, seed: int = 42, out: str = "cluster") -> DataFrame:
     """The mixture of n components fitted on all rows, and each row's most likely one."""
-    from pyspark.ml.clustering import GaussianMixture
-    data = _assemble(df, features).persist()
+    from pyspark.ml.functions import vector_to_array
+
+    from valuator.operators.mixture import component, fit_mixtures
+    rows = _assemble(df, features).withColumn("_x", vector_to_array("features"))
+    data = rows.select("features", "_x").persist()
     try:
-        m = GaussianMixture(k=n, seed=seed, featuresCol="features", predictionCol=out, probabilityCol="_prob").fit(data)
+        m = fit_mixtures(data, "features", "_x", [n], seed)[n]
     finally:
         data.unpersist()
-    return m.transform(_assemble(df, features)).drop("features", "_prob")
+    return rows.withColumn(out, component(m, "_x")).drop("features", "_x")
 
 
 def gmm_segments_combined(table: DataFrame) -> DataFrame:
