@@ -243,6 +243,22 @@ def test_knn_candidates_stay_near_k(spark, kind):
     assert pairs < 40 * k * len(rec), pairs / (k * len(rec))
 
 
+def test_knn_receivers_with_tied_donors(spark, monkeypatch):
+    """Rows without b cannot tell the 600 donors of a value of a apart: they meet few of them, and their result stays."""
+    rnd, k = random.Random(3), 5
+    data = [(i, float(i % 4), rnd.random() * 100, rnd.random()) for i in range(2400)]
+    data += [(5000 + i, float(i % 4), None, rnd.random()) for i in range(40)]  # donors without b
+    data += [(9000 + i, float(rnd.choice([0, 1, 2, 3, 9])), None, None) for i in range(60)] + [(9900 + i, None, rnd.random() * 100, None) for i in range(9)]
+    df = spark.createDataFrame(data, "k int, a double, b double, t double")
+    met = []
+    sort = I._top_k
+    monkeypatch.setattr(I, "_top_k", lambda pairs, n: met.append(pairs.count()) or sort(pairs, n))
+    got = {r["k"]: r["t"] for r in I.knn_impute(df, "k", "t", ["a", "b"], k).collect()}
+    want = _brute_knn(data, 2, k)
+    assert set(got) == set(want) and all(abs(got[i] - want[i]) <= 1e-9 * max(1, abs(want[i])) for i in want)
+    assert len(met) == 2 and max(met) < 69 * 100, met
+
+
 def test_knn_floor_without_donors(spark):
     df = spark.createDataFrame([(1, 1.0, None), (2, 2.0, None)], "k int, a double, t double")
     assert [r["t"] for r in I.knn_impute_floor(df, "k", "t", ["a"], 2).collect()] == [1.0, 1.0]

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from valuator.plans.strategy import attach_state, fit_quantiles, fit_row, group_quantiles
+from valuator.plans.strategy import _partitions, attach_state, fit_quantiles, fit_row, group_quantiles
 from valuator.session import cut_lineage
 
 
@@ -140,12 +140,18 @@ def _pattern(feats: Sequence[str], prefix: str) -> Column:
 TREE_SAMPLE, MAX_LEAVES, LEAF_K = 100_000, 20_000, 4
 #: A leaf with over so many times its intended donors is split again, into so many parts a level, for so many levels.
 SPLIT_OVER, SPLIT_BITS, SPLIT_LEVELS = 4, 4, 11
+#: Times that a point must be in the sample before many donors are taken to share it.
+TIED_SEEN = 3
 #: Added to the tree's leaf numbers: a child's number is its parent's, shifted, and the part, so this first bit tells the levels apart.
 TOP_NODE = 1 << 18
 
 
 class DonorTree:
-    """k-d trees over donors, one per null pattern: splits at sample medians, boxes from all donors.
+    """k-d trees over donors, one per view and null pattern: splits at sample medians, boxes from all donors.
+
+    A view is the set of columns that its receivers have (a bit mask), its donors are what such a receiver
+    can tell apart, and a receiver looks in the trees of its own view only. ``patterns`` are views times 2^m
+    plus the donors' null pattern.
 
     Nodes are arrays: split column and value, children, leaf number, number of
     donors, and the box of their coordinates (NaN in columns that the pattern
@@ -164,6 +170,8 @@ class DonorTree:
             own = sample[patterns == q]
             most = min(-(-n // leaf_donors), max(1, MAX_LEAVES * n // total), max(1, len(own)))
             self.roots[q] = self._build(own, [i for i in range(self.m) if q >> i & 1], max(1, most))
+        self.codes = np.array(list(self.roots), dtype=np.int64)  # ascending
+        self.root = np.array(list(self.roots.values()), dtype=np.int64)
         self.dim, self.left, self.right, self.leaf = (np.array(x, dtype=np.int64) for x in (self.dim, self.left, self.right, self.leaf))
         self.cut = np.array(self.cut)
 
@@ -189,9 +197,7 @@ class DonorTree:
         return at
 
     def leaf_of(self, x: np.ndarray, patterns: np.ndarray) -> np.ndarray:
-        roots = np.zeros(1 << self.m, dtype=np.int64)
-        roots[list(self.roots)] = list(self.roots.values())
-        node = roots[patterns]
+        node = self.root[np.searchsorted(self.codes, patterns)]
         while True:
             inner = np.flatnonzero(self.dim[node] >= 0)
             if not len(inner):
@@ -220,11 +226,14 @@ class DonorTree:
         with np.errstate(divide="ignore", invalid="ignore"):
             return np.where((present > 0) & (self.n[node] > 0), np.sqrt(m_total / present * sq.sum(axis=1)), np.inf)
 
-    def near_leaves(self, x: np.ndarray, k: int, m_total: int) -> list[np.ndarray]:
+    def _views(self, x: np.ndarray, views: np.ndarray | None) -> np.ndarray:
+        return np.full(len(x), (1 << self.m) - 1) if views is None else views
+
+    def near_leaves(self, x: np.ndarray, k: int, m_total: int, views: np.ndarray | None = None) -> list[np.ndarray]:
         """Leaves that hold at least k comparable donors near each row (all comparable ones if there are fewer)."""
-        count = len(x)
-        roots = np.array(list(self.roots.values()), dtype=np.int64)
-        lb = np.stack([self.bound(x, np.full(count, r), m_total) for r in roots], axis=1)
+        count, roots = len(x), self.root
+        views = self._views(x, views)
+        lb = np.stack([np.where(views == q >> self.m, self.bound(x, np.full(count, r), m_total), np.inf) for q, r in zip(self.codes, roots)], axis=1)
         enough = np.where(self.n[roots][None, :] >= k, lb, np.inf)
         node = np.where(np.isfinite(enough).any(axis=1), roots[enough.argmin(axis=1)], -1)
         alone = np.flatnonzero(node < 0)
@@ -255,10 +264,10 @@ class DonorTree:
         got = np.concatenate(found) if found else np.zeros(0, np.int64)
         return got
 
-    def leaves_within(self, x: np.ndarray, distance: np.ndarray, m_total: int) -> tuple[np.ndarray, np.ndarray]:
+    def leaves_within(self, x: np.ndarray, distance: np.ndarray, m_total: int, views: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(row, leaf) of every leaf that may hold a donor at most so far from the row."""
-        row = np.repeat(np.arange(len(x)), len(self.roots))
-        node = np.tile(np.array(list(self.roots.values()), dtype=np.int64), len(x))
+        row, at = np.nonzero(self._views(x, views)[:, None] == self.codes[None, :] >> self.m)
+        node = self.root[at]
         rows, leaves = [], []
         while len(node):
             # a hair more than the distance, for the rounding of the last digits
@@ -270,10 +279,50 @@ class DonorTree:
         return np.concatenate(rows) if rows else row, np.concatenate(leaves) if leaves else node
 
 
-def _donor_tree(don: DataFrame, feats: Sequence[str], k: int) -> tuple[DonorTree, DataFrame]:
-    """The tree, and the donors with their leaf (``_leaf``)."""
+def _first_k(don: DataFrame, cols: Sequence[str], k: int) -> DataFrame:
+    """Of donors with the same coordinates the first k by key: no other can be among the k nearest of any row."""
+    same = Window.partitionBy(*cols).orderBy("_dk")
+    return don.withColumn("_nth", F.row_number().over(same)).filter(F.col("_nth") <= k).drop("_nth")
+
+
+def _hash_sample(don: DataFrame, share: Column, cols: Sequence[str]) -> pd.DataFrame:
+    place = F.shiftrightunsigned(F.xxhash64("_dk", F.lit("sample")), 11).cast("double") / float(1 << 53)
+    return don.filter(place < share).select(*cols).limit(4 * TREE_SAMPLE).toPandas()
+
+
+def _tied_views(don: DataFrame, cols: Sequence[str], k: int, patterns: Sequence[int]) -> list[int]:
+    """Receivers' null patterns in whose columns many donors, more than a leaf should hold, have the same coordinates.
+
+    Judged from a sample; a wrong guess costs time, not results."""
+    total = don.count()
+    x = _hash_sample(don, F.lit(TREE_SAMPLE / max(total, 1)), cols)
+    tied = []
+    for p in patterns:
+        own = [c for i, c in enumerate(cols) if p >> i & 1]
+        most = int(x.groupby(own, dropna=False).size().max()) if len(x) and len(own) < len(cols) else 0
+        if most >= TIED_SEEN and most * total > SPLIT_OVER * LEAF_K * k * len(x):
+            tied.append(p)
+    return tied
+
+
+def _seen_donors(don: DataFrame, feats: Sequence[str], k: int, tied: Sequence[int]) -> DataFrame:
+    """Donors by view (``_q``, see ``DonorTree``): all of them in the view of all columns, and for each tied pattern
+    those that a receiver with only its columns can tell apart."""
+    m, cols, q = len(feats), [f"_d_{f}" for f in feats], _pattern(feats, "_d_")
+    parts = [don.withColumn("_q", q + F.lit(((1 << m) - 1) << m).cast("long")).filter(q > 0)]
+    for p in tied:
+        own = don.select("_dk", "_dv", *[F.col(c) if p >> i & 1 else F.lit(None).cast("double").alias(c) for i, c in enumerate(cols)]).filter(q > 0)
+        parts.append(_first_k(own, [c for i, c in enumerate(cols) if p >> i & 1], k).withColumn("_q", q + F.lit(p << m).cast("long")))
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return cut_lineage(out) if tied else out
+
+
+def _donor_tree(don: DataFrame, feats: Sequence[str], k: int, tied: Sequence[int] = ()) -> tuple[DonorTree, DataFrame]:
+    """The tree, with a view for each tied null pattern, and its donors with their leaf (``_leaf``)."""
     cols = [f"_d_{f}" for f in feats]
-    don = don.withColumn("_q", _pattern(feats, "_d_")).filter("_q > 0")
+    don = _seen_donors(don, feats, k, tied)
     counts = {int(r["_q"]): int(r["n"]) for r in don.groupBy("_q").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.values())
     # a sample by hash of about TREE_SAMPLE rows, and at least a few hundred of each pattern
@@ -281,8 +330,7 @@ def _donor_tree(don: DataFrame, feats: Sequence[str], k: int) -> tuple[DonorTree
     share = F.lit(0.0)
     for q, x in need.items():
         share = F.when(F.col("_q") == q, F.lit(float(x))).otherwise(share)
-    place = F.shiftrightunsigned(F.xxhash64("_dk", F.lit("sample")), 11).cast("double") / float(1 << 53)
-    rows = don.filter(place < share).select("_q", *cols).limit(4 * TREE_SAMPLE).toPandas()
+    rows = _hash_sample(don, share, ["_q", *cols])
     tree = DonorTree(rows[cols].to_numpy(np.float64).reshape(-1, len(cols)), rows["_q"].to_numpy(np.int64), counts, LEAF_K * k)
 
     shared = don.sparkSession.sparkContext.broadcast(tree)  # at most 2 * MAX_LEAVES nodes
@@ -383,20 +431,20 @@ def _receiver_leaves(rec: DataFrame, feats: Sequence[str], tree: DonorTree, k: i
     shared = rec.sparkSession.sparkContext.broadcast(tree)
 
     @F.pandas_udf("array<long>")
-    def near(*xs: pd.Series) -> pd.Series:
+    def near(view: pd.Series, *xs: pd.Series) -> pd.Series:
         x = np.column_stack([v.to_numpy(np.float64) for v in xs])
-        return pd.Series([v + TOP_NODE for v in shared.value.near_leaves(x, k, m_total)], dtype=object)
+        return pd.Series([v + TOP_NODE for v in shared.value.near_leaves(x, k, m_total, view.to_numpy(np.int64))], dtype=object)
 
     @F.pandas_udf("array<long>")
-    def within(distance: pd.Series, *xs: pd.Series) -> pd.Series:
+    def within(distance: pd.Series, view: pd.Series, *xs: pd.Series) -> pd.Series:
         x = np.column_stack([v.to_numpy(np.float64) for v in xs])
-        row, leaf = shared.value.leaves_within(x, distance.to_numpy(np.float64), m_total)
+        row, leaf = shared.value.leaves_within(x, distance.to_numpy(np.float64), m_total, view.to_numpy(np.int64))
         order = np.argsort(row, kind="stable")
         ends = np.searchsorted(row[order], np.arange(len(x) + 1))
         leaf = leaf[order] + TOP_NODE
         return pd.Series([leaf[ends[i]:ends[i + 1]] for i in range(len(x))], dtype=object)
 
-    return rec.withColumn("_first", near(*cols)), lambda frame, distance: frame.withColumn("_all", within(distance, *cols))
+    return rec.withColumn("_first", near("_view", *cols)), lambda frame, distance: frame.withColumn("_all", within(distance, "_view", *cols))
 
 
 def knn_impute(df: DataFrame, key: str, target: str, features: Sequence[str], k: int = 5,
@@ -416,24 +464,28 @@ def knn_impute(df: DataFrame, key: str, target: str, features: Sequence[str], k:
     again by ``_split_leaves``, so leaves hold a few times k donors however
     many there are and however the values spread; of donors with the same coordinates only the
     first k by key can count and only they are kept, so a point that many
-    share is no large leaf. A donor is in one leaf, whatever the number of
-    features and null patterns.
+    share is no large leaf. A receiver without some column cannot tell donors
+    apart that differ only there, and all of these are equally far: where many
+    are, receivers of that null pattern look among the first k of each such
+    point (``_tied_views``), not among all of them, whose number grows with the table.
     """
     out = out or target
     donors = df if donors is None else donors
     feats = list(features)
     m_total = len(feats) + 1
-    same = Window.partitionBy(*[f"_d_{f}" for f in feats]).orderBy("_dk")
     all_donors = donors.filter(F.col(target).isNotNull()).select(
         F.col(key).alias("_dk"), _d(target).alias("_dv"), *[_d(f).alias(f"_d_{f}") for f in feats])
     rec = (df.filter(F.col(target).isNull()).select(F.col(key).alias("_rk"), *[_d(f).alias(f"_r_{f}") for f in feats])
-           .filter(_pattern(feats, "_r_") > 0))
+           .withColumn("_view", _pattern(feats, "_r_")).filter("_view > 0"))
     col_mean = fit_row(all_donors, F.avg("_dv").alias("m"))["m"]
-    don = cut_lineage(all_donors.withColumn("_nth", F.row_number().over(same)).filter(F.col("_nth") <= k).drop("_nth"))
-    tree, placed = _donor_tree(don, feats, k)
+    cols = [f"_d_{f}" for f in feats]
+    don = cut_lineage(_first_k(all_donors, cols, k))
+    tied = _tied_views(don, cols, k, [r["_view"] for r in rec.select("_view").distinct().collect()])
+    rec = rec.withColumn("_view", F.when(F.col("_view").isin(tied), F.col("_view")).otherwise(F.lit((1 << len(feats)) - 1)))
+    tree, placed = _donor_tree(don, feats, k, tied)
     if not tree.roots:
         return df.withColumn(out, F.coalesce(_d(target), F.lit(col_mean).cast("double")))
-    cols, rcols = [f"_d_{f}" for f in feats], [f"_r_{f}" for f in feats]
+    rcols = [f"_r_{f}" for f in feats]
     most = int(tree.n[tree.leaf >= 0].max())
     placed, levels = _split_leaves(cut_lineage(placed.withColumn("_leaf", F.col("_leaf") + TOP_NODE)), cols, LEAF_K * k, most)
     dist = _knn_distance(feats, m_total)
@@ -454,7 +506,8 @@ def knn_impute(df: DataFrame, key: str, target: str, features: Sequence[str], k:
     top = cut_lineage(_top_k(pairs, k))
     reach = top.groupBy("_rk").agg(F.max("_dist").alias("_far"), F.count(F.lit(1)).alias("_n"))
     full = reach.filter(F.col("_n") >= k).drop("_n")
-    second = add_within(first.drop("_first").join(full, "_rk"), F.col("_far"))
+    # few bytes that become many rows: spread before they do
+    second = add_within(first.drop("_first").join(full, "_rk").repartition(_partitions(df, None), "_rk"), F.col("_far"))
     second = _descend(second.select("_rk", "_far", *rcols, F.explode("_all").alias("_leaf")), levels, not_farther)
     # the second look meets the donors of the first again; only those that are no farther go into the sort
     closer = second.join(placed, "_leaf").withColumn("_dist", dist).filter(F.col("_dist") <= F.col("_far")).select("_rk", "_dk", "_dv", "_dist")
