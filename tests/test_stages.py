@@ -226,3 +226,35 @@ def test_linear_paths_equal_plain_fits(spark):
             assert abs(slope[j]) <= 0.3 * l1 + 1e-6 if w[j] == 0 else slope[j] == pytest.approx(0.3 * l1 * np.sign(w[j]), abs=1e-6)
     curve = L.linear_learning_curve(df, "id", feats, "y", "fold").collect()
     assert [r["train_fraction"] for r in curve] == [d / 10 for d in range(1, 11)] and curve[-1]["cv_rmse"] < 1.2
+
+
+def test_huber_rounds_read_their_rows_without_features(spark, monkeypatch):
+    """Quantiles and leaf means of a round come from a kept frame of labels, predictions and leaves, not from the trees run again."""
+    from valuator.operators import huber as H
+    plans, quantiles = [], H.group_quantiles
+    monkeypatch.setattr(H, "group_quantiles", lambda df, *more: plans.append(df._jdf.queryExecution().executedPlan().toString()) or quantiles(df, *more))
+    rng = random.Random(1)
+    df = spark.createDataFrame([(x, 3 * x + rng.random()) for x in (rng.random() for _ in range(200))], "x double, y double")
+    model = M.regression_pipeline(["x"], "y", "huber", params={"maxIter": 3, "maxDepth": 2}).fit(df)
+    assert len(model.stages[-1].trees) == len(plans) == 3 and all("InMemoryTableScan" in p for p in plans)
+
+
+def test_fits_of_large_frames_use_all_cores(spark, monkeypatch):
+    from valuator.plans import strategy as S
+    monkeypatch.setattr(S, "SPREAD_ROWS", 100)
+    pipeline, parts = M.regression_pipeline, []
+
+    class Seen:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def fit(self, rows):
+            parts.append(rows.rdd.getNumPartitions())
+            return self.inner.fit(rows)
+
+    monkeypatch.setattr(M, "regression_pipeline", lambda *a, **more: Seen(pipeline(*a, **more)))
+    df = spark.createDataFrame(listings(300), SCHEMA).coalesce(1)
+    run = M.oof_run(df, "id", ["x"], "price", "fold", "linear")
+    M.learning_curve(df, "id", ["x"], "price", "fold", sizes=(0.5, 1.0), kind="linear")
+    assert run.oof.count() == 300 and len(parts) > 2 and min(parts) >= spark.sparkContext.defaultParallelism
+    assert M.fits_at_a_time(1_000) == M.PARALLEL_FITS and M.fits_at_a_time(10 * M.FIT_ROWS) == 1 and M.fits_at_a_time(0, 3) == 3

@@ -655,6 +655,7 @@ def impute_selected_model(df: DataFrame, target: str, candidates: Sequence[str],
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
     from valuator.operators.profile import f_score_select, mutual_info_select
+    from valuator.operators.train import training_rows
     n_keep = max(1, int(len(candidates) * ratio))
     if select == "f_score":
         feats = [r["feature"] for r in f_score_select(df, candidates, target, n_keep).orderBy("rank").collect()]
@@ -665,7 +666,7 @@ def impute_selected_model(df: DataFrame, target: str, candidates: Sequence[str],
     else:
         raise ValueError("select must be f_score|mutual_info|forest")
     cast = df.withColumns({f: _d(f) for f in feats}).withColumn(target, _d(target))
-    known = cast.filter(F.col(target).isNotNull())
+    known, _n = training_rows(cast.filter(F.col(target).isNotNull()), [*feats, target])
     best_name, best_rmse, best_model = None, float("inf"), None
     for name, est in (("linear", LinearRegression(featuresCol="_fv", labelCol=target, predictionCol="_pred")),
                       ("forest", RandomForestRegressor(featuresCol="_fv", labelCol=target, predictionCol="_pred",
@@ -680,6 +681,7 @@ def impute_selected_model(df: DataFrame, target: str, candidates: Sequence[str],
         m = cv.fit(known)
         if m.avgMetrics[0] < best_rmse:
             best_name, best_rmse, best_model = name, m.avgMetrics[0], m.bestModel
+    known.unpersist()
     scored = best_model.transform(cast)
     out = scored.withColumn(target, F.coalesce(F.col(target), F.col("_pred")))
     return out.drop("_fv", "_pred", *[f"_i_{f}" for f in feats]), best_name
