@@ -325,3 +325,46 @@ def test_merged_blocks_equal_one_block():
             counts[at] = n + 1, same + equal
     assert html_extract._constants(merged, counts, len(pages)) == html_extract.learn(pages)
     assert html_extract.main_text(page.format("new", "<li>x</li>"), html_extract.learn(pages)) == "x new"
+
+
+def test_matching_equals_all_pairs_and_asks_little():
+    import random
+    rnd = random.Random(4)
+
+    def brute(a, b, weight):
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in reversed(range(len(a))):
+            for j in reversed(range(len(b))):
+                x = weight(a[i], b[j])
+                best[i][j] = max(best[i + 1][j], best[i][j + 1], x + best[i + 1][j + 1] if x else 0)
+        return best[0][0]
+
+    asked = 0
+
+    def weight(x, y):
+        nonlocal asked
+        asked += 1
+        return 1 + (x[1] == y[1]) * 8 if x[0] == y[0] else 0
+
+    for _ in range(300):
+        a, b = ([(rnd.choice("abcdef"), rnd.randrange(3)) for _ in range(rnd.randrange(9))] for _ in range(2))
+        got = html_extract._matching(a, b, [x[0] for x in a], [x[0] for x in b], weight)
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(got, got[1:]))
+        assert sum(weight(a[i], b[j]) for i, j in got) == brute(a, b, weight)
+    names, asked = [f"n{i}" for i in range(200)], 0
+    assert html_extract._matching([(x, 0) for x in names], [(x, 0) for x in names[::2]], names, names[::2], weight) == [(2 * i, i) for i in range(100)]
+    assert asked <= 100  # not one of all 20,000 pairs
+
+
+def test_outline_collapses_a_text_once(monkeypatch):
+    page = html_extract.parse("<div> a <b>b</b>c\n " * 40 + "<p>x</p> <p> y</p><script>s</script>" + "<i>z</i>" * 5)
+    done, split = [], html_extract._collapsed
+    monkeypatch.setattr(html_extract, "_collapsed", lambda raw: done.append(len(raw)) or split(raw))
+
+    def check(node, out):
+        assert out[:2] == [html_extract.label(node), html_extract.digest(node)]
+        for kid, below in zip(html_extract.elements(node), out[2]):
+            check(kid, below)
+
+    check(page, html_extract.outline(page))
+    assert sum(done) == len(html_extract._raw(page))  # not once a level
