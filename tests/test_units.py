@@ -717,3 +717,33 @@ def test_mixtures_of_all_sizes_share_each_pass(spark):
         both = own.transform(rows).withColumn("_c", MX.component(m, "_x")).select("prediction", "_c").collect()
         assert all(r["prediction"] == r["_c"] for r in both)
     rows.unpersist()
+
+
+def test_mutual_information_of_neighbours_in_many_cells(spark, monkeypatch):
+    """Points look into other cells, rows have their ends in two chunks, a value that many rows share is several calls' work."""
+    import numpy as np
+
+    from valuator.operators import normality as R
+    rnd, n, k = random.Random(5), 900, 3
+    hot = [rnd.choice([0.0, 0.0, 1.0, rnd.gauss(0, 1)]) for _ in range(n)]
+    data = [(rnd.gauss(0, 1), h, math.exp(rnd.gauss(0, 2)), 7.0, round(rnd.gauss(0, 1), 1 + i % 2)) for i, h in enumerate(hot)]
+    data += data[:200] + data[:50] * 3
+    df = spark.createDataFrame(data, "a double, b double, c double, d double, y double")
+    visited = []
+    cells = R._cells
+    monkeypatch.setattr(R, "_cells", lambda *a: visited.append(cells(*a).select("_cell").distinct().count()) or cells(*a))
+    for cell, counted in ((40, 30), (300, 1 << 18)):
+        monkeypatch.setattr(R, "CELL_POINTS", cell)
+        monkeypatch.setattr(R, "COUNTED_POINTS", counted)
+        got = {r["feature"]: r["mutual_info"] for r in R.neighbour_mutual_info(df, ["a", "b", "c", "d"], "y", k).collect()}
+        assert visited.pop() > 4 * 700 // cell
+        for i, c in enumerate("abcd"):
+            q = np.array([(r[i], r[4]) for r in data])
+            q = np.floor((q - q.mean(axis=0)) / np.where(q.std(axis=0) > 0, q.std(axis=0), 1) * (1 << 20) + 0.5).astype(np.int64)
+            dx, dy = (abs(q[:, None, j] - q[None, :, j]) for j in (0, 1))
+            d = np.maximum(dx, dy)
+            np.fill_diagonal(d, 1 << 60)
+            reach = np.maximum(np.sort(d, axis=1)[:, k - 1] - 1, 0)[:, None]
+            psi = np.concatenate([[np.nan, 0], np.cumsum(1 / np.arange(1, len(q) + 1))]) - 0.5772156649015329
+            info = max(0.0, psi[len(q)] + psi[k] - psi[(dx <= reach).sum(1)].mean() - psi[(dy <= reach).sum(1)].mean())
+            assert abs(got[c] - info) < 1e-7, (c, got[c], info)

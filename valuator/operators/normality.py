@@ -5,10 +5,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from valuator.plans.strategy import attach_state, fit_row, prefix_sums, ranked
+from valuator.plans.strategy import _cuts_below, attach_state, fit_row, prefix_sums, ranked
 from valuator.session import cut_lineage
 
 # Wichura's rational approximation of the normal quantile (AS 241), numerators and
@@ -121,8 +123,11 @@ def boxcox_normal_scores(df: DataFrame, cols: Sequence[str], skew_threshold: flo
 
 
 # ---------------------------------------------------------------------- N14
-#: Steps of the lattice a standard deviation, bits of a group in the order of all values, and points of a cell.
-LATTICE, GROUP_BITS, CELL_POINTS = 1 << 20, 44, 64
+#: Steps of the lattice a standard deviation, bits of a group in the order of all values, points of a cell and of a leaf in it,
+#: cuts that a strip can be divided by, and points that are counted in one go.
+LATTICE, GROUP_BITS, CELL_POINTS, LEAF, MOST_CUTS, COUNTED_POINTS = 1 << 20, 44, 1 << 15, 32, 1024, 1 << 18
+#: More than any distance, and the farthest look.
+FAR, REACH = 1 << 60, 1 << 45
 
 
 def digamma(m: Column) -> Column:
@@ -134,42 +139,109 @@ def digamma(m: Column) -> Column:
     return out
 
 
-def _below(table: Column, v: Column, most: int, strict: bool) -> Column:
-    """How many of the ascending values of an array of at most ``most`` are below v (not above v if not strict)."""
-    steps = [1 << i for i in range(max(most, 1).bit_length() - 1, -1, -1)]
-
-    def go(n: Column, s: Column) -> Column:
-        at = F.get(table, n + s - 1)
-        return F.when(at < v if strict else at <= v, n + s).otherwise(n)
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), go)
-
-
-def _near(points: Column, k: int, limit: Column | None = None) -> Column:
-    """The k least distances from (x, y) to other rows of a cell, repeats included; only those under ``limit``."""
-    def distance(m: Column) -> Column:
-        return F.greatest(F.abs(m["x"] - F.col("x")), F.abs(m["y"] - F.col("y")))
-
-    def others(m: Column) -> Column:
-        own = F.when((m["x"] == F.col("x")) & (m["y"] == F.col("y")), 1).otherwise(0)
-        return F.array_repeat(distance(m), F.least(m["w"] - own, F.lit(k)).cast("int"))
-    kept = points if limit is None else F.filter(points, lambda m: distance(m) < limit)
-    return F.slice(F.sort_array(F.flatten(F.transform(kept, others))), 1, k)
+class _Leaves:
+    """Points in strips by x, each cut by y into leaves of as many points, so that a search meets few of them."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, k: int):
+        n, self.size = len(x), max(LEAF, 2 * k)
+        m = -(-n // self.size)
+        wide, high = (float(np.subtract(*np.quantile(v, [0.95, 0.05]))) + 1.0 for v in (x, y))
+        strips = int(min(max(round(math.sqrt(m * wide / high)), 1), m, 1 << 14))
+        rows = self.size * -(-m // strips)
+        order = np.lexsort((y, x))
+        strip = np.arange(n) // rows
+        self.order = order[np.lexsort((y[order], strip))]
+        x, y = x[self.order], y[self.order]
+        self.x, self.y = (np.concatenate([v, np.full(m * self.size - n, FAR)]).reshape(m, self.size) for v in (x, y))
+        starts = np.arange(0, n, rows)
+        self.x0, self.x1 = np.minimum.reduceat(x, starts), np.maximum.reduceat(x, starts)
+        # leaves follow each other by strip and y
+        base = (np.arange(m) * self.size // rows) * (REACH << 2)
+        self.y0, self.y1 = base + self.y[:, 0], base + y[np.minimum(np.arange(1, m + 1) * self.size, n) - 1]
+
+    def nearest(self, k: int) -> np.ndarray:
+        """The k least distances of each point to others of its leaf, in leaf order; FAR where there are fewer."""
+        out = np.empty((*self.x.shape, k), dtype=np.int64)
+        own = np.arange(self.size)
+        for i in range(0, len(self.x), 256):
+            x, y = self.x[i:i + 256], self.y[i:i + 256]
+            d = np.maximum(np.abs(x[:, :, None] - x[:, None, :]), np.abs(y[:, :, None] - y[:, None, :]))
+            d[:, own, own] = FAR
+            out[i:i + 256] = np.sort(np.partition(d, k - 1, axis=2)[:, :, :k], axis=2)
+        return np.where(out < FAR >> 1, out, FAR).reshape(-1, k)
+
+    def closer(self, near: np.ndarray, x: np.ndarray, y: np.ndarray, own: np.ndarray | None = None) -> np.ndarray:
+        """``near`` with what is closer than its last column in any leaf but the ``own`` one of each point."""
+        near, k = near.copy(), near.shape[1]
+        asked = np.flatnonzero(near[:, -1] > 0)
+        for begin in range(0, len(asked), 8192):
+            q = asked[begin:begin + 8192]
+            r = np.minimum(near[q, -1] - 1, REACH)
+            first = np.searchsorted(self.x1, x[q] - r)
+            at, strip = _ranges(first, np.searchsorted(self.x0, x[q] + r, "right"))
+            base = strip * (REACH << 2) + y[q][at]
+            which, leaf = _ranges(np.searchsorted(self.y1, base - r[at]), np.searchsorted(self.y0, base + r[at], "right"))
+            at = at[which]
+            if own is not None:
+                other = leaf != own[q][at]
+                at, leaf = at[other], leaf[other]
+            who, far = [], []
+            for i in range(0, len(at), 8192):
+                a, c = at[i:i + 8192], leaf[i:i + 8192]
+                d = np.maximum(np.abs(self.x[c] - x[q][a][:, None]), np.abs(self.y[c] - y[q][a][:, None]))
+                row, col = np.nonzero(d <= r[a][:, None])
+                who.append(a[row])
+                far.append(d[row, col])
+            met = np.unique(np.concatenate(who)) if who else np.empty(0, dtype=np.int64)
+            if len(met):
+                who = np.concatenate([*who, np.repeat(met, k)])
+                far = np.concatenate([*far, near[q[met]].ravel()])
+                order = np.lexsort((far, who))
+                who, far = who[order], far[order]
+                nth = np.arange(len(who)) - np.searchsorted(who, who)
+                near[q[who[nth < k]], nth[nth < k]] = far[nth < k]
+        return near
+
+
+def _ranges(first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the range, value) of all whole numbers from ``first`` to under ``end``."""
+    n = np.maximum(end - first, 0)
+    which = np.repeat(np.arange(len(n)), n)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + first[which]
 
 
 def _cells(points: DataFrame, sizes: dict[int, int]) -> DataFrame:
-    """Points with their strip and cell: strips of equal numbers of points by x, each cut by y into cells of
-    CELL_POINTS to twice as many (all in one if there are fewer)."""
-    most = max(sizes) + 1
-    def of(values: dict[int, int]) -> Column:
-        return F.get(F.array(*[F.lit(int(values.get(i, 1))).cast("long") for i in range(most)]), F.col("_f"))
-    rows = {i: CELL_POINTS * math.ceil(math.sqrt(n / CELL_POINTS)) for i, n in sizes.items()}
-    strips = {i: max(n // rows[i], 1) for i, n in sizes.items()}
-    r = ranked(points, ["_f"], ["x", "y"], out="_r")
-    r = r.withColumn("_strip", F.least(F.floor((F.col("_r") - 1) / of(rows)), of(strips) - 1).cast("long")).drop("_r")
-    r = ranked(r, ["_f", "_strip"], ["y", "x"], out="_r")
-    size = F.when(F.col("_strip") == of(strips) - 1, of(sizes) - of(rows) * (of(strips) - 1)).otherwise(of(rows))
-    cells = F.greatest(F.floor(size / CELL_POINTS), F.lit(1))
-    return r.withColumn("_cell", F.least(F.floor((F.col("_r") - 1) / CELL_POINTS), cells - 1).cast("long")).drop("_r")
+    """Points with their cell, a number: strips by quantiles of x, each cut by quantiles of y. Any cuts give the same
+    distances; a strip of more points has more of them. The cuts, one a cell, are the driver's."""
+    strips = {i: math.ceil(math.sqrt(n / CELL_POINTS)) for i, n in sizes.items()}
+    most, half = max(strips.values()), 1 << (GROUP_BITS - 1)
+    # a feature, and a strip, begins half a group before its zero
+    cuts = [(i << GROUP_BITS) - half for i in sorted(sizes)]
+    if most > 1:
+        for r in points.groupBy("_f").agg(F.percentile_approx("x", [j / 64 / most for j in range(1, 64 * most)], 10_000).alias("q")).collect():
+            cuts += [(r["_f"] << GROUP_BITS) + r["q"][64 * most * j // strips[r["_f"]] - 1] for j in range(1, strips[r["_f"]])]
+
+    def place(rows: DataFrame, group: str, v: str, cuts: list[int], out: str, schema: str) -> DataFrame:
+        table = np.array(sorted(set(cuts)), dtype=np.int64)
+
+        def below(batches):
+            for b in batches:
+                b[out] = np.searchsorted(table, (b[group].to_numpy().astype(np.int64) << GROUP_BITS) + b[v].to_numpy())
+                yield b
+
+        return rows.mapInPandas(below, schema)
+
+    schema = "_f int, x long, y long, w long"
+    placed = place(points.select("_f", "x", "y", "w"), "_f", "x", cuts, "_strip", f"{schema}, _strip int")
+    if sum(sizes.values()) > CELL_POINTS:
+        of = placed.groupBy("_strip").agg(F.percentile_approx("y", [j / MOST_CUTS for j in range(1, MOST_CUTS)], 10_000).alias("q"),
+                                          F.count(F.lit(1)).alias("n"))
+        step = F.ceil(F.lit(MOST_CUTS * CELL_POINTS) / F.col("n"))
+        inner = of.select("_strip", F.filter("q", lambda v, j: (j + 1) % step == 0).alias("q")).collect()
+    else:
+        inner = [{"_strip": i, "q": []} for i in range(len(cuts) + 1)]
+    cuts = [(r["_strip"] << GROUP_BITS) + v for r in inner for v in [-half, *r["q"]]]
+    return place(placed, "_strip", "y", cuts, "_cell", f"{schema}, _strip int, _cell int").drop("_strip")
 
 
 def _kth_distance(points: DataFrame, sizes: dict[int, int], k: int) -> DataFrame:
@@ -177,32 +249,143 @@ def _kth_distance(points: DataFrame, sizes: dict[int, int], k: int) -> DataFrame
 
     A point first meets its own cell, whose k-th distance bounds the answer,
     then every other cell that reaches into the square of that bound. A cell
-    is one row with an array of at most twice CELL_POINTS points, and of each
-    meeting only k distances go on."""
+    is one task's call; a point that looks beyond it goes there with its bound,
+    and only what is closer comes back."""
     placed = cut_lineage(_cells(points, sizes))
-    key = ["_f", "_strip", "_cell"]
-    cells = cut_lineage(placed.groupBy(*key).agg(
-        F.collect_list(F.struct("x", "y", "w")).alias("_points"), F.min("x").alias("_x0"), F.max("x").alias("_x1"),
-        F.min("y").alias("_y0"), F.max("y").alias("_y1")))
-    first = cut_lineage(placed.join(cells.select(*key, "_points"), key).withColumn("_near", _near(F.col("_points"), k)).drop("_points"))
-    # in a strip cells follow each other by y, strips follow each other by x: ranges of both are found by binary search
-    by_strip = cells.groupBy("_f", "_strip").agg(F.sort_array(F.collect_list("_y0")).alias("_y0s"), F.sort_array(F.collect_list("_y1")).alias("_y1s"),
-                                                 F.min("_x0").alias("_x0"), F.max("_x1").alias("_x1"))
-    by_feature = by_strip.groupBy("_f").agg(F.sort_array(F.collect_list("_x0")).alias("_x0s"), F.sort_array(F.collect_list("_x1")).alias("_x1s"))
-    most = max(math.ceil(math.sqrt(n / CELL_POINTS)) for n in sizes.values()) * 2 + 2
-    reach = F.get("_near", F.lit(k - 1)) - 1  # only what is nearer than the bound counts
-    looking = first.select(*key, "x", "y", "w", reach.alias("_reach")).filter("_reach >= 0")
-    strips = attach_state(looking, by_feature, "_f", "inner").withColumn("_s", F.explode(F.sequence(
-        _below(F.col("_x1s"), F.col("x") - F.col("_reach"), most, True), _below(F.col("_x0s"), F.col("x") + F.col("_reach"), most, False) - 1)))
-    strips = strips.select("_f", F.col("_strip").alias("_own_strip"), F.col("_cell").alias("_own_cell"), "x", "y", "w", "_reach", F.col("_s").cast("long").alias("_strip"))
-    spans = attach_state(strips, by_strip.select("_f", "_strip", "_y0s", "_y1s"), ["_f", "_strip"], "inner")
-    low, high = _below(F.col("_y1s"), F.col("y") - F.col("_reach"), most, True), _below(F.col("_y0s"), F.col("y") + F.col("_reach"), most, False) - 1
-    guests = (spans.withColumn("_c", F.when(low <= high, F.sequence(low, high))).withColumn("_cell", F.explode("_c")).withColumn("_cell", F.col("_cell").cast("long"))
-              .filter("_strip <> _own_strip OR _cell <> _own_cell").select(*key, "x", "y", "w", "_reach"))
-    more = guests.join(cells.select(*key, "_points"), key).select("_f", "x", "y", "w", _near(F.col("_points"), k, F.col("_reach") + 1).alias("_near"))
-    both = first.select("_f", "x", "y", "w", "_near").unionByName(more.filter(F.size("_near") > 0))
-    merged = both.groupBy("_f", "x", "y", "w").agg(F.sort_array(F.flatten(F.collect_list("_near"))).alias("_near"))
-    return merged.select("_f", "x", "y", "w", F.get("_near", F.lit(k - 1)).alias("d"))
+    found = placed.groupBy("_cell", "_f").agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).collect()
+    cells = {i: np.array([[r["_cell"], *r[2:]] for r in found if r["_f"] == i], dtype=np.int64) for i in sizes}
+
+    def own(group: pd.DataFrame) -> pd.DataFrame:
+        x, y, w = (group[c].to_numpy() for c in "xyw")
+        copies = np.minimum(w, k + 1)  # more would not change the k nearest
+        leaves = _Leaves(np.repeat(x, copies), np.repeat(y, copies), k)
+        at = np.empty(len(leaves.order), dtype=np.int64)
+        at[leaves.order] = np.arange(len(leaves.order))
+        at = at[np.cumsum(copies) - copies]
+        near = leaves.closer(leaves.nearest(k)[at], x, y, at // leaves.size)
+        others = cells[int(group["_f"].iloc[0])]
+        others = others[others[:, 0] != int(group["_cell"].iloc[0])]
+        r = np.minimum(near[:, -1] - 1, REACH)
+        looking = np.flatnonzero((r >= 0) & ((x - r < x.min()) | (x + r > x.max()) | (y - r < y.min()) | (y + r > y.max())))
+        lists, beyond = np.full(len(x), None, dtype=object), np.full(len(x), None, dtype=object)
+        for i in range(0, len(looking) if len(others) else 0, 2048):
+            q = looking[i:i + 2048]
+            reach = r[q][:, None]
+            meets = ((others[:, 1] <= x[q][:, None] + reach) & (others[:, 2] >= x[q][:, None] - reach)
+                     & (others[:, 3] <= y[q][:, None] + reach) & (others[:, 4] >= y[q][:, None] - reach))
+            for j in np.flatnonzero(meets.any(axis=1)):
+                lists[q[j]], beyond[q[j]] = near[q[j]], others[meets[j], 0]
+        return pd.DataFrame({"_f": group["_f"], "x": x, "y": y, "w": w, "d": near[:, -1], "_near": lists, "_beyond": beyond})
+
+    first = cut_lineage(placed.groupBy("_cell").applyInPandas(own, "_f int, x long, y long, w long, d long, _near array<long>, _beyond array<int>"))
+    d = F.when(F.col("d") < FAR, F.col("d")).alias("d")
+    alone = first.filter("_beyond IS NULL").select("_f", "x", "y", "w", d)
+    if len(found) == len(cells):
+        return alone  # one cell a feature
+    looking = first.filter("_beyond IS NOT NULL").select("_f", "x", "y", "w", "_near", "_beyond")
+
+    def visit(guests: pd.DataFrame, hosts: pd.DataFrame) -> pd.DataFrame:
+        x, y = guests["x"].to_numpy(), guests["y"].to_numpy()
+        near = np.full((len(x), k), FAR)
+        if len(guests) and len(hosts):
+            copies = np.minimum(hosts["w"].to_numpy(), k)
+            bound = guests["d"].to_numpy()
+            leaves = _Leaves(np.repeat(hosts["x"].to_numpy(), copies), np.repeat(hosts["y"].to_numpy(), copies), k)
+            near = leaves.closer(np.repeat(bound[:, None], k, axis=1), x, y)
+            near[near >= bound[:, None]] = FAR
+        some = np.flatnonzero(near.min(axis=1) < FAR) if len(x) else []
+        return pd.DataFrame({"_f": guests["_f"].iloc[some], "x": x[some], "y": y[some], "w": guests["w"].iloc[some],
+                             "_near": pd.Series([v[v < FAR] for v in near[some]], dtype=object, index=guests.index[some])})
+
+    guests = looking.select("_f", "x", "y", "w", F.get("_near", F.lit(k - 1)).alias("d"), F.explode("_beyond").alias("_cell"))
+    more = (guests.groupBy("_cell").cogroup(placed.select("x", "y", "w", "_cell").groupBy("_cell"))
+            .applyInPandas(visit, "_f int, x long, y long, w long, _near array<long>"))
+    merged = looking.drop("_beyond").unionByName(more).groupBy("_f", "x", "y", "w").agg(
+        F.sort_array(F.flatten(F.collect_list("_near"))).alias("_near"))
+    return alone.unionByName(merged.select("_f", "x", "y", "w", F.get("_near", F.lit(k - 1)).alias("d")).select("_f", "x", "y", "w", d))
+
+
+def _digamma(m: np.ndarray) -> np.ndarray:
+    z = m + 10.0
+    out = np.log(z) - 0.5 / z - 1.0 / (z * z * 12.0) + 1.0 / (z * z * z * z * 120.0)
+    for i in range(10):
+        out = out - 1.0 / (m + i)
+    return out
+
+
+def _mean_digamma(points: DataFrame, near: DataFrame) -> DataFrame:
+    """(_f, _psi): both sides' means over rows of the digamma of how many rows are within ``_reach`` of a coordinate.
+
+    Both coordinates of all features are in one order, a group of values each, far apart. The order is cut into
+    chunks; rows look up both ends in their chunk's running sums, rows whose ends are in two chunks look up one at a time."""
+    def sides(rows: DataFrame, *cols: str) -> DataFrame:
+        each = F.array(*[F.struct((F.col("_f") * 2 + j).cast("long").alias("g"), F.col(c).alias("v")) for j, c in enumerate("xy")])
+        return rows.select(F.explode(each).alias("s"), "w", *cols).select(
+            "s.g", (F.col("s.g") * F.lit(1 << GROUP_BITS) + F.col("s.v")).alias("_at"), "w", *cols)
+
+    values = cut_lineage(sides(points).groupBy("_at").agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("n")))
+    rows = values.agg(F.sum("n")).first()[0]
+    n = min(-(-rows // COUNTED_POINTS), 4096)
+    cuts = sorted({*values.agg(F.percentile_approx("_at", [i / n for i in range(1, n)], 10_000)).first()[0]}) if n > 1 else []
+    table = cut_lineage(values.select("_at", "w", "n", _cuts_below(F.col("_at").cast("double"), [float(c) for c in cuts]).alias("_chunk")))
+    totals = {r["_chunk"]: (r["w"], r["n"]) for r in table.groupBy("_chunk").agg(F.sum("w").alias("w"), F.sum("n").alias("n")).collect()}
+    parts = [-(-totals.get(i, (0, 1))[1] // COUNTED_POINTS) for i in range(len(cuts) + 1)]
+    before, upto = [], 0
+    for i in range(len(cuts) + 1):
+        before.append(upto)
+        upto += totals.get(i, (0, 0))[0]
+
+    # a chunk with more rows than go together, such as one of a value that many rows share, is given to several calls
+    def part_of(chunk: str) -> Column:
+        return F.get(F.expr("array(" + ", ".join(map(str, parts)) + ")"), F.col(chunk))
+    spread = table.select("_at", "w", "_chunk", F.explode(F.sequence(F.lit(0), part_of("_chunk") - 1)).alias("_part"))
+    ends_of, parts_of = np.array(cuts, dtype=np.int64), np.array(parts, dtype=np.int64)
+
+    def ask(batches):
+        for b in batches:
+            f, w, reach = (b[c].to_numpy() for c in ("_f", "w", "_reach"))
+            mixed = ((b["x"].to_numpy() * 0x9E3779B1 + b["y"].to_numpy()) * 0x85EBCA77 >> 16) & 0x7FFFFFFF
+            for j, c in enumerate("xy"):
+                g = f.astype(np.int64) * 2 + j
+                at = (g << GROUP_BITS) + b[c].to_numpy()
+                chunk, last = np.searchsorted(ends_of, at - reach), np.searchsorted(ends_of, at + reach)
+                yield pd.DataFrame({"g": g, "w": w, "_lo": at - reach, "_hi": at + reach, "_chunk": chunk, "_last": last, "_part": mixed % parts_of[chunk]})
+
+    asked = near.mapInPandas(ask, "g long, w long, _lo long, _hi long, _chunk int, _last int, _part int")
+
+    def sums(table: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        table = table.sort_values("_at")
+        return table["_at"].to_numpy(), np.concatenate([[0], np.cumsum(table["w"].to_numpy())])
+
+    def count(rows: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
+        at, cum = sums(table)
+        n = cum[np.searchsorted(at, rows["_hi"].to_numpy(), "right")] - cum[np.searchsorted(at, rows["_lo"].to_numpy())]
+        w = rows["w"].to_numpy()
+        out = pd.DataFrame({"g": rows["g"], "_psi": w * _digamma(n.astype(float)), "w": w})
+        return out.groupby("g", as_index=False).sum()
+
+    within = (asked.filter("_chunk = _last").select("g", "w", "_lo", "_hi", "_chunk", "_part").groupBy("_chunk", "_part")
+              .cogroup(spread.groupBy("_chunk", "_part")).applyInPandas(count, "g long, _psi double, w long"))
+    if not cuts:
+        across = None
+    else:
+        def one_end(rows: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
+            at, cum = sums(table)
+            end, high = rows["_end"].to_numpy(), rows["_high"].to_numpy()
+            n = np.where(high, cum[np.searchsorted(at, end, "right")], -cum[np.searchsorted(at, end)])
+            base = np.array(before, dtype=np.int64)[rows["_chunk"].to_numpy()]
+            return rows[["g", "w", "_lo", "_hi"]].assign(n=n + np.where(high, base, -base))
+
+        ends = F.array(F.struct(F.col("_lo").alias("_end"), "_chunk", F.lit(False).alias("_high")),
+                       F.struct(F.col("_hi").alias("_end"), F.col("_last").alias("_chunk"), F.lit(True).alias("_high")))
+        two = (asked.filter("_chunk <> _last").groupBy("g", "_lo", "_hi", "_chunk", "_last").agg(F.sum("w").alias("w"))
+               .select("g", "w", "_lo", "_hi", F.explode(ends).alias("e")).select("g", "w", "_lo", "_hi", "e.*"))
+        two = (two.withColumn("_part", F.pmod(F.xxhash64("_lo", "_hi"), part_of("_chunk")).cast("int")).groupBy("_chunk", "_part")
+               .cogroup(spread.groupBy("_chunk", "_part")).applyInPandas(one_end, "g long, w long, _lo long, _hi long, n long"))
+        across = (two.groupBy("g", "w", "_lo", "_hi").agg(F.sum("n").cast("double").alias("n"))
+                  .groupBy("g").agg(F.sum(F.col("w") * digamma(F.col("n"))).alias("_psi"), F.sum("w").alias("w")))
+    means = (within if across is None else within.unionByName(across)).groupBy("g").agg((F.sum("_psi") / F.sum("w")).alias("_psi"))
+    return means.groupBy(F.expr("cast(g div 2 as int)").alias("_f")).agg(F.sum("_psi").alias("_psi"))
 
 
 def neighbour_mutual_info(df: DataFrame, features: Sequence[str], target: str, neighbours: int = 3,
@@ -215,8 +398,8 @@ def neighbour_mutual_info(df: DataFrame, features: Sequence[str], target: str, n
     whole numbers and ties are exact: at distance 0 the rows of equal value
     count. Equal points are one row with a weight, so a value that a third of
     the rows share costs no more than another. Neighbours come from cells of
-    64 to 127 points, counts of both sides from running sums over the values
-    in order; no pairs of rows beyond neighbouring cells are made.
+    some 32,768 points, cut into leaves of 32, counts of both sides from running
+    sums over the values in order; no pairs of rows beyond neighbouring leaves are made.
     Rows without the feature or the target (null, NaN, infinite) do not count
     for that feature; with ``neighbours`` rows or fewer the result is null.
     ``stats_digits`` rounds means and deviations, for equal results in another engine.
@@ -249,22 +432,10 @@ def neighbour_mutual_info(df: DataFrame, features: Sequence[str], target: str, n
     names = spark.createDataFrame([(i, c, int(total.get(i, (0, 0))[1])) for i, c in enumerate(features)], "_f int, feature string, n long")
     if not enough:
         return names.select("feature", "n", F.lit(None).cast("double").alias("mutual_info"))
-    near = _kth_distance(points.filter(F.col("_f").isin(list(enough))), enough, k)
-    near = cut_lineage(near.withColumn("_reach", F.greatest(F.col("d") - 1, F.lit(0))))
-    # both coordinates of all features in one order: a group of values each, far apart
-    sides = F.array(*[F.struct((F.col("_f") * 2 + j).cast("long").alias("g"), F.col(c).alias("v")) for j, c in enumerate("xy")])
-    each = near.select(F.explode(sides).alias("s"), "w", "_reach").select("s.*", "w", "_reach")
-    shift = F.col("g") * F.lit(1 << GROUP_BITS)
-    asked = cut_lineage(each.groupBy("g", "v", "_reach").agg(F.sum("w").alias("w")).select(
-        "g", "w", (shift + F.col("v")).alias("_at"), (shift + F.col("v") + F.col("_reach")).alias("_hi"), (shift + F.col("v") - F.col("_reach") - 1).alias("_lo")))
-    places = asked.select(F.explode(F.array(F.struct(F.col("_at").alias("_p"), "w"), F.struct(F.col("_hi").alias("_p"), F.lit(0).cast("long").alias("w")),
-                                            F.struct(F.col("_lo").alias("_p"), F.lit(0).cast("long").alias("w")))).alias("e")).select("e.*")
-    order = prefix_sums(cut_lineage(places.groupBy("_p").agg(F.sum("w").alias("w"))), "_p", ["w"]).select("_p", "w_cum")
-    hi, lo = order.toDF("_hi", "_upto"), order.toDF("_lo", "_under")
-    counted = asked.join(hi, "_hi").join(lo, "_lo").withColumn("_n", (F.col("_upto") - F.col("_under")).cast("double"))
-    means = counted.groupBy(F.expr("cast(g div 2 as int)").alias("_f"), (F.col("g") % 2).alias("_side")).agg(
-        (F.sum(F.col("w") * digamma(F.col("_n"))) / F.sum("w")).alias("_psi"))
-    sums = means.groupBy("_f").agg(F.sum("_psi").alias("_psi"))
+    points = points.filter(F.col("_f").isin(list(enough)))
+    near = _kth_distance(points, enough, k)
+    near = cut_lineage(near.select("_f", "x", "y", "w", F.greatest(F.col("d") - 1, F.lit(0)).alias("_reach")))
+    sums = _mean_digamma(points, near)
     n = F.col("n").cast("double")
     info = F.greatest(digamma(n) + digamma(F.lit(float(k))) - F.col("_psi"), F.lit(0.0))
     return names.join(F.broadcast(sums), "_f", "left").select("feature", "n", F.when(F.col("n") > k, info).alias("mutual_info"))
