@@ -4,6 +4,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from valuator.llm import line_dedup, simhash_dedup, substring_dedup
 from valuator.llm.common import connected_components
@@ -310,3 +311,13 @@ def test_long_texts_hash_in_chunks(monkeypatch):
 
 def test_simhash_of_no_rows(spark):
     assert simhash_dedup.near_duplicates(frame(spark, [])).count() == 0
+
+
+def test_grams_are_made_once(spark):
+    """The count of common grams and both sides of the join read one exchange: a filter that only some of them had made it twice."""
+    lines = frame(spark, [(i, f"line number {i} " * 6) for i in range(40)], "h long, line string").withColumn("size", F.length("line"))
+    found = line_dedup.gram_candidates(lines, 60, 0.05)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    made = [x for x in plan.split("\n") if "REPARTITION_BY_COL" in x and "Reused" not in x]
+    assert len(made) == 1 and "ReusedExchange" in plan
