@@ -321,3 +321,13 @@ def test_grams_are_made_once(spark):
     plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     made = [x for x in plan.split("\n") if "REPARTITION_BY_COL" in x and "Reused" not in x]
     assert len(made) == 1 and "ReusedExchange" in plan
+
+
+def test_short_lines_are_read_once(spark, monkeypatch):
+    """With a share, segments are cut from kept short lines only: each range and side had read, trimmed and lowered all lines anew."""
+    seen, plain = [], line_dedup.segment_candidates
+    monkeypatch.setattr(line_dedup, "segment_candidates", lambda rows, ranges: seen.append(rows) or plain(rows, ranges))
+    df = frame(spark, [(1, "a line of about thirty characters"), (2, "a line of about thirty charakters"), (3, "a much longer line " * 5)], "h long, line string")
+    got = line_dedup.linked_lines(df, 2, 32, None, 0.05, ((12, 1), (16, 2))).collect()
+    assert [sorted((r["a"], r["b"])) for r in got] == [[1, 2]]
+    assert sorted(r["size"] for r in seen[0].collect()) == [33, 33] and seen[0]._jdf.queryExecution().optimizedPlan().toString().startswith("LogicalRDD")
