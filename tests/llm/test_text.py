@@ -368,3 +368,41 @@ def test_outline_collapses_a_text_once(monkeypatch):
 
     check(page, html_extract.outline(page))
     assert sum(done) == len(html_extract._raw(page))  # not once a level
+
+
+def test_template_past_any_number_of_children_or_levels():
+    """What a host repeats goes, also behind 400 children and below 60 levels."""
+    many = "<div>" + "".join(f"<p class=c{i % 7}>{{0}} {i}</p>" for i in range(900)) + "<b>site end</b></div>"
+    many = f"<body>{many}<div>{{0}}</div></body>"
+    text = html_extract.main_text(many.format("new"), html_extract.learn([many.format(f"t{i}") for i in range(5)]))
+    assert text == " ".join(f"new {i}" for i in range(900)) + " new"
+    for depth in (100, 20_000):
+        deep = "<body>" + "<div>" * depth + "<b>site name</b><p>{0}</p>" + "</div>" * depth + "<p>{0}</p></body>"
+        assert html_extract.main_text(deep.format("new"), html_extract.learn([deep.format(f"t{i}") for i in range(4)])) == "new new"
+
+
+def test_long_lists_match_as_short_ones(monkeypatch):
+    import random
+    rnd = random.Random(8)
+    leaf = lambda: [rnd.choice("abc"), rnd.choice("xyz"), [[c, "", []] for c in rnd.sample("pqr", rnd.randrange(3))]]
+    for _ in range(200):
+        a, b = (["r", "", [leaf() for _ in range(rnd.randrange(1, 14))]] for _ in range(2))
+        parts, other = (html_extract._as_part(x) for x in (a, b))
+        args = parts.parts, other.parts, parts.names, other.names, html_extract._part_score
+
+        def total(pairs):
+            assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:]))
+            assert all(parts.names[i] == other.names[j] for i, j in pairs)
+            return sum(html_extract._part_score(parts.parts[i], other.parts[j]) for i, j in pairs)
+
+        want = total(html_extract._matching(*args))
+        for cells in (1 << 22, 6, 1):
+            monkeypatch.setattr(html_extract, "LONG_LIST", 0)
+            monkeypatch.setattr(html_extract, "LONG_CELLS", cells)
+            assert total(html_extract._matching(*args, None, html_extract._part_rows(other))) == want
+            monkeypatch.undo()
+
+
+def test_packed_trees():
+    tree = ["a", 1, [["b", None, []], ["c", {"x": 2}, [["d", "", []]]]]]
+    assert html_extract._unpacked(html_extract._packed(tree)) == tree
