@@ -747,3 +747,40 @@ def test_mutual_information_of_neighbours_in_many_cells(spark, monkeypatch):
             psi = np.concatenate([[np.nan, 0], np.cumsum(1 / np.arange(1, len(q) + 1))]) - 0.5772156649015329
             info = max(0.0, psi[len(q)] + psi[k] - psi[(dx <= reach).sum(1)].mean() - psi[(dy <= reach).sum(1)].mean())
             assert abs(got[c] - info) < 1e-7, (c, got[c], info)
+
+
+def test_restarts_use_all_cores_and_equal_plain_lloyd(spark, monkeypatch):
+    """A large frame of one part is spread, and every pass gives a row a task; centres, iterations and costs are those of plain steps."""
+    import numpy as np
+    from valuator.plans import strategy as S
+    monkeypatch.setattr(S, "SPREAD_ROWS", 100)
+    parts, draws, sums, seen = [], CL.distance_squared_seeds, CL._cluster_sums, []
+
+    def seeds(rows, *more):
+        parts.append(rows.rdd.getNumPartitions())
+        seen.append(draws(rows, *more))
+        return seen[-1]
+
+    passes = []
+    monkeypatch.setattr(CL, "distance_squared_seeds", seeds)
+    monkeypatch.setattr(CL, "_cluster_sums", lambda rows, *more: passes.append(more[1]) or sums(rows, *more))
+    rnd = random.Random(4)
+    data = [(None if i % 50 == 0 else i // 2, rnd.choice([0.0, 5.0, 9.0]) + rnd.random(), rnd.random()) for i in range(400)]
+    df = spark.createDataFrame(data, "k int, x double, y double").coalesce(1)
+    labelled, table = CL.kmeans_restarts(df, ["x", "y"], "k", 3, restarts=3)
+    assert parts == [spark.sparkContext.defaultParallelism]
+    got = {r["restart"]: r for r in table.collect()}
+    x = np.array([r[1:] for r in data])
+    tol, best = 1e-4 * x.var(axis=0).sum() / 2, {}
+    for r, centers in enumerate(np.array(c) for c in seen[0]):
+        for n in range(1, 301):
+            d = ((x[:, None] - centers) ** 2).sum(2)
+            new = np.array([x[d.argmin(1) == j].mean(0) if (d.argmin(1) == j).any() else c for j, c in enumerate(centers)])
+            if ((new - centers) ** 2).sum() <= tol:
+                break
+            centers = new
+        best[r] = (d.min(1).sum(), d.argmin(1))
+        assert got[r]["iterations"] == n and abs(got[r]["cost"] - best[r][0]) < 1e-6
+    assert len(passes) == max(r["iterations"] for r in got.values())
+    want = dict(zip(map(tuple, x), min(best.values(), key=lambda b: b[0])[1]))
+    assert all(r["cluster"] == want[r["x"], r["y"]] for r in labelled.collect()) and labelled.count() == 400

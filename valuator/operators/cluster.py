@@ -14,10 +14,11 @@ import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from valuator.plans.strategy import fit_quantiles, fit_row, group_quantiles, prefix_sums, ranked
+from valuator.plans.strategy import fit_quantiles, fit_row, group_quantiles, prefix_sums, ranked, spread_once
 from valuator.session import cut_lineage
 
 #: Centres that travel as literals, unless the caller asks for more.
@@ -128,17 +129,27 @@ def band_init(df: DataFrame, features: Sequence[str | Column], price: str | Colu
 
 
 # ------------------------------------------------------------------ C1, C2, C7, C8, C11
-def _assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
-    """Feature vector of every row; nulls count as the column's median (0 where there is none)."""
-    from pyspark.ml.feature import VectorAssembler
+def _medians(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
+    """The median of every feature that has nulls, 0 where it has nothing else."""
     nulls = fit_row(df, *[F.count(F.when(F.col(f).isNull() | F.isnan(F.col(f).cast("double")), 1)).alias(f) for f in features])
     holes = [f for f in features if nulls[f]]
     medians = fit_quantiles(df, holes, [0.5]) if holes else {}
+    return {f: float(medians[f][0]) if medians[f] else 0.0 for f in holes}
+
+
+def _without_nulls(df: DataFrame, features: Sequence[str], medians: dict[str, float]) -> tuple[DataFrame, list[str]]:
+    """The rows with a column of doubles for each feature, and the names of these."""
     value = {f: F.col(f).cast("double") for f in features}
-    for f in holes:
-        value[f] = F.coalesce(F.nanvl(value[f], F.lit(None)), F.lit(float(medians[f][0]) if medians[f] else 0.0))
+    for f, m in medians.items():
+        value[f] = F.coalesce(F.nanvl(value[f], F.lit(None)), F.lit(m))
     names = [f"_a{i}" for i in range(len(features))]
-    filled = df.withColumns(dict(zip(names, value.values())))
+    return df.withColumns(dict(zip(names, value.values()))), names
+
+
+def _assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
+    """Feature vector of every row; nulls count as the column's median (0 where there is none)."""
+    from pyspark.ml.feature import VectorAssembler
+    filled, names = _without_nulls(df, features, _medians(df, features))
     return VectorAssembler(inputCols=names, outputCol=out, handleInvalid="error").transform(filled).drop(*names)
 
 
@@ -224,78 +235,120 @@ def _uniform(key: str, *salt: Column) -> Column:
     return (bits.cast("double") + 0.5) / float(1 << 53)
 
 
-def _points(centers: Sequence[Sequence[float]]) -> Column:
-    return F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centers]).cast("array<array<double>>")
+def _near(x: np.ndarray, centers: Sequence[Sequence[float]]) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distances to the nearest centre, and which it is (the first of equals); ``x`` has a row a feature."""
+    each = []
+    for c in centers:
+        d = np.zeros(x.shape[1])
+        for own, v in zip(x, c):
+            d += (own - v) * (own - v)
+        each.append(d)
+    least = np.fmin.reduce(each)
+    return least, np.argmax(np.array(each) == least, axis=0)
 
 
-def _sq_to(points: Column, vector: str) -> Column:
-    """Squared distances of the row's vector to the points of an array."""
-    return F.transform(points, lambda c: F.aggregate(F.zip_with(F.col(vector), c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
+def _by_feature(column) -> np.ndarray:
+    """A row a feature of an Arrow column of arrays."""
+    return np.ascontiguousarray(column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).T)
 
 
 def distance_squared_seeds(df: DataFrame, vector: str, key: str, k: int, restarts: int = 10, seed: int = 42) -> list[list[list[float]]]:
     """C2 init: per restart up to k rows, the first uniformly drawn, each further one with weight squared distance to the nearest drawn one.
 
     A weighted draw is a race: the row with the least -ln(u) / weight wins, u a
-    hash of key, restart and step. So a step is one aggregate of a least time for each
-    restart, then a look for the vectors that have it, and does not depend on the partitioning. Rows at distance
-    0 are not drawn; a restart ends early when there are no others. Rows of
-    equal key share u: keys should be unique. ``df`` is read 2 k times; nothing of a row is sorted or shuffled but ties for a least time."""
+    hash of key, restart and step. So a step is one pass, in which a task gives its own
+    winner of each restart, and does not depend on the partitioning. Rows at distance
+    0 are not drawn; a restart ends early when there are no others. Ties go to the lesser vector. Rows of
+    equal key share u: keys should be unique. ``df`` is read k times; nothing of a row is sorted or shuffled."""
     drawn: list[list[list[float]]] = [[] for _ in range(restarts)]
     for step in range(k):
         todo = [r for r in range(restarts) if len(drawn[r]) == step]
         if not todo:
             break
-        # rows without a time do not race
-        times = {}
-        for r in todo:
-            weight = F.array_min(_sq_to(_points(drawn[r]), vector)) if step else F.lit(1.0)
-            times[r] = F.when(weight > 0, -F.log(_uniform(key, F.lit(seed), F.lit(r), F.lit(step))) / weight)
-        raced = df.select(F.col(vector).alias("v"), *[t.alias(f"t{r}") for r, t in times.items()])
-        least = fit_row(raced, *[F.min(f"t{r}").alias(f"t{r}") for r in times])
-        won = F.filter(F.array(*[F.when(F.col(f"t{r}") == F.lit(least[f"t{r}"]), F.lit(r)) for r in times]), lambda x: x.isNotNull())
-        # ties go to the lesser vector
-        winners = raced.select("v", F.explode(won).alias("r")).distinct().groupBy("r").agg(F.min("v").alias("v"))
+        before = [drawn[r][:] for r in todo]
+
+        def race(batches, before=before):
+            import pyarrow as pa
+            best: list[tuple | None] = [None] * len(before)
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                x = _by_feature(b.column(0))
+                for i, centers in enumerate(before):
+                    weight = _near(x, centers)[0] if centers else np.ones(b.num_rows)
+                    # rows without a weight do not race
+                    own = np.flatnonzero(weight > 0)
+                    if not len(own):
+                        continue
+                    time = b.column(i + 1).to_numpy(zero_copy_only=False)[own] / weight[own]
+                    tied = x[:, own[time == time.min()]]
+                    won = float(time.min()), tied[:, np.lexsort(tied[::-1])[0]].tolist()
+                    best[i] = won if best[i] is None else min(best[i], won)
+            yield pa.RecordBatch.from_arrays([pa.array([x and x[j]], kind) for x in best for j, kind in ((0, pa.float64()), (1, pa.list_(pa.float64())))],
+                                             [f"{c}{i}" for i in range(len(best)) for c in "tv"])
+
+        waits = [(-F.log(_uniform(key, F.lit(seed), F.lit(r), F.lit(step)))).alias(f"e{r}") for r in todo]
+        # a row a task
+        raced = cut_lineage(df.select(vector, *waits).mapInArrow(race, ", ".join(f"t{i} double, v{i} array<double>" for i in range(len(todo)))))
+        least = fit_row(raced, *[F.min(f"t{i}").alias(f"t{i}") for i in range(len(todo))])
+        won = F.array(*[F.when(F.col(f"t{i}") == F.lit(least[f"t{i}"]), F.struct(F.lit(r).alias("r"), F.col(f"v{i}").alias("v"))) for i, r in enumerate(todo)])
+        winners = raced.select(F.explode(F.filter(won, lambda x: x.isNotNull())).alias("w")).groupBy("w.r").agg(F.min("w.v").alias("v"))
         for row in winners.collect():
             drawn[row["r"]].append([float(x) for x in row["v"]])
     return drawn
 
 
+def _cluster_sums(rows: DataFrame, vector: str, tried: Sequence[Sequence[Sequence[float]]], dims: int) -> list[np.ndarray]:
+    """For each list of centres, a row a cluster: rows, squared distances, and the sum of each feature. One pass, summed batch by batch."""
+    cuts = np.cumsum([len(c) * (2 + dims) for c in tried])
+
+    def add(batches):
+        import pyarrow as pa
+        total = [np.zeros((len(c), 2 + dims)) for c in tried]
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = _by_feature(b.column(0))
+            for at, centers in zip(total, tried):
+                least, own = _near(x, centers)
+                for j, weights in enumerate((None, least, *x)):
+                    at[:, j] += np.bincount(own, weights, len(centers))
+        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([t.ravel() for t in total]).tolist()], pa.list_(pa.float64()))], ["s"])
+
+    parts = [np.array(r["s"]) for r in rows.select(vector).mapInArrow(add, "s array<double>").collect()]
+    return [s.reshape(-1, 2 + dims) for s in np.split(np.sum(parts, axis=0), cuts[:-1])]
+
+
 def kmeans_restarts(df: DataFrame, features: Sequence[str], key: str, k: int, restarts: int = 10, seed: int = 42, max_iter: int = 300,
                     tol: float = 1e-4, out: str = "cluster", max_k: int = MAX_K) -> tuple[DataFrame, DataFrame]:
-    """K-means from ``restarts`` draws of ``distance_squared_seeds``, all restarts in one aggregate an iteration.
+    """K-means from ``restarts`` draws of ``distance_squared_seeds``, all restarts in one pass an iteration.
     Returns the rows with the cluster of the restart of least cost, and a table (restart, clusters, iterations, cost).
 
     A restart ends when its squared centre shift is at most tol times the mean
     variance. Nulls count as the column's median. An empty cluster keeps its
     centre; with fewer than k different rows there are fewer clusters, and
     without rows no restart and null clusters."""
-    from pyspark.ml.functions import vector_to_array
     if not 1 <= k <= max_k:
         raise ValueError(f"need 1..{max_k} clusters")
-    vectors = _assemble(df, features).withColumn("_vec", vector_to_array("features")).drop("features")
-    rows = cut_lineage(vectors.select(F.col(key), "_vec"))
-    centers = {r: c for r, c in enumerate(distance_squared_seeds(rows, "_vec", key, k, restarts, seed)) if c}
+    kept = df.select(F.col(key).alias("_key"), *[F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)])
+    kept = spread_once(kept, kept.columns)
+    medians = _medians(kept, kept.columns[1:])
+    filled, names = _without_nulls(kept, kept.columns[1:], medians)
+    rows = cut_lineage(filled.select("_key", F.array(*names).alias("_vec")))
+    centers = {r: c for r, c in enumerate(distance_squared_seeds(rows, "_vec", "_key", k, restarts, seed)) if c}
     schema = "restart int, clusters int, iterations int, cost double"
     if not centers:
-        return vectors.drop("_vec").withColumn(out, F.lit(None).cast("int")), df.sparkSession.createDataFrame([], schema)
-    dims = range(len(features))
-    v = fit_row(rows, *[F.var_pop(F.col("_vec")[i]).alias(f"v{i}") for i in dims])
-    tol_abs = tol * sum(float(v[f"v{i}"] or 0.0) for i in dims) / len(features)
+        return df.withColumn(out, F.lit(None).cast("int")), df.sparkSession.createDataFrame([], schema)
+    dims = len(features)
+    v = fit_row(rows, *[F.var_pop(F.col("_vec")[i]).alias(f"v{i}") for i in range(dims)])
+    tol_abs = tol * sum(float(v[f"v{i}"] or 0.0) for i in range(dims)) / dims
     iterations = {r: 0 for r in centers}
     open_, cost = set(centers), {}
     while open_:
         tried = sorted(open_)
-        near = F.array(*[F.struct(F.lit(r).alias("r"), _sq_to(_points(centers[r]), "_vec").alias("d")) for r in tried])
-        each = rows.select("_vec", F.explode(near).alias("n")).select("_vec", F.col("n.r").alias("r"), "n.d", F.array_min("n.d").alias("_least"))
-        each = each.withColumn("c", F.array_position("d", F.col("_least")) - 1)
-        got = each.groupBy("r", "c").agg(F.sum("_least").alias("cost"), *[F.avg(F.col("_vec")[i]).alias(f"m{i}") for i in dims]).collect()
-        for r in tried:
-            own = [g for g in got if g["r"] == r]
-            cost[r] = sum(g["cost"] for g in own)
-            new = [list(c) for c in centers[r]]
-            for g in own:
-                new[g["c"]] = [float(g[f"m{i}"]) for i in dims]
+        for r, sums in zip(tried, _cluster_sums(rows, "_vec", [centers[r] for r in tried], dims)):
+            cost[r] = float(sums[:, 1].sum())
+            new = [list(map(float, s[2:] / s[0])) if s[0] else list(c) for s, c in zip(sums, centers[r])]
             shift = sum((a - b) ** 2 for x, y in zip(centers[r], new) for a, b in zip(x, y))
             iterations[r] += 1
             if shift <= tol_abs or iterations[r] >= max_iter:
@@ -303,8 +356,8 @@ def kmeans_restarts(df: DataFrame, features: Sequence[str], key: str, k: int, re
             else:
                 centers[r] = new
     best = min(centers, key=lambda r: (cost[r], r))
-    d = _sq_to(_points(centers[best]), "_vec")
-    labelled = vectors.withColumn(out, (F.array_position(d, F.array_min(d)) - 1).cast("int")).drop("_vec")
+    shown, names = _without_nulls(df, features, {f: medians[f"_x{i}"] for i, f in enumerate(features) if f"_x{i}" in medians})
+    labelled = shown.withColumn(out, nearest_center(names, centers[best], max_k)).drop(*names)
     table = [(r, len(centers[r]), iterations[r], float(cost[r])) for r in sorted(centers)]
     return labelled, df.sparkSession.createDataFrame(table, schema)
 
