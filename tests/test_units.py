@@ -784,3 +784,22 @@ def test_restarts_use_all_cores_and_equal_plain_lloyd(spark, monkeypatch):
     assert len(passes) == max(r["iterations"] for r in got.values())
     want = dict(zip(map(tuple, x), min(best.values(), key=lambda b: b[0])[1]))
     assert all(r["cluster"] == want[r["x"], r["y"]] for r in labelled.collect()) and labelled.count() == 400
+
+
+def test_error_clusters_read_a_spread_frame_of_errors(spark, monkeypatch):
+    """The fits of a large frame of one part use all cores; a row's label depends on its error alone, and a missing one counts as the median."""
+    from valuator.plans import strategy as S
+    monkeypatch.setattr(S, "SPREAD_ROWS", 100)
+    seen, best = [], CL._best_kmeans
+    monkeypatch.setattr(CL, "_best_kmeans", lambda data, *more: seen.append((data.columns, data.rdd.getNumPartitions())) or best(data, *more))
+    rnd = random.Random(2)
+    data = [(i, None if i % 20 == 0 else rnd.choice([-50.0, 0.0, 70.0]) + rnd.choice([0.0, 0.5])) for i in range(300)]
+    df = spark.createDataFrame(data, "k int, e double").coalesce(1)
+    k, labelled = CL.cluster_errors(df, "e", range(2, 4))
+    assert seen == [(["_z", "features"], spark.sparkContext.defaultParallelism)] * 2
+    got = {r["k"]: (r["e"], r["error_cluster"]) for r in labelled.collect()}
+    assert k == 3 and len(got) == 300 and len({c for _, c in got.values()}) == 3
+    assert len({(e // 10, c) for e, c in got.values() if e is not None}) == 3
+    whole = CL.silhouette_1d(spark.createDataFrame([(v, c) for v, c, n in ((1.0, 0, 2), (2.0, 0, 3), (9.0, 1, 1)) for _ in range(n)], "v double, c int"), "v", "c")
+    brief = CL.silhouette_1d(spark.createDataFrame([(1.0, 0, 2), (2.0, 0, 3), (9.0, 1, 1)], "v double, c int, n int"), "v", "c", copies="n")
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, brief.collect()))

@@ -148,27 +148,33 @@ def _without_nulls(df: DataFrame, features: Sequence[str], medians: dict[str, fl
 
 def _assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
     """Feature vector of every row; nulls count as the column's median (0 where there is none)."""
+    return _vectors(df, features, _medians(df, features), out)
+
+
+def _vectors(df: DataFrame, features: Sequence[str], medians: dict[str, float], out: str = "features") -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
-    filled, names = _without_nulls(df, features, _medians(df, features))
+    filled, names = _without_nulls(df, features, medians)
     return VectorAssembler(inputCols=names, outputCol=out, handleInvalid="error").transform(filled).drop(*names)
 
 
-def silhouette_1d(df: DataFrame, value: str, label: str, max_k: int = MAX_K) -> DataFrame:
-    """Exact plain (Euclidean) silhouette of one numeric column: per cluster its rows and their mean silhouette.
+def silhouette_1d(df: DataFrame, value: str, label: str, max_k: int = MAX_K, copies: str | None = None) -> DataFrame:
+    """Exact plain (Euclidean) silhouette of one numeric column: per cluster its rows and their mean silhouette. A row
+    stands for as many as the whole number ``copies`` says, if that is given.
 
     A row's distance to all rows of a cluster is its value times the rows below
     it, less their sum, plus the same from above: running counts and sums of
     every cluster over the distinct values in order give it, so no pair of rows is made.
     A row that is alone in its cluster scores 0; with one cluster there is no score (null). Rows without value or label do not count."""
-    rows = df.select(F.col(value).cast("double").alias("_x"), F.col(label).alias("_c")).filter("_x IS NOT NULL AND NOT isnan(_x) AND _c IS NOT NULL")
-    sizes = [(r["_c"], r["n"], r["s"]) for r in rows.groupBy("_c").agg(F.count(F.lit(1)).alias("n"), F.sum("_x").alias("s")).limit(max_k + 1).collect()]
+    w = F.col(copies).cast("long") if copies else F.lit(1).cast("long")
+    rows = df.select(F.col(value).cast("double").alias("_x"), F.col(label).alias("_c"), w.alias("_w")).filter("_x IS NOT NULL AND NOT isnan(_x) AND _c IS NOT NULL")
+    sizes = [(r["_c"], r["n"], r["s"]) for r in rows.groupBy("_c").agg(F.sum("_w").alias("n"), F.sum(F.col("_x") * F.col("_w")).alias("s")).limit(max_k + 1).collect()]
     if len(sizes) > max_k:
         raise ValueError(f"more than {max_k} clusters")
     if not sizes:
         return rows.groupBy(F.col("_c").alias(label)).agg(F.count(F.lit(1)).alias("n"), F.avg(F.lit(None).cast("double")).alias("silhouette"))
     sizes.sort(key=lambda r: str(r[0]))
     of = [F.col("_c") == F.lit(c) for c, _, _ in sizes]
-    counts = [F.count(F.when(is_c, 1)).alias(f"_n{i}") for i, is_c in enumerate(of)]
+    counts = [F.sum(F.when(is_c, F.col("_w")).otherwise(0)).alias(f"_n{i}") for i, is_c in enumerate(of)]
     # one row a value: equal values, however many, are one row with a count per cluster
     by_value = rows.groupBy("_x").agg(*counts)
     by_value = cut_lineage(by_value.withColumns({f"_s{i}": F.col(f"_n{i}") * F.col("_x") for i in range(len(sizes))}))
@@ -216,19 +222,24 @@ def choose_k_silhouette(df: DataFrame, features: Sequence[str], k_range: Sequenc
 def kmeans_segments(df: DataFrame, features: Sequence[str], k: int, restarts: int = 10, seed: int = 42,
                     out: str = "cluster"):
     """K-means|| with ``restarts`` seeds, keep the lowest training cost."""
-    from pyspark.ml.clustering import KMeans
     data = _assemble(df, features).persist()
-    best = None
     try:
-        for r in range(restarts):
-            m = KMeans(k=k, seed=seed + r, featuresCol="features", predictionCol=out).fit(data)
-            if best is None or m.summary.trainingCost < best.summary.trainingCost:
-                best = m
+        best = _best_kmeans(data, k, restarts, seed, out)
     finally:
         data.unpersist()
     return best, best.transform(_assemble(df, features)).drop("features")
 
 
+def _best_kmeans(data: DataFrame, k: int, restarts: int, seed: int, out: str):
+    from pyspark.ml.clustering import KMeans
+    best = None
+    for r in range(restarts):
+        m = KMeans(k=k, seed=seed + r, featuresCol="features", predictionCol=out).fit(data)
+        if best is None or m.summary.trainingCost < best.summary.trainingCost:
+            best = m
+    return best
+
+
 def _uniform(key: str, *salt: Column) -> Column:
     """A number of (0, 1) that the key and the salt decide."""
     bits = F.shiftrightunsigned(F.xxhash64(F.col(key).cast("string"), *salt), 11)
@@ -424,19 +435,31 @@ def gmm_segments_combined(table: DataFrame) -> DataFrame:
 
 def cluster_errors(df: DataFrame, err: str, k_range: Sequence[int] = range(2, 11), seed: int = 42,
                    out: str = "error_cluster") -> tuple[int, DataFrame]:
-    """C11: standardise the error, choose k by the exact plain silhouette in one dimension (first best), label rows."""
-    st = fit_row(df, F.avg(err).alias("m"), F.stddev_pop(err).alias("s"))
-    z = df.withColumn("_z", (F.col(err) - F.lit(st["m"])) / F.lit(st["s"] or 1.0))
-    from valuator.operators.train import in_parallel
+    """C11: standardise the error, choose k by the exact plain silhouette in one dimension (first best), label rows.
+
+    The fits read a frame of the errors alone, written once; their scores one of the different errors and how often each is there."""
+    from valuator.operators.train import fits_at_a_time, in_parallel
+    # equal errors must not meet in one part
+    place = F.xxhash64(*[F.col(c) for c, t in df.dtypes if "map<" not in t]).alias("_h")
+    errors = spread_once(df.select(F.col(err).alias("_e"), place), ["_h"]).select("_e")
+    st = fit_row(errors, F.avg("_e").alias("m"), F.stddev_pop("_e").alias("s"), F.count(F.lit(1)).alias("n"))
+    rows = errors.select(((F.col("_e") - F.lit(st["m"])) / F.lit(st["s"] or 1.0)).alias("_z"))
+    medians = _medians(rows, ["_z"])
+    # not persisted: the fit keeps its own vectors, which it need not read from the frame at each step
+    data = _vectors(rows, ["_z"], medians)
+    values = cut_lineage(rows.filter("_z IS NOT NULL AND NOT isnan(_z)").groupBy("_z").agg(F.count(F.lit(1)).alias("_n")))
+    shown = _vectors(values, ["_z"], {})
 
     def run(k: int) -> tuple:
-        _, labelled = kmeans_segments(z, ["_z"], k, restarts=1, seed=seed, out=out)
-        r = fit_row(silhouette_1d(labelled, "_z", out), (F.sum(F.col("n") * F.col("silhouette")) / F.sum("n")).alias("s"))
-        return r["s"] if r["s"] is not None else -1.0, -k, labelled
+        model = _best_kmeans(data, k, 1, seed, out)
+        scores = silhouette_1d(model.transform(shown), "_z", out, copies="_n")
+        r = fit_row(scores, (F.sum(F.col("n") * F.col("silhouette")) / F.sum("n")).alias("s"))
+        return r["s"] if r["s"] is not None else -1.0, -k, model
 
-    scored = in_parallel(run, list(k_range))
-    _, k, labelled = max(scored, key=lambda x: x[:2])
-    return -k, labelled.drop("_z")
+    scored = in_parallel(run, list(k_range), fits_at_a_time(st["n"]))
+    _, k, model = max(scored, key=lambda x: x[:2])
+    z = df.withColumn("_z", (F.col(err) - F.lit(st["m"])) / F.lit(st["s"] or 1.0))
+    return -k, model.transform(_vectors(z, ["_z"], medians)).drop("_z", "features")
 
 
 # ------------------------------------------------------------------ C6
