@@ -258,3 +258,27 @@ def test_fits_of_large_frames_use_all_cores(spark, monkeypatch):
     M.learning_curve(df, "id", ["x"], "price", "fold", sizes=(0.5, 1.0), kind="linear")
     assert run.oof.count() == 300 and len(parts) > 2 and min(parts) >= spark.sparkContext.defaultParallelism
     assert M.fits_at_a_time(1_000) == M.PARALLEL_FITS and M.fits_at_a_time(10 * M.FIT_ROWS) == 1 and M.fits_at_a_time(0, 3) == 3
+
+
+def test_linear_curve_from_sums_equals_the_pipeline(spark, monkeypatch):
+    """The linear learning curve fits no pipeline, and has the errors of the pipelines that it stands for, gaps filled by each fit's own median."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    rng = random.Random(6)
+    data = []
+    for i in range(400):
+        a, b = rng.gauss(50, 20), rng.random()
+        data.append((i, None if i % 9 == 0 else a, float("nan") if i % 7 == 0 else b, 3.0, 1000 + 30 * a + 500 * b * b + rng.gauss(0, 40), i % 3))
+    df = spark.createDataFrame(data, "id long, a double, b double, c double, price double, fold int")
+    feats, sizes = ["a", "b", "c"], (0.3, 1.0)
+    rows = M._prepare(df, feats, "price", True).withColumn("_h", M.mix_hash("id", 7) / F.lit(float(M.LCG_MOD)))
+    ev = RegressionEvaluator(labelCol="_y", predictionCol="_pred", metricName="rmse")
+    want = {}
+    for s in sizes:
+        for f in range(3):
+            part = rows.filter((F.col("fold") != f) & (F.col("_h") < s))
+            m = M.regression_pipeline(feats, "_y", "linear").fit(part)
+            want[s, f] = ev.evaluate(m.transform(part)), ev.evaluate(m.transform(rows.filter(F.col("fold") == f)))
+    monkeypatch.setattr(M, "regression_pipeline", lambda *a, **more: pytest.fail("a pipeline was fitted"))
+    for r in M.learning_curve(df, "id", feats, "price", "fold", sizes=sizes, kind="linear").collect():
+        for i, c in enumerate(("train_rmse", "cv_rmse")):
+            assert r[c] == pytest.approx(sum(want[r["train_fraction"], f][i] for f in range(3)) / 3, rel=1e-7)
