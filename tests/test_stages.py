@@ -282,3 +282,23 @@ def test_linear_curve_from_sums_equals_the_pipeline(spark, monkeypatch):
     for r in M.learning_curve(df, "id", feats, "price", "fold", sizes=sizes, kind="linear").collect():
         for i, c in enumerate(("train_rmse", "cv_rmse")):
             assert r[c] == pytest.approx(sum(want[r["train_fraction"], f][i] for f in range(3)) / 3, rel=1e-7)
+
+
+def test_forest_groups_hold_little_of_a_task(spark, monkeypatch):
+    """A task holds the sums of one group of nodes; four tasks of 1,024 MB each are more than an executor's heap. Trees and depth stay."""
+    import __spark_entry__ as entry
+    from tests.conftest import SF_SMALL
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def pipeline(*a, params=None, **more):
+        seen.append(params)
+        raise Stop
+
+    monkeypatch.setattr(M, "regression_pipeline", pipeline)
+    with pytest.raises(Stop):
+        entry.queries()["rf_regression"](spark, SF_SMALL)
+    spark.catalog.clearCache()
+    assert seen == [{"numTrees": 200, "maxDepth": 12, "maxMemoryInMB": 64}]
