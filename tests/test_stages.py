@@ -282,6 +282,8 @@ def test_linear_curve_from_sums_equals_the_pipeline(spark, monkeypatch):
     for r in M.learning_curve(df, "id", feats, "price", "fold", sizes=sizes, kind="linear").collect():
         for i, c in enumerate(("train_rmse", "cv_rmse")):
             assert r[c] == pytest.approx(sum(want[r["train_fraction"], f][i] for f in range(3)) / 3, rel=1e-7)
+    with pytest.raises(ValueError, match="targets"):
+        M.learning_curve(df.unionByName(df.limit(1).withColumn("price", F.lit(None).cast("double"))), "id", feats, "price", "fold", sizes=sizes, kind="linear")
 
 
 def test_forest_groups_hold_little_of_a_task(spark, monkeypatch):
